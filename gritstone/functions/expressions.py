@@ -130,7 +130,9 @@ def alert_message(
 
 
 def two_decimals(value: Column) -> Column:
-    return F.when(value.isNull(), "?").otherwise(F.format_string("%.2f", value))
+    """The value with two decimals, rounded from its exact binary value; ``?`` for NULL."""
+    shown = F.call_function("format_number", value, F.lit("0.00"))
+    return F.when(value.isNull(), "?").otherwise(shown)
 
 
 def words(text: str | Column) -> Column:

@@ -18,11 +18,13 @@ def interpolated_quantiles(
 ) -> DataFrame:
     """Rows (groups, position, probability, quantile), linear between neighbouring ranks.
 
-    The sketch's rank error is at most 1/accuracy and the brackets reach twice
-    as far, so the wanted ranks are always inside; a miss raises.
+    The sketch's rank error is at most 1/accuracy and ranks are counted with a
+    difference of at most one row, so brackets of three times the error hold
+    the wanted ranks; a miss raises. Groups with fewer rows than ``accuracy``
+    are ordered whole.
     """
     groups = groups or ["_all"]
-    reach = 2.0 / accuracy
+    reach = 3.0 / accuracy
     lows = [max(0.0, p - reach) for p in probabilities]
     highs = [min(1.0, p + reach) for p in probabilities]
     rows = df.where(F.col(value).isNotNull())
@@ -31,8 +33,17 @@ def interpolated_quantiles(
     rows = rows.select(*groups, F.col(value).cast("double").alias("_v"))
 
     edges = rows.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", lows, accuracy).alias("_lo"),
-        F.percentile_approx("_v", highs, accuracy).alias("_hi"),
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", lows, accuracy).alias("_lows"),
+        F.percentile_approx("_v", highs, accuracy).alias("_highs"),
+    )
+
+    def bracket(sketched: str, extreme: str):
+        whole = F.array_repeat(F.col(extreme), len(probabilities))
+        return F.when(F.col("_n") < accuracy, whole).otherwise(F.col(sketched))
+
+    edges = edges.select(
+        *groups, "_n", bracket("_lows", "_min").alias("_lo"), bracket("_highs", "_max").alias("_hi")
     )
     placed = rows.join(edges, groups)
     positions = range(len(probabilities))

@@ -14,6 +14,7 @@ from gritstone.functions.expressions import iso_zone, recommended_action, stable
 from gritstone.functions.quantiles import interpolated_quantiles, medians
 from gritstone.functions.slices import SLICE, running_total
 from gritstone.operators.vibration import days_to_fail
+from gritstone.session import materialize
 
 # Features a live window can provide, and those no row may lack.
 FEATURES = [
@@ -73,7 +74,8 @@ def _assembled(features: DataFrame, fill: dict[str, float]) -> DataFrame:
 def train(features: DataFrame, settings: BoostingSettings = BoostingSettings()) -> PdmModel:
     """Boosted trees with the positive class weighted by the class ratio.
 
-    Only two counts and nine medians reach the driver.
+    Only two counts and nine medians reach the driver. The features are read
+    several times: pass a stored or materialized table, not a long plan.
     """
     labelled = features.where(F.col(LABEL).isNotNull())
     counts = labelled.agg(
@@ -162,7 +164,7 @@ def leave_one_asset_out(
     Measured on whole assets because neighbouring windows of a bearing are
     nearly the same row.
     """
-    dated = days_to_fail(features)
+    dated = materialize(days_to_fail(features))
     failing = [r["asset_id"] for r in dated.where(LABEL).select("asset_id").distinct().orderBy("asset_id").collect()]
     if not failing:
         raise ValueError("no asset has a labelled failure")

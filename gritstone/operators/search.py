@@ -82,12 +82,13 @@ def bm25_top(notes: DataFrame, terms: list[str], k: int = LIST_LENGTH, id_col: s
 
 
 def vector_top(
-    notes: DataFrame, query_vector: Column, k: int = LIST_LENGTH, id_col: str = "note_id",
+    notes: DataFrame, query_vector: list[float], k: int = LIST_LENGTH, id_col: str = "note_id",
     vector: str = "note_embedding",
 ) -> DataFrame:
     """Exact nearest notes by cosine similarity: one scan, top rows per task."""
+    wanted = F.array(*[F.lit(float(x)) for x in query_vector])
     scores = notes.where(F.col(vector).isNotNull()).select(
-        id_col, F.round(cosine_similarity(F.col(vector), query_vector), 9).alias("cosine_sim")
+        id_col, F.round(cosine_similarity(F.col(vector), wanted), 9).alias("cosine_sim")
     )
     return _ranked(scores, "cosine_sim", "vector_rank", id_col, k)
 
@@ -110,7 +111,7 @@ def best_note_per_order(fused: DataFrame, notes: DataFrame, orders: DataFrame) -
 
 
 def hybrid_search(
-    notes: DataFrame, orders: DataFrame, query: str, query_vector: Column, top: int = 5,
+    notes: DataFrame, orders: DataFrame, query: str, query_vector: list[float], top: int = 5,
     k: int = LIST_LENGTH,
 ) -> DataFrame:
     terms = query_terms(notes.sparkSession, query)

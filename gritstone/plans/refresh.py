@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gritstone.functions.slices import HOUR
 from gritstone.operators import alerts, balance, equipment, history, pdm, stockpile, vibration
 from gritstone.operators.readings import tag_reading_1m
+from gritstone.session import materialize
 from gritstone.sources.sinks import append_unseen, overwrite_table
 from gritstone.sources.upsert import upsert
 
@@ -110,12 +111,10 @@ def score_fleet(
     model_version: str, scored_at: str | None = None, days: int = 30,
 ) -> DataFrame:
     """Calibrate on the history, score the recent windows, append unseen predictions."""
-    from gritstone.session import materialize
-
     dated = vibration.days_to_fail(features).where(F.col("days_to_fail").isNotNull())
     calibration = materialize(pdm.rul_calibration(model.probabilities(dated)))
-    recent = pdm.fill_context(pdm.scorable(pdm.recent_window(features, days)))
-    scored = materialize(model.probabilities(recent))
+    recent = materialize(pdm.scorable(pdm.recent_window(features, days)))
+    scored = materialize(model.probabilities(pdm.fill_context(recent)))
     rows = pdm.predictions(scored, calibration, model_name, model_version, scored_at)
     append_unseen(rows, path, "prediction_id")
     return rows

@@ -51,7 +51,8 @@ def stream_limit_alerts(readings: DataFrame, tags: DataFrame, rules: DataFrame)
     broken = F.when(F.col("quality") != "GOOD", "quality").when(
         F.col("value_class") == "analog", limit_class()
     )
-    classed = readings.join(limits, "tag_id").withColumn("rule_type", broken).where(
+    columns = ["event_id", "tag_id", "source_ts", "value", "quality"]
+    classed = readings.select(*columns).join(limits, "tag_id").withColumn("rule_type", broken).where(
         F.col("rule_type").isNotNull()
     )
     matched = classed.join(most_specific_rule(tags, rules), ["tag_id", "rule_type"])

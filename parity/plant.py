@@ -45,11 +45,11 @@ _TAG_ROWS = [
     (1, "SCR-CVB02-WI01", "Return belt", "conveyor", "Screening", "mass_flow", "t/h", 200.0, None),
     (1, "SCR-CVB03-WI01", "Undersize belt", "conveyor", "Screening", "mass_flow", "t/h", 1000.0, None),
     (1, "DSD-CYC01-FI01", "Cyclone", "cyclone", "Desands", "volume_flow", "m3/h", 1500.0, None),
-    (1, "DSD-CYC01-DI01", "Cyclone", "cyclone", "Desands", "density", "t/m3", 1.53, None),
+    (1, "DSD-CYC01-DI01", "Cyclone", "cyclone", "Desands", "density", "t/m3", 1.5, None),
     (1, "DSD-CYC01-FI02", "Cyclone", "cyclone", "Desands", "volume_flow", "m3/h", 700.0, None),
-    (1, "DSD-CYC01-DI02", "Cyclone", "cyclone", "Desands", "density", "t/m3", 1.18, None),
+    (1, "DSD-CYC01-DI02", "Cyclone", "cyclone", "Desands", "density", "t/m3", 1.2, None),
     (1, "DSD-CYC01-FI03", "Cyclone", "cyclone", "Desands", "volume_flow", "m3/h", 800.0, None),
-    (1, "DSD-CYC01-DI03", "Cyclone", "cyclone", "Desands", "density", "t/m3", 1.85, None),
+    (1, "DSD-CYC01-DI03", "Cyclone", "cyclone", "Desands", "density", "t/m3", 1.9, None),
     (1, "UTL-WTR01-FI01", "Process water", "utility", "Utilities", "volume_flow", "m3/h", 1200.0, None),
     # group 2: vibration sensors with context
     (2, "CRS-PCR01-VI01", "Primary crusher", "crusher", "Crushing", "vibration", "mm/s", 2.7, None),

@@ -14,6 +14,7 @@ from gritstone.operators import (
     workorders as wo,
 )
 from gritstone.schemas import schema_of
+from gritstone.session import materialize
 from gritstone.sources import dims as dim_source, readings as seam, sinks, upsert as up
 from gritstone.streaming import jobs
 from parity.inputs import (
@@ -46,9 +47,12 @@ def query(name: str, sql: str | None = None, digits: int = 6):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles; adding zero turns a negative zero into zero."""
+    """Round doubles to nine places, then to ``digits``, so a tie falls the same way in SQL.
+
+    Adding zero turns a negative zero into zero.
+    """
     return df.select(*[
-        (F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name)
+        (F.round(F.round(F.col(f.name).cast("double"), 9), digits) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
@@ -57,13 +61,13 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def sel(plain: str, doubles: str = "", digits: int = 6) -> str:
     """SQL select list: plain columns as they are, doubles rounded like ``rounded``."""
     parts = plain.split()
-    parts += [f"round(CAST({d} AS DOUBLE), {digits}) + 0e0 AS {d}" for d in doubles.split()]
+    parts += [f"{half_up(d, digits)} AS {d}" for d in doubles.split()]
     return ", ".join(parts)
 
 
 def half_up(expression: str, digits: int) -> str:
-    """Decimal rounding of a double, as Spark rounds."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(30, 9)), {digits}) AS DOUBLE)"
+    """Decimal rounding of a double, half away from zero as Spark rounds."""
+    return f"(CAST(round(CAST({expression} AS DECIMAL(30, 9)), {digits}) AS DOUBLE) + 0e0)"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -136,9 +140,9 @@ LATEST_SQL = """SELECT alert_id, arg_max(delivery_status, _sort_by) AS delivery_
 
 
 @query("alert_merge", with_ctes(
-    """SELECT coalesce(s.alert_id, t.alert_id) AS alert_id,
+    f"""SELECT coalesce(s.alert_id, t.alert_id) AS alert_id,
       CASE WHEN s.alert_id IS NULL THEN t.delivery_status ELSE s.delivery_status END AS delivery_status,
-      round(CASE WHEN s.alert_id IS NULL THEN t.trigger_value ELSE s.trigger_value END, 6) + 0e0 AS trigger_value
+      {half_up('CASE WHEN s.alert_id IS NULL THEN t.trigger_value ELSE s.trigger_value END', 6)} AS trigger_value
     FROM (SELECT 'A-' || c_custkey AS alert_id, c_mktsegment AS delivery_status, c_acctbal AS trigger_value FROM customer) t
     FULL JOIN s ON s.alert_id = t.alert_id""", "feed", extra={"s": LATEST_SQL}))
 def _(i: Inputs) -> DataFrame:
@@ -237,7 +241,7 @@ def _(i: Inputs) -> DataFrame:
 # ---- projections and predicates ------------------------------------------------------------
 
 @query("good_only", with_ctes(
-    f"SELECT event_id, quality, round(CASE WHEN quality = 'GOOD' THEN value END, 6) + 0e0 AS good_value FROM r", "r"))
+    f"SELECT event_id, quality, {half_up('''CASE WHEN quality = 'GOOD' THEN value END''', 6)} AS good_value FROM r", "r"))
 def _(i: Inputs) -> DataFrame:
     return i.readings.select("event_id", "quality", ex.good_only().alias("good_value"))
 
@@ -320,7 +324,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("asset_panel", with_ctes(
     f"""SELECT t.tag_id, t.asset_name, t.area_name, t.measure, t.instrument_type, t.unit, t.nominal, t.lo_lo AS trip_low,
-      t.lo AS warn_low, t.hi AS warn_high, t.hi_hi AS trip_high, t.is_pdm, round(c.v, 6) + 0e0 AS value
+      t.lo AS warn_low, t.hi AS warn_high, t.hi_hi AS trip_high, t.is_pdm, {half_up('c.v', 6)} AS value
     FROM tags t LEFT JOIN (SELECT tag_id, arg_max_null(value, seq) AS v FROM r GROUP BY tag_id) c ON c.tag_id = t.tag_id
     WHERE t.asset_id = 'CRS-PCR01'""", "tags", "r"))
 def _(i: Inputs) -> DataFrame:
@@ -353,7 +357,7 @@ def _(i: Inputs) -> DataFrame:
 # ---- joins ---------------------------------------------------------------------------------
 
 @query("readings_with_tag", with_ctes(
-    f"SELECT r.event_id, r.tag_id, r.quality, t.asset_id, t.measure, round(r.value, 6) + 0e0 AS value FROM r JOIN tags t ON t.tag_id = r.tag_id", "r", "tags"))
+    f"SELECT r.event_id, r.tag_id, r.quality, t.asset_id, t.measure, {half_up('r.value', 6)} AS value FROM r JOIN tags t ON t.tag_id = r.tag_id", "r", "tags"))
 def _(i: Inputs) -> DataFrame:
     return rd.with_tag(i.readings, i.tags, ["asset_id", "measure"]).select(
         "event_id", "tag_id", "quality", "asset_id", "measure", "value"
@@ -361,7 +365,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("slurry_pair", with_ctes(
-    """SELECT p.flow_tag_id, p.density_tag_id, f.window_start, round(f.avg_value, 6) + 0e0 AS flow, round(d.avg_value, 6) + 0e0 AS density
+    f"""SELECT p.flow_tag_id, p.density_tag_id, f.window_start, {half_up('f.avg_value', 6)} AS flow, {half_up('d.avg_value', 6)} AS density
     FROM pairs p JOIN t1 f ON f.tag_id = p.flow_tag_id JOIN t1 d ON d.tag_id = p.density_tag_id AND d.window_start = f.window_start""", "pairs", "t1"))
 def _(i: Inputs) -> DataFrame:
     t1 = i.tag_1m.select("tag_id", "window_start", "avg_value")
@@ -426,7 +430,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("equal_ts_join", stock_sql(
-    "SELECT stockpile_id, last_ts, campaigns, round(tonnes, 3) AS tonnes FROM stacked"), digits=3)
+    f"SELECT stockpile_id, last_ts, campaigns, {half_up('tonnes', 3)} AS tonnes FROM stacked"), digits=3)
 def _(i: Inputs) -> DataFrame:
     return stockpile.stacked_tonnes(i.readings, runs(i), STACKER)
 
@@ -464,7 +468,7 @@ INTERVAL_CTES = {
 
 
 @query("interval_overlay", with_ctes(
-    """SELECT r.event_id, r.tag_id, round(coalesce(h.v, r.value), 6) + 0e0 AS value, coalesce(h.q, r.quality) AS quality
+    f"""SELECT r.event_id, r.tag_id, {half_up('coalesce(h.v, r.value)', 6)} AS value, coalesce(h.q, r.quality) AS quality
     FROM r LEFT JOIN hit h ON h.event_id = r.event_id""", "r", "tags", extra=INTERVAL_CTES))
 def _(i: Inputs) -> DataFrame:
     n_tags = i.tags.agg(F.count(F.lit(1))).scalar()
@@ -482,11 +486,11 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("value_override", with_ctes(
-    """SELECT r.event_id, round(r.value * coalesce(f.m, 1), 6) + 0e0 AS value FROM r LEFT JOIN
-    (SELECT tag_id, 1e0 + count(*) / 1e4 AS m FROM r WHERE quality = 'BAD' GROUP BY tag_id) f ON f.tag_id = r.tag_id""", "r"))
+    f"""SELECT r.event_id, {half_up('r.value * coalesce(f.m, 1)', 6)} AS value FROM r LEFT JOIN
+    (SELECT tag_id, count(*) AS m FROM r WHERE quality = 'BAD' GROUP BY tag_id) f ON f.tag_id = r.tag_id""", "r"))
 def _(i: Inputs) -> DataFrame:
     factors = i.readings.where(F.col("quality") == "BAD").groupBy("tag_id").agg(
-        (F.lit(1.0) + F.count(F.lit(1)) / F.lit(1e4)).alias("multiplier")
+        F.count(F.lit(1)).cast("double").alias("multiplier")
     )
     return rd.override_values(i.readings, factors).select("event_id", "value")
 
@@ -614,7 +618,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("run_minutes_10m", with_ctes(
-    "SELECT asset_id, time_bucket(INTERVAL '6 hours', window_start) AS window_start, round(sum(run_seconds) / 60e0, 6) AS run_minutes FROM eq GROUP BY 1, 2", "eq"))
+    f"SELECT asset_id, time_bucket(INTERVAL '6 hours', window_start) AS window_start, {half_up('sum(run_seconds) / 60e0', 6)} AS run_minutes FROM eq GROUP BY 1, 2", "eq"))
 def _(i: Inputs) -> DataFrame:
     return equipment.run_minutes_10m(i.equipment, "6 hours")
 
@@ -1037,7 +1041,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("days_to_fail", with_ctes(
-    """SELECT l.tag_id, l.window_start, round((epoch(f.t) - epoch(l.window_start)) / 86400e0, 6) + 0e0 AS days_to_fail FROM lab l
+    f"""SELECT l.tag_id, l.window_start, {half_up('(epoch(f.t) - epoch(l.window_start)) / 86400e0', 6)} AS days_to_fail FROM lab l
     LEFT JOIN (SELECT tag_id, max(window_start) AS t FROM lab WHERE label_failure_30d GROUP BY 1) f ON f.tag_id = l.tag_id""", "lab"))
 def _(i: Inputs) -> DataFrame:
     return vibration.days_to_fail(i.labelled).select("tag_id", "window_start", "days_to_fail")
@@ -1048,8 +1052,8 @@ SMALL_TREES = pdm.BoostingSettings(rounds=5, depth=3)
 
 @query("pdm_train")
 def _(i: Inputs) -> DataFrame:
-    model = pdm.train(i.labelled, SMALL_TREES)
-    return model.probabilities(i.labelled).select("tag_id", "window_start", "failure_prob_30d")
+    features = materialize(i.labelled)
+    return pdm.train(features, SMALL_TREES).probabilities(features).select("tag_id", "window_start", "failure_prob_30d")
 
 
 @query("pdm_loao_eval")
@@ -1077,7 +1081,7 @@ _QUANTILES = "[" + ", ".join(repr(0.5 + 0.495 * k / 59) for k in range(60)) + "]
 
 
 @query("rms_threshold_baseline", with_ctes(
-    """SELECT round(t, 6) AS rms_threshold_mm_s, round(f1, 6) AS best_f1 FROM (
+    f"""SELECT {half_up('t', 6)} AS rms_threshold_mm_s, {half_up('f1', 6)} AS best_f1 FROM (
       SELECT th.k, th.t, coalesce(2e0 * count(*) FILTER (l.label_failure_30d AND l.rms_mm_s >= th.t)
         / nullif(count(*) FILTER (l.rms_mm_s >= th.t) + count(*) FILTER (l.label_failure_30d), 0), 0) AS f1
       FROM th, lab l GROUP BY 1, 2) ORDER BY f1 DESC, k LIMIT 1""",
@@ -1112,7 +1116,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("pdm_score", with_ctes(
     f"""SELECT {sel('p.asset_id p.tag_id p.feature_window_end p.health_index p.iso_10816_zone p.recommended_action')},
-      round(p.failure_prob_30d, 6) AS failure_prob_30d, round(u.rul_days * 24, 6) + 0e0 AS predicted_rul_hours
+      {half_up('p.failure_prob_30d', 6)} AS failure_prob_30d, {half_up('u.rul_days * 24', 6)} AS predicted_rul_hours
     FROM pr p JOIN rul u ON u.bin = least(CAST(floor(p.failure_prob_30d * 10) AS INTEGER), 9)""",
     "lab", extra={**RUL_CTES, "pr": PREDICTION_SQL}))
 def _(i: Inputs) -> DataFrame:
@@ -1123,7 +1127,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("fill_context", with_ctes(
-    f"SELECT tag_id, window_start, " + ", ".join(f"round(coalesce({c}, m_{c}), 6) AS {c}" for c in pdm.FEATURES) + " FROM lab, med",
+    f"SELECT tag_id, window_start, " + ", ".join(f"{half_up(f'coalesce({c}, m_{c})', 6)} AS {c}" for c in pdm.FEATURES) + " FROM lab, med",
     "lab", extra={"med": f"SELECT {_MEDIAN_LIST} FROM lab"}))
 def _(i: Inputs) -> DataFrame:
     return pdm.fill_context(i.labelled).select("tag_id", "window_start", *pdm.FEATURES)
@@ -1188,7 +1192,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("scd2_history", with_ctes(
-    """SELECT alert_id, delivery_status, round(trigger_value, 6) AS trigger_value, _pg_lsn AS valid_from, valid_to, valid_to IS NULL AS is_current
+    f"""SELECT alert_id, delivery_status, {half_up('trigger_value', 6)} AS trigger_value, _pg_lsn AS valid_from, valid_to, valid_to IS NULL AS is_current
     FROM (SELECT *, lead(_pg_lsn) OVER (PARTITION BY alert_id ORDER BY _pg_lsn, _sort_by) AS valid_to FROM feed WHERE _pg_change_type <> 'update_preimage')
     WHERE _pg_change_type <> 'delete'""", "feed"))
 def _(i: Inputs) -> DataFrame:
@@ -1221,7 +1225,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("arc_vs_design", with_ctes(
-    """SELECT arc_id, measure_method, design_tph, round(m, 6) AS measured_tph, round(m - design_tph, 6) + 0e0 AS deviation_tph,
+    f"""SELECT arc_id, measure_method, design_tph, {half_up('m', 6)} AS measured_tph, {half_up('m - design_tph', 6)} AS deviation_tph,
       abs(m - design_tph) <= 60 AS within_tolerance
     FROM (SELECT arc_id, measure_method, design_tph, avg(measured_tph) AS m FROM mff GROUP BY ALL)""", "mff"))
 def _(i: Inputs) -> DataFrame:
@@ -1345,7 +1349,7 @@ def _(i: Inputs) -> DataFrame:
 STREAM_ALERT_SQL = with_ctes(
     f"""SELECT b.tag_id, u.rule_id, b.rule_type, b.source_ts AS raised_at, u.severity,
       CASE WHEN b.rule_type = 'quality' THEN b.quality END AS trigger_text,
-      round(CASE WHEN b.rule_type <> 'quality' THEN b.value END, 6) + 0e0 AS trigger_value, 'PENDING' AS delivery_status
+      {half_up('''CASE WHEN b.rule_type <> 'quality' THEN b.value END''', 6)} AS trigger_value, 'PENDING' AS delivery_status
     FROM (SELECT r.*, t.asset_type, t.measure, CASE WHEN r.quality <> 'GOOD' THEN 'quality' WHEN t.value_class <> 'analog' THEN NULL
         WHEN r.value > t.hi_hi OR r.value < t.lo_lo THEN 'limit_trip' WHEN r.value > t.hi OR r.value < t.lo THEN 'limit_warn' END AS rule_type
       FROM r JOIN tags t ON t.tag_id = r.tag_id) b
