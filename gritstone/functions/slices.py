@@ -31,14 +31,49 @@ def sliced_by_number(df: DataFrame, number: str, width: int) -> DataFrame:
     return df.withColumn(SLICE, F.floor(F.col(number) / F.lit(width)))
 
 
+def adjacent_rows(
+    df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str] | None = None,
+    following: dict[str, str] | None = None,
+) -> DataFrame:
+    """Like ``lag(col, 1)`` and ``lead(col, 1)``; each map goes from source to output column.
+
+    Both directions share one edge aggregation, so the input is read twice in all.
+    """
+    wanted = {
+        "_prev": (previous or {}, F.max_by, F.lag), "_next": (following or {}, F.min_by, F.lead),
+    }
+    wanted = {name: spec for name, spec in wanted.items() if spec[0]}
+
+    def fields(cols: dict[str, str]) -> Column:
+        return F.struct(*[F.col(c) for c in cols])
+
+    position = F.struct(*order)
+    edge = df.groupBy(*keys, SLICE).agg(*[
+        pick(fields(cols), position).alias(name) for name, (cols, pick, _) in wanted.items()
+    ])
+    carry = edge.select(*keys, SLICE, *[
+        shift(name, 1).over(_across(keys)).alias(f"{name}_carry")
+        for name, (_, _, shift) in wanted.items()
+    ])
+    local = df.select("*", *[
+        shift(fields(cols), 1).over(_within(keys, order)).alias(f"{name}_local")
+        for name, (cols, _, shift) in wanted.items()
+    ])
+    joined = local.join(carry, [*keys, SLICE], "left").withColumns({
+        name: F.coalesce(f"{name}_local", f"{name}_carry") for name in wanted
+    })
+    return joined.select(*df.columns, *[
+        F.col(f"{name}.{c}").alias(out)
+        for name, (cols, _, _) in wanted.items() for c, out in cols.items()
+    ])
+
+
 def previous_row(df: DataFrame, keys: list[str], order: list[str], cols: dict[str, str]) -> DataFrame:
-    """Like ``lag(col, 1)``: ``cols`` maps source column to output column."""
-    return _neighbour(df, keys, order, cols, F.lag, F.max_by, F.lag)
+    return adjacent_rows(df, keys, order, previous=cols)
 
 
 def next_row(df: DataFrame, keys: list[str], order: list[str], cols: dict[str, str]) -> DataFrame:
-    """Like ``lead(col, 1)``."""
-    return _neighbour(df, keys, order, cols, F.lead, F.min_by, F.lead)
+    return adjacent_rows(df, keys, order, following=cols)
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
@@ -80,19 +115,6 @@ def last_known(df: DataFrame, keys: list[str], order: list[str], payload: str, o
     )
 
 
-def _neighbour(df, keys, order, cols, local_fn, edge_fn, carry_fn) -> DataFrame:
-    fields = F.struct(*[F.col(c) for c in cols])
-    edge = df.groupBy(*keys, SLICE).agg(edge_fn(fields, F.struct(*order)).alias("_edge"))
-    carry = edge.select(*keys, SLICE, carry_fn("_edge", 1).over(_across(keys)).alias("_carry"))
-    local = df.withColumn("_local", local_fn(fields, 1).over(_within(keys, order)))
-    joined = local.join(carry, [*keys, SLICE], "left").withColumn(
-        "_found", F.coalesce("_local", "_carry")
-    )
-    return joined.select(
-        "*", *[F.col(f"_found.{c}").alias(name) for c, name in cols.items()]
-    ).drop("_local", "_carry", "_found")
-
-
 def _within(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys, SLICE).orderBy(*order)
 

@@ -10,6 +10,7 @@ from gritstone.functions.expressions import (
 from gritstone.functions.slices import HOUR, SLICE, next_row, previous_row, sliced
 from gritstone.operators.readings import with_tag
 from gritstone.schemas import ALERT_COLUMNS
+from gritstone.session import small_table
 
 TAG_COLUMNS = ["asset_id", "asset_name", "asset_type", "area_code", "measure", "unit"]
 LIMIT_COLUMNS = ["lo_lo", "lo", "hi", "hi_hi"]
@@ -94,7 +95,7 @@ def most_specific_rule(tags: DataFrame, rules: DataFrame) -> DataFrame:
     """
     rank = F.when(F.col("scope_type") == "tag", 0).when(F.col("scope_type") == "all", 2).otherwise(1)
     best_first = Window.partitionBy("tag_id", "rule_type").orderBy(rank, "rule_id")
-    return (
+    return small_table(
         rules_by_tag(tags, rules)
         .withColumn("_rn", F.row_number().over(best_first))
         .where(F.col("_rn") == 1)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gritstone.functions.expressions import (
     arc_tonnage, balance_status, is_solids_arc, percent, slurry_solids, whole_seconds,
 )
+from gritstone.session import small_table
 
 # The flow graph is inlined per window as a literal array, so its size is checked.
 MAX_ARCS = 100_000
@@ -80,8 +81,9 @@ def _arc_measurements(tag_1m: DataFrame, arcs: DataFrame, tags: DataFrame) -> Da
         .join(slurry_pairs(tags), F.col("measure_tag_id") == F.col("flow_tag_id"))
         .select(*ARC_COLUMNS, F.col("density_tag_id").alias("tag_id"), F.lit("density").alias("_role"))
     )
+    measuring = small_table(flow.unionByName(density))
     return tag_1m.select("tag_id", "window_start", "window_end", "avg_value", "good_pct").join(
-        flow.unionByName(density), "tag_id"
+        measuring, "tag_id"
     ).drop("tag_id")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gritstone.functions.expressions import content_terms, cosine_similarity, words
+from gritstone.functions.expressions import content_terms, cosine_similarity
 
 RRF_K = 60
 LIST_LENGTH = 20
@@ -23,48 +23,49 @@ def query_terms(spark: SparkSession, query: str) -> list[str]:
     return spark.range(1).select(content_terms(F.lit(query)).alias("t")).first()["t"]
 
 
+def _whole_words(terms: list[str]) -> str:
+    """Pattern of any of the terms standing alone; terms are plain letters."""
+    return "(?<![a-z])(?:" + "|".join(terms) + ")(?![a-z])" if terms else "(?!)"
+
+
 def matching_notes(notes: DataFrame, terms: list[str], text: str = "note_text") -> DataFrame:
     """Notes that share at least one term with the query."""
-    wanted = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
-    return notes.where(F.arrays_overlap(words(text), wanted))
+    return notes.where(F.lower(text).rlike(_whole_words(terms)))
 
 
-def _term_counts(notes: DataFrame, terms: list[str], id_col: str, text: str) -> DataFrame:
-    """Length of each note and how often each query term occurs in it."""
-    tokens = notes.select(id_col, words(text).alias("_tokens"))
+def _term_hits(notes: DataFrame, terms: list[str], id_col: str, text: str) -> DataFrame:
+    """Length of each note in words and the query terms found in it, repeats kept.
 
-    def occurrences(term: str) -> Column:
-        return F.size(F.filter("_tokens", lambda w: w == F.lit(term)))
-
-    return tokens.select(
-        id_col, F.size("_tokens").alias("_length"),
-        *[occurrences(t).alias(f"_tf{i}") for i, t in enumerate(terms)],
+    Two scans of the text by regular expression; the words of a note are never
+    built as an array, only the few that were asked for.
+    """
+    found = F.regexp_extract_all(F.lower(text), F.lit(f"({_whole_words(terms)})"), F.lit(1))
+    return notes.select(
+        id_col, F.regexp_count(F.lower(text), F.lit("[a-z]{3,}")).alias("_length"),
+        found.alias("_hits"),
     )
 
 
 def bm25_scores(notes: DataFrame, terms: list[str], id_col: str = "note_id", text: str = "note_text") -> DataFrame:
     """BM25 of every note that contains a query term."""
-    counts = _term_counts(notes, terms, id_col, text)
-    stats = counts.agg(
+    stats = _term_hits(notes, terms, id_col, text).agg(
         F.struct(
             F.count(F.lit(1)).alias("n"), F.avg("_length").alias("mean_length"),
-            *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+            *[F.count_if(F.array_contains("_hits", t)).alias(f"df{i}") for i, t in enumerate(terms)],
         ).alias("stats")
     ).scalar()
-    scored = counts.where(sum((F.col(f"_tf{i}") for i in range(len(terms))), F.lit(0)) > 0).withColumn(
-        "_s", stats
-    )
+    scored = _term_hits(matching_notes(notes, terms, text), terms, id_col, text).withColumn("_s", stats)
     norm = F.lit(BM25_K1) * (
         F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("_length") / F.col("_s.mean_length")
     )
 
-    def term_score(i: int) -> Column:
-        tf, df = F.col(f"_tf{i}"), F.col(f"_s.df{i}")
+    def term_score(i: int, term: str) -> Column:
+        tf, df = F.size(F.filter("_hits", lambda w: w == F.lit(term))), F.col(f"_s.df{i}")
         idf = F.log(F.lit(1.0) + (F.col("_s.n") - df + 0.5) / (df + 0.5))
         return idf * tf * F.lit(BM25_K1 + 1.0) / (tf + norm)
 
     return scored.select(
-        id_col, sum((term_score(i) for i in range(len(terms))), F.lit(0.0)).alias("bm25")
+        id_col, sum((term_score(i, t) for i, t in enumerate(terms)), F.lit(0.0)).alias("bm25")
     )
 
 

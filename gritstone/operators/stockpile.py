@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from gritstone.functions.expressions import whole_seconds
-from gritstone.functions.slices import HOUR, last_known, next_row, previous_row, running_total, sliced
+from gritstone.functions.slices import HOUR, adjacent_rows, last_known, running_total, sliced
+from gritstone.session import materialize
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,9 @@ def pile_runs(readings: DataFrame, tags: StackerTags, slice_seconds: int = HOUR)
         seconds=slice_seconds,
     )
     keys, order = ["stacker_id"], ["source_ts", "seq"]
-    timed = next_row(indicator, keys, order, {"source_ts": "next_ts"})
-    compared = previous_row(timed, keys, order, {"stockpile_id": "prev_pile"}).withColumn(
-        "_change", F.when(F.col("prev_pile") == F.col("stockpile_id"), 0).otherwise(1)
-    )
+    compared = adjacent_rows(
+        indicator, keys, order, {"stockpile_id": "prev_pile"}, {"source_ts": "next_ts"}
+    ).withColumn("_change", F.when(F.col("prev_pile") == F.col("stockpile_id"), 0).otherwise(1))
     end = F.coalesce("next_ts", F.col("source_ts") + F.expr("INTERVAL 1 SECOND"))
     return running_total(compared, keys, order, "_change", "run_id").withColumn("end_ts", end)
 
@@ -120,7 +120,8 @@ def stockpile_state(
     readings: DataFrame, tags: StackerTags = StackerTags(), slice_seconds: int = HOUR,
 ) -> DataFrame:
     """Current state per pile; nothing is reclaimed, so stacked equals on the ground."""
-    runs = pile_runs(readings, tags, slice_seconds)
+    # Used three times below and built from several passes over one tag.
+    runs = materialize(pile_runs(readings, tags, slice_seconds))
     is_active = F.col("stockpile_id") == active_pile(readings, tags).scalar()
     return (
         stacked_tonnes(readings, runs, tags)

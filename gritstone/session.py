@@ -39,3 +39,29 @@ def materialize(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gritstone-"))
     return df.checkpoint(eager=True)
+
+
+MAX_SMALL_ROWS = 200_000
+
+
+def small_table(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """Give the planner the exact size of a dimension, so it can choose a broadcast by itself.
+
+    Tables built from Python rows or from joins carry no usable size estimate
+    and would force the readings through a shuffle. At most ``max_rows`` rows
+    are fetched; a larger table is returned unchanged and joins by shuffle,
+    where AQE splits skewed keys.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that arrives in fewer partitions, such as one small file.
+
+    Inputs with enough partitions, which is every large one, pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df

@@ -6,7 +6,9 @@ cyclone with a water self-loop, thickener and product pile.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructType
 
 from gritstone.schemas import DIM_ARC, DIM_NODE, DIM_RULE, DIM_TAG, schema_of
@@ -119,8 +121,10 @@ _TABLES = {
 
 
 def dim(spark: SparkSession, name: str) -> DataFrame:
+    """A dimension with an exact size estimate, so the planner may broadcast it by itself."""
     schema, rows = _TABLES[name]
-    return spark.createDataFrame(rows, schema)
+    columns = dict(zip(schema.names, map(list, zip(*rows))))
+    return spark.createDataFrame(pa.table(columns, schema=to_arrow_schema(schema)), schema=schema)
 
 
 def dim_sql(name: str) -> str:

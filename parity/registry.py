@@ -14,7 +14,6 @@ from gritstone.operators import (
     workorders as wo,
 )
 from gritstone.schemas import schema_of
-from gritstone.session import materialize
 from gritstone.sources import dims as dim_source, readings as seam, sinks, upsert as up
 from gritstone.streaming import jobs
 from parity.inputs import (
@@ -1052,8 +1051,7 @@ SMALL_TREES = pdm.BoostingSettings(rounds=5, depth=3)
 
 @query("pdm_train")
 def _(i: Inputs) -> DataFrame:
-    features = materialize(i.labelled)
-    return pdm.train(features, SMALL_TREES).probabilities(features).select("tag_id", "window_start", "failure_prob_30d")
+    return pdm.train(i.labelled, SMALL_TREES).probabilities(i.labelled).select("tag_id", "window_start", "failure_prob_30d")
 
 
 @query("pdm_loao_eval")
