@@ -97,6 +97,11 @@ def stream_rate_of_change(
     )
 
 
+def _just_under(seconds: int) -> str:
+    """A session gap one microsecond short: sessions that touch at their gap are merged."""
+    return f"{int(seconds) - 1} seconds 999999 microseconds"
+
+
 def stream_stale_tags(
     readings: DataFrame, tags: DataFrame, stale_seconds: int = 120, measure: str = "mass_flow",
 ) -> DataFrame:
@@ -107,17 +112,17 @@ def stream_stale_tags(
     """
     wanted = tags.where(F.col("measure") == measure)
     sessions = with_tag(readings, wanted, ["asset_id"]).groupBy(
-        "tag_id", "asset_id",
-        F.session_window("source_ts", f"{int(stale_seconds)} seconds").alias("_s"),
+        "tag_id", "asset_id", F.session_window("source_ts", _just_under(stale_seconds)).alias("_s"),
     ).agg(F.max("source_ts").alias("last_seen"))
-    return sessions.select("tag_id", "asset_id", "last_seen", F.col("_s.end").alias("stale_from"))
+    stale_from = F.col("last_seen") + F.expr(f"INTERVAL {int(stale_seconds)} SECONDS")
+    return sessions.select("tag_id", "asset_id", "last_seen", stale_from.alias("stale_from"))
 
 
 def stream_episodes(readings: DataFrame, tags: DataFrame, gap_seconds: int = 60) -> DataFrame:
     """Alarm episodes as sessions.
 
     The batch rule starts a new episode after more than ``gap_seconds`` whole
-    seconds; sessions part at their gap, hence one second more.
+    seconds, which is at least one second more.
     """
     analog = tags.where(F.col("value_class") == "analog")
     classed = with_tag(
@@ -126,7 +131,7 @@ def stream_episodes(readings: DataFrame, tags: DataFrame, gap_seconds: int = 60)
     v = F.col("value")
     return classed.groupBy(
         "tag_id", "rule_type",
-        F.session_window("source_ts", f"{int(gap_seconds) + 1} seconds").alias("_s"),
+        F.session_window("source_ts", _just_under(gap_seconds + 1)).alias("_s"),
     ).agg(
         F.min("source_ts").alias("raised_at"), F.max("source_ts").alias("ended_at"),
         F.count(F.lit(1)).alias("samples"),
