@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gritstone.session import small_table
+
 SKETCH_ACCURACY = 10_000
 
 
@@ -42,9 +44,10 @@ def interpolated_quantiles(
         whole = F.array_repeat(F.col(extreme), len(probabilities))
         return F.when(F.col("_n") < accuracy, whole).otherwise(F.col(sketched))
 
-    edges = edges.select(
+    # One row per group: with its size known, the join below needs no shuffle of the rows.
+    edges = small_table(edges.select(
         *groups, "_n", bracket("_lows", "_min").alias("_lo"), bracket("_highs", "_max").alias("_hi")
-    )
+    ))
     placed = rows.join(edges, groups)
     positions = range(len(probabilities))
     below = placed.groupBy(*groups).agg(

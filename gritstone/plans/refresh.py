@@ -65,10 +65,12 @@ def refresh(
     the other datasets read them back.
     """
     spark = readings.sparkSession
-    day = F.col("source_ts").cast("date")
     if days:
-        first = F.date_sub(F.lit(min(days)).cast("date"), 2)
-        readings = readings.where((day >= first) & (day <= F.lit(max(days)).cast("date")))
+        # Bounds on the column itself, so they reach the scan.
+        ts_type = readings.schema["source_ts"].dataType
+        first = F.date_sub(F.lit(min(days)).cast("date"), 2).cast(ts_type)
+        after = F.date_add(F.lit(max(days)).cast("date"), 1).cast(ts_type)
+        readings = readings.where((F.col("source_ts") >= first) & (F.col("source_ts") < after))
 
     def write(name: str, df: DataFrame) -> None:
         dated = df.withColumn("day", F.col("window_start").cast("date"))

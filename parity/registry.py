@@ -1284,6 +1284,34 @@ def _(i: Inputs) -> DataFrame:
     return alerts.imbalance_sustained(balance.mass_balance_node_1m(i.incidence))
 
 
+TIMED_CTES = {
+    **roc_ctes(),
+    "stale": f"""SELECT * FROM (SELECT r.tag_id, r.source_ts, date_sub('second', r.source_ts,
+        coalesce(lead(r.source_ts) OVER (PARTITION BY r.tag_id ORDER BY r.source_ts, r.seq), TIMESTAMP '{HORIZON}')) AS silent
+      FROM r JOIN tags t ON t.tag_id = r.tag_id WHERE t.measure = 'mass_flow') WHERE silent >= {STALE_SECONDS}""",
+    "emp": """SELECT e.asset_id, e.window_start, e.throughput_tph FROM eq e
+      JOIN (SELECT asset_id, min(lo) AS lo FROM tags WHERE instrument_type = 'WI' AND asset_type = 'conveyor' GROUP BY 1) b ON b.asset_id = e.asset_id
+      WHERE e.state = 'RUNNING' AND e.throughput_tph < b.lo""",
+    "sus": """SELECT * FROM (SELECT node_id, window_end, avg(imbalance_pct) OVER w AS v, count(imbalance_pct) OVER w AS c FROM mb
+      WHERE balance_role = 'unit' WINDOW w AS (PARTITION BY node_id ORDER BY window_start ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+      WHERE c = 5 AND abs(v) > 5""",
+    "tr": f"""SELECT 'R04' AS rule_id, tag_id AS place, window_end AS raised_at, rise AS trigger_value FROM ch WHERE rise > 5
+      UNION ALL SELECT 'R05', tag_id, source_ts + to_seconds({STALE_SECONDS}), silent FROM stale
+      UNION ALL SELECT 'R06', asset_id, window_start, throughput_tph FROM emp
+      UNION ALL SELECT 'R12', node_id, window_end, v FROM sus""",
+}
+
+
+@query("timed_rule_alerts", with_ctes(
+    f"""SELECT sha256(rule_id || '|' || place || '|' || epoch_us(raised_at)) AS alert_id, rule_id, raised_at,
+      {half_up('trigger_value', 6)} AS trigger_value FROM tr""", "r", "tags", "eq", "mb", extra=TIMED_CTES))
+def _(i: Inputs) -> DataFrame:
+    return alerts.timed_rule_alerts(
+        i.readings, i.tags, i.rules, i.equipment, balance.mass_balance_node_1m(i.incidence), HORIZON,
+        5.0, grain_seconds=GRAIN_SECONDS, slice_seconds=LONG_SLICE_SECONDS,
+    ).select("alert_id", "rule_id", "raised_at", "trigger_value")
+
+
 @query("quality_breaches", with_ctes("SELECT event_id, tag_id, quality, 'quality' AS rule_type FROM r WHERE quality <> 'GOOD'", "r"))
 def _(i: Inputs) -> DataFrame:
     return alerts.quality_breaches(i.readings, i.tags).select("event_id", "tag_id", "quality", "rule_type")
