@@ -146,12 +146,10 @@ def content_terms(text: str | Column) -> Column:
     return F.array_distinct(F.array_except(words(text), stop))
 
 
-def cosine_similarity(a: Column, b: Column) -> Column:
-    def dot(x: Column, y: Column) -> Column:
-        products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
-
-    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+def dot(x: Column, y: Column) -> Column:
+    """Inner product of two arrays, in double precision."""
+    products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
 
 
 def stable_id(*parts: str | Column) -> Column:
@@ -159,5 +157,10 @@ def stable_id(*parts: str | Column) -> Column:
     return F.sha2(F.concat_ws("|", *[_col(p).cast("string") for p in parts]), 256)
 
 
+def stable_share(modulus: int, *parts: str | Column) -> Column:
+    """A repeatable number in ``[0, modulus)`` from the digest of the parts."""
+    return F.conv(F.substring(stable_id(*parts), 1, 8), 16, 10).cast("bigint") % F.lit(modulus)
+
+
 def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value

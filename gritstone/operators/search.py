@@ -8,9 +8,11 @@ tokens are never exploded or shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gritstone.functions.expressions import content_terms, cosine_similarity
+from gritstone.functions.expressions import content_terms, dot
 
 RRF_K = 60
 LIST_LENGTH = 20
@@ -87,9 +89,11 @@ def vector_top(
     vector: str = "note_embedding",
 ) -> DataFrame:
     """Exact nearest notes by cosine similarity: one scan, top rows per task."""
-    wanted = F.array(*[F.lit(float(x)) for x in query_vector])
+    length = math.sqrt(sum(x * x for x in query_vector)) or 1.0
+    wanted = F.array(*[F.lit(x / length) for x in query_vector])
+    similarity = F.try_divide(dot(F.col(vector), wanted), F.sqrt(dot(F.col(vector), F.col(vector))))
     scores = notes.where(F.col(vector).isNotNull()).select(
-        id_col, F.round(cosine_similarity(F.col(vector), wanted), 9).alias("cosine_sim")
+        id_col, F.round(similarity, 9).alias("cosine_sim")
     )
     return _ranked(scores, "cosine_sim", "vector_rank", id_col, k)
 

@@ -56,7 +56,7 @@ def analytics(
 
 def refresh(
     readings: DataFrame, dims: Dimensions, out: str, days: list[str] | None = None,
-    grain: Grain = Grain(),
+    grain: Grain = Grain(), files_per_day: int = 8,
 ) -> None:
     """Write all datasets, by day. With ``days`` only those days are recomputed.
 
@@ -76,9 +76,9 @@ def refresh(
         dated = df.withColumn("day", F.col("window_start").cast("date"))
         if days:
             dated = dated.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
-        # A day's rows of one dataset are small next to the readings; the extra
-        # hash keeps a day from becoming a single task.
-        spread = dated.repartition("day", F.pmod(F.xxhash64("window_start"), F.lit(8)))
+        # The extra hash keeps a day from becoming a single task.
+        bucket = F.pmod(F.xxhash64("window_start"), F.lit(files_per_day))
+        spread = dated.repartition("day", bucket)
         overwrite_table(spread, f"{out}/{name}", ["day"])
 
     tag_1m = tag_reading_1m(readings, grain.fine)

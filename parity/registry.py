@@ -1139,7 +1139,37 @@ TEMPLATES = [
 ]
 
 
-@query("alerts_to_work_orders")
+def _share_sql(modulus: int, salt: str) -> str:
+    return f"CAST('0x' || substr(sha256(alert_id || '|{salt}'), 1, 8) AS BIGINT) % {modulus}"
+
+
+def _pick_sql(salt: str, values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + f"][{_share_sql(len(values), salt)} + 1]"
+
+
+_WORD_SQL = """replace(replace(replace(replace(CASE WHEN measure = 'vibration' THEN '{0}' ELSE '{1}' END,
+  '{{asset}}', asset_id), '{{tag}}', tag_id), '{{val}}', printf('%.2f', coalesce(trigger_value, 0))), '{{lim}}', printf('%.2f', lim))"""
+
+
+def _worded(column: int) -> str:
+    return _WORD_SQL.format(TEMPLATES[0][column], TEMPLATES[1][column])
+
+
+@query("alerts_to_work_orders", alert_sql(
+    f"""SELECT 'WO-' || substr(sha256(alert_id), 1, 16) AS work_order_id, alert_id, asset_id, tag_id, area_code,
+      CASE WHEN closed THEN 'CLOSED' ELSE {_pick_sql('status', ['OPEN', 'IN_PROGRESS', 'ON_HOLD'])} END AS status,
+      CASE severity WHEN 'CRITICAL' THEN 'CRITICAL' WHEN 'HIGH' THEN 'HIGH' WHEN 'WARNING' THEN 'MEDIUM' ELSE 'LOW' END AS priority,
+      measure AS failure_mode, {_worded(1)} AS title, {_worded(2)} AS description,
+      CASE WHEN closed THEN {_worded(3)} END AS resolution_notes, {_pick_sql('raised', wo.CREW)} AS raised_by,
+      {_pick_sql('assigned', wo.CREW)} AS assigned_to, raised_at AS created_at, raised_at AS updated_at,
+      CASE WHEN closed THEN raised_at END AS closed_at,
+      CASE WHEN closed THEN CAST({_share_sql(461, 'downtime')} + 20 AS INTEGER) END AS downtime_minutes
+    FROM (SELECT *, {_share_sql(100, 'close')} < 60 AS closed,
+      CASE WHEN trigger_value >= high THEN high ELSE coalesce(low, high, 0) END AS lim
+      FROM (SELECT *, sha256(tag_id || '|' || rule_type || '|' || epoch_us(raised_at)) AS alert_id,
+        CASE WHEN rule_type = 'limit_trip' THEN lo_lo ELSE lo END AS low,
+        CASE WHEN rule_type = 'limit_trip' THEN hi_hi ELSE hi END AS high FROM best)
+      WHERE severity <> 'WARNING' OR {_share_sql(100, 'raise')} < 55)"""))
 def _(i: Inputs) -> DataFrame:
     found = alerts.derive_alerts(i.readings, i.tags, i.rules, EPISODE_GAP, LONG_SLICE_SECONDS)
     templates = i.spark.createDataFrame(TEMPLATES, "measure STRING, title STRING, description STRING, resolution STRING")
