@@ -1,8 +1,9 @@
-"""Session settings and the lineage cut used by the multi-step plans."""
+"""Session settings, the lineage cut and the size checks used by the plans."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,18 +28,30 @@ def get_session(app: str = "gritstone", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session that names none (a test) gets a folder of its own.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="gritstone-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared checkpoint folder, so lost executors lose nothing.
+    """Compute once into a table in the shared folder and read it back.
 
-    The folder is the session's ``spark.checkpoint.dir``; only a session that
-    names none (a test) gets a folder of its own.
+    Lost executors lose nothing, later reads prune columns and rows, and the
+    planner knows the size. The tables are named ``gritstone-table-*``; they
+    may be deleted once the run is over.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gritstone-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/gritstone-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 MAX_SMALL_ROWS = 200_000

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +14,7 @@ from gritstone.operators import (
     workorders as wo,
 )
 from gritstone.schemas import schema_of
+from gritstone.session import shared_folder
 from gritstone.sources import dims as dim_source, readings as seam, sinks, upsert as up
 from gritstone.streaming import jobs
 from parity.inputs import (
@@ -70,12 +71,8 @@ def half_up(expression: str, digits: int) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder for queries that write and read back: the cluster's shared one if set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        unique = spark.range(1).select(F.uuid()).first()[0]
-        return f"{shared}/{name}-{unique}"
-    return tempfile.mkdtemp(prefix=f"gritstone-{name}-")
+    """A fresh path in the shared folder, for queries that write and read back."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 T1_PLAIN = "tag_id window_start window_end sample_count good_count"
