@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gritstone.functions.expressions import (
     alert_message, limit_class, micros, stable_id, two_decimals, whole_seconds,
 )
-from gritstone.functions.slices import HOUR, SLICE, next_row, previous_row, sliced
+from gritstone.functions.slices import HOUR, SLICE, next_row, sliced
 from gritstone.operators.readings import with_tag
 from gritstone.schemas import ALERT_COLUMNS
 from gritstone.session import small_table

@@ -18,7 +18,7 @@ from gritstone.session import shared_folder
 from gritstone.sources import dims as dim_source, readings as seam, sinks, upsert as up
 from gritstone.streaming import jobs
 from parity.inputs import (
-    BASE_ROWS, EPISODE_GAP, GRAIN, GRAIN_SECONDS, HORIZON_DAYS, LONG_LAG, LONG_SLICE_SECONDS,
+    BASE_ROWS, EPISODE_GAP, GRAIN, GRAIN_SECONDS, LONG_LAG, LONG_SLICE_SECONDS,
     SHORT_LAG, SLICE_SECONDS, Inputs, readings_from_events, with_ctes,
 )
 
