@@ -5,24 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe
+from gritstone.llm import bpe, decontamination, secrets, sharding, simhash
 
 VOCABULARY = "word_bpe_49k.json"
+SHARDS = 16
+SEED = 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_hypergeometric_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = sharding.hypergeometric_shuffle(docs, SHARDS, SEED)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
+
+
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hypergeometric_sharding": op1_hypergeometric_sharding,
+    "op3_secret_scan": op3_secret_scan,
+    "op7_simhash": op7_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontamination": decontamination.ORACLE_SQL,
+}
