@@ -115,13 +115,13 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 
 ORACLE_SQL = rf"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '{NOT_WORD}'), x -> x <> '') AS w FROM documents),
-i AS (SELECT item_id, list_filter(string_split_regex(lower(text), '{NOT_WORD}'), x -> x <> '') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, k AS width, array_to_string(list_slice(w, at, at + k - 1), ' ') AS s
-  FROM d, range(1, {WIDTH} + 1) v(k), unnest(range(1, len(w) - k + 2)) t(at)
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '{NOT_WORD}'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, list_filter(string_split_regex(lower(text), '{NOT_WORD}'), lambda x: x <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, k AS width, array_to_string(list_slice(w, p, p + k - 1), ' ') AS s
+  FROM d, range(1, {WIDTH} + 1) v(k), unnest(range(1, len(w) - k + 2)) t(p)
   WHERE k IN (SELECT least(len(w), {WIDTH}) FROM i)),
-s AS (SELECT DISTINCT item_id, least(len(w), {WIDTH}) AS width, array_to_string(list_slice(w, at, at + least(len(w), {WIDTH}) - 1), ' ') AS s
-  FROM i, unnest(range(1, len(w) - least(len(w), {WIDTH}) + 2)) t(at) WHERE len(w) > 0),
+s AS (SELECT DISTINCT item_id, least(len(w), {WIDTH}) AS width, array_to_string(list_slice(w, p, p + least(len(w), {WIDTH}) - 1), ' ') AS s
+  FROM i, unnest(range(1, len(w) - least(len(w), {WIDTH}) + 2)) t(p) WHERE len(w) > 0),
 n AS (SELECT item_id, count(*) AS n_shingles FROM s GROUP BY item_id)
 SELECT ds.doc_id, s.item_id, n.n_shingles, count(*) AS n_shared, count(*) / n.n_shingles AS containment
 FROM ds JOIN s USING (width, s) JOIN n ON n.item_id = s.item_id
