@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe, decontamination, secrets, sharding, simhash
+from gritstone.llm import bpe, decontamination, neighbours, secrets, sharding, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 16
@@ -36,6 +36,11 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hypergeometric_sharding": op1_hypergeometric_sharding,
     "op3_secret_scan": op3_secret_scan,
     "op7_simhash": op7_simhash,
+    "op8_neighbours": op8_neighbours,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
