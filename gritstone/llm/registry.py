@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe, decontamination, neighbours, secrets, sharding, simhash
+from gritstone.llm import bpe, decontamination, htmltext, neighbours, secrets, sharding, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 16
@@ -31,6 +31,11 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = htmltext.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -53,6 +58,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hypergeometric_sharding": op1_hypergeometric_sharding,
     "op3_secret_scan": op3_secret_scan,
+    "op5_html_extraction": op5_html_extraction,
     "op7_simhash": op7_simhash,
     "op8_neighbours": op8_neighbours,
     "op9_decontamination": op9_decontamination,
