@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe, decontamination, htmltext, neighbours, secrets, sharding, simhash
+from gritstone.llm import bpe, decontamination, htmltext, language, neighbours, secrets, sharding, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 16
@@ -31,6 +31,14 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.of_documents(table(spark, folder, "documents")).drop("key")
+
+
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language.of_pages(table(spark, folder, "pages"))
+
+
 def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     found = htmltext.extract(table(spark, folder, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -58,6 +66,8 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hypergeometric_sharding": op1_hypergeometric_sharding,
     "op3_secret_scan": op3_secret_scan,
+    "op4_language_id": op4_language_id,
+    "page_languages": page_languages,
     "op5_html_extraction": op5_html_extraction,
     "op7_simhash": op7_simhash,
     "op8_neighbours": op8_neighbours,
