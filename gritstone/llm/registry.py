@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe, decontamination, htmltext, language, neighbours, secrets, sharding, simhash
+from gritstone.llm import bpe, decontamination, htmltext, language, neighbours, secrets, sharding, simhash, substrings
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 16
@@ -27,6 +27,10 @@ def op1_hypergeometric_sharding(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -65,6 +69,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hypergeometric_sharding": op1_hypergeometric_sharding,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_language_id": op4_language_id,
     "page_languages": page_languages,
