@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe, decontamination, htmltext, language, neighbours, secrets, sharding, simhash, substrings
+from gritstone.llm import bpe, decontamination, htmltext, language, neighbours, paragraphs, secrets, sharding, simhash, substrings
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 16
@@ -48,6 +48,10 @@ def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op6_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, folder, "documents")).drop("row")
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "page_languages": page_languages,
     "op5_html_extraction": op5_html_extraction,
+    "op6_paragraph_dedup": op6_paragraph_dedup,
     "op7_simhash": op7_simhash,
     "op8_neighbours": op8_neighbours,
     "op9_decontamination": op9_decontamination,
