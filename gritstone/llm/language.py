@@ -215,6 +215,6 @@ def of_pages(pages: DataFrame) -> DataFrame:
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The accepted documents with all their columns; ``lang`` becomes the identified language."""
     key = F.xxhash64("doc_id", "text", "lang", "source")
-    found = stored(of_documents(docs).where("accepted").select("key", "language").distinct(), "languages")
-    names = [F.col("language").alias(c) if c == "lang" else F.col(c) for c in docs.columns]
-    return docs.withColumn("key", key).join(found, "key").select(*names)
+    found = stored(of_documents(docs).where("accepted").groupBy("key").agg(F.min("language").alias("language")), "languages")
+    joined = docs.join(found, key == found["key"])
+    return joined.select(*[found["language"].alias(c) if c == "lang" else docs[c] for c in docs.columns])
