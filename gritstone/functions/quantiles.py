@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gritstone.session import small_table
+from gritstone.session import materialize
 
 SKETCH_ACCURACY = 10_000
 
@@ -45,7 +45,7 @@ def interpolated_quantiles(
         return F.when(F.col("_n") < accuracy, whole).otherwise(F.col(sketched))
 
     # One row per group: with its size known, the join below needs no shuffle of the rows.
-    edges = small_table(edges.select(
+    edges = materialize(edges.select(
         *groups, "_n", bracket("_lows", "_min").alias("_lo"), bracket("_highs", "_max").alias("_hi")
     ))
     placed = rows.join(edges, groups)

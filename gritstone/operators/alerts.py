@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gritstone.functions.expressions import (
@@ -10,7 +12,7 @@ from gritstone.functions.expressions import (
 from gritstone.functions.slices import HOUR, SLICE, next_row, sliced
 from gritstone.operators.readings import with_tag
 from gritstone.schemas import ALERT_COLUMNS
-from gritstone.session import small_table
+from gritstone.session import materialize
 
 TAG_COLUMNS = ["asset_id", "asset_name", "asset_type", "area_code", "measure", "unit"]
 LIMIT_COLUMNS = ["lo_lo", "lo", "hi", "hi_hi"]
@@ -95,7 +97,7 @@ def most_specific_rule(tags: DataFrame, rules: DataFrame) -> DataFrame:
     """
     rank = F.when(F.col("scope_type") == "tag", 0).when(F.col("scope_type") == "all", 2).otherwise(1)
     best_first = Window.partitionBy("tag_id", "rule_type").orderBy(rank, "rule_id")
-    return small_table(
+    return materialize(
         rules_by_tag(tags, rules)
         .withColumn("_rn", F.row_number().over(best_first))
         .where(F.col("_rn") == 1)
@@ -149,7 +151,7 @@ def derive_alerts(
 
 
 def rate_of_change(
-    readings: DataFrame, tags: DataFrame, min_rise: float, measure: str = "temperature",
+    readings: DataFrame, tags: DataFrame, min_rise: float, measure: str | None = "temperature",
     window: str = "10 minutes", step: str = "1 minute",
 ) -> DataFrame:
     """Rise from the first to the last GOOD value of each sliding window.
@@ -157,7 +159,7 @@ def rate_of_change(
     Readings collapse to one row per step first, so the overlap of the sliding
     windows multiplies the small rows and not the raw ones.
     """
-    wanted = tags.where(F.col("measure") == measure)
+    wanted = tags.where(F.col("measure") == measure) if measure else tags
     steps = (
         with_tag(readings.where(F.col("quality") == "GOOD"), wanted, ["asset_id", "asset_name"])
         .groupBy("tag_id", "asset_id", "asset_name", F.window("source_ts", step).alias("_s"))
@@ -183,10 +185,10 @@ def rate_of_change(
 
 def stale_tags(
     readings: DataFrame, tags: DataFrame, horizon: str, stale_seconds: int = 120,
-    measure: str = "mass_flow", slice_seconds: int = HOUR,
+    measure: str | None = "mass_flow", slice_seconds: int = HOUR,
 ) -> DataFrame:
     """Silences of at least ``stale_seconds``; ``horizon`` closes the last one of each tag."""
-    wanted = tags.where(F.col("measure") == measure)
+    wanted = tags.where(F.col("measure") == measure) if measure else tags
     samples = with_tag(readings.select("tag_id", "source_ts", "seq"), wanted, ["asset_id", "asset_name"])
     followed = next_row(
         sliced(samples, seconds=slice_seconds), ["tag_id"], ["source_ts", "seq"],
@@ -201,13 +203,12 @@ def stale_tags(
 
 
 def running_empty(
-    equipment: DataFrame, tags: DataFrame, asset_type: str = "conveyor", seconds: int = 60,
+    equipment: DataFrame, tags: DataFrame, asset_type: str | None = "conveyor", seconds: int = 60,
     grain_seconds: int = 60,
 ) -> DataFrame:
     """Assets RUNNING whose flow stays below the low limit for ``seconds``."""
-    belts = tags.where(
-        (F.col("instrument_type") == "WI") & (F.col("asset_type") == asset_type)
-    ).groupBy("asset_id").agg(F.max("asset_name").alias("asset_name"), F.min("lo").alias("lo"))
+    chosen = tags.where(F.col("asset_type") == asset_type) if asset_type else tags
+    belts = chosen.where(F.col("instrument_type") == "WI").groupBy("asset_id").agg(F.max("asset_name").alias("asset_name"), F.min("lo").alias("lo"))
     needed = max(1, -(-seconds // grain_seconds))
     recent = (
         Window.partitionBy("asset_id").orderBy(F.unix_seconds(F.col("window_start").cast("timestamp")))
@@ -255,53 +256,53 @@ def timed_rule_alerts(
     balance: DataFrame, horizon: str, min_rise: float, max_imbalance_pct: float = 5.0,
     grain_seconds: int = 60, slice_seconds: int = HOUR,
 ) -> DataFrame:
-    """Alerts of the rules that look at a stretch of time.
+    """Alerts of the rules that look at a stretch of time, for whatever their scope covers.
 
-    Scope and window come from the rule rows; the few of them are read to build
-    one detection per rule. ``equipment`` and ``balance`` are the per-window
-    datasets of the same grain.
+    One detection per kind of rule and length of time, over all tags that such rules
+    apply to; its rows then meet their rules by tag (asset for ``deviation``, every
+    node for ``imbalance``). ``equipment`` and ``balance`` are the per-window datasets of the same grain.
     """
-    def detected(rule) -> DataFrame:
-        seconds, scope = rule["window_seconds"], rule["scope_value"]
-        nobody = F.lit(None).cast("string")
-        if rule["rule_type"] == "rate_of_change":
-            found = rate_of_change(
-                readings, tags, min_rise, scope, f"{seconds} seconds", f"{grain_seconds} seconds"
-            )
-            return found.select("tag_id", "asset_id", "asset_name", nobody.alias("node_id"), F.col("window_end").alias("raised_at"), F.col("rise").alias("trigger_value"))
-        if rule["rule_type"] == "stale":
-            found = stale_tags(readings, tags, horizon, seconds, scope, slice_seconds)
+    wanted = rules.where(F.col("enabled") & F.col("rule_type").isin(TIMED_RULES))
+    described = ["rule_id", "rule_name", "rule_type", "severity", "message_template", "window_seconds"]
+    applies = materialize(rules_by_tag(tags, wanted).select("tag_id", "asset_id", *described).distinct())
+    nobody = F.lit(None).cast("string")
+
+    def detected(kind: str, seconds: int) -> DataFrame:
+        own = applies.where((F.col("rule_type") == kind) & (F.col("window_seconds") == seconds))
+        watched = tags.join(own.select("tag_id").distinct(), "tag_id", "left_semi")
+        told = own.select("tag_id", *described)
+        if kind == "rate_of_change":
+            found = rate_of_change(readings, watched, min_rise, None, f"{seconds} seconds", f"{grain_seconds} seconds")
+            return found.join(told, "tag_id").select("tag_id", "asset_id", "asset_name", nobody.alias("node_id"), F.col("window_end").alias("raised_at"), F.col("rise").alias("trigger_value"), *described)
+        if kind == "stale":
+            found = stale_tags(readings, watched, horizon, seconds, None, slice_seconds)
             since = F.col("last_seen") + F.expr(f"INTERVAL {int(seconds)} SECONDS")
-            return found.select("tag_id", "asset_id", "asset_name", nobody.alias("node_id"), since.alias("raised_at"), F.col("silent_seconds").cast("double").alias("trigger_value"))
-        if rule["rule_type"] == "deviation":
-            found = running_empty(equipment, tags, scope, seconds, grain_seconds)
-            return found.select(nobody.alias("tag_id"), "asset_id", "asset_name", nobody.alias("node_id"), F.col("window_start").alias("raised_at"), F.col("throughput_tph").alias("trigger_value"))
+            return found.join(told, "tag_id").select("tag_id", "asset_id", "asset_name", nobody.alias("node_id"), since.alias("raised_at"), F.col("silent_seconds").cast("double").alias("trigger_value"), *described)
+        if kind == "deviation":
+            assets = own.select("asset_id", *described).distinct()
+            belts = tags.join(assets.select("asset_id").distinct(), "asset_id", "left_semi")
+            found = running_empty(equipment, belts, None, seconds, grain_seconds).join(assets, "asset_id")
+            return found.select(nobody.alias("tag_id"), "asset_id", "asset_name", nobody.alias("node_id"), F.col("window_start").alias("raised_at"), F.col("throughput_tph").alias("trigger_value"), *described)
+        every = wanted.where((F.col("rule_type") == kind) & (F.col("window_seconds") == seconds)).select(*described)
         found = imbalance_sustained(balance, max(1, seconds // grain_seconds), max_imbalance_pct)
-        return found.select(nobody.alias("tag_id"), nobody.alias("asset_id"), nobody.alias("asset_name"), "node_id", F.col("window_end").alias("raised_at"), F.col("mean_imbalance_pct").alias("trigger_value"))
-
-    wanted = rules.where(F.col("enabled") & F.col("rule_type").isin(TIMED_RULES)).orderBy("rule_id")
-    result = None
-    for rule in wanted.collect():
-        found = detected(rule)
-        ts_type = found.schema["raised_at"].dataType
-        place = F.coalesce("tag_id", "asset_id", "node_id")
-        rows = found.select(
-            stable_id(F.lit(rule["rule_id"]), place, micros("raised_at")).alias("alert_id"),
-            "raised_at", "tag_id", "asset_id",
-            F.element_at(F.split("asset_id", "-"), 1).alias("area_code"), "node_id",
-            *[F.lit(rule[c]).alias(c) for c in ("rule_id", "rule_name", "rule_type", "severity")],
-            "trigger_value", F.lit(None).cast("string").alias("trigger_text"),
-            F.lit(None).cast("double").alias("limit_low"), F.lit(None).cast("double").alias("limit_high"),
-            alert_message(
-                F.lit(rule["message_template"]), F.col("tag_id"), F.col("asset_name"),
-                two_decimals(F.col("trigger_value")), F.lit(""), F.col("node_id"),
-            ).alias("message"),
-            F.lit("PENDING").alias("delivery_status"), F.lit(0).alias("delivery_attempts"),
-            F.lit(None).cast(ts_type).alias("delivered_at"), F.lit(None).cast("int").alias("http_status"),
-            F.lit(None).cast("string").alias("acknowledged_by"),
-            F.lit(None).cast(ts_type).alias("acknowledged_at"),
-        ).select(*ALERT_COLUMNS)
-        result = rows if result is None else result.unionByName(rows)
-    if result is None:
+        met = found.withColumn("_kind", F.lit(kind)).join(every, F.col("_kind") == F.col("rule_type"))
+        return met.select(nobody.alias("tag_id"), nobody.alias("asset_id"), nobody.alias("asset_name"), "node_id", F.col("window_end").alias("raised_at"), F.col("mean_imbalance_pct").alias("trigger_value"), *described)
+
+    kinds = wanted.select("rule_type", "window_seconds").distinct().orderBy("rule_type", "window_seconds").collect()
+    if not kinds:
         raise ValueError("no enabled rule looks at a stretch of time")
-    return result
+    found = reduce(DataFrame.unionByName, [detected(row["rule_type"], row["window_seconds"]) for row in kinds])
+    ts_type = found.schema["raised_at"].dataType
+    return found.select(
+        stable_id(F.col("rule_id"), F.coalesce("tag_id", "asset_id", "node_id"), micros("raised_at")).alias("alert_id"),
+        "raised_at", "tag_id", "asset_id", F.element_at(F.split("asset_id", "-"), 1).alias("area_code"), "node_id",
+        "rule_id", "rule_name", "rule_type", "severity", "trigger_value", nobody.alias("trigger_text"),
+        F.lit(None).cast("double").alias("limit_low"), F.lit(None).cast("double").alias("limit_high"),
+        alert_message(
+            F.col("message_template"), F.col("tag_id"), F.col("asset_name"), two_decimals(F.col("trigger_value")),
+            F.lit(""), F.col("node_id"),
+        ).alias("message"),
+        F.lit("PENDING").alias("delivery_status"), F.lit(0).alias("delivery_attempts"),
+        F.lit(None).cast(ts_type).alias("delivered_at"), F.lit(None).cast("int").alias("http_status"),
+        nobody.alias("acknowledged_by"), F.lit(None).cast(ts_type).alias("acknowledged_at"),
+    ).select(*ALERT_COLUMNS)

@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gritstone.functions.expressions import (
     arc_tonnage, balance_status, is_solids_arc, percent, slurry_solids, whole_seconds,
 )
-from gritstone.session import small_table
+from gritstone.session import materialize
 
-# The flow graph is inlined per window as a literal array, so its size is checked.
-MAX_ARCS = 100_000
+# Windows and arcs meet by a salt, so neither side is a single task or one array.
+SPINE_SALTS = 32
 
 ARC_COLUMNS = [
     "arc_id", "from_node_id", "to_node_id", "stream_type", "measure_method", "design_tph",
@@ -41,15 +41,10 @@ def slurry_pairs(tags: DataFrame) -> DataFrame:
 
 def arc_window_spine(tag_1m: DataFrame, arcs: DataFrame) -> DataFrame:
     """Every arc in every window that has any reading, instrumented or not."""
-    windows = tag_1m.select("window_start", "window_end").distinct()
-    graph = arcs.agg(
-        F.when(F.count(F.lit(1)) <= MAX_ARCS, F.collect_list(F.struct(*ARC_COLUMNS)))
-        .otherwise(F.raise_error(F.lit(f"flow graph has more than {MAX_ARCS} arcs")))
-        .alias("arcs")
-    )
-    return windows.select("window_start", "window_end", F.explode(graph.scalar()).alias("_arc")).select(
-        "window_start", "window_end", "_arc.*"
-    )
+    salts = F.sequence(F.lit(0), F.lit(SPINE_SALTS - 1))
+    windows = tag_1m.select("window_start", "window_end").distinct().withColumn("_salt", F.explode(salts))
+    graph = materialize(arcs.select(*ARC_COLUMNS, F.pmod(F.xxhash64("arc_id"), F.lit(SPINE_SALTS)).cast("int").alias("_salt")))
+    return windows.join(graph, "_salt").select("window_start", "window_end", *ARC_COLUMNS)
 
 
 def node_accumulation(tag_1m: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -81,7 +76,7 @@ def _arc_measurements(tag_1m: DataFrame, arcs: DataFrame, tags: DataFrame) -> Da
         .join(slurry_pairs(tags), F.col("measure_tag_id") == F.col("flow_tag_id"))
         .select(*ARC_COLUMNS, F.col("density_tag_id").alias("tag_id"), F.lit("density").alias("_role"))
     )
-    measuring = small_table(flow.unionByName(density))
+    measuring = materialize(flow.unionByName(density))
     return tag_1m.select("tag_id", "window_start", "window_end", "avg_value", "good_pct").join(
         measuring, "tag_id"
     ).drop("tag_id")

@@ -120,24 +120,19 @@ def trend_history(
     rms = F.col("rms_mm_s")
     running = features.select(
         "tag_id", "window_start", "rms_mm_s", F.row_number().over(over_time).alias("_n"),
-        F.first(rms).over(so_far).alias("_first"), F.sum(rms).over(so_far).alias("_sum"),
-        F.count(rms).over(so_far).alias("_count"),
+        F.first(rms).over(so_far).alias("_first"),
+        F.avg(rms).over(over_time.rowsBetween(-base_rows, 0)).alias("_base"),
     )
 
     def first_of(rows: int) -> Column:
         """First value of a frame of ``rows`` preceding rows, clipped at the series start."""
         return F.when(F.col("_n") > rows, F.lag(rms, rows).over(over_time)).otherwise(F.col("_first"))
 
-    # A moving mean from running totals: constant work per row for any frame length.
-    def moving(total: str) -> Column:
-        return F.col(total) - F.coalesce(F.lag(total, base_rows + 1).over(over_time), F.lit(0))
-
     short, long = rms - first_of(short_rows), rms - first_of(long_rows)
-    base = F.try_divide(moving("_sum"), moving("_count"))
     return running.select(
         "tag_id", "window_start", "rms_mm_s", short.alias("rms_delta_1h"),
         long.alias("rms_delta_24h"), (long / F.lit(24.0)).alias("rms_slope_24h"),
-        percent(rms, base).alias("rms_pct_of_baseline"),
+        percent(rms, F.col("_base")).alias("rms_pct_of_baseline"),
     )
 
 

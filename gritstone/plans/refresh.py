@@ -56,34 +56,35 @@ def analytics(
 
 def refresh(
     readings: DataFrame, dims: Dimensions, out: str, days: list[str] | None = None,
-    grain: Grain = Grain(), files_per_day: int = 8,
+    grain: Grain = Grain(),
 ) -> None:
-    """Write all datasets, by day. With ``days`` only those days are recomputed.
+    """Write all datasets, by day. With ``days`` only those days are written.
 
-    Two more days are read before the first one, because lags reach back a day;
-    their output is not written again. Minute aggregates are written first and
-    the other datasets read them back.
+    Lags, states and bin levels reach back as far as a tag was silent, so all earlier
+    readings count: only those after the last of ``days`` are left out, and the
+    result equals that of a full refresh. Minute aggregates are written first
+    and the other datasets read them back; adaptive execution sizes the files.
     """
     spark = readings.sparkSession
     if days:
-        # Bounds on the column itself, so they reach the scan.
+        # A bound on the column itself, so it reaches the scan.
         ts_type = readings.schema["source_ts"].dataType
-        first = F.date_sub(F.lit(min(days)).cast("date"), 2).cast(ts_type)
         after = F.date_add(F.lit(max(days)).cast("date"), 1).cast(ts_type)
-        readings = readings.where((F.col("source_ts") >= first) & (F.col("source_ts") < after))
+        readings = readings.where(F.col("source_ts") < after)
 
     def write(name: str, df: DataFrame) -> None:
         dated = df.withColumn("day", F.col("window_start").cast("date"))
         if days:
             dated = dated.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
-        # The extra hash keeps a day from becoming a single task.
-        bucket = F.pmod(F.xxhash64("window_start"), F.lit(files_per_day))
-        spread = dated.repartition("day", bucket)
-        overwrite_table(spread, f"{out}/{name}", ["day"])
+        overwrite_table(dated.hint("rebalance", F.col("day")), f"{out}/{name}", ["day"])
 
     tag_1m = tag_reading_1m(readings, grain.fine)
-    write("tag_reading_1m", tag_1m)
-    stored = None if days else spark.read.parquet(f"{out}/tag_reading_1m").drop("day")
+    if days:
+        stored = materialize(tag_1m)
+        write("tag_reading_1m", stored)
+    else:
+        write("tag_reading_1m", tag_1m)
+        stored = spark.read.parquet(f"{out}/tag_reading_1m").drop("day")
     for name, df in analytics(readings, dims, grain, stored).items():
         if name != "tag_reading_1m":
             write(name, df)

@@ -1,4 +1,4 @@
-"""Session settings, the lineage cut and the size checks used by the plans."""
+"""Session settings and the lineage cut used by the plans."""
 
 from __future__ import annotations
 
@@ -31,11 +31,14 @@ def get_session(app: str = "gritstone", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test) gets a folder of its own.
+    Only a local session that names none (a test) gets a folder of its own; on a
+    cluster a folder of one machine would lose rows, so there it is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="gritstone-")
         context.setCheckpointDir(folder)
     return folder
@@ -53,28 +56,3 @@ def materialize(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-MAX_SMALL_ROWS = 200_000
-
-
-def small_table(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
-    """Give the planner the exact size of a dimension, so it can choose a broadcast by itself.
-
-    Tables built from Python rows or from joins carry no usable size estimate
-    and would force the readings through a shuffle. At most ``max_rows`` rows
-    are fetched; a larger table is returned unchanged and joins by shuffle,
-    where AQE splits skewed keys.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that arrives in fewer partitions, such as one small file.
-
-    Inputs with enough partitions, which is every large one, pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df

@@ -1,8 +1,9 @@
 """Keyed upsert on parquet: each run writes a complete new version next to the old one.
 
 Parquet tables take no row-level MERGE. A version counts only once its
-``_SUCCESS`` file exists, so a lost job leaves the previous version readable
-and a replayed micro-batch rewrites its own version.
+``_SUCCESS`` file exists, so a lost job leaves the previous version readable.
+A writer may sign its version; a replayed micro-batch finds the version it has
+signed and rewrites that, whatever other streams have written.
 """
 
 from __future__ import annotations
@@ -25,41 +26,54 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], by: list[s
         [*[F.col(c) for c in by], ~F.col("_from_source")] if by else [F.col("_from_source")]
     )
     rest = [c for c in columns if c not in keys]
-    newest = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    newest = both.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"), F.count_if("_from_source").alias("_n")
+    )
+    if not by:  # as a MERGE does: which of two equal keys would win is chance
+        twice = F.raise_error(F.lit(f"several source rows for one {', '.join(keys)}"))
+        newest = newest.withColumn("_row", F.when(F.col("_n") <= 1, F.col("_row")).otherwise(twice))
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*columns)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a table, oldest first."""
+def _names(spark: SparkSession, path: str, complete: bool = True) -> dict[int, str]:
+    """Folder of each version."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
-        return []
-    found = []
+        return {}
+    found = {}
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(done):
-            found.append(int(name[2:]))
-    return sorted(found)
+        if name.startswith("v=") and (not complete or fs.exists(done)):
+            found[int(name[2:].split("@")[0])] = name
+    return found
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a table, oldest first."""
+    return sorted(_names(spark, path))
 
 
 def read_current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """Newest complete version, or None when there is none."""
-    done = [v for v in versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/v={done[-1]}") if done else None
+    names = _names(spark, path)
+    done = [v for v in names if before is None or v < before]
+    return spark.read.parquet(f"{path}/{names[max(done)]}") if done else None
 
 
 def upsert(
     source: DataFrame, path: str, keys: list[str], by: list[str] | None = None,
-    version: int | None = None,
+    signature: str | None = None,
 ) -> int:
     """Merge ``source`` into the table at ``path`` and return the version written."""
     spark = source.sparkSession
-    if version is None:
-        version = max(versions(spark, path), default=-1) + 1
+    names = _names(spark, path, complete=False)
+    signed = [v for v, name in names.items() if signature and name.endswith(f"@{signature}")]
+    version = signed[0] if signed else max(names, default=-1) + 1
     current = read_current(spark, path, before=version)
     if current is None:
         current = source.limit(0)
-    merge_rows(current, source, keys, by).write.mode("overwrite").parquet(f"{path}/v={version}")
+    merge_rows(current, source, keys, by).write.mode("overwrite").parquet(
+        f"{path}/v={version}@{signature}" if signature else f"{path}/v={version}")
     return version

@@ -21,6 +21,11 @@ def event_time(readings: DataFrame, delay: str = "2 minutes") -> DataFrame:
     )
 
 
+def _query_id(batch: DataFrame) -> str:
+    """The id that a stream keeps in its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def deduplicated(readings: DataFrame) -> DataFrame:
     """Drop repeats of an event id; state is kept only as long as the watermark."""
     return readings.dropDuplicatesWithinWatermark(["event_id"])
@@ -34,11 +39,12 @@ def stream_tag_1m(readings: DataFrame, grain: str = "1 minute") -> DataFrame:
 def stream_current(readings: DataFrame, path: str, checkpoint: str):
     """Keep the newest reading per tag; a late row never replaces a newer one.
 
-    Each micro-batch writes its own table version, so a replayed batch rewrites
-    the same version and the result is exactly-once.
+    Each micro-batch signs the table version it writes, so a replayed batch rewrites
+    the same version and the result is exactly-once. A stream with a new
+    checkpoint has a new id and goes on after the versions that are there.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, path, ["tag_id"], by=["seq"], version=batch_id)
+        upsert(batch, path, ["tag_id"], by=["seq"], signature=f"{_query_id(batch)}-{batch_id}")
 
     return readings.writeStream.outputMode("append").option(
         "checkpointLocation", checkpoint
@@ -143,10 +149,11 @@ def stream_episodes(readings: DataFrame, tags: DataFrame, gap_seconds: int = 60)
 def stream_alert_sink(alerts: DataFrame, path: str, checkpoint: str):
     """Append alerts as PENDING to the outbox; ids repeat on replay, so readers see one each.
 
-    Each micro-batch owns one folder and overwrites it when replayed.
+    Each micro-batch of each stream owns one folder and overwrites it when replayed.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.dropDuplicates(["alert_id"]).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.dropDuplicates(["alert_id"]).write.mode("overwrite").parquet(
+            f"{path}/stream={_query_id(batch)}/batch={batch_id}")
 
     return alerts.writeStream.outputMode("append").option(
         "checkpointLocation", checkpoint

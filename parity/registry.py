@@ -21,11 +21,12 @@ from parity.inputs import (
     BASE_ROWS, EPISODE_GAP, GRAIN, GRAIN_SECONDS, LONG_LAG, LONG_SLICE_SECONDS,
     SHORT_LAG, SLICE_SECONDS, Inputs, readings_from_events, with_ctes,
 )
+from parity.plant import BELT_TAG, CREW, FE_TAG, PILE_TAG, SIO2_TAG, WASH_TAGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-STACKER = stockpile.StackerTags()
+STACKER = stockpile.StackerTags("YRD-BLD02", PILE_TAG, BELT_TAG, FE_TAG, SIO2_TAG)
 QUESTION = "What did we find on the mentan, thtion and erble with queaux from the thor"
 AT = "2024-01-16 00:00:00"
 HORIZON = "2024-02-01 00:00:00"
@@ -150,23 +151,22 @@ def _(i: Inputs) -> DataFrame:
 
 
 STOCK_CTES = {
-    "ind": """SELECT value_text AS stockpile_id, source_ts, lead(source_ts) OVER (ORDER BY source_ts) AS next_ts,
-      lag(value_text) OVER (ORDER BY source_ts) AS prev FROM r
-      WHERE tag_id = 'STK-STK01-ZI02' AND quality = 'GOOD'""",
-    "runs": """SELECT *, coalesce(next_ts, source_ts + INTERVAL 1 SECOND) AS end_ts,
-      sum(CASE WHEN prev = stockpile_id THEN 0 ELSE 1 END) OVER (ORDER BY source_ts ROWS UNBOUNDED PRECEDING) AS run_id FROM ind""",
-    "stacked": """SELECT i.stockpile_id, sum(x.value * date_sub('second', i.source_ts, i.end_ts) / 3600e0) AS tonnes,
-      max(i.source_ts) AS last_ts, count(DISTINCT i.run_id) AS campaigns
-      FROM runs i JOIN r x ON x.source_ts = i.source_ts AND x.tag_id = 'STK-STK01-WI01' AND x.quality = 'GOOD'
-      WHERE i.stockpile_id <> 'IDLE' GROUP BY i.stockpile_id""",
-    "latest": """SELECT stockpile_id, min(source_ts) AS stack_started_at FROM runs a WHERE stockpile_id <> 'IDLE'
-      AND run_id = (SELECT max(run_id) FROM runs b WHERE b.stockpile_id = a.stockpile_id) GROUP BY stockpile_id""",
-    "grade": """SELECT i.stockpile_id, avg(q.value) FILTER (q.tag_id = 'LAB-PRD01-QI01') AS avg_fe_pct,
-      avg(q.value) FILTER (q.tag_id = 'LAB-PRD01-QI02') AS avg_sio2_pct
-      FROM runs i JOIN r q ON q.source_ts >= i.source_ts AND q.source_ts < i.end_ts
-       AND q.tag_id IN ('LAB-PRD01-QI01', 'LAB-PRD01-QI02') AND q.quality = 'GOOD'
-      WHERE i.stockpile_id <> 'IDLE' GROUP BY i.stockpile_id""",
-    "active": "SELECT stockpile_id FROM ind ORDER BY source_ts DESC LIMIT 1",
+    "ticks": f"""SELECT row_number() OVER (ORDER BY source_ts) AS k, source_ts, value_text AS stockpile_id
+      FROM r WHERE tag_id = '{PILE_TAG}' AND quality = 'GOOD'""",
+    "runs": """SELECT a.stockpile_id, a.source_ts, coalesce(b.source_ts, a.source_ts + INTERVAL 1 SECOND) AS end_ts,
+      count(*) FILTER (z.stockpile_id IS DISTINCT FROM a.stockpile_id) OVER (ORDER BY a.k) AS run_id
+      FROM ticks a LEFT JOIN ticks b ON b.k = a.k + 1 LEFT JOIN ticks z ON z.k = a.k - 1""",
+    "piled": "FROM runs WHERE stockpile_id <> 'IDLE'",
+    "stacked": f"""SELECT stockpile_id, sum(value * floor(epoch(end_ts - source_ts))) / 3600e0 AS tonnes, max(source_ts) AS last_ts,
+      count(DISTINCT run_id) AS campaigns
+      FROM piled JOIN (SELECT source_ts, value FROM r WHERE tag_id = '{BELT_TAG}' AND quality = 'GOOD') USING (source_ts) GROUP BY 1""",
+    "latest": """SELECT stockpile_id, arg_max(began, run_id) AS stack_started_at
+      FROM (SELECT stockpile_id, run_id, min(source_ts) AS began FROM piled GROUP BY ALL) GROUP BY 1""",
+    "grade": f"""SELECT i.stockpile_id, avg(CASE q.tag_id WHEN '{FE_TAG}' THEN q.value END) AS avg_fe_pct,
+      avg(CASE q.tag_id WHEN '{SIO2_TAG}' THEN q.value END) AS avg_sio2_pct
+      FROM (FROM r WHERE tag_id IN ('{FE_TAG}', '{SIO2_TAG}') AND quality = 'GOOD') q ASOF JOIN runs i ON q.source_ts >= i.source_ts
+      WHERE q.source_ts < i.end_ts AND i.stockpile_id <> 'IDLE' GROUP BY 1""",
+    "active": "SELECT arg_max(stockpile_id, source_ts) AS stockpile_id FROM ticks",
 }
 
 
@@ -175,7 +175,7 @@ def stock_sql(body: str) -> str:
 
 
 STATE_SQL = f"""SELECT s.stockpile_id, s.last_ts AS as_at, s.stockpile_id = (SELECT stockpile_id FROM active) AS is_stacking,
-  'STK-STK01' AS stacker_id, {half_up('s.tonnes', 1)} AS tonnes_stacked_cum, {half_up('s.tonnes', 1)} AS tonnes_on_ground,
+  'YRD-BLD02' AS stacker_id, {half_up('s.tonnes', 1)} AS tonnes_stacked_cum, {half_up('s.tonnes', 1)} AS tonnes_on_ground,
   {half_up('g.avg_fe_pct', 2)} AS avg_fe_pct, {half_up('g.avg_sio2_pct', 2)} AS avg_sio2_pct, l.stack_started_at
   FROM stacked s LEFT JOIN grade g ON g.stockpile_id = s.stockpile_id LEFT JOIN latest l ON l.stockpile_id = s.stockpile_id"""
 
@@ -276,24 +276,25 @@ def _(i: Inputs) -> DataFrame:
 
 BREACH_CTE = {
     "br": """SELECT r.tag_id, r.source_ts, r.seq, r.value, t.lo_lo, t.lo, t.hi, t.hi_hi,
-      CASE WHEN r.value > t.hi_hi OR r.value < t.lo_lo THEN 'limit_trip'
-        WHEN r.value > t.hi OR r.value < t.lo THEN 'limit_warn' END AS rule_type
+      [NULL, 'limit_warn', 'limit_trip'][1 + (r.value NOT BETWEEN t.lo AND t.hi)::INT + (r.value NOT BETWEEN t.lo_lo AND t.hi_hi)::INT] AS rule_type
       FROM r JOIN tags t ON t.tag_id = r.tag_id WHERE t.value_class = 'analog' AND r.quality = 'GOOD'""",
-    "brk": f"""SELECT *, CASE WHEN lag(source_ts) OVER w IS NULL
-        OR date_sub('second', lag(source_ts) OVER w, source_ts) > {EPISODE_GAP} THEN 1 ELSE 0 END AS new_ep
-      FROM br WHERE rule_type IS NOT NULL WINDOW w AS (PARTITION BY tag_id, rule_type ORDER BY source_ts)""",
-    "epn": "SELECT *, sum(new_ep) OVER (PARTITION BY tag_id, rule_type ORDER BY source_ts) AS episode_no FROM brk",
-    "ep": """SELECT tag_id, rule_type, CAST(episode_no AS BIGINT) AS episode_no, min(source_ts) AS raised_at,
-      max(source_ts) AS ended_at, count(*) AS samples, max(value) FILTER (value > hi) AS peak_high,
-      min(value) FILTER (value < lo) AS peak_low, max(lo_lo) AS lo_lo, max(lo) AS lo, max(hi) AS hi, max(hi_hi) AS hi_hi
-      FROM epn GROUP BY ALL""",
+    # An episode begins where the gap before it is empty; a breach belongs to the newest beginning.
+    "quiet": f"""SELECT tag_id, rule_type, source_ts, count(*) OVER (PARTITION BY tag_id, rule_type ORDER BY source_ts
+        RANGE BETWEEN INTERVAL {(EPISODE_GAP + 1) * 1_000_000 - 1} MICROSECONDS PRECEDING AND CURRENT ROW) = 1 AS begins
+      FROM (SELECT DISTINCT tag_id, rule_type, source_ts FROM br WHERE rule_type IS NOT NULL)""",
+    "heads": """SELECT tag_id, rule_type, source_ts AS opened, row_number() OVER (PARTITION BY tag_id, rule_type ORDER BY source_ts) AS episode_no
+      FROM quiet WHERE begins""",
+    "ep": """SELECT h.tag_id, h.rule_type, h.episode_no, min(b.source_ts) AS raised_at, max(b.source_ts) AS ended_at, count(*) AS samples,
+      nullif(max(CASE WHEN b.value > b.hi THEN b.value ELSE '-inf' END), '-inf') AS peak_high,
+      nullif(min(CASE WHEN b.value < b.lo THEN b.value ELSE 'inf' END), 'inf') AS peak_low,
+      any_value(b.lo_lo) AS lo_lo, any_value(b.lo) AS lo, any_value(b.hi) AS hi, any_value(b.hi_hi) AS hi_hi
+      FROM br b ASOF JOIN heads h ON b.tag_id = h.tag_id AND b.rule_type = h.rule_type AND b.source_ts >= h.opened GROUP BY ALL""",
     "matches": """SELECT e.*, t.asset_id, t.asset_name, t.asset_type, t.area_code, t.measure, t.unit, u.rule_id, u.rule_name,
       u.severity, u.scope_type, u.message_template, coalesce(e.peak_high, e.peak_low) AS trigger_value
-      FROM ep e JOIN tags t ON t.tag_id = e.tag_id JOIN rules u ON u.enabled AND u.rule_type = e.rule_type
-       AND (u.scope_type = 'all' OR (u.scope_type = 'asset_type' AND u.scope_value = t.asset_type)
-         OR (u.scope_type = 'measure' AND u.scope_value = t.measure) OR (u.scope_type = 'tag' AND u.scope_value = t.tag_id))""",
-    "best": """SELECT * FROM matches QUALIFY row_number() OVER (PARTITION BY tag_id, rule_type, episode_no ORDER BY
-      CASE scope_type WHEN 'tag' THEN 0 WHEN 'all' THEN 2 ELSE 1 END, rule_id) = 1""",
+      FROM ep e JOIN tags t USING (tag_id) JOIN (FROM rules WHERE enabled) u ON u.rule_type = e.rule_type
+       AND concat_ws('=', u.scope_type, nullif(u.scope_value, '')) IN ('all', 'asset_type=' || t.asset_type, 'measure=' || t.measure, 'tag=' || t.tag_id)""",
+    "best": """SELECT DISTINCT ON (tag_id, rule_type, episode_no) * FROM matches
+      ORDER BY tag_id, rule_type, episode_no, (scope_type = 'all')::INT - (scope_type = 'tag')::INT, rule_id""",
 }
 
 
@@ -322,10 +323,10 @@ def _(i: Inputs) -> DataFrame:
     f"""SELECT t.tag_id, t.asset_name, t.area_name, t.measure, t.instrument_type, t.unit, t.nominal, t.lo_lo AS trip_low,
       t.lo AS warn_low, t.hi AS warn_high, t.hi_hi AS trip_high, t.is_pdm, {half_up('c.v', 6)} AS value
     FROM tags t LEFT JOIN (SELECT tag_id, arg_max_null(value, seq) AS v FROM r GROUP BY tag_id) c ON c.tag_id = t.tag_id
-    WHERE t.asset_id = 'CRS-PCR01'""", "tags", "r"))
+    WHERE t.asset_id = 'GYR-JAW04'""", "tags", "r"))
 def _(i: Inputs) -> DataFrame:
     newest = i.readings.groupBy("tag_id").agg(F.max_by("value", "seq").alias("value"))
-    return rd.asset_panel(i.tags, "CRS-PCR01").join(newest, "tag_id", "left")
+    return rd.asset_panel(i.tags, "GYR-JAW04").join(newest, "tag_id", "left")
 
 
 ACTION_SQL = f"""CASE WHEN p >= 0.7 THEN '{ex.ACT_NOW_TEXT}' WHEN p >= 0.3 THEN '{ex.WATCH_TEXT}' ELSE '{ex.NO_ACTION_TEXT}' END"""
@@ -406,7 +407,7 @@ def _(i: Inputs) -> DataFrame:
     )
 
 
-@query("used_for_inference", with_ctes("SELECT node_id, window_start, used_for_inference FROM imb", "imb"))
+@query("used_for_inference", with_ctes("SELECT node_id, window_start, used_for_inference FROM closing", "closing"))
 def _(i: Inputs) -> DataFrame:
     return balance.node_flow(i.incidence).select("node_id", "window_start", "used_for_inference")
 
@@ -541,7 +542,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("node_balance_inputs", with_ctes(
-    f"SELECT {sel('node_id window_start unknown_arcs unknown_arc_id unknown_side', 'known_in known_out')} FROM nb_in", "nb_in"))
+    f"SELECT {sel('node_id window_start unknown_arcs unknown_arc_id unknown_side', 'known_in known_out')} FROM node_sums", "node_sums"))
 def _(i: Inputs) -> DataFrame:
     return balance.node_balance_inputs(i.incidence)
 
@@ -580,8 +581,8 @@ def _solids_sql(q: str, rho: str) -> str:
 
 DESANDS_CTES = {
     "p": "SELECT window_start, window_end, " + ", ".join(
-        f"max(avg_value) FILTER (tag_id = '{t}') AS {n}" for n, t in balance.DESANDS_TAGS.items()
-    ) + " FROM t1 WHERE tag_id IN (" + ", ".join(f"'{t}'" for t in balance.DESANDS_TAGS.values()) + ") GROUP BY ALL",
+        f"max(avg_value) FILTER (tag_id = '{t}') AS {n}" for n, t in WASH_TAGS.items()
+    ) + " FROM t1 WHERE tag_id IN (" + ", ".join(f"'{t}'" for t in WASH_TAGS.values()) + ") GROUP BY ALL",
     "s": "SELECT *, " + ", ".join(
         f"{_solids_sql(x + '_q', x + '_rho')} AS {x}_solids_tph" for x in ("feed", "overflow", "underflow")
     ) + " FROM p",
@@ -600,7 +601,7 @@ DESANDS_DOUBLES = (
 
 @query("desands_balance_1m", with_ctes(f"SELECT {sel('window_start window_end', DESANDS_DOUBLES)} FROM ds", "t1", extra=DESANDS_CTES))
 def _(i: Inputs) -> DataFrame:
-    return balance.desands_balance_1m(i.tag_1m)
+    return balance.desands_balance_1m(i.tag_1m, WASH_TAGS)
 
 
 @query("vib_stats_10m", with_ctes(f"SELECT {sel('asset_id sensor_no instrument_type window_start window_end n', 'nominal av sd')} FROM v", "v"))
@@ -728,10 +729,10 @@ def _(i: Inputs) -> DataFrame:
 
 @query("longrun_desands", with_ctes(
     f"SELECT {half_up(_solids_sql('uq', 'ur'), 1)} AS underflow_solids_tph, {half_up(_solids_sql('oq', 'orho'), 1)} AS overflow_solids_tph FROM q",
-    "r", extra={"q": """SELECT avg(value) FILTER (tag_id = 'DSD-CYC01-FI03') AS uq, avg(value) FILTER (tag_id = 'DSD-CYC01-DI03') AS ur,
-      avg(value) FILTER (tag_id = 'DSD-CYC01-FI02') AS oq, avg(value) FILTER (tag_id = 'DSD-CYC01-DI02') AS orho FROM r"""}))
+    "r", extra={"q": """SELECT avg(value) FILTER (tag_id = 'WSH-HYC05-FI03') AS uq, avg(value) FILTER (tag_id = 'WSH-HYC05-DI03') AS ur,
+      avg(value) FILTER (tag_id = 'WSH-HYC05-FI02') AS oq, avg(value) FILTER (tag_id = 'WSH-HYC05-DI02') AS orho FROM r"""}))
 def _(i: Inputs) -> DataFrame:
-    return balance.longrun_desands(i.readings)
+    return balance.longrun_desands(i.readings, WASH_TAGS)
 
 
 @query("design_closure", with_ctes(
@@ -920,11 +921,14 @@ SEARCH_CTES = {
     "vs": """SELECT note_id, round(list_cosine_similarity(CAST(note_embedding AS DOUBLE[]),
         (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 9) AS cosine_sim FROM sn WHERE note_embedding IS NOT NULL""",
     "vt": "SELECT note_id, cosine_sim, row_number() OVER (ORDER BY cosine_sim DESC, note_id) AS vector_rank FROM vs QUALIFY vector_rank <= 20",
-    "fu": """SELECT coalesce(b.note_id, v.note_id) AS note_id, b.bm25, b.bm25_rank, v.cosine_sim, v.vector_rank,
-      coalesce(1e0 / (60 + b.bm25_rank), 0) + coalesce(1e0 / (60 + v.vector_rank), 0) AS rrf FROM bm b FULL JOIN vt v ON v.note_id = b.note_id""",
-    "bo": """SELECT f.*, n.work_order_id, n.note_kind, n.note_text, w.asset_id, w.failure_mode, w.title, w.status
-      FROM fu f JOIN sn n ON n.note_id = f.note_id JOIN wo w ON w.work_order_id = n.work_order_id
-      QUALIFY row_number() OVER (PARTITION BY n.work_order_id ORDER BY f.rrf DESC, f.note_id) = 1""",
+    "votes": """SELECT note_id, 'words' AS list, bm25 AS score, bm25_rank AS place FROM bm
+      UNION ALL SELECT note_id, 'vector', cosine_sim, vector_rank FROM vt""",
+    "fu": """SELECT note_id, max(score) FILTER (list = 'words') AS bm25, max(place) FILTER (list = 'words') AS bm25_rank,
+      max(score) FILTER (list = 'vector') AS cosine_sim, max(place) FILTER (list = 'vector') AS vector_rank,
+      sum(1e0 / (60 + place)) AS rrf FROM votes GROUP BY note_id""",
+    "bo": """SELECT DISTINCT ON (work_order_id) note_id, bm25, bm25_rank, cosine_sim, vector_rank, rrf, work_order_id, note_kind, note_text,
+      asset_id, failure_mode, title, status FROM fu JOIN sn USING (note_id) JOIN wo USING (work_order_id)
+      ORDER BY work_order_id, rrf DESC, note_id""",
 }
 
 
@@ -1157,8 +1161,8 @@ def _worded(column: int) -> str:
       CASE WHEN closed THEN 'CLOSED' ELSE {_pick_sql('status', ['OPEN', 'IN_PROGRESS', 'ON_HOLD'])} END AS status,
       CASE severity WHEN 'CRITICAL' THEN 'CRITICAL' WHEN 'HIGH' THEN 'HIGH' WHEN 'WARNING' THEN 'MEDIUM' ELSE 'LOW' END AS priority,
       measure AS failure_mode, {_worded(1)} AS title, {_worded(2)} AS description,
-      CASE WHEN closed THEN {_worded(3)} END AS resolution_notes, {_pick_sql('raised', wo.CREW)} AS raised_by,
-      {_pick_sql('assigned', wo.CREW)} AS assigned_to, raised_at AS created_at, raised_at AS updated_at,
+      CASE WHEN closed THEN {_worded(3)} END AS resolution_notes, {_pick_sql('raised', CREW)} AS raised_by,
+      {_pick_sql('assigned', CREW)} AS assigned_to, raised_at AS created_at, raised_at AS updated_at,
       CASE WHEN closed THEN raised_at END AS closed_at,
       CASE WHEN closed THEN CAST({_share_sql(461, 'downtime')} + 20 AS INTEGER) END AS downtime_minutes
     FROM (SELECT *, {_share_sql(100, 'close')} < 60 AS closed,
@@ -1170,14 +1174,14 @@ def _worded(column: int) -> str:
 def _(i: Inputs) -> DataFrame:
     found = alerts.derive_alerts(i.readings, i.tags, i.rules, EPISODE_GAP, LONG_SLICE_SECONDS)
     templates = i.spark.createDataFrame(TEMPLATES, "measure STRING, title STRING, description STRING, resolution STRING")
-    return wo.alerts_to_orders(found, i.tags, templates)
+    return wo.alerts_to_orders(found, i.tags, templates, CREW)
 
 
 @query("history_to_work_orders", with_ctes(
     """SELECT asset_id, tag_id, split_part(asset_id, '-', 1) AS area_code, 'CLOSED' AS status, 'HIGH' AS priority, f.failed_at AS closed_at
     FROM (SELECT asset_id, tag_id, max(window_start) AS failed_at FROM lab WHERE label_failure_30d GROUP BY 1, 2) f""", "lab"))
 def _(i: Inputs) -> DataFrame:
-    return wo.failures_to_orders(vibration.failure_peaks(i.labelled)).select(
+    return wo.failures_to_orders(vibration.failure_peaks(i.labelled), CREW[0]).select(
         "asset_id", "tag_id", "area_code", "status", "priority", "closed_at"
     )
 
@@ -1313,25 +1317,30 @@ def _(i: Inputs) -> DataFrame:
 
 TIMED_CTES = {
     **roc_ctes(),
-    "stale": f"""SELECT * FROM (SELECT r.tag_id, r.source_ts, date_sub('second', r.source_ts,
-        coalesce(lead(r.source_ts) OVER (PARTITION BY r.tag_id ORDER BY r.source_ts, r.seq), TIMESTAMP '{HORIZON}')) AS silent
-      FROM r JOIN tags t ON t.tag_id = r.tag_id WHERE t.measure = 'mass_flow') WHERE silent >= {STALE_SECONDS}""",
-    "emp": """SELECT e.asset_id, e.window_start, e.throughput_tph FROM eq e
-      JOIN (SELECT asset_id, min(lo) AS lo FROM tags WHERE instrument_type = 'WI' AND asset_type = 'conveyor' GROUP BY 1) b ON b.asset_id = e.asset_id
+    "applies": """SELECT t.tag_id, t.asset_id, u.rule_id, u.rule_type FROM tags t JOIN (FROM rules WHERE enabled) u
+      ON concat_ws('=', u.scope_type, nullif(u.scope_value, '')) IN ('all', 'asset_type=' || t.asset_type, 'measure=' || t.measure, 'tag=' || t.tag_id)""",
+    "mute": f"""SELECT * FROM (SELECT tag_id, source_ts, date_sub('second', source_ts,
+        coalesce(lead(source_ts) OVER (PARTITION BY tag_id ORDER BY source_ts, seq), TIMESTAMP '{HORIZON}')) AS silent
+      FROM r) WHERE silent >= {STALE_SECONDS}""",
+    "bare": """SELECT e.asset_id, e.window_start, e.throughput_tph FROM eq e
+      JOIN (SELECT asset_id, min(lo) AS lo FROM tags WHERE instrument_type = 'WI' GROUP BY 1) b ON b.asset_id = e.asset_id
       WHERE e.state = 'RUNNING' AND e.throughput_tph < b.lo""",
     "sus": """SELECT * FROM (SELECT node_id, window_end, avg(imbalance_pct) OVER w AS v, count(imbalance_pct) OVER w AS c FROM mb
       WHERE balance_role = 'unit' WINDOW w AS (PARTITION BY node_id ORDER BY window_start ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
       WHERE c = 5 AND abs(v) > 5""",
-    "tr": f"""SELECT 'R04' AS rule_id, tag_id AS place, window_end AS raised_at, rise AS trigger_value FROM ch WHERE rise > 5
-      UNION ALL SELECT 'R05', tag_id, source_ts + to_seconds({STALE_SECONDS}), silent FROM stale
-      UNION ALL SELECT 'R06', asset_id, window_start, throughput_tph FROM emp
-      UNION ALL SELECT 'R12', node_id, window_end, v FROM sus""",
+    "tr": f"""SELECT a.rule_id, c.tag_id AS place, c.window_end AS raised_at, c.rise AS trigger_value
+        FROM ch c JOIN applies a ON a.tag_id = c.tag_id AND a.rule_type = 'rate_of_change' WHERE c.rise > 5
+      UNION ALL SELECT a.rule_id, m.tag_id, m.source_ts + to_seconds({STALE_SECONDS}), m.silent
+        FROM mute m JOIN applies a ON a.tag_id = m.tag_id AND a.rule_type = 'stale'
+      UNION ALL SELECT a.rule_id, b.asset_id, b.window_start, b.throughput_tph
+        FROM bare b JOIN (SELECT DISTINCT asset_id, rule_id FROM applies WHERE rule_type = 'deviation') a ON a.asset_id = b.asset_id
+      UNION ALL SELECT rule_id, node_id, window_end, v FROM sus, (SELECT rule_id FROM rules WHERE enabled AND rule_type = 'imbalance')""",
 }
 
 
 @query("timed_rule_alerts", with_ctes(
     f"""SELECT sha256(rule_id || '|' || place || '|' || epoch_us(raised_at)) AS alert_id, rule_id, raised_at,
-      {half_up('trigger_value', 6)} AS trigger_value FROM tr""", "r", "tags", "eq", "mb", extra=TIMED_CTES))
+      {half_up('trigger_value', 6)} AS trigger_value FROM tr""", "r", "tags", "rules", "eq", "mb", extra=TIMED_CTES))
 def _(i: Inputs) -> DataFrame:
     return alerts.timed_rule_alerts(
         i.readings, i.tags, i.rules, i.equipment, balance.mass_balance_node_1m(i.incidence), HORIZON,

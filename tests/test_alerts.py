@@ -93,7 +93,7 @@ def test_rule_choice_is_by_scope(spark):
         ("A-CV01-WI01", "limit_warn"): "R02",
     }
     trip = chosen["A-CV01-WI01", "limit_trip"]
-    assert trip["message"] == "A-CV01-WI01 on name A-CV01 at 35.00 u breached trip limit"
+    assert trip["message"] == "name A-CV01: A-CV01-WI01 reads 35.00 u, past its stop limit"
     assert (trip["limit_low"], trip["limit_high"]) == (0.0, 30.0)
     assert (chosen["A-CV01-WI01", "limit_warn"]["limit_low"], chosen["A-CV01-WI01", "limit_warn"]["trigger_value"]) == (10.0, 5.0)
     assert len({r["alert_id"] for r in found}) == len(found)
@@ -109,6 +109,20 @@ def test_stale_and_rate_of_change(spark):
     assert rises and all(r["rise"] > 20 for r in rises.values())
 
 
+def test_timed_rules_follow_their_scope(spark):
+    from gritstone.schemas import DIM_RULE
+
+    tags = spark.createDataFrame([tag("A-CV01-WI01"), tag("A-BN01-LI01", "bin", "level")], DIM_TAG)
+    scopes = [("all", None), ("tag", "A-BN01-LI01"), ("asset_type", "bin"), ("measure", "mass_flow")]
+    rules = spark.createDataFrame([(f"S{n}", "x", kind, value, "stale", "HIGH", 120, "{tag_id}", True) for n, (kind, value) in enumerate(scopes)], DIM_RULE)
+    rows = [reading(t, s, 1.0) for t in ("A-CV01-WI01", "A-BN01-LI01") for s in (0, 400, 410)]
+    states = spark.createDataFrame([], "asset_id string, window_start timestamp, window_end timestamp, state string, throughput_tph double")
+    nodes = spark.createDataFrame([], "node_id string, window_start timestamp, window_end timestamp, balance_role string, imbalance_pct double")
+    found = alerts.timed_rule_alerts(readings(spark, rows), tags, rules, states, nodes, str(at(500)), 1.0).collect()
+    assert sorted((r["rule_id"], r["tag_id"]) for r in found) == [
+        ("S0", "A-BN01-LI01"), ("S0", "A-CV01-WI01"), ("S1", "A-BN01-LI01"), ("S2", "A-BN01-LI01"), ("S3", "A-CV01-WI01")]
+
+
 def test_sustained_imbalance_needs_full_windows(spark):
     rows = [("N1", at(60 * n), at(60 * n + 60), "unit", 6.0 if n >= 3 else 0.0) for n in range(10)]
     balance = spark.createDataFrame(rows, "node_id string, window_start timestamp, window_end timestamp, balance_role string, imbalance_pct double")

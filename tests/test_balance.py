@@ -158,11 +158,11 @@ def test_no_further_shuffle_after_the_window_partitioning(spark):
         tag_1m = tag_reading_1m(readings(spark, design_rows(1)))
         path = f"{__import__('tempfile').mkdtemp()}/t1"
         tag_1m.write.parquet(path)
-        from gritstone.session import small_table
+        from gritstone.session import materialize
 
         incidence = balance.reconciled_incidence(
-            spark.read.parquet(path), small_table(plant.arcs(spark)), small_table(plant.nodes(spark)),
-            small_table(plant.tags(spark)),
+            spark.read.parquet(path), materialize(plant.arcs(spark)), materialize(plant.nodes(spark)),
+            materialize(plant.tags(spark)),
         )
         plan = balance.mass_balance_node_1m(incidence)._jdf.queryExecution().executedPlan().toString()
     finally:

@@ -9,7 +9,7 @@ import pytest
 
 from gritstone.operators import pdm
 from gritstone.plans.refresh import score_fleet
-from gritstone.session import small_table
+from gritstone.session import materialize
 from tests.helpers import at, rows_by
 
 SCORED = "asset_id string, tag_id string, window_start timestamp, days_to_fail double, label boolean, failure_prob_30d double, model_flag boolean, rms_flag boolean, rms_threshold_mm_s double"
@@ -73,7 +73,7 @@ def fleet(spark):
             crest = (5.0 if bad else 3.5) + rng.random() * 0.2
             kurt = (6.0 if bad else 3.1) + rng.random() * 0.2
             rows.append((asset, f"{asset}-VI01", at(n * 21600), at(n * 21600 + 600), rms, rms * crest, crest, kurt, 2.0, 100.0, None if n % 7 == 0 else 50.0, 60.0, 2000.0, bad))
-    return small_table(spark.createDataFrame(
+    return materialize(spark.createDataFrame(
         rows, "asset_id string, tag_id string, window_start timestamp, window_end timestamp, rms_mm_s double, peak_mm_s double, "
         "crest_factor double, kurtosis double, stddev_mm_s double, rms_pct_of_baseline double, bearing_temp_c double, "
         "motor_current_a double, throughput_tph double, label_failure_30d boolean",
@@ -98,7 +98,7 @@ def test_baseline_equals_brute_force(fleet):
 
 
 def test_model_beats_the_rms_rule_early(fleet):
-    scored = small_table(pdm.leave_one_asset_out(fleet, SMALL))
+    scored = materialize(pdm.leave_one_asset_out(fleet, SMALL))
     report = rows_by(pdm.evaluation(scored), "held_out_asset")
     assert set(report) == {"A", "B"}
     for row in report.values():

@@ -42,6 +42,20 @@ def test_refresh_all_then_one_day(spark):
     assert ("N02", "ESTIMATED") in states and ("N04", "BALANCED") in states
 
 
+def test_one_day_after_a_long_pause_equals_the_full_refresh(spark):
+    rows = plant_rows([0])
+    rows += [reading("CV-CV001-ZI01", 9 * DAY + 30, text="RUNNING"), reading("CRU-SGB01-LI01", 9 * DAY + 30, 60.0)]
+    rows += [reading("CV-CV001-ZI01", 200, text="STOPPED"), reading("CV-CV001-WI01", 9 * DAY + 30, 2500.0)]
+    full, part = tempfile.mkdtemp(prefix="gritstone-test-"), tempfile.mkdtemp(prefix="gritstone-test-")
+    plans.refresh(readings(spark, rows), dims(spark), full)
+    plans.refresh(readings(spark, rows), dims(spark), part, days=[str(at(9 * DAY).date())])
+    for name in ("equipment_state_1m", "mass_balance_node_1m", "mass_flow_1m", "tag_reading_1m"):
+        day = [spark.read.parquet(f"{out}/{name}").where(f"day = '{at(9 * DAY).date()}'").collect() for out in (full, part)]
+        assert sorted(map(str, day[0])) == sorted(map(str, day[1])) and day[0]
+    state = spark.read.parquet(f"{part}/equipment_state_1m").where("asset_id = 'CV-CV001'").first()
+    assert state["starts"] == 1
+
+
 def test_alert_table_follows_its_feed(spark):
     path = tempfile.mkdtemp(prefix="gritstone-test-")
     table = dims(spark)

@@ -92,11 +92,23 @@ def test_late_rows_do_not_replace_newer_ones(spark):
     assert {k: r["value"] for k, r in got.items()} == {"A": 1.0, "B": 3.0, "C": 2.0}
 
 
+def test_a_stream_with_a_new_checkpoint_goes_on(spark):
+    out, outbox = folder(), folder()
+    tags = spark.createDataFrame([tag("A-CV01-WI01", limits=(0.0, 10.0, 20.0, 30.0))], DIM_TAG)
+    for seconds, value in ((0, 41.0), (10, 42.0), (20, 43.0)):
+        path = feed(spark, [[reading("A-CV01-WI01", seconds, value)]])
+        jobs.stream_current(source(spark, path), out, folder()).trigger(availableNow=True).start().awaitTermination()
+        found = jobs.stream_limit_alerts(source(spark, path), tags, plant.rules(spark))
+        jobs.stream_alert_sink(found, outbox, folder()).trigger(availableNow=True).start().awaitTermination()
+        assert [r["value"] for r in read_current(spark, out).collect()] == [value]
+    assert sorted(r["trigger_value"] for r in spark.read.parquet(outbox).collect()) == [41.0, 42.0, 43.0]
+
+
 def test_a_replayed_batch_changes_nothing(spark):
     path = folder()
     for version, (seq, value) in enumerate([(1, 1.0), (2, 2.0), (2, 2.0)]):
         batch = spark.createDataFrame([("A", seq, value)], "tag_id string, seq long, value double")
-        upsert(batch, path, ["tag_id"], by=["seq"], version=min(version, 1))
+        upsert(batch, path, ["tag_id"], by=["seq"], signature=f"one-{min(version, 1)}")
     assert [(r["seq"], r["value"]) for r in read_current(spark, path).collect()] == [(2, 2.0)]
 
 
@@ -110,7 +122,7 @@ def test_limit_alerts_and_outbox(spark, rows, tags):
     assert len(got) == len(want) == len({r["alert_id"] for r in got})
     assert {r["delivery_status"] for r in got} == {"PENDING"}
     by_type = {r["rule_type"]: r for r in got if r["tag_id"] == "A-CV01-WI01"}
-    assert by_type["quality"]["trigger_text"] == "BAD" and by_type["quality"]["message"] == "A-CV01-WI01 reporting quality BAD"
+    assert by_type["quality"]["trigger_text"] == "BAD" and by_type["quality"]["message"] == "A-CV01-WI01 sends BAD"
     assert by_type["limit_trip"]["severity"] == "CRITICAL"
 
 

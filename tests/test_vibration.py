@@ -101,6 +101,13 @@ def test_trend_history_equals_sliding_frames(features):
             assert left[key][c] == (None if row[c] is None else pytest.approx(row[c])), (key, c)
 
 
+def test_trend_history_forgets_a_nan(spark):
+    rows = [("VI01", at(60 * n), float("nan") if n == 4 else float(n % 5 + 1)) for n in range(40)]
+    got = vibration.trend_history(spark.createDataFrame(rows, "tag_id string, window_start timestamp, rms_mm_s double"), 3, 5, 9)
+    spoiled = [n for n, r in enumerate(sorted(got.collect(), key=lambda r: r["window_start"])) if r["rms_pct_of_baseline"] != r["rms_pct_of_baseline"]]
+    assert spoiled == list(range(4, 14))
+
+
 def test_days_to_fail_and_peaks(spark, features):
     failures = spark.createDataFrame([("VI01", at(86400 * 30))], "tag_id string, failed_at timestamp")
     labelled = vibration.failure_labels(features, failures, 10.0)
