@@ -99,6 +99,22 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
             "bucket": gram[at].view(np.int64), "run": run.view(np.int64)}
 
 
+def own_repeats(found: dict[str, np.ndarray]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which runs are the first of their kind in their text; (text, start, stop) of what the others cover, merged."""
+    text, at = found["text"], found["at"]
+    order = np.lexsort((at, found["run"], found["bucket"], text))
+    first = np.ones(len(at), dtype=bool)
+    again = np.ones(max(0, len(at) - 1), dtype=bool)
+    for name in ("text", "bucket", "run"):
+        again &= found[name][order][1:] == found[name][order][:-1]
+    first[order[1:][again]] = False
+    text, start, stop = text[~first], (at - found["before"])[~first], (at - found["after"])[~first] + LENGTH
+    new = np.ones(len(text), dtype=bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] > stop[:-1])
+    last = np.concatenate([np.flatnonzero(new)[1:], [len(text)]])[: new.sum()] - 1
+    return first, (text[new], start[new], stop[last])
+
+
 def _bytes(column: pa.Array) -> list[bytes]:
     return [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in column]
 
@@ -108,7 +124,10 @@ def with_tie(docs: DataFrame) -> DataFrame:
 
 
 def anchors(docs: DataFrame, kind: str) -> DataFrame:
-    """One row per run of every text."""
+    """One row per different run of every text, and one (``own``) for each range that runs of the same text repeat.
+
+    The latter need no comparison: ``at`` to ``at`` - ``after`` + LENGTH is the range, and the bucket is a number of its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,14 +135,23 @@ def anchors(docs: DataFrame, kind: str) -> DataFrame:
                 texts = _bytes(rows.column("text"))
                 ends = np.cumsum([len(t) for t in texts])
                 found = anchor_runs(np.frombuffer(b"".join(texts), dtype=np.uint8), ends)
-                of = pa.array(found["text"], pa.int64())
+                first, (text, start, stop) = own_repeats(found)
+                n, zero = len(text), np.zeros(len(text), dtype=np.int64)
+                alone = mix(start.astype(np.uint64) + np.uint64(1), text.astype(np.uint64) + np.uint64(len(ends))).view(np.int64)
+
+                def column(name: str, own: np.ndarray, kind: pa.DataType) -> pa.Array:
+                    return pa.array(np.concatenate([found[name][first], own]), kind)
+
+                of = column("text", text, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id").take(of), rows.column("tie").take(of), pa.array(found["at"].astype(np.int32)),
-                     pa.array(found["before"].astype(np.int16)), pa.array(found["after"].astype(np.int16)),
-                     pa.array(found["bucket"]), pa.array(found["run"])],
-                    ["doc_id", "tie", "at", "before", "after", "bucket", "run"])
+                    [rows.column("doc_id").take(of), rows.column("tie").take(of), column("at", start, pa.int32()),
+                     column("before", zero, pa.int16()), column("after", start - stop + LENGTH, pa.int32()),
+                     column("bucket", alone, pa.int64()), column("run", zero, pa.int64()),
+                     pa.array(np.concatenate([np.zeros(first.sum(), dtype=bool), np.ones(n, dtype=bool)]))],
+                    ["doc_id", "tie", "at", "before", "after", "bucket", "run", "own"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, tie smallint, at int, before smallint, after smallint, bucket bigint, run bigint")
+    return docs.mapInArrow(
+        run, f"doc_id {kind}, tie smallint, at int, before smallint, after int, bucket bigint, run bigint, own boolean")
 
 
 def sorted_buckets(found: DataFrame) -> DataFrame:
@@ -131,9 +159,9 @@ def sorted_buckets(found: DataFrame) -> DataFrame:
     bucket = Window.partitionBy("bucket")
     inside = bucket.orderBy("run", *ID, "at")
     return (
-        found.withColumn("whole", F.coalesce(F.lag("run").over(inside) == F.col("run"), F.lit(False)))
+        found.withColumn("whole", F.col("own") | F.coalesce(F.lag("run").over(inside) == F.col("run"), F.lit(False)))
         .withColumn("kinds", F.count(F.when(~F.col("whole"), 1)).over(bucket))
-        .where("whole or kinds > 1").drop("run")
+        .where("whole or kinds > 1").drop("run", "own")
     )
 
 
@@ -151,14 +179,14 @@ def surroundings(docs: DataFrame, open_runs: DataFrame, kind: str) -> DataFrame:
                         at, before, after = r["at"], r["before"], r["after"]
                         out.append((doc, tie, at, before, after, r["bucket"], r["kinds"], data[at - before : at - after + LENGTH]))
                 columns = list(zip(*out)) if out else [[]] * 8
-                kinds = (rows.schema.field("doc_id").type, pa.int16(), pa.int32(), pa.int16(), pa.int16(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (rows.schema.field("doc_id").type, pa.int16(), pa.int32(), pa.int16(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, kinds)],
                     ["doc_id", "tie", "at", "before", "after", "bucket", "kinds", "data"])
 
     joined = docs.join(wanted, [docs["doc_id"].eqNullSafe(wanted["doc_id"]), docs["tie"] == wanted["tie"]]) \
         .select(docs["doc_id"], docs["tie"], "text", "runs")
-    return joined.mapInArrow(run, f"doc_id {kind}, tie smallint, at int, before smallint, after smallint, bucket bigint, kinds bigint, data binary")
+    return joined.mapInArrow(run, f"doc_id {kind}, tie smallint, at int, before smallint, after int, bucket bigint, kinds bigint, data binary")
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
