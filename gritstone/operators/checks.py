@@ -20,32 +20,34 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     )
 
 
-def _violations(name: str, df: DataFrame, condition: Column) -> DataFrame:
-    return df.agg(F.count_if(~F.coalesce(condition, F.lit(True))).alias("violations")).select(
-        F.lit(name).alias("check_name"), "violations"
-    )
+def _counted(df: DataFrame, **counts: Column) -> DataFrame:
+    """One row (check_name, violations) per named aggregate, all from one pass."""
+    found = df.agg(*[F.coalesce(count, F.lit(0)).cast("long").alias(name) for name, count in counts.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in counts])
+    return found.select(F.inline(rows))
 
 
-def _rows(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+def constraint_check(orders: DataFrame, notes: DataFrame, alerts: DataFrame | None = None) -> DataFrame:
+    """Violations per constraint of the work-order tables; a clean table counts zero.
 
+    The order columns are checked in the same pass that counts equal keys.
+    """
+    def broken(condition: Column) -> Column:
+        return F.count_if(~F.coalesce(condition, F.lit(True)))
 
-def constraint_check(orders: DataFrame, notes: DataFrame, alerts: DataFrame | None = None) -> DataFrame:
-    """Violations per constraint of the work-order tables; a clean table counts zero."""
-    closed_has_time = (F.col("status") == "CLOSED") == F.col("closed_at").isNotNull()
-    parts = [
-        _rows("order_key_unique", duplicate_keys(orders, "work_order_id")),
-        _violations("order_status", orders, F.col("status").isin(ORDER_STATUSES)),
-        _violations("order_priority", orders, F.col("priority").isin(ORDER_PRIORITIES)),
-        _violations("closed_has_timestamp", orders, closed_has_time),
-        _rows("note_order_exists", orphans(notes, orders, "work_order_id")),
-        _violations("note_kind", notes, F.col("note_kind").isin(NOTE_KINDS)),
-    ]
+    by_key = orders.groupBy("work_order_id").agg(
+        F.count(F.lit(1)).alias("n"), broken(F.col("status").isin(ORDER_STATUSES)).alias("status"),
+        broken(F.col("priority").isin(ORDER_PRIORITIES)).alias("priority"),
+        broken((F.col("status") == "CLOSED") == F.col("closed_at").isNotNull()).alias("closed"),
+    )
+    result = _counted(
+        by_key, order_key_unique=F.count_if(F.col("n") > 1), order_status=F.sum("status"),
+        order_priority=F.sum("priority"), closed_has_timestamp=F.sum("closed"),
+    )
+    result = result.unionByName(_counted(notes, note_kind=broken(F.col("note_kind").isin(NOTE_KINDS))))
+    result = result.unionByName(_counted(orphans(notes, orders, "work_order_id"), note_order_exists=F.count(F.lit(1))))
     if alerts is not None:
-        parts.append(_rows("order_alert_exists", orphans(orders, alerts, "alert_id")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+        result = result.unionByName(_counted(orphans(orders, alerts, "alert_id"), order_alert_exists=F.count(F.lit(1))))
     return result
 
 

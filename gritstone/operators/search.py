@@ -117,10 +117,11 @@ def best_note_per_order(fused: DataFrame, notes: DataFrame, orders: DataFrame) -
 
 def hybrid_search(
     notes: DataFrame, orders: DataFrame, query: str, query_vector: list[float], top: int = 5,
-    k: int = LIST_LENGTH,
+    k: int = LIST_LENGTH, vectors: DataFrame | None = None,
 ) -> DataFrame:
+    """``vectors`` holds the notes' embeddings where they are a table of their own, so texts and vectors never meet."""
     terms = query_terms(notes.sparkSession, query)
-    fused = rrf_fuse(bm25_top(notes, terms, k), vector_top(notes, query_vector, k))
+    fused = rrf_fuse(bm25_top(notes, terms, k), vector_top(notes if vectors is None else vectors, query_vector, k))
     return (
         best_note_per_order(fused, notes, orders)
         .orderBy(F.desc("rrf"), "note_id").limit(top)
