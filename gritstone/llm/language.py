@@ -6,7 +6,7 @@ declared  the language that the markup or the record declares, given the languag
 suffix    the language of the address's country suffix, given the language (confusion table)
 host      the host's own mix of languages, smoothed towards its domain's, and that towards that of all rows
 
-The trigram model is fitted on a bounded sample, SAMPLE labelled rows of each language (smallest hashed text);
+The trigram model is fitted on a bounded sample, SAMPLE labelled rows of each language (different texts, smallest hashes);
 all counts behind the other three cover all rows, as grouped aggregates of the languages that the text alone
 suggests. Host counts are joined back by host, never collected: hosts grow with the data, and a host with a
 third of the rows is one row of counts.
@@ -67,31 +67,34 @@ def plain_language(declared: Column) -> Column:
 
 def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log likelihood by cell and language) of at most SAMPLE rows of each ``declared`` language."""
-    order = Window.partitionBy("declared").orderBy(F.xxhash64("text"), "text")
-    sample = labelled.where("declared <> '' and text is not null and text <> ''").select("declared", "text") \
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
+    told = labelled.where("declared <> '' and text is not null and text <> ''").select("declared", F.xxhash64("text").alias("hash"), "text")
+    order = Window.partitionBy("declared").orderBy("hash")
+    drawn = told.select("declared", "hash").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
+    ample = drawn.groupBy("declared").agg(F.max("hash").alias("last"), F.max("n").alias("n")).where(F.col("n") >= LEAST_LABELLED) \
+        .orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect()
+    if not ample:
+        return [], np.zeros((CELLS, 0), dtype=np.float32)
+    within = F.lit(False)
+    for row in ample:
+        within = within | (F.col("declared") == row["declared"]) & (F.col("hash") <= row["last"])
+    sample = told.where(within).groupBy("declared", "hash").agg(F.min("text").alias("text"))
 
     def count(batches):
         totals: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
             for language, text in zip(batch.column("declared").to_pylist(), batch.column("text")):
                 totals.setdefault(language, np.zeros(CELLS, dtype=np.int64))
                 totals[language] += np.bincount(trigrams(text.as_py()), minlength=CELLS)
-                rows[language] = rows.get(language, 0) + 1
         for language, cells in totals.items():
             at = np.flatnonzero(cells)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * (len(at) + 1)), pa.array([-1, *at.tolist()]), pa.array([rows[language], *cells[at].tolist()])],
-                ["language", "cell", "n"])
-
-    counts = sample.drop("n").mapInArrow(count, "language string, cell bigint, n bigint").groupBy("language", "cell").agg(F.sum("n").alias("n"))
-    ample = counts.where((F.col("cell") == -1) & (F.col("n") >= LEAST_LABELLED)).orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES)
-    found = counts.join(ample.select("language"), "language").toPandas()
-    languages = sorted(found["language"].unique())
+            yield pa.RecordBatch.from_arrays([pa.array([language] * len(at)), pa.array(at), pa.array(cells[at])], ["language", "cell", "n"])
+
+    counts = sample.mapInArrow(count, "language string, cell bigint, n bigint").groupBy("language", "cell").agg(F.sum("n").alias("n"))
+    found = counts.toPandas()  # at most CELLS rows for each language
+    languages = sorted(row["declared"] for row in ample)
     table = np.full((CELLS, len(languages)), ADDED)
     for k, language in enumerate(languages):
-        own = found[(found["language"] == language) & (found["cell"] >= 0)]
+        own = found[found["language"] == language]
         table[own["cell"].to_numpy(dtype=np.int64), k] += own["n"].to_numpy(dtype=float)
     return languages, np.log(table / table.sum(axis=0)).astype(np.float32)
 
@@ -192,9 +195,13 @@ def identify(rows: DataFrame) -> DataFrame:
     return named.withColumn("accepted", F.col("language") != REJECTED)
 
 
-def of_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the row), declared, language, probability, accepted: ``lang`` declares, ``source`` is the host."""
-    return identify(docs.select("doc_id", F.xxhash64("doc_id", "text", "lang", "source").alias("key"), "text",
+def of_documents(docs: DataFrame, keep_tag: bool = False) -> DataFrame:
+    """doc_id, key (of the row), declared, language, probability, accepted: ``lang`` declares, ``source`` is the host.
+
+    ``keep_tag`` adds ``tag``, the declaration as it stands.
+    """
+    tag = [F.col("lang").alias("tag")] if keep_tag else []
+    return identify(docs.select("doc_id", F.xxhash64("doc_id", "text", "lang", "source").alias("key"), "text", *tag,
                                 F.col("lang").alias("declared"), F.col("source").alias("host")))
 
 
@@ -215,6 +222,8 @@ def of_pages(pages: DataFrame) -> DataFrame:
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The accepted documents with all their columns; ``lang`` becomes the identified language."""
     key = F.xxhash64("doc_id", "text", "lang", "source")
-    found = stored(of_documents(docs).where("accepted").groupBy("key").agg(F.min("language").alias("language")), "languages")
-    joined = docs.join(found, key == found["key"])
-    return joined.select(*[found["language"].alias(c) if c == "lang" else docs[c] for c in docs.columns])
+    told = of_documents(docs.select("doc_id", "text", "lang", "source"), keep_tag=True)
+    other = ~F.col("accepted") | ~F.col("language").eqNullSafe(F.col("tag"))
+    changes = stored(told.where(other).groupBy("key").agg(F.min(F.when(F.col("accepted"), F.col("language"))).alias("language")), "changes")
+    joined = docs.join(changes, key == changes["key"], "left").where(changes["key"].isNull() | changes["language"].isNotNull())
+    return joined.select(*[F.coalesce(changes["language"], docs[c]).alias(c) if c == "lang" else docs[c] for c in docs.columns])
