@@ -32,6 +32,7 @@ CALIBRATION = 200
 RECALL = 0.97
 PIECE_ROWS = 4096
 PIECE_QUERIES = 2048
+WALK = 16
 
 
 class Tree:
@@ -182,8 +183,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
 
     def walk(frames):
         for pdf in frames:
-            leaves = [tree.best_bins(q, visits, rows_in) for q in _units(_matrix(pdf["vector"])).astype(np.float32)]
-            yield pdf.assign(leaf=leaves).explode("leaf").dropna(subset=["leaf"]).astype({"leaf": "int32"})
+            for at in range(0, len(pdf), WALK):  # every query is repeated for each leaf that it visits
+                some = pdf.iloc[at : at + WALK]
+                leaves = [tree.best_bins(q, visits, rows_in) for q in _units(_matrix(some["vector"])).astype(np.float32)]
+                yield some.assign(leaf=leaves).explode("leaf").dropna(subset=["leaf"]).astype({"leaf": "int32"})
 
     asked = stored(asked.mapInPandas(walk, "vec_id bigint, vector array<double>, leaf int"), "visits")
     pieces = sizes.join(asked.groupBy("leaf").agg(F.count("*").alias("m")), "leaf").select(
