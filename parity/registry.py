@@ -230,7 +230,7 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     path = scratch(i.spark, "layout")
     rows = i.readings.select("tag_id", "source_ts", "seq", "quality", "value")
-    sinks.layout_by_key(rows, ["tag_id", "source_ts"], 8).write.mode("overwrite").parquet(path)
+    sinks.layout_by_key(rows, ["tag_id", "source_ts"]).write.mode("overwrite").parquet(path)
     return i.spark.read.parquet(path)
 
 
