@@ -26,7 +26,8 @@ from gritstone.llm import htmltext
 from gritstone.llm.store import map_text, stored
 
 SAMPLE = 1000
-LEAST_LABELLED = 5
+MARGIN = 4
+LEAST_LABELLED = 3
 MOST_LANGUAGES = 64
 REJECTED = "und"
 CELLS = 1 << 16
@@ -68,8 +69,13 @@ def plain_language(declared: Column) -> Column:
 def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log likelihood by cell and language) of at most SAMPLE rows of each ``declared`` language."""
     told = labelled.where("declared <> '' and text is not null and text <> ''").select("declared", F.xxhash64("text").alias("hash"), "text")
+    totals = told.groupBy("declared").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect()
+    low = F.lit(False)  # hashes so low that a few times SAMPLE rows of the language have them
+    for row in totals:
+        cut = int(min(1.0, MARGIN * SAMPLE / row["n"]) * ((1 << 64) - 1)) - (1 << 63)
+        low = low | (F.col("declared") == row["declared"]) & (F.col("hash") <= min(cut, (1 << 63) - 1))
     order = Window.partitionBy("declared").orderBy("hash")
-    drawn = told.select("declared", "hash").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
+    drawn = told.where(low).select("declared", "hash").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
     ample = drawn.groupBy("declared").agg(F.max("hash").alias("last"), F.max("n").alias("n")).where(F.col("n") >= LEAST_LABELLED) \
         .orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect()
     if not ample:
