@@ -10,8 +10,9 @@ the next: 1, 2, 4, 8, 16, Q = 24, 48, 96 and LENGTH = 100 bytes. They are 64-bit
 no level needs a sort of its own. An anchor's initial bucket is its Q-gram. The bucket is sorted on the identifiers of the LENGTH-byte strings
 at the two ends of the anchor's run (the strings that have this anchor): anchors that agree there have the same run, and
 all but the first of them are repeats as a whole. What is left of a bucket with several different runs
-is refined by comparing their bytes around the anchor: up to GROUP_UP_TO runs directly, more by one
-row for each string, grouped by its digest, so a passage with very many contexts is spread out.
+is refined by their bytes around the anchor: up to GROUP_UP_TO runs in one task, which notes the strings it has met
+(a few dozen for each run), more by one row for each string, grouped by its digest, so a passage
+with very many contexts is spread out.
 
 Null texts are empty. Texts under LENGTH bytes lose nothing. Rows that agree in doc_id and text count as one document and get
 the same result; rows that agree in doc_id only are ordered by a hash of the text. A null doc_id comes first.
@@ -34,7 +35,8 @@ LENGTH = 100
 Q = 24
 SPAN = LENGTH - Q + 1
 PLACE_BITS = 28
-GROUP_UP_TO = 64
+GROUP_UP_TO = 10_000
+PAIRS_UP_TO = 8
 ID = ["doc_id", "tie"]
 
 _BYTE = np.random.default_rng(7).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -209,6 +211,22 @@ def repeats_in_bucket(members: list[tuple[int, int, bytes]]) -> list[tuple[int,
     Members (before, after, data) come in document order; an offset is the anchor's place in the string.
     """
     out = []
+    if len(members) > PAIRS_UP_TO:
+        met: set[bytes] = set()
+        for i, (before, after, data) in enumerate(members):
+            since = None
+            for offset in range(after, before + 1):
+                string = xxh3_128_digest(data[before - offset : before - offset + LENGTH])
+                if string in met:
+                    since = offset if since is None else since
+                else:
+                    met.add(string)
+                    if since is not None:
+                        out.append((i, since, offset - 1))
+                        since = None
+            if since is not None:
+                out.append((i, since, before))
+        return out
     cut = [(before, after, data[:before][::-1], data[before:]) for before, after, data in members]
     for i, (before, after, left, right) in enumerate(cut):
         for other_before, other_after, other_left, other_right in cut[:i]:
