@@ -37,6 +37,8 @@ SPAN = LENGTH - Q + 1
 PLACE_BITS = 28
 GROUP_UP_TO = 10_000
 PAIRS_UP_TO = 8
+#: A bucket with so many anchors in one of LOOKED_AT parts of the documents is crowded.
+LOOKED_AT, CROWDED = 64, 2000
 ID = ["doc_id", "tie"]
 
 _BYTE = np.random.default_rng(7).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -167,6 +169,32 @@ def sorted_buckets(found: DataFrame) -> DataFrame:
     )
 
 
+def crowded_buckets(found: DataFrame) -> DataFrame:
+    """The same for buckets that would be too much for a task: firsts by grouping, the others by a join."""
+    runs = stored(found.where(~F.col("own")), "crowded")
+    place = F.struct(*ID, "at")
+    firsts = stored(runs.groupBy("bucket", "run").agg(
+        F.min(place).alias("first"), F.first("before").alias("before"), F.first("after").alias("after")), "firsts")
+    whole = runs.join(firsts.select("bucket", "run", "first"), ["bucket", "run"]).where(place != F.col("first"))
+    kinds = firsts.groupBy("bucket").agg(F.count("*").alias("kinds"))
+    left = firsts.join(kinds, "bucket").where("kinds > 1").select("first.*", "before", "after", "bucket", F.lit(False).alias("whole"), "kinds")
+    return left.unionByName(whole.select(*ID, "at", "before", "after", "bucket", F.lit(True).alias("whole"), F.lit(1).cast("long").alias("kinds")))
+
+
+def buckets(docs: DataFrame, kind: str) -> DataFrame:
+    """Anchors that repeat as a whole, and those of buckets with several different runs.
+
+    A look at one in LOOKED_AT documents tells which buckets are crowded. That settles only how they are
+    worked through, not what comes out.
+    """
+    looked_at = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(LOOKED_AT)) == 0)
+    many = stored(anchors(looked_at, kind).groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= CROWDED).select("bucket"), "crowds")
+    found = anchors(docs, kind)
+    if many.isEmpty():
+        return sorted_buckets(found)
+    return sorted_buckets(found.join(many, "bucket", "left_anti")).unionByName(crowded_buckets(found.join(many, "bucket", "left_semi")))
+
+
 def surroundings(docs: DataFrame, open_runs: DataFrame, kind: str) -> DataFrame:
     """The bytes of each open run's strings, from ``before`` bytes left of the anchor."""
     wanted = open_runs.groupBy(*ID).agg(F.collect_list(F.struct("at", "before", "after", "bucket", "kinds")).alias("runs"))
@@ -302,7 +330,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     told = with_tie(docs)
     texts = told.where(F.octet_length("text") >= LENGTH)
-    found = stored(sorted_buckets(anchors(texts, kind)), "buckets")
+    found = stored(buckets(texts, kind), "buckets")
     whole = found.where("whole").select(
         *ID, (F.col("at") - F.col("before")).alias("start"), (F.col("at") - F.col("after") + LENGTH).alias("stop"))
     surrounded = stored(surroundings(texts, found.where("not whole"), kind), "surroundings")

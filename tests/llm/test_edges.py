@@ -88,8 +88,10 @@ def test_substrings(docs, none, spark, monkeypatch):
     rows += [(50, passage * 3), (51, "ab" * 400), (52, "xy" + "ab" * 90), (53, passage[:99]), (54, passage[:100])]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     expected = removed_bytes(rows)
-    for most in (10_000, 2):
+    for most, crowded in ((10_000, 2000), (2, 2000), (10_000, 2)):
         monkeypatch.setattr(substrings, "GROUP_UP_TO", most)
+        monkeypatch.setattr(substrings, "CROWDED", crowded)
+        monkeypatch.setattr(substrings, "LOOKED_AT", 1 if crowded == 2 else 64)
         found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.without_repeats(frame).collect()}
         assert found == expected
     nameless = spark.createDataFrame([(None, passage), (1, passage)], "doc_id bigint, text string")
