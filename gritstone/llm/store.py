@@ -32,10 +32,10 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about BATCH_CHARS of text each, so a task's memory does not follow its longest rows."""
+def slices(batch: pa.RecordBatch, text: str, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``chars`` of text each, so a task's memory does not follow its longest rows."""
     lengths = batch.column(text).nbytes / max(1, batch.num_rows)
-    step = max(1, int(BATCH_CHARS / max(1.0, lengths)))
+    step = max(1, int(chars / max(1.0, lengths)))
     for start in range(0, batch.num_rows, step):
         yield batch.slice(start, step)
 

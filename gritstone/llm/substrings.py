@@ -37,6 +37,8 @@ SPAN = LENGTH - Q + 1
 PLACE_BITS = 28
 GROUP_UP_TO = 10_000
 PAIRS_UP_TO = 8
+#: Bytes of text worked on at once: every byte takes a dozen numbers of eight bytes.
+STEP = 1_000_000
 #: A bucket with so many anchors in one of LOOKED_AT parts of the documents is crowded.
 LOOKED_AT, CROWDED = 64, 2000
 ID = ["doc_id", "tie"]
@@ -135,7 +137,7 @@ def anchors(docs: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", STEP):
                 texts = _bytes(rows.column("text"))
                 ends = np.cumsum([len(t) for t in texts])
                 found = anchor_runs(np.frombuffer(b"".join(texts), dtype=np.uint8), ends)
@@ -201,7 +203,7 @@ def surroundings(docs: DataFrame, open_runs: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", STEP):
                 out: list[tuple] = []
                 for doc, tie, text, runs in zip(*(rows.column(c) for c in ("doc_id", "tie", "text", "runs"))):
                     data, doc, tie = text.as_py().encode("utf-8", "surrogatepass"), doc.as_py(), tie.as_py()
@@ -361,7 +363,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", STEP):
                 out = []
                 for data, cut in zip(_bytes(rows.column("text")), rows.column("ranges")):
                     pieces, removed, runs = kept_bytes(data, [(r["start"], r["stop"]) for r in cut.as_py() or ()])
