@@ -26,7 +26,7 @@ from gritstone.llm.store import stored
 K = 5
 SAMPLE = 20_000
 BRANCHES = 8
-LEAF = 40
+LEAF = 400
 ROUNDS = 8
 CALIBRATION = 200
 RECALL = 0.97
