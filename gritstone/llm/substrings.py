@@ -126,7 +126,19 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 
 def with_tie(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("smallint").alias("tie"), "text")
+    return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+
+
+def each_once(texts: DataFrame) -> DataFrame:
+    """One of the rows that agree in doc_id and text: a row that is given twice is no earlier copy of itself.
+
+    Only rows that are given several times are moved for it.
+    """
+    twice = stored(texts.groupBy(*ID).agg(F.count("*").alias("n")).where("n > 1").select(*ID), "twice")
+    if twice.isEmpty():
+        return texts
+    same = [texts["doc_id"].eqNullSafe(twice["doc_id"]), texts["tie"] == twice["tie"]]
+    return texts.join(twice, same, "left_anti").unionByName(stored(texts.join(twice, same, "left_semi").dropDuplicates(ID), "once"))
 
 
 def anchors(docs: DataFrame, kind: str) -> DataFrame:
@@ -157,12 +169,15 @@ def anchors(docs: DataFrame, kind: str) -> DataFrame:
                     ["doc_id", "tie", "at", "before", "after", "bucket", "run", "own"])
 
     return docs.mapInArrow(
-        run, f"doc_id {kind}, tie smallint, at int, before smallint, after int, bucket bigint, run bigint, own boolean")
+        run, f"doc_id {kind}, tie bigint, at int, before smallint, after int, bucket bigint, run bigint, own boolean")
 
 
 def sorted_buckets(found: DataFrame) -> DataFrame:
-    """Anchors of buckets with several members: ``whole`` for repeats of the same run, ``kinds`` different runs."""
-    bucket = Window.partitionBy("bucket")
+    """Anchors of buckets with several members: ``whole`` for repeats of the same run, ``kinds`` different runs.
+
+    ``own`` rows are in no bucket with others and come out as they are.
+    """
+    bucket = Window.partitionBy("bucket", "own")
     inside = bucket.orderBy("run", *ID, "at")
     return (
         found.withColumn("whole", F.col("own") | F.coalesce(F.lag("run").over(inside) == F.col("run"), F.lit(False)))
@@ -173,7 +188,7 @@ def sorted_buckets(found: DataFrame) -> DataFrame:
 
 def crowded_buckets(found: DataFrame) -> DataFrame:
     """The same for buckets that would be too much for a task: firsts by grouping, the others by a join."""
-    runs = stored(found.where(~F.col("own")), "crowded")
+    runs = stored(found, "crowded")
     place = F.struct(*ID, "at")
     firsts = stored(runs.groupBy("bucket", "run").agg(
         F.min(place).alias("first"), F.first("before").alias("before"), F.first("after").alias("after")), "firsts")
@@ -190,11 +205,13 @@ def buckets(docs: DataFrame, kind: str) -> DataFrame:
     worked through, not what comes out.
     """
     looked_at = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(LOOKED_AT)) == 0)
-    many = stored(anchors(looked_at, kind).groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= CROWDED).select("bucket"), "crowds")
+    sizes = anchors(looked_at, kind).where("not own").groupBy("bucket", "own").agg(F.count("*").alias("n"))
+    many = stored(sizes.where(F.col("n") >= CROWDED).select("bucket", "own"), "crowds")
     found = anchors(docs, kind)
     if many.isEmpty():
         return sorted_buckets(found)
-    return sorted_buckets(found.join(many, "bucket", "left_anti")).unionByName(crowded_buckets(found.join(many, "bucket", "left_semi")))
+    keys = ["bucket", "own"]
+    return sorted_buckets(found.join(many, keys, "left_anti")).unionByName(crowded_buckets(found.join(many, keys, "left_semi")))
 
 
 def surroundings(docs: DataFrame, open_runs: DataFrame, kind: str) -> DataFrame:
@@ -211,14 +228,14 @@ def surroundings(docs: DataFrame, open_runs: DataFrame, kind: str) -> DataFrame:
                         at, before, after = r["at"], r["before"], r["after"]
                         out.append((doc, tie, at, before, after, r["bucket"], r["kinds"], data[at - before : at - after + LENGTH]))
                 columns = list(zip(*out)) if out else [[]] * 8
-                kinds = (rows.schema.field("doc_id").type, pa.int16(), pa.int32(), pa.int16(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (rows.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int16(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, kinds)],
                     ["doc_id", "tie", "at", "before", "after", "bucket", "kinds", "data"])
 
     joined = docs.join(wanted, [docs["doc_id"].eqNullSafe(wanted["doc_id"]), docs["tie"] == wanted["tie"]]) \
         .select(docs["doc_id"], docs["tie"], "text", "runs")
-    return joined.mapInArrow(run, f"doc_id {kind}, tie smallint, at int, before smallint, after int, bucket bigint, kinds bigint, data binary")
+    return joined.mapInArrow(run, f"doc_id {kind}, tie bigint, at int, before smallint, after int, bucket bigint, kinds bigint, data binary")
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -283,7 +300,7 @@ def compared(surrounded: DataFrame, kind: str) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out)) if out else [[]] * 4
-            kinds = (doc_type, pa.int16(), pa.int32(), pa.int32())
+            kinds = (doc_type, pa.int64(), pa.int32(), pa.int32())
             made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "tie", "start", "stop"])
             out.clear()
             return made
@@ -299,7 +316,7 @@ def compared(surrounded: DataFrame, kind: str) -> DataFrame:
         yield flush()
 
     few = surrounded.where(F.col("kinds") <= GROUP_UP_TO).repartition("bucket").sortWithinPartitions("bucket", *ID, "at")
-    return few.select("bucket", *ID, "at", "before", "after", "data").mapInArrow(run, f"doc_id {kind}, tie smallint, start int, stop int")
+    return few.select("bucket", *ID, "at", "before", "after", "data").mapInArrow(run, f"doc_id {kind}, tie bigint, start int, stop int")
 
 
 def spread_out(surrounded: DataFrame, kind: str) -> DataFrame:
@@ -321,7 +338,7 @@ def spread_out(surrounded: DataFrame, kind: str) -> DataFrame:
                     ["doc_id", "tie", "start", "string"])
 
     many = surrounded.where(F.col("kinds") > GROUP_UP_TO).select(*ID, "at", "before", "after", "data")
-    strings = stored(many.mapInArrow(run, f"doc_id {kind}, tie smallint, start int, string binary"), "strings")
+    strings = stored(many.mapInArrow(run, f"doc_id {kind}, tie bigint, start int, string binary"), "strings")
     first = strings.groupBy("string").agg(F.min(F.struct(*ID, "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     again = strings.join(first, "string").where(F.struct(*ID, "start") != F.col("first"))
     return again.select(*ID, "start", (F.col("start") + LENGTH).alias("stop"))
@@ -331,7 +348,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, tie, start, stop): byte ranges to remove; they may touch and overlap."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     told = with_tie(docs)
-    texts = told.where(F.octet_length("text") >= LENGTH)
+    texts = each_once(told.where(F.octet_length("text") >= LENGTH))
     found = stored(buckets(texts, kind), "buckets")
     whole = found.where("whole").select(
         *ID, (F.col("at") - F.col("before")).alias("start"), (F.col("at") - F.col("after") + LENGTH).alias("stop"))

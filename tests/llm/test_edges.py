@@ -98,6 +98,22 @@ def test_substrings(docs, none, spark, monkeypatch):
     assert {(r.doc_id, r.n_removed) for r in substrings.without_repeats(nameless).collect()} == {(None, 0), (1, len(passage))}
 
 
+def test_substrings_doubled_rows(spark, monkeypatch):
+    passage = words(9, 40)
+    rows = [(3, passage), (7, "before " + passage[20:] + " after"), (8, words(31, 60)), (9, passage + " " + passage), (10, "x" + passage[:150] + "y")]
+    other = (3, words(32, 60))  # agrees with a doubled row in doc_id only
+    frame = spark.createDataFrame(rows * 2 + rows[:3] + [other], "doc_id bigint, text string").repartition(3)
+    expected = {**removed_bytes(rows)}
+    for most, crowded in ((10_000, 2000), (1, 2000), (10_000, 2)):
+        monkeypatch.setattr(substrings, "GROUP_UP_TO", most)
+        monkeypatch.setattr(substrings, "CROWDED", crowded)
+        monkeypatch.setattr(substrings, "LOOKED_AT", 1 if crowded == 2 else 64)
+        found = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in substrings.without_repeats(frame).collect()]
+        alone = removed_bytes([other]).popitem()
+        assert len(found) == 14 and set(found) == {*expected.items(), alone}
+        assert expected[3][1] == expected[8][1] == alone[1][1] == 0
+
+
 def test_secrets(docs, none):
     def der(tag, body):
         size = bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")
