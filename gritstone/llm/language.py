@@ -67,23 +67,20 @@ def plain_language(declared: Column) -> Column:
 
 
 def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log likelihood by cell and language) of at most SAMPLE rows of each ``declared`` language."""
+    """(languages, log likelihood by cell and language) of at most SAMPLE different texts of each ``declared`` language."""
     told = labelled.where("declared <> '' and text is not null and text <> ''").select("declared", F.xxhash64("text").alias("hash"), "text")
-    totals = told.groupBy("declared").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect()
-    low = F.lit(False)  # hashes so low that a few times SAMPLE rows of the language have them
-    for row in totals:
-        cut = int(min(1.0, MARGIN * SAMPLE / row["n"]) * ((1 << 64) - 1)) - (1 << 63)
-        low = low | (F.col("declared") == row["declared"]) & (F.col("hash") <= min(cut, (1 << 63) - 1))
+    different = stored(told.select("declared", "hash").distinct(), "different-texts")
+    sizes = stored(different.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_LABELLED)
+                   .orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES), "sizes")
+    # Hashes so low that a few times SAMPLE different texts of the language have them: n counts no copies.
+    share = F.least(F.lit(1.0), F.lit(float(MARGIN * SAMPLE)) / F.col("n"))
+    low = different.join(sizes, "declared").where(F.col("hash").cast("double") <= share * float(1 << 64) - float(1 << 63))
     order = Window.partitionBy("declared").orderBy("hash")
-    drawn = told.where(low).select("declared", "hash").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
-    ample = drawn.groupBy("declared").agg(F.max("hash").alias("last"), F.max("n").alias("n")).where(F.col("n") >= LEAST_LABELLED) \
-        .orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect()
-    if not ample:
+    drawn = stored(low.select("declared", "hash").withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE).drop("n"), "drawn")
+    languages = sorted(row["declared"] for row in sizes.collect())
+    if not languages:
         return [], np.zeros((CELLS, 0), dtype=np.float32)
-    within = F.lit(False)
-    for row in ample:
-        within = within | (F.col("declared") == row["declared"]) & (F.col("hash") <= row["last"])
-    sample = told.where(within).groupBy("declared", "hash").agg(F.min("text").alias("text"))
+    sample = told.join(drawn, ["declared", "hash"]).groupBy("declared", "hash").agg(F.min("text").alias("text"))
 
     def count(batches):
         totals: dict[str, np.ndarray] = {}
@@ -97,7 +94,6 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
     counts = sample.mapInArrow(count, "language string, cell bigint, n bigint").groupBy("language", "cell").agg(F.sum("n").alias("n"))
     found = counts.toPandas()  # at most CELLS rows for each language
-    languages = sorted(row["declared"] for row in ample)
     table = np.full((CELLS, len(languages)), ADDED)
     for k, language in enumerate(languages):
         own = found[found["language"] == language]

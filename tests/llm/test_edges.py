@@ -163,6 +163,21 @@ def test_language(spark, docs, none):
     assert all(found[n] == rows[n][2] for n in range(60)) and found[70] == "und" and found[71] == "de"
 
 
+def test_language_of_mostly_copied_texts(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 20)
+    draw = random.Random(5)
+    text = lambda letters, n: " ".join("".join(draw.choices(letters, k=4)) for _ in range(n))
+    copied = text("abcde", 30)
+    rows = [(n, copied if n >= 30 else text("abcde", 30), "en", "a") for n in range(6000)]
+    rows += [(10_000 + n, text("vwxyz", 30), "de", "a") for n in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    languages, table = language.fit(frame.selectExpr("text", "lang AS declared"))
+    assert languages == ["de", "en"]
+    seen = {k: (table[:, k] > table[:, k].min()).sum() for k in range(2)}
+    assert seen[1] > 0.8 * seen[0]  # English, too, is learned from SAMPLE different texts
+    assert {r.doc_id: r.language for r in language.of_documents(frame).collect()} == {r[0]: r[2] for r in rows}
+
+
 def test_html(spark):
     def page(n, main, extra=""):
         return (n, f"http://h.org/{n}", f"<html><head><title>t</title></head><body><header>Site</header><nav>Home<a>About</a></nav>{extra}"
