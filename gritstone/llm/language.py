@@ -9,7 +9,8 @@ host      the host's own mix of languages, smoothed towards its domain's, and th
 The trigram model is fitted on a bounded sample, SAMPLE labelled rows of each language (different texts, smallest hashes);
 all counts behind the other three cover all rows, as grouped aggregates of the languages that the text alone
 suggests. Host counts are joined back by host, never collected: hosts grow with the data, and a host with a
-third of the rows is one row of counts.
+third of the rows is one row of counts. Every language with LEAST_LABELLED different texts is learned, however many there
+are: the model has CELLS x languages numbers of four bytes, the confusion tables languages x languages.
 
 Overlapping trigrams repeat each other, so text evidence counts by a third. A row is accepted if its best class is a
 language. Rows without any letter are rejected whatever they declare; null and empty texts are such rows. A null
@@ -28,12 +29,13 @@ from gritstone.llm.store import map_text, stored
 SAMPLE = 1000
 MARGIN = 4
 LEAST_LABELLED = 3
-MOST_LANGUAGES = 64
 REJECTED = "und"
 CELLS = 1 << 16
 BACKGROUND = -np.log(27.0**3)
 ADDED = 0.5
 EVERY = 3.0
+#: Trigrams looked up at once.
+STEP = 1 << 14
 REJECT_PRIOR = 0.01
 #: Rows of the level above that a host's or a domain's own rows are mixed with.
 HOST_WEIGHT, DOMAIN_WEIGHT, GLOBAL_WEIGHT = 20.0, 50.0, 1.0
@@ -70,8 +72,7 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log likelihood by cell and language) of at most SAMPLE different texts of each ``declared`` language."""
     told = labelled.where("declared <> '' and text is not null and text <> ''").select("declared", F.xxhash64("text").alias("hash"), "text")
     different = stored(told.select("declared", "hash").distinct(), "different-texts")
-    sizes = stored(different.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_LABELLED)
-                   .orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES), "sizes")
+    sizes = stored(different.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_LABELLED), "sizes")
     # Hashes so low that a few times SAMPLE different texts of the language have them: n counts no copies.
     share = F.least(F.lit(1.0), F.lit(float(MARGIN * SAMPLE)) / F.col("n"))
     low = different.join(sizes, "declared").where(F.col("hash").cast("double") <= share * float(1 << 64) - float(1 << 63))
@@ -109,7 +110,9 @@ def text_evidence(rows: DataFrame, languages: list[str], table: np.ndarray) -> D
         evidence, sizes, best = [], [], []
         for text in batch.column("text"):
             cells = trigrams(text.as_py())
-            over = table[cells].sum(axis=0, dtype=np.float64) - BACKGROUND * len(cells)
+            over = np.full(len(languages), -BACKGROUND * len(cells))
+            for at in range(0, len(cells), STEP):
+                over += table[cells[at : at + STEP]].sum(axis=0, dtype=np.float64)
             over /= EVERY
             evidence.append(over)
             sizes.append(len(cells))
@@ -122,37 +125,72 @@ def text_evidence(rows: DataFrame, languages: list[str], table: np.ndarray) -> D
     return map_text(rows, run, f"{fields}, evidence array<double>, letters bigint, by_text string")
 
 
-def _confusion(scored: DataFrame, column: str, languages: list[str]) -> Column:
-    """Array over languages of log P(value | language); zeros where the value is not a known language."""
-    counts = {(row[0], row[1]): row[2] for row in scored.where(F.col(column).isin(languages) & F.col("by_text").isNotNull())
-              .groupBy(column, "by_text").count().collect()}  # a square of at most MOST_LANGUAGES
-    out = F.array(*[F.lit(0.0) for _ in languages])
-    for value in languages:
-        rates = []
-        for language in languages:
-            total = sum(counts.get((v, language), 0) for v in languages)
-            before = TRUSTED if value == language else (1 - TRUSTED) / max(1, len(languages) - 1)
-            rates.append(float(np.log((counts.get((value, language), 0) + TRUST_WEIGHT * before) / (total + TRUST_WEIGHT))))
-        out = F.when(F.col(column) == value, F.array(*[F.lit(x) for x in rates])).otherwise(out)
-    return out
+def _confusion(scored: DataFrame, column: str, languages: list[str]) -> np.ndarray:
+    """Log P(value | language), a row for each value and one of zeros for values that are no known language."""
+    at = {language: k for k, language in enumerate(languages)}
+    counts = np.zeros((len(languages), len(languages)))
+    for value, language, n in scored.where(F.col(column).isin(languages) & F.col("by_text").isNotNull()) \
+            .groupBy(column, "by_text").count().collect():  # a square of the languages
+        counts[at[value], at[language]] = n
+    before = np.full(counts.shape, (1 - TRUSTED) / max(1, len(languages) - 1))
+    np.fill_diagonal(before, TRUSTED)
+    rates = np.log((counts + TRUST_WEIGHT * before) / (counts.sum(axis=0) + TRUST_WEIGHT))
+    return np.vstack([rates, np.zeros(len(languages))])
 
 
 def host_priors(scored: DataFrame, languages: list[str]) -> DataFrame:
     """(host, prior): the smoothed mix of languages of every host, as an array over ``languages``."""
-    each = [F.count(F.when(F.col("by_text") == language, 1)).cast("double").alias(f"n{k}") for k, language in enumerate(languages)]
-    names = [f"n{k}" for k in range(len(languages))]
-    hosts = stored(scored.groupBy("host", "domain").agg(*each), "hosts")
-    domains = hosts.groupBy("domain").agg(*[F.sum(n).alias(n.replace("n", "d")) for n in names])
-    overall = hosts.agg(*[F.sum(n) for n in names]).first()
-    total = sum(x or 0.0 for x in overall)
-    base = [((x or 0.0) + GLOBAL_WEIGHT / len(languages)) / (total + GLOBAL_WEIGHT) for x in overall]
+    each = stored(scored.groupBy("host", "domain", "by_text").agg(F.count("*").alias("n")), "hosts")
+    told = F.collect_list(F.when(F.col("by_text").isNotNull(), F.struct("by_text", "n")))
+    named = each.where(F.col("by_text").isNotNull())
+    domains = named.groupBy("domain", "by_text").agg(F.sum("n").alias("n")).groupBy("domain").agg(told.alias("around"))
+    joined = each.groupBy("host", "domain").agg(told.alias("own")).join(domains, "domain", "left").select("host", "own", "around")
+    at = {language: k for k, language in enumerate(languages)}
+    overall = np.zeros(len(languages))
+    for language, n in named.groupBy("by_text").agg(F.sum("n")).collect():
+        overall[at[language]] = n
+    base = (overall + GLOBAL_WEIGHT / len(languages)) / (overall.sum() + GLOBAL_WEIGHT)
+
+    def dense(found: list[dict] | None) -> np.ndarray:
+        out = np.zeros(len(at))
+        for pair in found or ():
+            out[at[pair["by_text"]]] = pair["n"]
+        return out
 
-    def total_of(letter: str) -> Column:
-        return sum((F.col(f"{letter}{k}") for k in range(len(languages))), F.lit(0.0))
+    def run(rows: pa.RecordBatch) -> pa.RecordBatch:
+        priors = []
+        for own, around in zip(rows.column("own").to_pylist(), rows.column("around").to_pylist()):
+            own, around = dense(own), dense(around)
+            by_domain = (around + DOMAIN_WEIGHT * base) / (around.sum() + DOMAIN_WEIGHT)
+            priors.append((own + HOST_WEIGHT * by_domain) / (own.sum() + HOST_WEIGHT))
+        return pa.RecordBatch.from_arrays([rows.column("host"), pa.array(priors, pa.list_(pa.float64()))], ["host", "prior"])
+
+    return map_text(joined, run, "host string, prior array<double>", "own")
+
+
+def fused(rows: DataFrame, extra: list[str], languages: list[str], declared: np.ndarray, address: np.ndarray) -> DataFrame:
+    """(*extra, declared, language, probability) from evidence, prior and the two confusion tables; the best class counts."""
+    at = {language: k for k, language in enumerate(languages)}
+    names = np.array([*languages, REJECTED])
+    order = np.argsort(names, kind="stable")[::-1]  # of equal weights the last name
+    of_chance = np.log(len(languages))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        said, suffix = (np.array([at.get(x, len(at)) for x in batch.column(c).to_pylist()], dtype=np.int64) for c in ("declared", "suffix"))
+        evidence, prior = (batch.column(c).flatten().to_numpy().reshape(batch.num_rows, len(at)) for c in ("evidence", "prior"))
+        joint = evidence + np.log(prior) + declared[said] + address[suffix] + np.log(1 - REJECT_PRIOR)
+        blind = np.log(REJECT_PRIOR) - of_chance * ((said < len(at)).astype(float) + (suffix < len(at)))
+        weights = np.column_stack([joint, blind])[:, order]
+        best = weights.argmax(axis=1)
+        shares = np.exp(weights - weights.max(axis=1, keepdims=True)).sum(axis=1)
+        blank = batch.column("letters").to_numpy() == 0
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in (*extra, "declared")), pa.array(np.where(blank, REJECTED, names[order][best]).tolist(), pa.string()),
+             pa.array(np.where(blank, 1.0, 1.0 / shares), pa.float64())], [*extra, "declared", "language", "probability"])
 
-    by_domain = [(F.col(f"d{k}") + DOMAIN_WEIGHT * base[k]) / (total_of("d") + DOMAIN_WEIGHT) for k in range(len(languages))]
-    by_host = [(F.col(f"n{k}") + HOST_WEIGHT * by_domain[k]) / (total_of("n") + HOST_WEIGHT) for k in range(len(languages))]
-    return hosts.join(domains, "domain").select("host", F.array(*by_host).alias("prior"))
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*extra, "declared"))
+    return map_text(rows.select(*extra, "declared", "suffix", "letters", "evidence", "prior"), run,
+                    f"{fields}, language string, probability double", "evidence")
 
 
 def identify(rows: DataFrame) -> DataFrame:
@@ -178,22 +216,7 @@ def identify(rows: DataFrame) -> DataFrame:
     scored = stored(text_evidence(told.select(*extra, "declared", "host", "domain", "suffix", "text"), languages, table), "scored")
     priors = stored(host_priors(scored, languages), "priors")
     declared, address = _confusion(scored, "declared", languages), _confusion(scored, "suffix", languages)
-    joint = [
-        F.get("evidence", F.lit(k)) + F.log(F.get("prior", F.lit(k))) + F.get(declared, F.lit(k)) + F.get(address, F.lit(k))
-        + float(np.log(1 - REJECT_PRIOR)) for k in range(len(languages))
-    ]
-    known = F.col("declared").isin(languages)
-    blind = float(np.log(REJECT_PRIOR)) + F.when(known, -float(np.log(len(languages)))).otherwise(0.0) \
-        + F.when(F.col("suffix").isin(languages), -float(np.log(len(languages)))).otherwise(0.0)
-    weighed = scored.join(priors, "host").select(
-        *extra, "declared", "letters", F.array(*[F.struct(j.alias("weight"), F.lit(x).alias("language")) for j, x in zip(joint, languages)],
-                                               F.struct(blind.alias("weight"), F.lit(REJECTED).alias("language"))).alias("classes"))
-    best = F.array_max("classes")
-    shares = F.aggregate("classes", F.lit(0.0), lambda s, c: s + F.exp(c["weight"] - F.array_max("classes")["weight"]))
-    letterless = F.col("letters") == 0
-    named = weighed.select(
-        *extra, "declared", F.when(letterless, REJECTED).otherwise(best["language"]).alias("language"),
-        F.when(letterless, 1.0).otherwise(1.0 / shares).alias("probability"))
+    named = fused(scored.join(priors, "host"), extra, languages, declared, address)
     return named.withColumn("accepted", F.col("language") != REJECTED)
 
 

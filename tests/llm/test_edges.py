@@ -178,6 +178,16 @@ def test_language_of_mostly_copied_texts(spark, monkeypatch):
     assert {r.doc_id: r.language for r in language.of_documents(frame).collect()} == {r[0]: r[2] for r in rows}
 
 
+def test_every_language_is_learned(spark):
+    draw = random.Random(6)
+    tags = [f"{a}{b}" for a in "abcdefghij" for b in "qrstuvwxy"][:70]
+    letters = {tag: draw.sample("abcdefghijklmnopqrstuvwxyz", 5) for tag in tags}
+    rows = [(n, " ".join("".join(draw.choices(letters[tag], k=4)) for _ in range(60)), tag, None) for n, tag in enumerate(tags * 4)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    found = {r.doc_id: (r.language, r.accepted) for r in language.of_documents(frame).collect()}
+    assert found == {r[0]: (r[2], True) for r in rows}
+
+
 def test_html(spark):
     def page(n, main, extra=""):
         return (n, f"http://h.org/{n}", f"<html><head><title>t</title></head><body><header>Site</header><nav>Home<a>About</a></nav>{extra}"
