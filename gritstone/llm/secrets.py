@@ -4,10 +4,13 @@ Pattern kinds, leftmost and non-overlapping within a kind: ``assign`` (a name su
 api_key, = or :, and a value of 8 or more characters), ``access`` (AKIA and 16 or more characters in
 all), ``hex`` (32 or more digits). Structural kinds are reported only if their content holds:
 
-``pem``      a private-key block whose base64 body is an OpenSSH key or a DER key structure
+``pem``      a private-key block whose base64 body is an OpenSSH key or a DER key structure; line ends may be
+             escaped, as in JSON
 ``jwt``      a signed token: the header decodes to a JSON object with an ``alg``, the payload to JSON
-``key64``    a run of base64 that decodes to an OpenSSH key or to a DER key structure
-``keyhex``   a run of hex digits (of either case) that decodes to a DER key structure
+``key64``    a run of base64 that decodes to an OpenSSH key, to a DER key structure or to text with a ``pem``
+``keyhex``   a run of hex digits (of either case) that decodes to one of these
+
+Every run of 39 characters of base64 or 40 hex digits is decoded, whatever it starts with.
 
 DER is parsed with its nested lengths: each must end exactly where its parent says, and the
 outermost must be one of the published private-key layouts. Spans of different kinds may overlap.
@@ -35,9 +38,12 @@ ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9]+ )?PRIVATE KEY-----")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-RUN64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/_-]{38,}={0,2}")
-RUNHEX = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{38,}")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,}")
+BRACE64 = re.compile(r"e(?=[w-z0-9_-])")
+OBJECT = re.compile(rb"\s*(?:\{\s*(?:\"|\Z)|\Z)")
+RUN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{39,}={0,2}")
+RUNHEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{40,}")
+ESCAPED = re.compile(r"\\+([nrt/])")
 OPENSSH = b"openssh-key-v1\0"
 MAX_DEPTH = 12
 
@@ -100,6 +106,11 @@ def is_key(data: bytes | None) -> bool:
     return data is not None and (data.startswith(OPENSSH) or is_der_key(data))
 
 
+def holds_key(data: bytes | None) -> bool:
+    """A key as such, or text with a private-key block."""
+    return is_key(data) or data is not None and b"PRIVATE KEY-----" in data and bool(pem_spans(data.decode("latin-1")))
+
+
 def is_json_object(part: str) -> dict | None:
     data = decode64(part)
     try:
@@ -109,6 +120,29 @@ def is_json_object(part: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
+def jwt_spans(text: str) -> list[tuple[int, int]]:
+    """Signed tokens among runs joined by dots; the header may follow other characters of its run."""
+    found = []
+    for m in DOTTED.finditer(text):
+        parts, at, free = m[0].split("."), m.start(), 0
+        for n, (header, payload, last) in enumerate(zip(parts, parts[1:], parts[2:])):
+            if n >= free and header and payload:
+                starts = [k for k in (0, *(x.start() for x in BRACE64.finditer(header, 1)))
+                          if OBJECT.match(decode64(header[k : k + 64]) or b"-")]
+                if starts and is_json_object(payload) is not None:
+                    for k in starts:
+                        if isinstance((is_json_object(header[k:]) or {}).get("alg"), str):
+                            found.append((at + k, at + len(header) + len(payload) + len(last) + 2))
+                            free = n + 3
+                            break
+            at += len(header) + 1
+    return found
+
+
+def unescaped(body: str) -> str:
+    return ESCAPED.sub(lambda m: "/" if m[1] == "/" else "\n", body)
+
+
 def pem_spans(text: str) -> list[tuple[int, int]]:
     found, at, missing = [], 0, set()
     while begin := PEM_BEGIN.search(text, at):
@@ -119,7 +153,7 @@ def pem_spans(text: str) -> list[tuple[int, int]]:
             missing.add(mark)  # nor does any later block end so
             continue
         inner = text.rfind("-----BEGIN", at, end)
-        if inner < 0 and is_key(decode64("".join(x for x in text[at:end].splitlines() if ":" not in x))):
+        if inner < 0 and is_key(decode64("".join(x for x in unescaped(text[at:end]).splitlines() if ":" not in x))):
             found.append((begin.start(), end + len(mark)))
             at = end + len(mark)
     return found
@@ -136,13 +170,10 @@ def spans(text: str) -> list[tuple[str, int, int]]:
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "PRIVATE KEY-----" in text:
         found += [("pem", *span) for span in pem_spans(text)]
-    if "eyJ" in text:
-        for m in JWT.finditer(text):
-            header, payload, _ = m[0].split(".")
-            if isinstance((is_json_object(header) or {}).get("alg"), str) and is_json_object(payload) is not None:
-                found.append(("jwt", *m.span()))
-    found += [("key64", *m.span()) for m in RUN64.finditer(text) if is_key(decode64(m[0]))]
-    found += [("keyhex", *m.span()) for m in RUNHEX.finditer(text) if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0]))]
+    if text.count(".") > 1:
+        found += [("jwt", *span) for span in jwt_spans(text)]
+    found += [("key64", *m.span()) for m in RUN64.finditer(text) if holds_key(decode64(m[0]))]
+    found += [("keyhex", *m.span()) for m in RUNHEX.finditer(text) if len(m[0]) % 2 == 0 and holds_key(bytes.fromhex(m[0]))]
     return sorted(found, key=lambda x: (x[1], ORDER[x[0]], x[2]))
 
 

@@ -140,6 +140,25 @@ def test_secrets(docs, none):
     assert secrets.digests(secrets.find_secrets(none)).count() == 0
 
 
+def test_secrets_however_they_start():
+    kinds = lambda text: [k for k, _, _ in secrets.spans(text)]
+    encode = lambda data: base64.b64encode(data).decode()
+    openssh = b"openssh-key-v1\0" + bytes(range(60))
+    pem = f"-----BEGIN OPENSSH PRIVATE KEY-----\n{encode(openssh)}\n-----END OPENSSH PRIVATE KEY-----\n"
+    wrapped = encode(pem.encode())
+    assert kinds(f"id: {wrapped}") == ["key64"] and not kinds(encode(pem.replace("b3Bl", "AAAA").encode()))
+    assert "keyhex" in kinds(openssh.hex()) and "keyhex" in kinds(pem.encode().hex())
+    escaped = json.dumps({"key": pem, "n": 1})
+    assert "pem" in kinds(escaped) and "pem" in kinds(json.dumps(escaped)) and "pem" in kinds(pem.replace("\n", "\\r\\n"))
+    url = lambda text: base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+    for header in ('{"alg":"HS256"}', '{ "alg": "HS256"}', '{\n  "alg": "HS256"\n}', ' {"alg":"HS256"}'):
+        token = f"{url(header)}.{url('{ }')}.c2ln"
+        assert secrets.spans(f"see {token} there") == [("jwt", 4, 4 + len(token))]
+        assert secrets.spans(f"a.example.{token}.{token}") == [("jwt", 10, 10 + len(token)), ("jwt", 11 + len(token), 11 + 2 * len(token))]
+    assert secrets.spans(f"x-{url('{"alg":"HS256"}')}.{url('{}')}.")[0][:2] == ("jwt", 2)
+    assert not kinds("one.two.three. www.example.org and " + "ey." * 2000)
+
+
 def test_language(spark, docs, none):
     told = {r.doc_id: (r.language, r.accepted) for r in language.of_documents(docs).collect()}
     assert all(told[x] == ("und", False) for x in (1, 2, 7, 8))
