@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gritstone.llm import bpe, decontamination, htmltext, language, neighbours, paragraphs, secrets, sharding, simhash, substrings
+from gritstone.llm import (
+    bpe, decontamination, fim, htmltext, language, licenses, neighbours, paragraphs, secrets, sharding, simhash, substrings, whitening)
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 16
@@ -71,6 +72,18 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY)))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(table(spark, folder, "embeddings").select("vec_id", "embedding"), "vec_id")
+
+
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hypergeometric_sharding": op1_hypergeometric_sharding,
     "op2_substring_dedup": op2_substring_dedup,
@@ -83,8 +96,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op11_whitening": op11_whitening,
+    "op12_license_scan": op12_license_scan,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op9_decontamination": decontamination.ORACLE_SQL,
+    "op12_license_scan": licenses.ORACLE_SQL,
+    "op13_fill_in_middle": fim.ORACLE_SQL,
 }
