@@ -131,7 +131,7 @@ def read_once(frame: DataFrame, text: str, keep: list[str], templates: list[Temp
         found[kind] = kept_words(blocks[kind], F.col(f"known_{kind}"), least)
     bare = F.trim(F.regexp_replace(low, GAP, "  "))
     return stored(
-        frame.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept") if keep else F.lit(None).cast("struct<>").alias("kept"),
+        frame.select(F.struct(*([F.col(f"`{c}`") for c in keep] or [F.lit(0).alias("none")])).alias("kept"),
                      lowered(F.col(f"`{text}`")).alias("low"))
         .withColumn("spaced", F.concat(F.lit(" "), bare, F.lit(" ")))
         .withColumn("n_words", F.when(spaced == "  ", F.lit(0).cast("long")).otherwise(_words_in(spaced)))
