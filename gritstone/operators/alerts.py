@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gritstone.functions.expressions import (
     alert_message, limit_class, micros, stable_id, two_decimals, whole_seconds,
 )
-from gritstone.functions.slices import HOUR, SLICE, next_row, sliced
+from gritstone.functions.slices import BLOCK_ROWS, DAY, HOUR, OWN, SLICE, block_window, next_row, sliced, with_preceding, with_reach
 from gritstone.operators.readings import with_tag
 from gritstone.schemas import ALERT_COLUMNS
 from gritstone.session import materialize
@@ -185,57 +185,77 @@ def rate_of_change(
 
 def stale_tags(
     readings: DataFrame, tags: DataFrame, horizon: str, stale_seconds: int = 120,
-    measure: str | None = "mass_flow", slice_seconds: int = HOUR,
+    measure: str | None = "mass_flow", slice_seconds: int = HOUR, since: str | None = None,
 ) -> DataFrame:
-    """Silences of at least ``stale_seconds``; ``horizon`` closes the last one of each tag."""
+    """Silences of at least ``stale_seconds``; ``horizon`` closes the last one of each tag.
+
+    The register is watched from ``since`` on: a tag that has not spoken by then is silent from there until its first
+    reading, and one that never speaks until the horizon; ``last_seen`` is NULL in both. Without ``since`` the watch of
+    a tag begins with its first reading, and a tag without readings has none.
+
+    The readings are read once. Inside a slice a silence is seen at once; only the first and last
+    rows of the slices and the silences go on to the step across slices.
+    """
     wanted = tags.where(F.col("measure") == measure) if measure else tags
-    samples = with_tag(readings.select("tag_id", "source_ts", "seq"), wanted, ["asset_id", "asset_name"])
-    followed = next_row(
-        sliced(samples, seconds=slice_seconds), ["tag_id"], ["source_ts", "seq"],
-        {"source_ts": "next_ts"},
-    )
-    until = F.coalesce("next_ts", F.lit(horizon).cast(readings.schema["source_ts"].dataType))
-    silent = whole_seconds(F.col("source_ts"), until)
-    return followed.select(
-        "tag_id", "asset_id", "asset_name", F.col("source_ts").alias("last_seen"), "next_ts",
-        silent.alias("silent_seconds"),
-    ).where(F.col("silent_seconds") >= stale_seconds)
+    samples = sliced(with_tag(readings.select("tag_id", "source_ts", "seq"), wanted, []), seconds=slice_seconds)
+    ts_type = readings.schema["source_ts"].dataType
+    order = ["source_ts", "seq"]
+    inside = Window.partitionBy("tag_id", SLICE).orderBy(*order)
+    ends = samples.select(
+        "tag_id", SLICE, *order, F.lag("source_ts").over(inside).alias("_before"), F.lead("source_ts").over(inside).alias("_after"),
+    ).where(
+        F.col("_before").isNull() | F.col("_after").isNull() | (whole_seconds(F.col("source_ts"), F.col("_after")) >= stale_seconds)
+    ).select("tag_id", *order, "_after")
+    if since is not None:
+        start = F.lit(since).cast(ts_type)
+        seq_type = readings.schema["seq"].dataType
+        watched = wanted.select("tag_id", F.lit(None).cast(ts_type).alias("source_ts"), F.lit(None).cast(seq_type).alias("seq"), F.lit(None).cast(ts_type).alias("_after"))
+        ends = ends.unionByName(watched)
+    across = Window.partitionBy("tag_id").orderBy(*order)  # a few rows per slice; a row of the register sorts first
+    next_ts = F.coalesce("_after", F.lead("source_ts").over(across))
+    followed = ends.select("tag_id", "source_ts", next_ts.alias("next_ts"))
+    begun = F.coalesce("source_ts", start) if since is not None else F.col("source_ts")
+    silent = whole_seconds(begun, F.coalesce("next_ts", F.lit(horizon).cast(ts_type)))
+    return with_tag(followed.withColumn("silent_seconds", silent).where(F.col("silent_seconds") >= stale_seconds), wanted, ["asset_id", "asset_name"]).select(
+        "tag_id", "asset_id", "asset_name", F.col("source_ts").alias("last_seen"), "next_ts", "silent_seconds")
 
 
 def running_empty(
     equipment: DataFrame, tags: DataFrame, asset_type: str | None = "conveyor", seconds: int = 60,
-    grain_seconds: int = 60,
+    grain_seconds: int = 60, slice_seconds: int = DAY,
 ) -> DataFrame:
     """Assets RUNNING whose flow stays below the low limit for ``seconds``."""
     chosen = tags.where(F.col("asset_type") == asset_type) if asset_type else tags
     belts = chosen.where(F.col("instrument_type") == "WI").groupBy("asset_id").agg(F.max("asset_name").alias("asset_name"), F.min("lo").alias("lo"))
     needed = max(1, -(-seconds // grain_seconds))
-    recent = (
-        Window.partitionBy("asset_id").orderBy(F.unix_seconds(F.col("window_start").cast("timestamp")))
-        .rangeBetween(-(needed - 1) * grain_seconds, 0)
-    )
-    # One row per asset and window, so the frame is bounded by covered time.
+    reach = (needed - 1) * grain_seconds
+    recent = Window.partitionBy("asset_id", SLICE).orderBy(F.unix_seconds(F.col("window_start").cast("timestamp"))).rangeBetween(-reach, 0)
     empty = (F.col("state") == "RUNNING") & (F.col("throughput_tph") < F.col("lo"))
     return (
-        equipment.join(belts, "asset_id")
+        with_reach(equipment.join(belts, "asset_id"), "window_start", reach, slice_seconds)
         .withColumn("_empty", F.count_if(empty).over(recent))
-        .where(F.col("_empty") >= needed)
+        .where(OWN).where(F.col("_empty") >= needed)
         .select("asset_id", "asset_name", "window_start", "window_end", "throughput_tph", "lo")
     )
 
 
 def imbalance_sustained(
-    balance: DataFrame, windows: int = 5, threshold_pct: float = 5.0,
+    balance: DataFrame, windows: int = 5, threshold_pct: float = 5.0, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Nodes whose mean imbalance over the last ``windows`` windows exceeds the threshold."""
-    recent = Window.partitionBy("node_id").orderBy("window_start").rowsBetween(-(windows - 1), 0)
+    """Nodes whose mean imbalance over the last ``windows`` windows exceeds the threshold.
+
+    Windows are counted, not timed. The unit rows are stored: numbering them and cutting them into blocks reads them twice.
+    """
+    units = materialize(balance.where(F.col("balance_role") == "unit").select("node_id", "window_start", "window_end", "imbalance_pct"))
+    blocks = with_preceding(sliced(units, "window_start", DAY), ["node_id"], ["window_start"], windows - 1, block_rows)
+    recent = block_window(["node_id"]).rowsBetween(-(windows - 1), 0)
     return (
-        balance.where(F.col("balance_role") == "unit")
-        .select(
-            "node_id", "window_start", "window_end",
+        blocks.select(
+            "node_id", "window_start", "window_end", OWN,
             F.avg("imbalance_pct").over(recent).alias("mean_imbalance_pct"),
             F.count("imbalance_pct").over(recent).alias("windows_counted"),
         )
+        .where(OWN).drop(OWN)
         .where((F.col("windows_counted") == windows) & (F.abs("mean_imbalance_pct") > threshold_pct))
     )
 

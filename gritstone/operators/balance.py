@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gritstone.functions.expressions import (
     arc_tonnage, balance_status, is_solids_arc, percent, slurry_solids, whole_seconds,
 )
+from gritstone.functions.slices import DAY, previous_row, sliced
 from gritstone.session import materialize
 
 # Windows and arcs meet by a salt, so neither side is a single task or one array.
@@ -47,20 +48,23 @@ def arc_window_spine(tag_1m: DataFrame, arcs: DataFrame) -> DataFrame:
     return windows.join(graph, "_salt").select("window_start", "window_end", *ARC_COLUMNS)
 
 
-def node_accumulation(tag_1m: DataFrame, nodes: DataFrame) -> DataFrame:
+def node_accumulation(tag_1m: DataFrame, nodes: DataFrame, slice_seconds: int = DAY) -> DataFrame:
     """Stored tonnes per hour of bins, from the level change since the previous window.
 
     Divided by the elapsed time, so a gap in the readings does not inflate it.
-    One row per bin and window: the window function is bounded by covered time.
+    The window before is looked up per (bin, slice) and across slice edges.
     """
     bins = nodes.where(F.col("accumulation_tag_id").isNotNull() & (F.col("capacity_t") > 0)).select(
         "node_id", F.col("accumulation_tag_id").alias("tag_id"), "capacity_t"
     )
     levels = tag_1m.select("tag_id", "window_start", "window_end", "avg_value").join(bins, "tag_id")
-    over_time = Window.partitionBy("node_id").orderBy("window_start")
-    step = F.col("avg_value") - F.lag("avg_value").over(over_time)
-    hours = whole_seconds(F.lag("window_start").over(over_time), F.col("window_start")) / F.lit(3600.0)
-    return levels.select(
+    followed = previous_row(
+        sliced(levels, "window_start", slice_seconds), ["node_id"], ["window_start"],
+        {"avg_value": "_level_before", "window_start": "_start_before"},
+    )
+    step = F.col("avg_value") - F.col("_level_before")
+    hours = whole_seconds(F.col("_start_before"), F.col("window_start")) / F.lit(3600.0)
+    return followed.select(
         "node_id", "window_start", "window_end",
         F.try_divide(step / F.lit(100.0) * F.col("capacity_t"), hours).alias("accumulation_tph"),
     )

@@ -1,7 +1,7 @@
 """Ten-minute vibration features and the labels attached to them.
 
-After aggregation there is one row per sensor and window, so the trend windows
-below are bounded by covered time, not by the sampling rate.
+After aggregation there is one row per sensor and window. Trends run over blocks
+of a sensor's rows, labels over slices of time, so no sensor is one task.
 """
 
 from __future__ import annotations
@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gritstone.functions.expressions import epoch_seconds, iso_zone, percent
+from gritstone.functions.slices import BLOCK_ROWS, DAY, NUMBER, OWN, block_window, sliced, surrounding_events, with_preceding
 from gritstone.operators.readings import with_tag
 from gritstone.schemas import VIBRATION_FEATURE_COLUMNS
+from gritstone.session import materialize
 
+WEEK = 7 * DAY
 SENSOR_KEYS = ["asset_id", "sensor_no"]
 
 
@@ -82,17 +85,21 @@ def context_10m(readings: DataFrame, tags: DataFrame, grain: str = "10 minutes")
     )
 
 
-def rms_trends(features: DataFrame, short_lag: int = 6, long_lag: int = 144) -> DataFrame:
-    """RMS change over both lags and the slope per day over the trailing ``long_lag`` windows."""
-    over_time = Window.partitionBy("tag_id").orderBy("window_start")
+def rms_trends(features: DataFrame, short_lag: int = 6, long_lag: int = 144, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """RMS change over both lags and the slope per day over the trailing ``long_lag`` windows.
+
+    Lags count rows, not time. The features are read twice: pass a stored table.
+    """
+    blocks = with_preceding(sliced(features, "window_start", WEEK), ["tag_id"], ["window_start"], max(short_lag, long_lag), block_rows)
+    over_time = block_window(["tag_id"])
     trailing = over_time.rowsBetween(-(long_lag - 1), 0)
     rms = F.col("rms_mm_s")
     slope = F.regr_slope(rms, epoch_seconds("window_start")).over(trailing) * F.lit(86400.0)
-    return features.select(
-        "*", (rms - F.lag(rms, short_lag).over(over_time)).alias("rms_delta_1h"),
+    return blocks.select(
+        *features.columns, OWN, (rms - F.lag(rms, short_lag).over(over_time)).alias("rms_delta_1h"),
         (rms - F.lag(rms, long_lag).over(over_time)).alias("rms_delta_24h"),
         F.when(F.count(rms).over(trailing) >= 2, slope).alias("rms_slope_24h"),
-    )
+    ).where(OWN).drop(OWN)
 
 
 def vibration_features_10m(
@@ -104,7 +111,7 @@ def vibration_features_10m(
     joined = triplet.join(
         context_10m(readings, tags, grain), ["asset_id", "window_start"], "left"
     ).join(run_minutes, ["asset_id", "window_start"], "left")
-    return rms_trends(joined, short_lag, long_lag).withColumns({
+    return rms_trends(materialize(joined), short_lag, long_lag).withColumns({
         "hours_since_maintenance": F.lit(None).cast("double"),
         "iso_10816_zone": iso_zone("rms_mm_s"),
         "label_failure_30d": F.lit(None).cast("boolean"),
@@ -112,62 +119,41 @@ def vibration_features_10m(
 
 
 def trend_history(
-    features: DataFrame, short_rows: int = 6, long_rows: int = 144, base_rows: int = 1008,
+    features: DataFrame, short_rows: int = 6, long_rows: int = 144, base_rows: int = 1008, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """History variant: change against the first row of each frame, slope per hour, own baseline."""
-    over_time = Window.partitionBy("tag_id").orderBy("window_start")
-    so_far = over_time.rowsBetween(Window.unboundedPreceding, 0)
+    """History variant: change against the first row of each frame, slope per hour, own baseline.
+
+    The features are read twice: pass a stored table.
+    """
+    series = sliced(features.select("tag_id", "window_start", "rms_mm_s"), "window_start", WEEK)
+    blocks = with_preceding(series, ["tag_id"], ["window_start"], max(short_rows, long_rows, base_rows), block_rows)
+    over_time = block_window(["tag_id"])
     rms = F.col("rms_mm_s")
-    running = features.select(
-        "tag_id", "window_start", "rms_mm_s", F.row_number().over(over_time).alias("_n"),
-        F.first(rms).over(so_far).alias("_first"),
-        F.avg(rms).over(over_time.rowsBetween(-base_rows, 0)).alias("_base"),
-    )
+    # Rows numbered up to the longest frame all lie in a key's first block, whose first row is the first of the series.
+    first = F.first(rms).over(over_time.rowsBetween(Window.unboundedPreceding, 0))
 
     def first_of(rows: int) -> Column:
         """First value of a frame of ``rows`` preceding rows, clipped at the series start."""
-        return F.when(F.col("_n") > rows, F.lag(rms, rows).over(over_time)).otherwise(F.col("_first"))
+        return F.when(F.col(NUMBER) > rows, F.lag(rms, rows).over(over_time)).otherwise(first)
 
     short, long = rms - first_of(short_rows), rms - first_of(long_rows)
-    return running.select(
-        "tag_id", "window_start", "rms_mm_s", short.alias("rms_delta_1h"),
+    return blocks.select(
+        "tag_id", "window_start", "rms_mm_s", OWN, short.alias("rms_delta_1h"),
         long.alias("rms_delta_24h"), (long / F.lit(24.0)).alias("rms_slope_24h"),
-        percent(rms, F.col("_base")).alias("rms_pct_of_baseline"),
-    )
-
+        percent(rms, F.avg(rms).over(over_time.rowsBetween(-base_rows, 0))).alias("rms_pct_of_baseline"),
+    ).where(OWN).drop(OWN)
 
-def _with_events(features: DataFrame, failures: DataFrame) -> DataFrame:
-    """Last failure at or before and next failure at or after each window, per tag.
 
-    Two as-of values from one ordered union, so a tag with many failures never
-    pairs every window with every failure.
-    """
-    rows = features.select(
-        "tag_id", F.col("window_start").alias("_t"),
-        F.struct("*").alias("_row"),
-    )
-    ts_type = features.schema["window_start"].dataType
-    rows = rows.withColumn("_f", F.lit(None).cast(ts_type))
-    events = failures.select(
-        "tag_id", F.col("failed_at").cast(ts_type).alias("_t"),
-        F.col("failed_at").cast(ts_type).alias("_f"),
-        F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"),
-    )
-    # Both directions use a growing frame, which costs one step per row; a frame
-    # that shrinks towards the end would be rescanned for every row.
-    grown = (Window.unboundedPreceding, Window.currentRow)
-    up = Window.partitionBy("tag_id").orderBy(F.asc("_t")).rangeBetween(*grown)
-    down = Window.partitionBy("tag_id").orderBy(F.desc("_t")).rangeBetween(*grown)
-    seen = rows.unionByName(events).select(
-        "_row", F.last("_f", ignorenulls=True).over(up).alias("last_failure"),
-        F.last("_f", ignorenulls=True).over(down).alias("next_failure"),
-    )
-    return seen.where(F.col("_row").isNotNull()).select("_row.*", "last_failure", "next_failure")
+def _with_events(features: DataFrame, failures: DataFrame, slice_seconds: int) -> DataFrame:
+    """Last failure at or before and next failure at or after each window, per tag."""
+    return surrounding_events(features, failures, ["tag_id"], "window_start", "failed_at", "last_failure", "next_failure", slice_seconds)
 
 
-def failure_labels(features: DataFrame, failures: DataFrame, horizon_days: float = 30.0) -> DataFrame:
+def failure_labels(
+    features: DataFrame, failures: DataFrame, horizon_days: float = 30.0, slice_seconds: int = WEEK,
+) -> DataFrame:
     """Attach one failure per window (one within the horizon ahead, else the nearest) and label it."""
-    dated = _with_events(features, failures)
+    dated = _with_events(features, failures, slice_seconds)
     day = F.lit(86400.0)
     now = epoch_seconds("window_start")
     ahead = (epoch_seconds("next_failure") - now) / day
@@ -183,14 +169,16 @@ def failure_labels(features: DataFrame, failures: DataFrame, horizon_days: float
     ).drop("last_failure", "next_failure")
 
 
-def hours_since_reset(features: DataFrame, failures: DataFrame) -> DataFrame:
-    """Hours since the last repair, or since the sensor's first window before any repair."""
-    dated = _with_events(features, failures)
-    origin = F.min("window_start").over(
-        Window.partitionBy("tag_id", "last_failure")
-    )
-    hours = (epoch_seconds("window_start") - epoch_seconds(origin)) / F.lit(3600.0)
-    return dated.withColumn("hours_since_maintenance", hours).drop("last_failure", "next_failure")
+def hours_since_reset(features: DataFrame, failures: DataFrame, slice_seconds: int = WEEK) -> DataFrame:
+    """Hours since the last repair, or since the sensor's first window before any repair.
+
+    Counted from the first window at or after the repair: one row per repair, found by a grouped minimum.
+    """
+    dated = materialize(_with_events(features, failures, slice_seconds))
+    origin = dated.groupBy(F.col("tag_id").alias("_tag"), F.col("last_failure").alias("_repair")).agg(F.min("window_start").alias("_origin"))
+    same = (F.col("tag_id") == F.col("_tag")) & F.col("last_failure").eqNullSafe(F.col("_repair"))
+    hours = (epoch_seconds("window_start") - epoch_seconds("_origin")) / F.lit(3600.0)
+    return dated.join(origin, same).withColumn("hours_since_maintenance", hours).select(*features.columns, "hours_since_maintenance")
 
 
 def days_to_fail(features: DataFrame) -> DataFrame:

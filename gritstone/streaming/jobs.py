@@ -89,12 +89,19 @@ def stream_rate_of_change(
     readings: DataFrame, tags: DataFrame, measure: str = "temperature",
     window: str = "10 minutes", step: str = "1 minute",
 ) -> DataFrame:
-    """Rise within each sliding window; filter ``rise`` on the way to the sink."""
+    """Rise within each sliding window; filter ``rise`` on the way to the sink.
+
+    Readings collapse to one row per step first, so the overlap of the windows multiplies steps and not readings. In
+    append mode a step leaves its state once the watermark has passed it, and so does a window.
+    """
     wanted = tags.where(F.col("measure") == measure)
     good = with_tag(readings.where(F.col("quality") == "GOOD"), wanted, ["asset_id"])
-    ends = good.groupBy("tag_id", "asset_id", F.window("source_ts", window, step).alias("_w")).agg(
-        F.min_by("value", "source_ts").alias("first_value"),
-        F.max_by("value", "source_ts").alias("last_value"),
+    steps = good.groupBy("tag_id", "asset_id", F.window("source_ts", step).alias("_step")).agg(
+        F.min("source_ts").alias("_first_ts"), F.max("source_ts").alias("_last_ts"),
+        F.min_by("value", "source_ts").alias("_first"), F.max_by("value", "source_ts").alias("_last"),
+    )
+    ends = steps.groupBy("tag_id", "asset_id", F.window(F.window_time("_step"), window, step).alias("_w")).agg(
+        F.min_by("_first", "_first_ts").alias("first_value"), F.max_by("_last", "_last_ts").alias("last_value"),
     )
     return ends.select(
         "tag_id", "asset_id", F.col("_w.start").alias("window_start"),
@@ -108,22 +115,6 @@ def _just_under(seconds: int) -> str:
     return f"{int(seconds) - 1} seconds 999999 microseconds"
 
 
-def stream_stale_tags(
-    readings: DataFrame, tags: DataFrame, stale_seconds: int = 120, measure: str = "mass_flow",
-) -> DataFrame:
-    """A row per silence: a session per tag closes once nothing came for ``stale_seconds``.
-
-    Session state is the timer, so no custom state machine is needed. The
-    watermark, and with it the detection, advances with the readings of all tags.
-    """
-    wanted = tags.where(F.col("measure") == measure)
-    sessions = with_tag(readings, wanted, ["asset_id"]).groupBy(
-        "tag_id", "asset_id", F.session_window("source_ts", _just_under(stale_seconds)).alias("_s"),
-    ).agg(F.max("source_ts").alias("last_seen"))
-    stale_from = F.col("last_seen") + F.expr(f"INTERVAL {int(stale_seconds)} SECONDS")
-    return sessions.select("tag_id", "asset_id", "last_seen", stale_from.alias("stale_from"))
-
-
 def stream_episodes(readings: DataFrame, tags: DataFrame, gap_seconds: int = 60) -> DataFrame:
     """Alarm episodes as sessions.
 

@@ -74,6 +74,8 @@ _TAG_ROWS = [
     (3, "YRD-BLD02-ZI02", "Stacker", "stacker", "Stockpiles", "state", "enum", 1.0, PILE_STATES),
     (3, "YRD-BLD02-WI01", "Stacker", "stacker", "Stockpiles", "mass_flow", "t/h", 900.0, None),
     (3, "GYR-JAW04-PI01", "Primary crusher", "crusher", "Crushing", "pressure", "kPa", 8700.0, None),
+    # registered, but never scanned
+    (4, "YRD-BLD09-WI01", "Standby stacker", "stacker", "Stockpiles", "mass_flow", "t/h", 900.0, None),
 ]
 TAGS = [_tag(no, *row) for no, row in enumerate(_TAG_ROWS)]
 SCAN_GROUPS = 4

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from gritstone.functions import expressions as ex
@@ -17,6 +17,7 @@ from gritstone.schemas import schema_of
 from gritstone.session import shared_folder
 from gritstone.sources import dims as dim_source, readings as seam, sinks, upsert as up
 from gritstone.streaming import jobs
+from gritstone.streaming.silence import stream_stale_tags
 from parity.inputs import (
     BASE_ROWS, EPISODE_GAP, GRAIN, GRAIN_SECONDS, LONG_LAG, LONG_SLICE_SECONDS,
     SHORT_LAG, SLICE_SECONDS, Inputs, readings_from_events, with_ctes,
@@ -1288,13 +1289,21 @@ def _(i: Inputs) -> DataFrame:
 STALE_SECONDS = 3 * 3600
 
 
+WATCHED_SINCE = "2024-01-01 00:00:00"
+# Readings and the start of the watch of each registered tag, in order; a silence is the time to the next of these.
+SILENCE_CTES = {
+    "said": f"""SELECT t.tag_id, t.asset_id, t.asset_name, r.source_ts, r.seq FROM r JOIN tags t ON t.tag_id = r.tag_id WHERE t.measure = 'mass_flow'
+      UNION ALL SELECT tag_id, asset_id, asset_name, NULL, NULL FROM tags WHERE measure = 'mass_flow'""",
+    "still": f"""SELECT tag_id, asset_id, asset_name, source_ts AS last_seen, coalesce(source_ts, TIMESTAMP '{WATCHED_SINCE}') AS since,
+      lead(source_ts) OVER (PARTITION BY tag_id ORDER BY source_ts NULLS FIRST, seq) AS next_ts FROM said""",
+}
+
+
 @query("stale_tags", with_ctes(
-    f"""SELECT * FROM (SELECT r.tag_id, t.asset_id, t.asset_name, r.source_ts AS last_seen, lead(r.source_ts) OVER w AS next_ts,
-      date_sub('second', r.source_ts, coalesce(lead(r.source_ts) OVER w, TIMESTAMP '{HORIZON}')) AS silent_seconds
-      FROM r JOIN tags t ON t.tag_id = r.tag_id WHERE t.measure = 'mass_flow' WINDOW w AS (PARTITION BY r.tag_id ORDER BY r.source_ts, r.seq))
-    WHERE silent_seconds >= {STALE_SECONDS}""", "r", "tags"))
+    f"""SELECT * EXCLUDE (since), date_sub('second', since, coalesce(next_ts, TIMESTAMP '{HORIZON}')) AS silent_seconds FROM still
+    WHERE coalesce(next_ts, TIMESTAMP '{HORIZON}') >= since + to_seconds({STALE_SECONDS})""", "r", "tags", extra=SILENCE_CTES))
 def _(i: Inputs) -> DataFrame:
-    return alerts.stale_tags(i.readings, i.tags, HORIZON, STALE_SECONDS, slice_seconds=LONG_SLICE_SECONDS)
+    return alerts.stale_tags(i.readings, i.tags, HORIZON, STALE_SECONDS, slice_seconds=LONG_SLICE_SECONDS, since=WATCHED_SINCE)
 
 
 @query("running_empty", with_ctes(
@@ -1374,6 +1383,39 @@ def drained(i: Inputs, df: DataFrame, name: str, mode: str) -> DataFrame:
     return i.spark.read.schema(df.schema).parquet(path)
 
 
+# Events land in four parts. Of the last hours of a part some come with the next one, within the
+# watermark's delay; some of the first part come with the last one and are too late.
+PARTS, DELAY = 4, "1 day"
+TOO_LATE_SQL = "day(ts) <= 8 AND event_id % 97 = 0"
+WATERMARK_SQL = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events)"
+
+
+def landing_part() -> Column:
+    day = F.dayofmonth("ts") - 1
+    part = F.least(F.floor(day / 8), F.lit(PARTS - 1))
+    is_late = (day % 8 == 7) & (F.hour("ts") >= 12) & (F.col("event_id") % 5 == 0)
+    too_late = (part == 0) & (F.col("event_id") % 97 == 0)
+    return F.when(too_late, PARTS - 1).when(is_late, F.least(part + 1, F.lit(PARTS - 1))).otherwise(part)
+
+
+def fed(i: Inputs, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """What a stream in append mode has closed after all parts have landed; it is started anew for each part."""
+    landed, path, checkpoint = (scratch(i.spark, f"{name}{end}") for end in ("-in", "", "-cp"))
+    events = i.table("events")
+    for part in range(PARTS):
+        events.where(landing_part() == part).write.mode("append").parquet(landed)
+        stream = readings_from_events(seam.read_stream(i.spark, landed, events.schema, events.columns), i.tags)
+        closed = build(jobs.event_time(stream, DELAY))
+        writer = closed.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return i.spark.read.schema(closed.schema).parquet(path)
+
+
+def on_time(sql: str) -> str:
+    """The same SQL over the events that were not too late."""
+    return sql.replace("FROM events e ", f"FROM (SELECT * FROM events WHERE NOT ({TOO_LATE_SQL})) e ")
+
+
 def naive(df: DataFrame, *columns: str) -> DataFrame:
     """Streams carry TIMESTAMP; the tables' type is TIMESTAMP_NTZ."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
@@ -1388,9 +1430,9 @@ def _(i: Inputs) -> DataFrame:
     return drained(i, view, "view", "append")
 
 
-@query("stream_tag_1m", T1_SQL)
+@query("stream_tag_1m", on_time(with_ctes(f"SELECT {sel(T1_PLAIN, T1_DOUBLES)} FROM t1 WHERE window_end <= {WATERMARK_SQL}", "t1")))
 def _(i: Inputs) -> DataFrame:
-    return naive(drained(i, jobs.stream_tag_1m(streamed_readings(i), GRAIN), "tag1m", "complete"), "window_start", "window_end")
+    return naive(fed(i, lambda r: jobs.stream_tag_1m(r, GRAIN), "tag1m"), "window_start", "window_end")
 
 
 @query("stream_dedup", with_ctes(f"SELECT {sel('event_id tag_id source_ts', 'value')} FROM r", "r"))
@@ -1443,23 +1485,22 @@ def _(i: Inputs) -> DataFrame:
     return naive(i.spark.read.parquet(path).select(*STREAM_ALERT_COLUMNS), "raised_at")
 
 
-@query("stream_rate_of_change", with_ctes(f"SELECT {sel(ROC_PLAIN, ROC_DOUBLES)} FROM ch", "r", "tags", extra=roc_ctes()))
+@query("stream_rate_of_change", on_time(with_ctes(
+    f"SELECT {sel(ROC_PLAIN, ROC_DOUBLES)} FROM ch WHERE window_end <= {WATERMARK_SQL}", "r", "tags", extra=roc_ctes())))
 def _(i: Inputs) -> DataFrame:
-    risen = jobs.stream_rate_of_change(streamed_readings(i), i.tags, window="10 hours", step="1 hour")
-    return naive(drained(i, risen, "roc", "complete"), "window_start", "window_end")
+    return naive(fed(i, lambda r: jobs.stream_rate_of_change(r, i.tags, window="10 hours", step="1 hour"), "roc"), "window_start", "window_end")
 
 
-@query("stream_stale_tags", with_ctes(
-    f"""SELECT tag_id, asset_id, source_ts AS last_seen, source_ts + to_seconds({STALE_SECONDS}) AS stale_from FROM (
-      SELECT r.tag_id, t.asset_id, r.source_ts, lead(r.source_ts) OVER (PARTITION BY r.tag_id ORDER BY r.source_ts) AS n
-      FROM r JOIN tags t ON t.tag_id = r.tag_id WHERE t.measure = 'mass_flow')
-    WHERE n IS NULL OR n >= source_ts + to_seconds({STALE_SECONDS})""", "r", "tags"))
+@query("stream_stale_tags", on_time(with_ctes(
+    f"""SELECT tag_id, asset_id, last_seen, since + to_seconds({STALE_SECONDS}) AS stale_from FROM still
+    WHERE (next_ts IS NULL OR next_ts >= since + to_seconds({STALE_SECONDS})) AND since + to_seconds({STALE_SECONDS}) <= {WATERMARK_SQL}""",
+    "r", "tags", extra=SILENCE_CTES)))
 def _(i: Inputs) -> DataFrame:
-    stale = jobs.stream_stale_tags(streamed_readings(i), i.tags, STALE_SECONDS)
-    return naive(drained(i, stale, "stale", "complete"), "last_seen", "stale_from")
+    return naive(fed(i, lambda r: stream_stale_tags(r, i.tags, WATCHED_SINCE, STALE_SECONDS), "stale"), "last_seen", "stale_from")
 
 
-@query("stream_episodes", alert_sql(f"SELECT {sel('tag_id rule_type raised_at ended_at samples', 'peak_high peak_low')} FROM ep"))
+@query("stream_episodes", on_time(alert_sql(
+    f"""SELECT {sel('tag_id rule_type raised_at ended_at samples', 'peak_high peak_low')} FROM ep
+    WHERE ended_at + INTERVAL {(EPISODE_GAP + 1) * 1_000_000 - 1} MICROSECONDS <= {WATERMARK_SQL}""")))
 def _(i: Inputs) -> DataFrame:
-    found = jobs.stream_episodes(streamed_readings(i), i.tags, EPISODE_GAP)
-    return naive(drained(i, found, "episodes", "complete"), "raised_at", "ended_at")
+    return naive(fed(i, lambda r: jobs.stream_episodes(r, i.tags, EPISODE_GAP), "episodes"), "raised_at", "ended_at")

@@ -104,6 +104,12 @@ def test_stale_and_rate_of_change(spark):
     rows = [reading("A-CV01-WI01", s, 1.0) for s in (0, 60, 179, 300, 3700)]
     stale = alerts.stale_tags(readings(spark, rows), tags, str(at(3900)), 120, slice_seconds=600).collect()
     assert sorted((r["last_seen"], r["silent_seconds"]) for r in stale) == [(at(179), 121), (at(300), 3400), (at(3700), 200)]
+    registered = tags.unionByName(spark.createDataFrame([tag("A-CV09-WI01")], tags.schema))
+    for since, silent in ((-300, [(None, 300), (at(179), 121)]), (-100, [(at(179), 121)])):
+        watched = alerts.stale_tags(readings(spark, rows), registered, str(at(3900)), 120, slice_seconds=600, since=str(at(since))).collect()
+        assert [(r["last_seen"], r["silent_seconds"]) for r in watched if r["tag_id"] == "A-CV09-WI01"] == [(None, 3900 - since)]
+        spoken = {(r["last_seen"], r["silent_seconds"]) for r in watched if r["tag_id"] != "A-CV09-WI01"}
+        assert set(silent) <= spoken and len(spoken) == len(stale) + (since == -300)
     warm = [reading("A-CR01-TI01", 30 * n, 50.0 + (n if n > 20 else 0)) for n in range(30)]
     rises = rows_by(alerts.rate_of_change(readings(spark, warm), tags, 20.0), "window_start")
     assert rises and all(r["rise"] > 20 for r in rises.values())

@@ -74,3 +74,55 @@ def test_quantiles_match_linear_interpolation(spark):
 def test_medians_ignore_nulls(spark):
     df = spark.createDataFrame([(1.0, None), (4.0, 2.0), (2.0, 8.0), (None, None)], "a double, b double")
     assert medians(df, ["a", "b"]).first().asDict() == {"a": 2.0, "b": 5.0}
+
+
+@pytest.fixture(scope="module")
+def gappy(spark):
+    """Series with silences much longer than a slice; one key holds most rows."""
+    rng, rows = random.Random(11), []
+    for key, n in (("hot", 400), ("a", 60), ("b", 3), ("c", 1)):
+        second = 0
+        for k in range(n):
+            second += rng.choice([600, 600, 600, 1200, 90_000, 2_000_000])
+            rows.append((key, k, at(second), rng.random()))
+    return spark.createDataFrame(rows, "key string, seq long, source_ts timestamp, value double").cache()
+
+
+@pytest.mark.parametrize("reach, width", [(5, 7), (5, 5), (6, 2), (3, 1000), (1, 1)])
+def test_blocks_with_preceding_rows(gappy, reach, width):
+    blocks = slices.with_preceding(slices.sliced(gappy, seconds=7200), ["key"], ["source_ts"], reach, width)
+    over, plain = slices.block_window(["key"]), Window.partitionBy("key").orderBy("source_ts")
+
+    def frames(window):
+        return {"before": F.lag("value", reach).over(window), "mean": F.avg("value").over(window.rowsBetween(-reach, 0)),
+                "n": F.count("value").over(window.rowsBetween(-reach, 0))}
+
+    got = blocks.withColumns(frames(over)).where(slices.OWN)
+    same(got.select(*gappy.columns, *frames(over)), gappy.withColumns(frames(plain)))
+    sizes = blocks.groupBy("key", slices.BLOCK).count().agg(F.max("count")).first()[0]
+    assert sizes <= max(width, reach) + reach
+    assert got.agg(F.max(slices.NUMBER)).first()[0] == 400
+
+
+@pytest.mark.parametrize("reach, seconds", [(0, 3600), (1800, 3600), (100_000, 3600)])
+def test_slices_with_reach(gappy, reach, seconds):
+    order = F.unix_seconds("source_ts")
+    frame = lambda w: {"n": F.count("value").over(w.orderBy(order).rangeBetween(-reach, 0)), "least": F.min("value").over(w.orderBy(order).rangeBetween(-reach, 0))}
+    cut = slices.with_reach(gappy, "source_ts", reach, seconds)
+    got = cut.withColumns(frame(Window.partitionBy("key", slices.SLICE))).where(slices.OWN).select(*gappy.columns, "n", "least")
+    same(got, gappy.withColumns(frame(Window.partitionBy("key"))))
+
+
+@pytest.mark.parametrize("seconds", [3600, 86_400, 400 * 86_400])
+def test_surrounding_events(spark, gappy, seconds):
+    rng = random.Random(5)
+    held = [r for r in gappy.collect() if r["key"] != "c"]
+    events = [(r["key"], r["source_ts"]) for r in rng.sample(held, 60)] + [("hot", at(-5.0)), ("a", at(10**9)), ("b", None), ("other", at(3.0))]
+    table = spark.createDataFrame(events, "key string, happened timestamp")
+    got = slices.surrounding_events(gappy, table, ["key"], "source_ts", "happened", "last", "next", seconds)
+    assert got.columns == [*gappy.columns, "last", "next"]
+    for r in got.collect():
+        own = [t for k, t in events if k == r["key"] and t is not None]
+        assert r["last"] == max((t for t in own if t <= r["source_ts"]), default=None)
+        assert r["next"] == min((t for t in own if t >= r["source_ts"]), default=None)
+    assert got.count() == gappy.count()

@@ -13,6 +13,7 @@ from gritstone.schemas import DIM_TAG, TAG_READING
 from gritstone.sources.readings import read_stream
 from gritstone.sources.upsert import read_current, upsert
 from gritstone.streaming import jobs
+from gritstone.streaming.silence import stream_stale_tags
 from tests import plant
 from tests.helpers import at, reading, readings, rows_by, tag
 
@@ -135,16 +136,59 @@ def test_episodes_equal_batch(spark, rows, tags, gap):
     assert as_set(got, *columns) == as_set(want, *columns)
 
 
-def test_silences_equal_batch(spark, rows, tags):
-    path = feed(spark, [rows[:250], rows[250:]])
-    got = drain(spark, jobs.stream_stale_tags(source(spark, path), tags, 30), "complete")
-    want = alerts.stale_tags(readings(spark, rows), tags, str(at(100_000)), 30)
+LAST = 100_000
+
+
+def closing(rows):
+    """Files in order of time, some rows a file late, and one row that moves the watermark past the rest."""
+    late = rows[180:200]
+    end = [reading("A-CR01-TI01", LAST, 15.0)]
+    return [rows[:180], rows[200:350] + late, rows[350:], end]
+
+
+def run_append(spark, path, build, delay="1 hour"):
+    """The appended rows, and the rows left in the state of the last batch."""
+    df, out = build(source(spark, path, delay)), folder() + "/out"
+    query = df.writeStream.format("parquet").option("path", out).outputMode("append").option(
+        "checkpointLocation", folder()).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(df.schema).parquet(out), [op["numRowsTotal"] for op in query.lastProgress["stateOperators"]]
+
+
+def test_silences_equal_batch(spark, rows):
+    tags = spark.createDataFrame([tag("A-CV01-WI01"), tag("A-CV02-WI01"), tag("A-CR01-TI01", "crusher", "temperature")], DIM_TAG)
+    path, since = feed(spark, closing(rows)), str(at(-200))
+    got, left = run_append(spark, path, lambda r: stream_stale_tags(r, tags, since, 30))
+    want = alerts.stale_tags(readings(spark, rows), tags, str(at(LAST)), 30, since=since)
     assert as_set(got, "tag_id", "last_seen") == as_set(want, "tag_id", "last_seen")
+    found = got.collect()
+    assert [(r["last_seen"], r["stale_from"]) for r in found if r["tag_id"] == "A-CV02-WI01"] == [(None, at(-170))]
+    assert len(found) == len(want.collect()) > 10
+
+
+def test_rows_behind_the_watermark_break_no_silence(spark):
+    tags = spark.createDataFrame([tag("A-CV01-WI01"), tag("A-CR01-TI01", "crusher", "temperature")], DIM_TAG)
+    name, other = "A-CV01-WI01", "A-CR01-TI01"
+    batches = [[reading(name, s, 1.0) for s in (0, 20, 40)], [reading(other, 500, 1.0)], [reading(other, 510, 1.0)], [reading(name, 100, 9.0), reading(name, 600, 1.0)], [reading(other, 900, 1.0)]]
+    got, _ = run_append(spark, feed(spark, batches), lambda r: stream_stale_tags(r, tags, str(at(-10)), 60), "100 seconds")
+    assert sorted(r["last_seen"] for r in got.collect()) == [at(40), at(600)]
 
 
 def test_rise_equals_batch(spark, rows, tags):
-    path = feed(spark, [rows[:250], rows[250:]])
-    got = drain(spark, jobs.stream_rate_of_change(source(spark, path), tags), "complete").where("rise > 0")
+    got, left = run_append(spark, feed(spark, closing(rows)), lambda r: jobs.stream_rate_of_change(r, tags))
     want = alerts.rate_of_change(readings(spark, rows), tags, 0.0)
     columns = ("tag_id", "window_start", "first_value", "last_value", "rise")
-    assert as_set(got, *columns) == as_set(want, *columns)
+    assert as_set(got.where("rise > 0"), *columns) == as_set(want, *columns) and got.count()
+    assert sorted(left) == [0, 1]
+
+
+def test_closed_windows_and_sessions_leave_the_state(spark, rows, tags):
+    path = feed(spark, closing(rows))
+    columns = ("tag_id", "window_start", "avg_value", "first_value", "last_value", "sample_count", "good_count")
+    got, left = run_append(spark, path, jobs.stream_tag_1m)
+    want = tag_reading_1m(readings(spark, rows))
+    assert as_set(got, *columns) == as_set(want, *columns) and left == [1]
+    columns = ("tag_id", "rule_type", "raised_at", "ended_at", "samples", "peak_high")
+    got, left = run_append(spark, path, lambda r: jobs.stream_episodes(r, tags, 60))
+    want = alerts.alert_episodes(alerts.limit_breaches(readings(spark, rows), tags), 60)
+    assert as_set(got, *columns) == as_set(want, *columns) and left == [0]
