@@ -18,7 +18,7 @@ from gritstone.functions.slices import DAY, previous_row, sliced
 from gritstone.session import materialize
 
 # Windows and arcs meet by a salt, so neither side is a single task or one array.
-SPINE_SALTS = 32
+SPINE_ROWS = 1_000_000
 
 ARC_COLUMNS = [
     "arc_id", "from_node_id", "to_node_id", "stream_type", "measure_method", "design_tph",
@@ -40,12 +40,18 @@ def slurry_pairs(tags: DataFrame) -> DataFrame:
     return pairs.select("flow_tag_id", "density_tag_id")
 
 
-def arc_window_spine(tag_1m: DataFrame, arcs: DataFrame) -> DataFrame:
-    """Every arc in every window that has any reading, instrumented or not."""
-    salts = F.sequence(F.lit(0), F.lit(SPINE_SALTS - 1))
-    windows = tag_1m.select("window_start", "window_end").distinct().withColumn("_salt", F.explode(salts))
-    graph = materialize(arcs.select(*ARC_COLUMNS, F.pmod(F.xxhash64("arc_id"), F.lit(SPINE_SALTS)).cast("int").alias("_salt")))
-    return windows.join(graph, "_salt").select("window_start", "window_end", *ARC_COLUMNS)
+def arc_window_spine(tag_1m: DataFrame, arcs: DataFrame, rows_a_part: int = SPINE_ROWS) -> DataFrame:
+    """Every arc in every window that has any reading, instrumented or not.
+
+    The windows are dealt into as many parts as windows x arcs need, at ``rows_a_part`` rows each, and each part meets its own
+    copy of the arcs by an equal key. Only the two counts are taken beforehand.
+    """
+    windows = tag_1m.select("window_start", "window_end").distinct()
+    graph = materialize(arcs.select(*ARC_COLUMNS))
+    parts = max(1, -(-windows.count() * graph.count() // rows_a_part))
+    dealt = windows.withColumn("_part", F.pmod(F.xxhash64("window_start"), F.lit(parts)))
+    copies = graph.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return dealt.join(copies, "_part").select("window_start", "window_end", *ARC_COLUMNS)
 
 
 def node_accumulation(tag_1m: DataFrame, nodes: DataFrame, slice_seconds: int = DAY) -> DataFrame:

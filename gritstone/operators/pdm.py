@@ -98,29 +98,26 @@ def train(features: DataFrame, settings: BoostingSettings = BoostingSettings())
 def threshold_scores(features: DataFrame, steps: int = BASELINE_STEPS) -> DataFrame:
     """F1 of the rule ``rms >= threshold`` for quantiles of RMS as thresholds.
 
-    Each row falls between two thresholds, so one grouping into ``steps + 1``
-    counts replaces comparing every row with every threshold afterwards.
+    The thresholds are found once; as there are ``steps`` of them whatever the data, they go on as an array of constants.
+    Each row falls between two of them, so one scan groups the rows into ``steps + 1`` counts, which are then
+    summed from the top. Nothing is flagged, and F1 is 0, where there are no rows.
     """
     span = BASELINE_HIGH - BASELINE_LOW
     probabilities = [BASELINE_LOW + span * i / (steps - 1) for i in range(steps)]
-    thresholds = interpolated_quantiles(features, "rms_mm_s", probabilities)
-    ladder = thresholds.agg(F.sort_array(F.collect_list("quantile")).alias("t")).scalar()
-    reached = F.size(F.filter(F.col("_ladder"), lambda t: t <= F.col("rms_mm_s")))
+    found = {r["position"]: r["quantile"] for r in interpolated_quantiles(features, "rms_mm_s", probabilities).collect()}
+    ladder = [found.get(k) for k in range(steps)]
+    reached = F.size(F.filter(F.array(*[F.lit(t).cast("double") for t in ladder]), lambda t: t <= F.col("rms_mm_s")))
     counted = (
-        features.where(F.col("rms_mm_s").isNotNull()).withColumn("_ladder", ladder)
+        features.where(F.col("rms_mm_s").isNotNull())
         .select((reached - 1).alias("position"), F.col(LABEL).alias("_label"))
         .groupBy("position")
         .agg(F.count(F.lit(1)).alias("rows"), F.count_if("_label").alias("positives"))
     )
-    downwards = (
-        Window.partitionBy(F.lit(0)).orderBy(F.desc("position"))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    every = thresholds.select("position", "quantile").unionByName(
-        counted.select("position").where(F.col("position") < 0), allowMissingColumns=True
-    )
+    every = features.sparkSession.createDataFrame(
+        [(k, t) for k, t in enumerate([None, *ladder], -1)], "position int, threshold double")
+    downwards = Window.partitionBy(F.lit(0)).orderBy(F.desc("position")).rowsBetween(Window.unboundedPreceding, 0)
     totals = every.join(counted, "position", "left").select(
-        "position", F.col("quantile").alias("threshold"),
+        "position", "threshold",
         F.coalesce(F.sum("rows").over(downwards), F.lit(0)).alias("flagged"),
         F.coalesce(F.sum("positives").over(downwards), F.lit(0)).alias("tp"),
         F.coalesce(F.sum("positives").over(Window.partitionBy(F.lit(0))), F.lit(0)).alias("actual"),

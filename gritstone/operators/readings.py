@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gritstone.functions.expressions import good_only, percent
 from gritstone.functions.slices import HOUR, SLICE, sliced
+from gritstone.session import materialize
 
 
 def with_tag(readings: DataFrame, tags: DataFrame, columns: list[str]) -> DataFrame:
@@ -105,12 +106,39 @@ def disjoint_segments(intervals: DataFrame) -> DataFrame:
     )
 
 
+#: Cells of level k are RADIX ** k slices wide; LEVELS of them span any two timestamps.
+RADIX, LEVELS = 8, 16
+
+
+def covering_cells(first: Column, last: Column) -> Column:
+    """The fewest aligned cells that tile the slices first..last, as an array of (level, cell).
+
+    At each level what the next one cannot take is left at both ends: less than RADIX cells a side, so an interval of
+    n slices has at most 2 * (RADIX - 1) * log(n) cells. Ten years of hours are fewer than 100.
+    """
+    def run(level: int, start: Column, end: Column) -> Column:
+        cells = F.when(start < end, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(cells, lambda c: F.struct(F.lit(level).alias("level"), c.alias("cell")))
+
+    def aligned(width: int) -> tuple[Column, Column]:
+        return F.ceil(first / F.lit(width)), F.floor((last + 1) / F.lit(width))
+
+    parts = []
+    for level in range(LEVELS):
+        start, end = aligned(RADIX**level)
+        above, above_end = (x * RADIX for x in aligned(RADIX ** (level + 1)))
+        taken = above < above_end
+        parts += [run(level, start, F.when(taken, above).otherwise(end)), run(level, above_end, F.when(taken, end).otherwise(above_end))]
+    return F.concat(*parts)
+
+
 def overlay_intervals(readings: DataFrame, intervals: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
     """Force value and quality inside ``intervals(tag_id, t_start, t_end, value, quality)``.
 
-    A NULL override leaves the column alone. Segments are disjoint, so a
-    reading meets at most one and rows never multiply; the join is an equi-join
-    on (tag, time slice), which spreads a heavy tag over its slices.
+    A NULL override leaves the column alone. Segments are disjoint, so a reading meets at most one and rows
+    never multiply. A segment is listed under its covering cells; a reading looks up its one cell on each level that
+    occurs, by an equi-join on (tag, cell). As long as the intervals are few, which the planner knows as they are
+    stored, readings are not moved at all.
     """
     width = slice_seconds * 1_000_000
     first = F.floor(F.unix_micros(F.col("seg_start").cast("timestamp")) / F.lit(width))
@@ -118,24 +146,27 @@ def overlay_intervals(readings: DataFrame, intervals: DataFrame, slice_seconds:
         F.unix_micros(F.least("seg_end", F.coalesce("seg_before", "seg_end")).cast("timestamp"))
         / F.lit(width)
     )
-    segments = disjoint_segments(intervals).withColumn(SLICE, F.explode(F.sequence(first, last)))
-    left = sliced(readings, seconds=slice_seconds).alias("r")
-    right = segments.alias("g")
-    t = F.col("r.source_ts")
-    inside = (
-        (F.col("r.tag_id") == F.col("g.tag_id"))
-        & (F.col(f"r.{SLICE}") == F.col(f"g.{SLICE}"))
-        & (F.when(F.col("g.seg_closed"), t >= F.col("g.seg_start")).otherwise(t > F.col("g.seg_start")))
-        & (t <= F.col("g.seg_end"))
-        & (F.col("g.seg_before").isNull() | (t < F.col("g.seg_before")))
-    )
+    listed = materialize(disjoint_segments(intervals).withColumn("_c", F.explode(covering_cells(first, last))).select("*", "_c.*").drop("_c"))
+    levels = [row["level"] for row in listed.select("level").distinct().orderBy("level").collect()]  # at most LEVELS
+    rows, t, found = sliced(readings, seconds=slice_seconds), F.col("source_ts"), []
+    for level in levels:
+        name = f"_seg{level}"
+        segment = listed.where(F.col("level") == level).select(
+            F.col("tag_id").alias(f"{name}_tag"), F.col("cell").alias(f"{name}_cell"),
+            F.struct("seg_start", "seg_closed", "seg_end", "seg_before", "seg_value", "seg_quality").alias(name))
+        g = {c: F.col(f"{name}.seg_{c}") for c in ("start", "closed", "end", "before")}
+        inside = (
+            (F.col("tag_id") == F.col(f"{name}_tag")) & (F.floor(F.col(SLICE) / F.lit(RADIX**level)) == F.col(f"{name}_cell"))
+            & (F.when(g["closed"], t >= g["start"]).otherwise(t > g["start"])) & (t <= g["end"])
+            & (g["before"].isNull() | (t < g["before"]))
+        )
+        rows = rows.join(segment, inside, "left").drop(f"{name}_tag", f"{name}_cell")
+        found.append(name)
+    met = F.coalesce(*found) if found else F.lit(None).cast("struct<seg_value: double, seg_quality: string>")
     overridden = {
-        "value": F.coalesce("g.seg_value", "r.value"),
-        "quality": F.coalesce("g.seg_quality", "r.quality"),
+        "value": F.coalesce(met["seg_value"], "value"), "quality": F.coalesce(met["seg_quality"], "quality"),
     }
-    return left.join(right, inside, "left").select(
-        *[overridden.get(c, F.col(f"r.{c}")).alias(c) for c in readings.columns]
-    )
+    return rows.select(*[overridden.get(c, F.col(c)).alias(c) for c in readings.columns])
 
 
 def quality_distribution(readings: DataFrame) -> DataFrame:

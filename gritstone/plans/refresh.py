@@ -92,21 +92,21 @@ def refresh(
 
 def refresh_stockpiles(
     readings: DataFrame, path: str, tags: stockpile.StackerTags = stockpile.StackerTags(),
-) -> int:
-    state = stockpile.stockpile_state(readings, tags).drop("campaigns")
+) -> list[int]:
+    state = materialize(stockpile.stockpile_state(readings, tags).drop("campaigns"))
     return upsert(state, path, ["stockpile_id"])
 
 
-def refresh_alerts(readings: DataFrame, dims: Dimensions, path: str, gap_seconds: int = 60) -> int:
-    """Readings to alert table in one job."""
+def refresh_alerts(readings: DataFrame, dims: Dimensions, path: str, gap_seconds: int = 60) -> list[int]:
+    """Readings to alert table; returns the partitions of the table that were written."""
     return upsert(
-        alerts.derive_alerts(readings, dims.tags, dims.rules, gap_seconds), path, ["alert_id"]
+        materialize(alerts.derive_alerts(readings, dims.tags, dims.rules, gap_seconds)), path, ["alert_id"]
     )
 
 
-def apply_alert_feed(feed: DataFrame, path: str) -> int:
+def apply_alert_feed(feed: DataFrame, path: str) -> list[int]:
     """Project the newest state of each alert from its change feed into the alert table."""
-    return upsert(history.latest_images(feed, "alert_id"), path, ["alert_id"])
+    return upsert(materialize(history.latest_images(feed, "alert_id")), path, ["alert_id"])
 
 
 def score_fleet(
@@ -119,5 +119,5 @@ def score_fleet(
     recent = materialize(pdm.scorable(pdm.recent_window(features, days)))
     scored = materialize(model.probabilities(pdm.fill_context(recent)))
     rows = pdm.predictions(scored, calibration, model_name, model_version, scored_at)
-    append_unseen(rows, path, "prediction_id")
+    append_unseen(rows, path, "prediction_id", "feature_window_end")
     return rows

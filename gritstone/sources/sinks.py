@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -18,10 +18,23 @@ def unseen_rows(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return rows.join(target.select(key), key, "left_anti")
 
 
-def append_unseen(rows: DataFrame, path: str, key: str) -> None:
+def append_unseen(rows: DataFrame, path: str, key: str, time: str | None = None) -> None:
+    """Append the rows whose ``key`` the table does not hold.
+
+    With ``time`` the table is partitioned by that column's day, and only the days that occur in ``rows`` are read of it: a key
+    must then always come with the same day.
+    """
     spark = rows.sparkSession
-    fresh = unseen_rows(spark.read.parquet(path), rows, key) if _has_data(spark, path) else rows
-    fresh.write.mode("append").parquet(path)
+    dated = rows.withColumn("day", F.col(time).cast("date")) if time else rows
+    fresh = dated
+    if child_names(spark, path):
+        held = spark.read.schema(dated.schema).parquet(path)
+        if time:
+            days = [row["day"] for row in dated.select("day").distinct().collect()]
+            held = held.where(F.col("day").isin([F.lit(day) for day in days]))
+        fresh = unseen_rows(held, dated, key)
+    writer = fresh.write.mode("append")
+    (writer.partitionBy("day") if time else writer).parquet(path)
 
 
 def rows_to_json(df: DataFrame) -> DataFrame:
@@ -42,7 +55,9 @@ def layout_by_key(df: DataFrame, keys: list[str], files: int | None = None) -> D
     return ranged.sortWithinPartitions(*keys)
 
 
-def _has_data(spark, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder. Spark's own marker files are left out."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in fs.listStatus(root)] if fs.exists(root) else []
+    return [name for name in names if not name.startswith(("_", "."))]

@@ -1,15 +1,20 @@
-"""Keyed upsert on parquet: each run writes a complete new version next to the old one.
+"""Keyed upsert on a parquet table that is partitioned by a hash of its key.
 
-Parquet tables take no row-level MERGE. A version counts only once its
-``_SUCCESS`` file exists, so a lost job leaves the previous version readable.
-A writer may sign its version; a replayed micro-batch finds the version it has
-signed and rewrites that, whatever other streams have written.
+Only the partitions that hold a key of the source are read, merged and replaced, by Spark's dynamic partition overwrite; the
+others keep their files. A job that is lost before its commit leaves the table as it was. Merging the same rows
+again gives the same rows, so a repeated job or micro-batch changes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gritstone.sources.sinks import child_names, overwrite_table
+
+#: The partition column's name carries the number of partitions, which a table keeps for good.
+PART_OF = "key_part_of_"
+PARTS = 64
+
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
     """One row per key out of both sides.
@@ -35,45 +40,33 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], by: list[s
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*columns)
 
 
-def _names(spark: SparkSession, path: str, complete: bool = True) -> dict[int, str]:
-    """Folder of each version."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return {}
-    found = {}
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and (not complete or fs.exists(done)):
-            found[int(name[2:].split("@")[0])] = name
-    return found
+def _part_column(spark: SparkSession, path: str) -> str | None:
+    """Name of the table's partition column; None where there is no table yet."""
+    found = [name.split("=")[0] for name in child_names(spark, path) if name.startswith(PART_OF)]
+    return found[0] if found else None
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a table, oldest first."""
-    return sorted(_names(spark, path))
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table's rows, or None when there is none."""
+    part = _part_column(spark, path)
+    return spark.read.parquet(path).drop(part) if part else None
 
 
-def read_current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Newest complete version, or None when there is none."""
-    names = _names(spark, path)
-    done = [v for v in names if before is None or v < before]
-    return spark.read.parquet(f"{path}/{names[max(done)]}") if done else None
+def upsert(source: DataFrame, path: str, keys: list[str], by: list[str] | None = None, parts: int = PARTS) -> list[int]:
+    """Merge ``source`` into the table at ``path``; returns the partitions written.
 
-
-def upsert(
-    source: DataFrame, path: str, keys: list[str], by: list[str] | None = None,
-    signature: str | None = None,
-) -> int:
-    """Merge ``source`` into the table at ``path`` and return the version written."""
+    ``parts`` counts for a new table only. The source is read twice, for its partitions and for its rows.
+    """
     spark = source.sparkSession
-    names = _names(spark, path, complete=False)
-    signed = [v for v, name in names.items() if signature and name.endswith(f"@{signature}")]
-    version = signed[0] if signed else max(names, default=-1) + 1
-    current = read_current(spark, path, before=version)
-    if current is None:
-        current = source.limit(0)
-    merge_rows(current, source, keys, by).write.mode("overwrite").parquet(
-        f"{path}/v={version}@{signature}" if signature else f"{path}/v={version}")
-    return version
+    part = _part_column(spark, path)
+    exists = part is not None
+    part = part or f"{PART_OF}{parts}"
+    count = int(part.removeprefix(PART_OF))
+    place = F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+    touched = sorted(row[0] for row in source.select(place.alias("p")).distinct().collect())  # at most ``count``
+    if not touched:
+        return []
+    current = spark.read.parquet(path).where(F.col(part).isin(touched)).drop(part) if exists else source.limit(0)
+    merged = merge_rows(current, source, keys, by).withColumn(part, place)
+    overwrite_table(merged.hint("rebalance", F.col(part)), path, [part])
+    return touched

@@ -39,12 +39,13 @@ def stream_tag_1m(readings: DataFrame, grain: str = "1 minute") -> DataFrame:
 def stream_current(readings: DataFrame, path: str, checkpoint: str):
     """Keep the newest reading per tag; a late row never replaces a newer one.
 
-    Each micro-batch signs the table version it writes, so a replayed batch rewrites
-    the same version and the result is exactly-once. A stream with a new
-    checkpoint has a new id and goes on after the versions that are there.
+    A micro-batch rewrites only the partitions of the tags it holds. The newest ``seq`` wins whatever
+    comes twice, so a replayed batch or a stream with a new checkpoint leaves the same table.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, path, ["tag_id"], by=["seq"], signature=f"{_query_id(batch)}-{batch_id}")
+        batch.persist()
+        upsert(batch, path, ["tag_id"], by=["seq"])
+        batch.unpersist()
 
     return readings.writeStream.outputMode("append").option(
         "checkpointLocation", checkpoint

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,10 +54,11 @@ def test_overlay_equals_brute_force(spark):
     for _ in range(40):
         start = rng.randrange(0, 9000)
         intervals.append((rng.choice("AB"), at(start), at(start + rng.choice([0, 10, 300, 2000])), float(rng.randrange(100, 200)), rng.choice([None, "STALE"])))
+    intervals += [("B", at(-400_000_000), at(3000), 7.0, None), ("C", at(2000), at(400_000_000), 8.0, "BAD"), ("A", at(9500), at(900_000), 9.0, None)]
     rows = [reading(rng.choice("ABC"), s, 1.0) for s in range(0, 10_000, 13)]
     rows += [reading("A", 9990 + k, 1.0) for k in range(3)]
     table = spark.createDataFrame(intervals, "tag_id string, t_start timestamp, t_end timestamp, value double, quality string")
-    for seconds in (500, 3600):
+    for seconds in (500, 3600, 1):
         out = rd.overlay_intervals(readings(spark, rows), table, seconds)
         got = rows_by(out, "event_id")
         assert out.count() == len(rows)
@@ -72,6 +74,16 @@ def test_overlay_equals_brute_force(spark):
             assert (got[row[0]]["value"], got[row[0]]["quality"]) == (value, quality)
 
 
+@pytest.mark.parametrize("first, last", [(0, 0), (-5, 3), (7, 64), (8, 63), (1, 87_600), (-87_601, 3), (-(10**9), 10**9 + 1)])
+def test_covering_cells_tile_an_interval(spark, first, last):
+    cells = spark.range(1).select(rd.covering_cells(F.lit(first).cast("long"), F.lit(last).cast("long")).alias("c")).first()["c"]
+    spans = sorted((c["cell"] * rd.RADIX ** c["level"], (c["cell"] + 1) * rd.RADIX ** c["level"] - 1) for c in cells)
+    assert spans[0][0] == first and spans[-1][1] == last
+    assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
+    if last - first <= 87_600:
+        assert len(spans) < 100
+
+
 def test_override_and_profiles(spark):
     rows = [reading("A", 0, 2.0), reading("B", 0, 2.0), reading("A", 1, None), reading("A", 2, 2.0, quality="BAD")]
     factors = spark.createDataFrame([("A", 3.0)], "tag_id string, multiplier double")
@@ -96,19 +108,55 @@ def test_newest_wins_upsert(spark):
     assert {k: r["value"] for k, r in got.items()} == {"A": 1.0, "B": 1.0, "C": 5.0}
     upsert.upsert(batch(("A", 6, 9.0)), path, ["tag_id"], by=["seq"])
     assert rows_by(upsert.read_current(spark, path), "tag_id")["A"]["value"] == 9.0
-    assert upsert.versions(spark, path) == [0, 1, 2]
 
 
-def test_merge_replaces_and_an_unfinished_version_is_ignored(spark):
+def test_merge_replaces(spark):
     path = folder() + "/alerts"
     rows = spark.createDataFrame([("a", 1, None), ("b", 2, "x")], "id string, n int, t string")
     upsert.upsert(rows, path, ["id"])
-    spark.createDataFrame([("a", 7, "y")], "id string, n int, t string").createOrReplaceTempView("src")
-    upsert.upsert(spark.table("src"), path, ["id"])
+    upsert.upsert(spark.createDataFrame([("a", 7, "y")], rows.schema), path, ["id"])
     got = rows_by(upsert.read_current(spark, path), "id")
     assert (got["a"]["n"], got["b"]["n"]) == (7, 2)
-    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/v=9")
-    assert upsert.versions(spark, path) == [0, 1]
+    assert upsert.upsert(rows.limit(0), path, ["id"]) == [] and upsert.upsert(rows.limit(0), folder() + "/none", ["id"]) == []
+    assert upsert.read_current(spark, folder() + "/none") is None
+    with pytest.raises(Exception, match="several source rows"):
+        upsert.upsert(spark.createDataFrame([("b", 3, "y"), ("b", 4, "z")], rows.schema), path, ["id"])
+    assert rows_by(upsert.read_current(spark, path), "id")["b"]["n"] == 2
+
+
+def test_upsert_leaves_other_partitions_alone(spark):
+    path = folder() + "/table"
+    first = spark.range(500).selectExpr("concat('k', id) AS id", "id AS n")
+    upsert.upsert(first, path, ["id"], parts=16)
+
+    def files():
+        found = {}
+        for p in Path(path).glob("key_part_of_16=*/*.parquet"):
+            found.setdefault(int(p.parent.name.split("=")[1]), set()).add((p.name, p.stat().st_mtime_ns))
+        return found
+
+    before = files()
+    changed = spark.createDataFrame([("k3", -1), ("k77", -2), ("new", -3)], first.schema)
+    touched = upsert.upsert(changed, path, ["id"])
+    after = files()
+    assert 0 < len(touched) <= 3 and len(before) == 16
+    assert all(before[k] == after[k] for k in before if k not in touched) and all(before[k] != after[k] for k in touched)
+    got = {r["id"]: r["n"] for r in upsert.read_current(spark, path).collect()}
+    assert got == {**{f"k{k}": k for k in range(500)}, "k3": -1, "k77": -2, "new": -3}
+    assert upsert.upsert(changed, path, ["id"]) == touched and {r["id"]: r["n"] for r in upsert.read_current(spark, path).collect()} == got
+
+
+def test_append_reads_only_the_days_it_writes(spark):
+    path = folder() + "/predictions"
+    rows = spark.createDataFrame([("p1", at(0), 1), ("p2", at(90_000), 2)], "id string, at timestamp, n int")
+    sinks.append_unseen(rows, path, "id", "at")
+    (Path(path) / "day=1999-01-01").mkdir()
+    (Path(path) / "day=1999-01-01" / "part-0.parquet").write_bytes(b"not a table")  # another day: must not be read
+    more = spark.createDataFrame([("p2", at(90_000), 9), ("p3", at(90_001), 3)], rows.schema)
+    sinks.append_unseen(more, path, "id", "at")
+    sinks.append_unseen(more, path, "id", "at")
+    held = spark.read.schema("id string, at timestamp, n int, day date").parquet(path)
+    assert sorted((r["id"], r["n"]) for r in held.where("day > '2000-01-01'").collect()) == [("p1", 1), ("p2", 2), ("p3", 3)]
 
 
 def test_sinks(spark):

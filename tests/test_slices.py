@@ -66,9 +66,35 @@ def test_quantiles_match_linear_interpolation(spark):
     values = np.concatenate([rng.normal(5, 2, 4000), np.full(2500, 5.0), rng.exponential(100, 50)])
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
     probabilities = list(np.linspace(0.5, 0.995, 60)) + [0.0, 1.0, 0.013]
-    for accuracy in (100, 10_000):  # with brackets, and ordered whole
-        got = {r["position"]: r["quantile"] for r in interpolated_quantiles(df, "v", probabilities, accuracy=accuracy).collect()}
-        np.testing.assert_allclose([got[i] for i in range(len(probabilities))], np.quantile(values, probabilities))
+    got = {r["position"]: r["quantile"] for r in interpolated_quantiles(df, "v", probabilities).collect()}
+    np.testing.assert_allclose([got[i] for i in range(len(probabilities))], np.quantile(values, probabilities), rtol=1e-12)
+
+
+def test_quantiles_of_groups_and_odd_values(spark):
+    rng = np.random.default_rng(4)
+    series = {
+        "dense": 1.0 + rng.random(3000) * 1e-9, "wide": rng.normal(size=2000) * 10.0 ** rng.integers(-300, 300, 2000), "one": np.array([7.5]),
+        "same": np.full(500, -3.25), "signs": np.array([-0.0, 0.0, 5e-324, -5e-324, 1.7e308, -1.7e308]), "ints": rng.integers(-40, 40, 900).astype(float),
+    }
+    frame = spark.createDataFrame([(k, float(v)) for k, values in series.items() for v in values] + [("none", None)], "k string, v double").repartition(6)
+    probabilities = [0.0, 0.25, 0.5, 0.501, 0.999, 1.0]
+    got = {(r["k"], r["probability"]): r["quantile"] for r in interpolated_quantiles(frame, "v", probabilities, ["k"]).collect()}
+    assert len(got) == len(series) * len(probabilities)
+    for k, values in series.items():
+        if k == "signs":
+            assert got[k, 0.0] == -1.7e308 and got[k, 1.0] == 1.7e308 and got[k, 0.5] == 0.0
+        else:
+            np.testing.assert_allclose([got[k, p] for p in probabilities], np.quantile(values, probabilities), rtol=1e-12)
+    odd = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), float("-inf"), 1.0, None)], "v double")
+    found = [r["quantile"] for r in interpolated_quantiles(odd, "v", [0.0, 1 / 3, 2 / 3, 1.0]).orderBy("position").collect()]
+    assert found[:3] == [float("-inf"), 1.0, float("inf")] and np.isnan(found[3])
+    assert interpolated_quantiles(odd.limit(0), "v", [0.5]).count() == 0
+
+
+def test_quantile_plan(spark):
+    df = spark.range(1000).withColumn("v", F.rand(1))
+    plan = interpolated_quantiles(df, "v", [0.1, 0.9])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "raise_error" not in plan
 
 
 def test_medians_ignore_nulls(spark):
