@@ -146,12 +146,6 @@ def content_terms(text: str | Column) -> Column:
     return F.array_distinct(F.array_except(words(text), stop))
 
 
-def dot(x: Column, y: Column) -> Column:
-    """Inner product of two arrays, in double precision."""
-    products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
-
-
 def stable_id(*parts: str | Column) -> Column:
     """Repeatable id, so a retried task or a replayed batch produces the same key."""
     return F.sha2(F.concat_ws("|", *[_col(p).cast("string") for p in parts]), 256)

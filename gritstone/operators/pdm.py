@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gritstone.functions.expressions import iso_zone, recommended_action, stable_id
+from gritstone.functions.expressions import iso_zone, recommended_action, stable_id, stable_share
 from gritstone.functions.quantiles import interpolated_quantiles, medians
 from gritstone.functions.slices import SLICE, running_total
 from gritstone.operators.vibration import days_to_fail
 from gritstone.session import materialize
+from gritstone.sources.sinks import child_names
 
 # Features a live window can provide, and those no row may lack.
 FEATURES = [
@@ -26,6 +29,9 @@ LABEL = "label_failure_30d"
 RUL_BINS = 10
 BASELINE_STEPS = 60
 BASELINE_LOW, BASELINE_HIGH = 0.50, 0.995
+#: Labelled rows that trees are fitted on at most; folds of whole assets in the evaluation.
+FIT_ROWS = 50_000
+FOLDS = 3
 
 
 @dataclass(frozen=True)
@@ -34,6 +40,7 @@ class BoostingSettings:
     learning_rate: float = 0.08
     depth: int = 6
     seed: int = 27
+    fit_rows: int = FIT_ROWS
 
 
 @dataclass(frozen=True)
@@ -71,10 +78,19 @@ def _assembled(features: DataFrame, fill: dict[str, float]) -> DataFrame:
     return VectorAssembler(inputCols=filled, outputCol="_features").transform(rows).drop(*filled)
 
 
+def fit_sample(labelled: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
+    """About ``limit`` rows of the table at most, drawn by a hash of sensor and window, so reruns draw the same ones."""
+    total = labelled.count()
+    if total <= limit:
+        return labelled
+    drawn = stable_share(1_000_000, "tag_id", "window_start")
+    return labelled.where(drawn < int(1_000_000 * limit / total))
+
+
 def train(features: DataFrame, settings: BoostingSettings = BoostingSettings()) -> PdmModel:
-    """Boosted trees with the positive class weighted by the class ratio.
+    """Boosted trees with the positive class weighted by the class ratio, on a sample of at most about ``fit_rows`` labelled rows.
 
-    Only two counts and nine medians reach the driver. The features are read
+    Counts and medians are those of all labelled rows. Only two counts and nine medians reach the driver. The features are read
     several times: pass a stored or materialized table, not a long plan.
     """
     labelled = features.where(F.col(LABEL).isNotNull())
@@ -84,7 +100,8 @@ def train(features: DataFrame, settings: BoostingSettings = BoostingSettings())
     weight = counts["neg"] / max(counts["pos"], 1)
     middle = medians(labelled, FEATURES).first().asDict()
     fill = {c: float(middle[c]) if middle[c] is not None else 0.0 for c in FEATURES}
-    rows = _assembled(labelled, fill).select(
+    rows = materialize(fit_sample(labelled, settings.fit_rows).select("tag_id", "window_start", *FEATURES, LABEL))
+    rows = _assembled(rows, fill).select(
         "_features", F.col(LABEL).cast("double").alias("_label"),
         F.when(F.col(LABEL), F.lit(float(weight))).otherwise(F.lit(1.0)).alias("_weight"),
     )
@@ -136,39 +153,51 @@ def rms_threshold_baseline(features: DataFrame, steps: int = BASELINE_STEPS) ->
     )
 
 
-def score_held_out(
-    features: DataFrame, held_asset: str, settings: BoostingSettings = BoostingSettings(),
-) -> DataFrame:
-    """Train on all other assets, then predict the held-out one by model and by RMS rule."""
-    others = features.where(F.col("asset_id") != held_asset)
-    model = train(others, settings)
-    threshold = rms_threshold_baseline(others).first()["rms_threshold_mm_s"]
-    held = model.probabilities(features.where(F.col("asset_id") == held_asset))
-    return held.select(
-        "asset_id", "tag_id", "window_start", F.col(LABEL).alias("label"), "days_to_fail",
-        "failure_prob_30d", (F.col("failure_prob_30d") >= 0.5).alias("model_flag"),
-        (F.col("rms_mm_s") >= F.lit(threshold)).alias("rms_flag"),
-        F.lit(threshold).cast("double").alias("rms_threshold_mm_s"),
-    )
+def asset_folds(features: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """``fold`` of every asset. Assets that failed are dealt first, so each fold gets its share of them.
+
+    The order is that of a hash of the asset; the window runs over one row per asset.
+    """
+    assets = features.groupBy("asset_id").agg(F.coalesce(F.max(LABEL), F.lit(False)).alias("_failed"))
+    dealt = Window.partitionBy(F.lit(0)).orderBy(F.desc("_failed"), stable_id("asset_id"))
+    return assets.select("asset_id", ((F.row_number().over(dealt) - 1) % folds).alias("fold"))
 
 
-def leave_one_asset_out(
-    features: DataFrame, settings: BoostingSettings = BoostingSettings(),
+def cross_fit(
+    features: DataFrame, path: str, settings: BoostingSettings = BoostingSettings(), folds: int = FOLDS,
 ) -> DataFrame:
-    """Held-out predictions of every asset that ever failed.
+    """Held-out predictions of every asset by a model and an RMS rule that were fitted without its fold.
 
-    The loop is over failing assets, one model each; the rows stay distributed.
-    Measured on whole assets because neighbouring windows of a bearing are
-    nearly the same row.
+    The number of models is the fixed number of folds, however many assets there are; whole assets are held out because
+    neighbouring windows of a bearing are nearly the same row. With as many folds as failing assets each is left out alone. The
+    folds are fitted side by side and written under ``path`` one by one; a fold that is there is not fitted again,
+    so a lost run goes on where it stopped. Assets that never failed are used for fitting only.
     """
-    dated = materialize(days_to_fail(features))
-    failing = [r["asset_id"] for r in dated.where(LABEL).select("asset_id").distinct().orderBy("asset_id").collect()]
-    if not failing:
+    spark = features.sparkSession
+    dated = materialize(days_to_fail(features).join(asset_folds(features, folds), "asset_id"))
+    failing = materialize(dated.where(LABEL).select("asset_id", "fold").distinct())
+    wanted = [row["fold"] for row in failing.select("fold").distinct().orderBy("fold").collect()]
+    if not wanted:
         raise ValueError("no asset has a labelled failure")
-    result = score_held_out(dated, failing[0], settings)
-    for asset in failing[1:]:
-        result = result.unionByName(score_held_out(dated, asset, settings))
-    return result
+
+    def fit_fold(fold: int) -> None:
+        target = f"{path}/fold={fold}"
+        if "part" in "".join(child_names(spark, target)):
+            return
+        others = dated.where(F.col("fold") != fold)
+        model = train(others, settings)
+        threshold = rms_threshold_baseline(others).first()["rms_threshold_mm_s"]
+        held = dated.where(F.col("fold") == fold).join(failing.select("asset_id"), "asset_id", "left_semi")
+        model.probabilities(held).select(
+            "asset_id", "tag_id", "window_start", F.col(LABEL).alias("label"), "days_to_fail",
+            "failure_prob_30d", (F.col("failure_prob_30d") >= 0.5).alias("model_flag"),
+            (F.col("rms_mm_s") >= F.lit(threshold)).alias("rms_flag"),
+            F.lit(threshold).cast("double").alias("rms_threshold_mm_s"),
+        ).write.mode("overwrite").parquet(target)
+
+    with ThreadPool(len(wanted)) as pool:
+        pool.map(inheritable_thread_target(spark)(fit_fold), wanted)
+    return spark.read.parquet(path).drop("fold")
 
 
 def _f1(flag: str) -> tuple[Column, Column, Column]:

@@ -1,23 +1,26 @@
 """Hybrid search over notes: BM25 and vector ranks fused by reciprocal rank.
 
-The query is one short text and one vector, so both rankings are scans that
-keep the best rows per task. Statistics the scoring needs (document frequency
-of the query's terms, mean length) are one aggregation with partial results;
-tokens are never exploded or shuffled.
+Words are found through a stored inverted index, so a question reads the postings of its own terms and no texts.
+Vectors are compared exactly in one scan that keeps the best rows per task.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gritstone.functions.expressions import content_terms, dot
+from gritstone.functions.expressions import STOP_WORDS, content_terms, words
+from gritstone.functions.stemming import with_stems
+from gritstone.session import materialize
 
 RRF_K = 60
 LIST_LENGTH = 20
 BM25_K1 = 1.2
 BM25_B = 0.75
+#: Folders that the postings are split into, by a hash of the stem.
+BUCKETS = 64
 
 
 def query_terms(spark: SparkSession, query: str) -> list[str]:
@@ -25,50 +28,66 @@ def query_terms(spark: SparkSession, query: str) -> list[str]:
     return spark.range(1).select(content_terms(F.lit(query)).alias("t")).first()["t"]
 
 
-def _whole_words(terms: list[str]) -> str:
-    """Pattern of any of the terms standing alone; terms are plain letters."""
-    return "(?<![a-z])(?:" + "|".join(terms) + ")(?![a-z])" if terms else "(?!)"
+def _bucket(stem: str) -> Column:
+    return F.pmod(F.xxhash64(stem), F.lit(BUCKETS)).cast("int")
 
 
-def matching_notes(notes: DataFrame, terms: list[str], text: str = "note_text") -> DataFrame:
-    """Notes that share at least one term with the query."""
-    return notes.where(F.lower(text).rlike(_whole_words(terms)))
+@dataclass(frozen=True)
+class NoteIndex:
+    """An inverted index at ``path``: ``postings`` (stem, note, tf, length of the note) by bucket, and ``totals`` (notes, mean length)."""
 
+    spark: SparkSession
+    path: str
+    id_col: str = "note_id"
 
-def _term_hits(notes: DataFrame, terms: list[str], id_col: str, text: str) -> DataFrame:
-    """Length of each note in words and the query terms found in it, repeats kept.
+    def postings(self, stems: DataFrame) -> DataFrame:
+        """Postings of some stems: only their folders are read, and in these only the files and row groups that may hold them."""
+        wanted = [(r["stem"], r["bucket"]) for r in stems.select("stem", _bucket("stem").alias("bucket")).distinct().collect()]  # of one question
+        table = self.spark.read.parquet(f"{self.path}/postings")
+        return table.where(F.col("bucket").isin([b for _, b in wanted]) & F.col("stem").isin([s for s, _ in wanted]))
 
-    Two scans of the text by regular expression; the words of a note are never
-    built as an array, only the few that were asked for.
-    """
-    found = F.regexp_extract_all(F.lower(text), F.lit(f"({_whole_words(terms)})"), F.lit(1))
-    return notes.select(
-        id_col, F.regexp_count(F.lower(text), F.lit("[a-z]{3,}")).alias("_length"),
-        found.alias("_hits"),
-    )
+    def stems(self, terms: list[str]) -> DataFrame:
+        frame = self.spark.createDataFrame([(t,) for t in terms], "word string")
+        return with_stems(frame, "word", "stem").select("stem").distinct()
 
+    def matching(self, terms: list[str]) -> DataFrame:
+        """Ids of the notes that share at least one stem with the terms."""
+        return self.postings(self.stems(terms)).select(self.id_col).distinct()
 
-def bm25_scores(notes: DataFrame, terms: list[str], id_col: str = "note_id", text: str = "note_text") -> DataFrame:
-    """BM25 of every note that contains a query term."""
-    stats = _term_hits(notes, terms, id_col, text).agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"), F.avg("_length").alias("mean_length"),
-            *[F.count_if(F.array_contains("_hits", t)).alias(f"df{i}") for i, t in enumerate(terms)],
-        ).alias("stats")
-    ).scalar()
-    scored = _term_hits(matching_notes(notes, terms, text), terms, id_col, text).withColumn("_s", stats)
-    norm = F.lit(BM25_K1) * (
-        F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("_length") / F.col("_s.mean_length")
-    )
+    def scores(self, terms: list[str]) -> DataFrame:
+        """BM25 of every note that contains a term, in any of the forms of its stem."""
+        hits = self.postings(self.stems(terms))
+        holders = hits.groupBy("stem").agg(F.count(F.lit(1)).alias("_df"))  # one row per term
+        totals = self.spark.read.parquet(f"{self.path}/totals").first()
+        n, mean = totals["notes"], totals["mean_length"]
+        norm = BM25_K1 * ((1 - BM25_B) + BM25_B * F.col("length") / F.lit(mean))
+        idf = F.log(F.lit(1.0) + (F.lit(n) - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+        score = idf * F.col("tf") * F.lit(BM25_K1 + 1.0) / (F.col("tf") + norm)
+        return hits.join(holders, "stem").groupBy(self.id_col).agg(F.sum(score).alias("bm25"))
 
-    def term_score(i: int, term: str) -> Column:
-        tf, df = F.size(F.filter("_hits", lambda w: w == F.lit(term))), F.col(f"_s.df{i}")
-        idf = F.log(F.lit(1.0) + (F.col("_s.n") - df + 0.5) / (df + 0.5))
-        return idf * tf * F.lit(BM25_K1 + 1.0) / (tf + norm)
+    def top(self, terms: list[str], k: int = LIST_LENGTH) -> DataFrame:
+        # Rounded before ranking so the order does not hang on the last float digit.
+        return _ranked(self.scores(terms).withColumn("bm25", F.round("bm25", 9)), "bm25", "bm25_rank", self.id_col, k)
 
-    return scored.select(
-        id_col, sum((term_score(i, t) for i, t in enumerate(terms)), F.lit(0.0)).alias("bm25")
-    )
+
+def build_index(notes: DataFrame, path: str, id_col: str = "note_id", text: str = "note_text") -> NoteIndex:
+    """Write the index of notes with different ids.
+
+    The texts are read once. Words are counted per note before anything is moved, and stemmed once per different word.
+    Postings are dealt by ranges of (bucket, stem, note), so a word that very many notes hold fills many files.
+    """
+    spark = notes.sparkSession
+    found = notes.select(id_col, words(text).alias("_words")).select(
+        id_col, F.coalesce(F.size("_words"), F.lit(0)).alias("length"), F.explode_outer("_words").alias("word"))
+    counted = materialize(found.groupBy(id_col, "length", "word").agg(F.count(F.lit(1)).alias("tf")))
+    lengths = counted.groupBy(id_col).agg(F.max("length").alias("length"))
+    lengths.agg(F.count(F.lit(1)).alias("notes"), F.avg("length").alias("mean_length")).write.mode("overwrite").parquet(f"{path}/totals")
+    telling = counted.where(F.col("word").isNotNull() & ~F.col("word").isin(STOP_WORDS))
+    stems = materialize(with_stems(telling.select("word").distinct(), "word", "stem"))
+    postings = telling.join(stems, "word").groupBy(id_col, "length", "stem").agg(F.sum("tf").alias("tf")).withColumn("bucket", _bucket("stem"))
+    ranged = postings.repartitionByRange("bucket", "stem", id_col).sortWithinPartitions("bucket", "stem", id_col)
+    ranged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    return NoteIndex(spark, path, id_col)
 
 
 def _ranked(scores: DataFrame, score: str, rank: str, id_col: str, k: int) -> DataFrame:
@@ -78,21 +97,24 @@ def _ranked(scores: DataFrame, score: str, rank: str, id_col: str, k: int) -> Da
     return best.withColumn(rank, F.row_number().over(order))
 
 
-def bm25_top(notes: DataFrame, terms: list[str], k: int = LIST_LENGTH, id_col: str = "note_id", text: str = "note_text") -> DataFrame:
-    # Rounded before ranking so the order does not hang on the last float digit.
-    scores = bm25_scores(notes, terms, id_col, text).withColumn("bm25", F.round("bm25", 9))
-    return _ranked(scores, "bm25", "bm25_rank", id_col, k)
+def _sum(terms: list[Column]) -> Column:
+    """A sum as a balanced tree, so long vectors do not nest deeply."""
+    if len(terms) < 2:
+        return terms[0] if terms else F.lit(0.0)
+    half = len(terms) // 2
+    return _sum(terms[:half]) + _sum(terms[half:])
 
 
 def vector_top(
     notes: DataFrame, query_vector: list[float], k: int = LIST_LENGTH, id_col: str = "note_id",
     vector: str = "note_embedding",
 ) -> DataFrame:
-    """Exact nearest notes by cosine similarity: one scan, top rows per task."""
+    """Exact nearest notes by cosine similarity: one scan, top rows per task. Vectors of another length are left out."""
     length = math.sqrt(sum(x * x for x in query_vector)) or 1.0
-    wanted = F.array(*[F.lit(x / length) for x in query_vector])
-    similarity = F.try_divide(dot(F.col(vector), wanted), F.sqrt(dot(F.col(vector), F.col(vector))))
-    scores = notes.where(F.col(vector).isNotNull()).select(
+    entries = [F.get(vector, k).cast("double") for k in range(len(query_vector))]
+    similarity = F.try_divide(
+        _sum([entry * F.lit(x / length) for entry, x in zip(entries, query_vector)]), F.sqrt(_sum([entry * entry for entry in entries])))
+    scores = notes.where(F.size(vector) == len(query_vector)).select(
         id_col, F.round(similarity, 9).alias("cosine_sim")
     )
     return _ranked(scores, "cosine_sim", "vector_rank", id_col, k)
@@ -107,21 +129,27 @@ def rrf_fuse(bm25: DataFrame, vector: DataFrame, id_col: str = "note_id", k: int
 
 
 def best_note_per_order(fused: DataFrame, notes: DataFrame, orders: DataFrame) -> DataFrame:
-    """Attach order and text to the fused notes and keep the best note of each order."""
+    """Attach order and text to the fused notes and keep the best note of each order.
+
+    The fused list is two short lists at most, so its ids go to the scan of the notes as a filter.
+    """
+    fused = materialize(fused)
+    ids = [row["note_id"] for row in fused.select("note_id").collect()]
     best_first = Window.partitionBy("work_order_id").orderBy(F.desc("rrf"), "note_id")
-    attached = fused.join(notes.select("note_id", "work_order_id", "note_kind", "note_text"), "note_id").join(
+    told = notes.where(F.col("note_id").isin(ids)).select("note_id", "work_order_id", "note_kind", "note_text")
+    attached = fused.join(told, "note_id").join(
         orders.select("work_order_id", "asset_id", "failure_mode", "title", "status"), "work_order_id"
     )
     return attached.withColumn("_rn", F.row_number().over(best_first)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def hybrid_search(
-    notes: DataFrame, orders: DataFrame, query: str, query_vector: list[float], top: int = 5,
+    index: NoteIndex, notes: DataFrame, orders: DataFrame, query: str, query_vector: list[float], top: int = 5,
     k: int = LIST_LENGTH, vectors: DataFrame | None = None,
 ) -> DataFrame:
     """``vectors`` holds the notes' embeddings where they are a table of their own, so texts and vectors never meet."""
     terms = query_terms(notes.sparkSession, query)
-    fused = rrf_fuse(bm25_top(notes, terms, k), vector_top(notes if vectors is None else vectors, query_vector, k))
+    fused = rrf_fuse(index.top(terms, k), vector_top(notes if vectors is None else vectors, query_vector, k))
     return (
         best_note_per_order(fused, notes, orders)
         .orderBy(F.desc("rrf"), "note_id").limit(top)

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from gritstone.functions import expressions as ex
+from gritstone.functions.stemming import stem_ctes, with_stems
 from gritstone.operators import (
     alerts, balance, checks, equipment, history, pdm, readings as rd, search, stockpile, vibration,
     workorders as wo,
 )
+from gritstone.plans.refresh import score_fleet
 from gritstone.schemas import schema_of
 from gritstone.session import materialize, shared_folder
 from gritstone.sources import dims as dim_source, readings as seam, sinks, upsert as up
@@ -925,9 +927,15 @@ TERMS = ["find", "mentan", "thtion", "erble", "queaux", "from", "thor"]
 _TERM_LIST = "[" + ", ".join(f"'{t}'" for t in TERMS) + "]"
 SEARCH_CTES = {
     "tok": "SELECT note_id, regexp_extract_all(lower(note_text), '[a-z]{3,}') AS w FROM sn",
+    "asked": f"SELECT unnest({_TERM_LIST}) AS term",
+    "said": f"""SELECT note_id, len(w) AS dl, unnest(w) AS word FROM tok""",
+    "every": "SELECT term AS word FROM asked UNION SELECT word FROM said",
+    **stem_ctes("every", "word"),
     "st": "SELECT count(*) AS n, avg(len(w)) AS al FROM tok",
-    "tf": f"SELECT t.note_id, q.term, len(list_filter(t.w, lambda x: x = q.term)) AS tf, len(t.w) AS dl FROM tok t, (SELECT unnest({_TERM_LIST}) AS term) q",
-    "df": "SELECT term, count(*) FILTER (tf > 0) AS df FROM tf GROUP BY 1",
+    "tf": f"""SELECT d.note_id, q.stem AS term, count(*) AS tf, any_value(d.dl) AS dl
+      FROM said d JOIN stems x ON x.word = d.word JOIN (SELECT DISTINCT stem FROM asked JOIN stems ON term = word) q ON q.stem = x.stem
+      WHERE NOT list_contains([{', '.join(f"'{w}'" for w in ex.STOP_WORDS)}], d.word) GROUP BY ALL""",
+    "df": "SELECT term, count(*) AS df FROM tf GROUP BY 1",
     "bs": """SELECT tf.note_id, round(sum(ln(1 + (st.n - df.df + 0.5e0) / (df.df + 0.5e0)) * tf.tf * 2.2e0
         / (tf.tf + 1.2e0 * (0.25e0 + 0.75e0 * tf.dl / st.al))), 9) AS bm25
       FROM tf JOIN df ON df.term = tf.term, st WHERE tf.tf > 0 GROUP BY 1""",
@@ -950,11 +958,20 @@ def search_sql(body: str) -> str:
     return with_ctes(body, "sn", "wo", extra=SEARCH_CTES)
 
 
+_INDEXED: dict[tuple[str, str], str] = {}
+
+
+def indexed(i: Inputs) -> search.NoteIndex:
+    """The index of the notes, built once for a session and a set of tables."""
+    key = (i.spark.sparkContext.applicationId, i.sf)
+    if key not in _INDEXED:
+        _INDEXED[key] = search.build_index(i.search_notes, scratch(i.spark, "index")).path
+    return search.NoteIndex(i.spark, _INDEXED[key])
+
+
 def fused(i: Inputs) -> DataFrame:
     terms = search.query_terms(i.spark, QUESTION)
-    return search.rrf_fuse(
-        search.bm25_top(i.search_notes, terms), search.vector_top(i.search_vectors, i.query_vector)
-    )
+    return search.rrf_fuse(indexed(i).top(terms), search.vector_top(i.search_vectors, i.query_vector))
 
 
 @query("content_terms", f"""SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(list_distinct(list_filter(
@@ -966,9 +983,16 @@ def _(i: Inputs) -> DataFrame:
     )
 
 
+@query("word_stems", with_ctes("SELECT word, stem FROM stems", extra={
+    "heard": "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS word FROM documents", **stem_ctes("heard", "word")}))
+def _(i: Inputs) -> DataFrame:
+    heard = i.table("documents").select(F.explode(ex.words("text")).alias("word")).distinct()
+    return with_stems(heard, "word", "stem")
+
+
 @query("bm25_top20", search_sql(f"SELECT {sel('note_id bm25_rank', 'bm25')} FROM bm"))
 def _(i: Inputs) -> DataFrame:
-    return search.bm25_top(i.search_notes, search.query_terms(i.spark, QUESTION))
+    return indexed(i).top(search.query_terms(i.spark, QUESTION))
 
 
 @query("vector_top20", search_sql(f"SELECT {sel('note_id vector_rank', 'cosine_sim')} FROM vt"))
@@ -993,12 +1017,12 @@ def _(i: Inputs) -> DataFrame:
       {half_up('cosine_sim', 4)} AS cosine_sim, work_order_id, asset_id, failure_mode, title, status, note_kind, note_text
     FROM bo ORDER BY rrf DESC, note_id LIMIT 5"""))
 def _(i: Inputs) -> DataFrame:
-    return search.hybrid_search(i.search_notes, i.orders, QUESTION, i.query_vector, vectors=i.search_vectors)
+    return search.hybrid_search(indexed(i), i.search_notes, i.orders, QUESTION, i.query_vector, vectors=i.search_vectors)
 
 
 @query("matching_notes", search_sql("SELECT DISTINCT note_id FROM tf WHERE tf > 0"))
 def _(i: Inputs) -> DataFrame:
-    return search.matching_notes(i.search_notes, search.query_terms(i.spark, QUESTION)).select("note_id")
+    return indexed(i).matching(search.query_terms(i.spark, QUESTION))
 
 
 @query("topk_global", search_sql(f"SELECT {sel('note_id', 'rrf')} FROM fu ORDER BY rrf DESC, note_id LIMIT 5"))
@@ -1061,17 +1085,48 @@ def _(i: Inputs) -> DataFrame:
     return vibration.days_to_fail(i.labelled).select("tag_id", "window_start", "days_to_fail")
 
 
-SMALL_TREES = pdm.BoostingSettings(rounds=5, depth=3)
+_FITTED: dict[tuple[str, str], str] = {}
+
+
+def fitted(i: Inputs) -> pdm.PdmModel:
+    """The model at its full size, fitted and stored once for a session and a set of tables, and loaded from there."""
+    key = (i.spark.sparkContext.applicationId, i.sf)
+    if key not in _FITTED:
+        path = scratch(i.spark, "model")
+        pdm.train(i.labelled).save(path)
+        _FITTED[key] = path
+    return pdm.PdmModel.load(i.spark, _FITTED[key])
 
 
 @query("pdm_train")
 def _(i: Inputs) -> DataFrame:
-    return pdm.train(i.labelled, SMALL_TREES).probabilities(i.labelled).select("tag_id", "window_start", "failure_prob_30d")
+    return fitted(i).probabilities(i.labelled).select("tag_id", "window_start", "failure_prob_30d")
 
 
 @query("pdm_loao_eval")
 def _(i: Inputs) -> DataFrame:
-    return pdm.evaluation(pdm.leave_one_asset_out(i.labelled, SMALL_TREES))
+    return pdm.evaluation(pdm.cross_fit(i.labelled, scratch(i.spark, "folds")))
+
+
+SCORED_DAYS = 10
+NO_CORE = " AND ".join(f"{c} IS NOT NULL" for c in pdm.CORE_FEATURES)
+
+
+# What a fitted model leaves to chance is left out: which rows are scored, under which ids, in what zone, and that the
+# columns derived from the probability agree with it.
+@query("pdm_fleet_run", with_ctes(
+    f"""SELECT sha256('vibration|2|' || tag_id || '|' || strftime(window_end, '%Y-%m-%d %H:%M:%S')) AS prediction_id, asset_id, tag_id,
+      window_end AS feature_window_end, iso_10816_zone, TRUE AS agrees
+    FROM lab WHERE window_start >= (SELECT max(window_start) FROM lab) - INTERVAL {SCORED_DAYS} DAY AND {NO_CORE}""", "lab"))
+def _(i: Inputs) -> DataFrame:
+    path = scratch(i.spark, "fleet")
+    for _ in range(2):  # the second run appends nothing
+        score_fleet(i.spark, i.labelled, fitted(i), path, "vibration", "2", HORIZON, SCORED_DAYS)
+    p = F.col("failure_prob_30d")
+    agrees = p.between(0, 1) & (F.abs(F.col("health_index") - 100 * (1 - p)) <= 0.051) & F.col("predicted_rul_hours").isNotNull() & (
+        F.col("recommended_action") == ex.recommended_action(p))
+    return i.spark.read.parquet(path).select(
+        "prediction_id", "asset_id", "tag_id", "feature_window_end", "iso_10816_zone", agrees.alias("agrees"))
 
 
 @query("pdm_evaluation", with_ctes(

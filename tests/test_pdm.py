@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 import tempfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -98,7 +99,12 @@ def test_baseline_equals_brute_force(fleet):
 
 
 def test_model_beats_the_rms_rule_early(fleet):
-    scored = materialize(pdm.leave_one_asset_out(fleet, SMALL))
+    path = tempfile.mkdtemp(prefix="gritstone-test-")
+    scored = pdm.cross_fit(fleet, path, SMALL)
+    kept = sorted(str(f) for f in Path(path).rglob("*.parquet"))
+    assert len({f.split("fold=")[1][0] for f in kept}) == 2 and set(scored.columns) == set(SCORED.replace(" ", ",").split(",")[0::3])
+    assert pdm.cross_fit(fleet, path, SMALL).count() == scored.count() == 480  # nothing is fitted again
+    assert sorted(str(f) for f in Path(path).rglob("*.parquet")) == kept
     report = rows_by(pdm.evaluation(scored), "held_out_asset")
     assert set(report) == {"A", "B"}
     for row in report.values():
@@ -133,3 +139,16 @@ def test_rows_without_a_core_feature_are_not_scored(fleet):
     broken = fleet.withColumn("kurtosis", F.when(F.col("asset_id") != "C", F.col("kurtosis")))
     assert {r["asset_id"] for r in pdm.scorable(broken).collect()} == {"A", "B"}
     assert pdm.fill_context(fleet).where("bearing_temp_c is null").count() == 0
+
+
+def test_folds_and_fit_sample(spark, fleet):
+    rows = [(f"X{n}", n % 4 == 0) for n in range(40)]
+    table = spark.createDataFrame(rows, "asset_id string, label_failure_30d boolean")
+    found = {r["asset_id"]: r["fold"] for r in pdm.asset_folds(table, 5).collect()}
+    assert sorted(found) == sorted(a for a, _ in rows)
+    assert all(sum(1 for a, failed in rows if failed and found[a] == k) == 2 and sum(f == k for f in found.values()) == 8 for k in range(5))
+    drawn = pdm.fit_sample(fleet, 200)
+    assert 120 < drawn.count() < 280 and sorted(map(str, drawn.collect())) == sorted(map(str, pdm.fit_sample(fleet, 200).collect()))
+    assert pdm.fit_sample(fleet, 720).count() == 720
+    with pytest.raises(ValueError, match="no asset"):
+        pdm.cross_fit(fleet.where("asset_id = 'C'"), tempfile.mkdtemp(prefix="gritstone-test-"), SMALL)
