@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from gritstone.functions import expressions as ex
@@ -1048,9 +1048,13 @@ def _(i: Inputs) -> DataFrame:
     )
 
 
-@query("ordered_report", with_ctes(DOWNTIME_SQL + " ORDER BY downtime_minutes DESC", "wo", "tags", "notes"))
+@query("ordered_report", with_ctes(
+    f"SELECT *, row_number() OVER (ORDER BY downtime_minutes DESC, asset_id) AS place FROM ({DOWNTIME_SQL})", "wo", "tags", "notes"))
 def _(i: Inputs) -> DataFrame:
-    return wo.asset_downtime(i.orders, i.tags, i.notes).orderBy(F.desc("downtime_minutes"))
+    """The report in its order, and each row's place in it: one row per asset of the plant."""
+    order = (F.desc("downtime_minutes"), "asset_id")
+    report = wo.asset_downtime(i.orders, i.tags, i.notes)
+    return report.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long")).orderBy("place")
 
 
 @query("union_all", with_ctes(
@@ -1247,12 +1251,16 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("history_to_work_orders", with_ctes(
-    """SELECT asset_id, tag_id, split_part(asset_id, '-', 1) AS area_code, 'CLOSED' AS status, 'HIGH' AS priority, f.failed_at AS closed_at
-    FROM (SELECT asset_id, tag_id, max(window_start) AS failed_at FROM lab WHERE label_failure_30d GROUP BY 1, 2) f""", "lab"))
+    f"""SELECT 'WO-' || substr(sha256(tag_id || '|' || epoch_us(ended)), 1, 16) AS work_order_id, CAST(NULL AS VARCHAR) AS alert_id, asset_id, tag_id,
+      split_part(asset_id, '-', 1) AS area_code, 'CLOSED' AS status, 'HIGH' AS priority, 'vibration' AS failure_mode, 'Bearing failure on ' || asset_id AS title,
+      printf('%s, vibration peaked in mm/s at %.2f, crest factor reached %.2f, kurtosis reached %.2f', tag_id, peak_rms, peak_crest, peak_kurt) AS description,
+      'Bearing replaced.' AS resolution_notes, '{CREW[0]}' AS raised_by, '{CREW[0]}' AS assigned_to, ended AS created_at, ended AS updated_at, ended AS closed_at,
+      CAST(240 + CAST('0x' || substr(sha256(tag_id || '|' || epoch_us(ended)), 1, 8) AS BIGINT) % 721 AS INTEGER) AS downtime_minutes
+    FROM (SELECT l.asset_id, l.tag_id, f.ended, {PEAKS_SQL} FROM lab l
+      JOIN (SELECT tag_id, max(window_start) AS ended FROM lab WHERE label_failure_30d GROUP BY 1) f ON f.tag_id = l.tag_id AND l.window_start <= f.ended GROUP BY ALL)""",
+    "lab"))
 def _(i: Inputs) -> DataFrame:
-    return wo.failures_to_orders(vibration.failure_peaks(i.labelled), CREW[0]).select(
-        "asset_id", "tag_id", "area_code", "status", "priority", "closed_at"
-    )
+    return wo.failures_to_orders(vibration.failure_peaks(i.labelled), CREW[0])
 
 
 DEFER_SQL = f"""SELECT w.* REPLACE (
@@ -1539,9 +1547,26 @@ def _(i: Inputs) -> DataFrame:
     return naive(drained(i, found, "limits", "append").select(*STREAM_ALERT_COLUMNS), "raised_at")
 
 
-@query("stream_static_rules", STREAM_ALERT_SQL)
+# What the stream takes from the register and the rules: names, place, limits and words.
+TOLD_COLUMNS = ["tag_id", "raised_at", "asset_id", "area_code", "rule_name", "limit_low", "limit_high", "message"]
+
+
+@query("stream_static_rules", with_ctes(
+    f"""SELECT c.tag_id, c.source_ts AS raised_at, c.asset_id, c.area_code, c.rule_name,
+      {half_up("CASE c.rule_type WHEN 'limit_trip' THEN c.lo_lo WHEN 'limit_warn' THEN c.lo END", 6)} AS limit_low,
+      {half_up("CASE c.rule_type WHEN 'limit_trip' THEN c.hi_hi WHEN 'limit_warn' THEN c.hi END", 6)} AS limit_high,
+      replace(replace(replace(replace(replace(c.message_template, '{{tag_id}}', c.tag_id), '{{asset_name}}', c.asset_name), '{{value}}', shown),
+        '{{unit}}', CASE c.rule_type WHEN 'quality' THEN '' ELSE unit END), '{{node_id}}', '') AS message
+    FROM (SELECT s.*, u.rule_name, u.message_template, CASE s.rule_type WHEN 'quality' THEN s.quality ELSE coalesce(printf('%.2f', s.value), '?') END AS shown,
+        row_number() OVER (PARTITION BY s.event_id ORDER BY list_position(['tag', 'asset_type', 'measure', 'all'], u.scope_type) // 2, u.rule_id) AS place
+      FROM (SELECT r.event_id, r.source_ts, r.value, r.quality, t.*, CASE WHEN r.quality <> 'GOOD' THEN 'quality' WHEN t.value_class = 'analog' THEN
+          ['limit_warn', 'limit_trip'][(r.value NOT BETWEEN t.lo AND t.hi)::INT + (r.value NOT BETWEEN t.lo_lo AND t.hi_hi)::INT] END AS rule_type
+        FROM r JOIN tags t ON t.tag_id = r.tag_id) s
+      JOIN (FROM rules WHERE enabled) u ON u.rule_type = s.rule_type
+        AND (u.scope_type = 'all' OR u.scope_value = MAP {{'asset_type': s.asset_type, 'measure': s.measure, 'tag': s.tag_id}}[u.scope_type])) c
+    WHERE place = 1""", "r", "tags", "rules"))
 def _(i: Inputs) -> DataFrame:
-    found = jobs.stream_limit_alerts(streamed_readings(i), i.tags, i.rules).select(*STREAM_ALERT_COLUMNS)
+    found = jobs.stream_limit_alerts(streamed_readings(i), i.tags, i.rules).select(*TOLD_COLUMNS)
     return naive(drained(i, found, "static", "append"), "raised_at")
 
 
