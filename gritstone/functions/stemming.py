@@ -40,7 +40,8 @@ def with_stems(words: DataFrame, word: str, out: str) -> DataFrame:
         choice = F.when(F.length(word) < 3, current)
         for place, suffix, put in rules:
             pattern = _pattern(place, suffix)
-            choice = choice.when(current.rlike(pattern), F.regexp_replace(current, pattern, f"$1{put}"))
+            fits = current.endswith(suffix) & current.rlike(pattern)  # the cheap test first
+            choice = choice.when(fits, F.regexp_replace(current, pattern, f"$1{put}"))
         return choice.otherwise(current)
 
     frame = words.withColumn(out, F.col(word))

@@ -106,8 +106,8 @@ def disjoint_segments(intervals: DataFrame) -> DataFrame:
     )
 
 
-#: Cells of level k are RADIX ** k slices wide; LEVELS of them span any two timestamps.
-RADIX, LEVELS = 8, 16
+#: Cells of level k are RADIX ** k slices wide. With hours the widest cells span two centuries; longer intervals take several.
+RADIX, LEVELS = 8, 8
 
 
 def covering_cells(first: Column, last: Column) -> Column:
@@ -116,20 +116,17 @@ def covering_cells(first: Column, last: Column) -> Column:
     At each level what the next one cannot take is left at both ends: less than RADIX cells a side, so an interval of
     n slices has at most 2 * (RADIX - 1) * log(n) cells. Ten years of hours are fewer than 100.
     """
-    def run(level: int, start: Column, end: Column) -> Column:
-        cells = F.when(start < end, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
-        return F.transform(cells, lambda c: F.struct(F.lit(level).alias("level"), c.alias("cell")))
+    def cells(level: Column) -> Column:
+        width = F.pow(F.lit(float(RADIX)), level)
+        start, end = F.ceil(first / width), F.floor((last + 1) / width)
+        above, above_end = F.ceil(first / (width * RADIX)) * RADIX, F.floor((last + 1) / (width * RADIX)) * RADIX
+        taken = (above < above_end) & (level < LEVELS - 1)
+        none = F.array().cast("array<bigint>")
+        left = F.when(taken & (start < above), F.sequence(start, above - 1)).when(~taken & (start < end), F.sequence(start, end - 1)).otherwise(none)
+        right = F.when(taken & (above_end < end), F.sequence(above_end, end - 1)).otherwise(none)
+        return F.transform(F.concat(left, right), lambda c: F.struct(level.alias("level"), c.alias("cell")))
 
-    def aligned(width: int) -> tuple[Column, Column]:
-        return F.ceil(first / F.lit(width)), F.floor((last + 1) / F.lit(width))
-
-    parts = []
-    for level in range(LEVELS):
-        start, end = aligned(RADIX**level)
-        above, above_end = (x * RADIX for x in aligned(RADIX ** (level + 1)))
-        taken = above < above_end
-        parts += [run(level, start, F.when(taken, above).otherwise(end)), run(level, above_end, F.when(taken, end).otherwise(above_end))]
-    return F.concat(*parts)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), cells))
 
 
 def overlay_intervals(readings: DataFrame, intervals: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
@@ -146,7 +143,8 @@ def overlay_intervals(readings: DataFrame, intervals: DataFrame, slice_seconds:
         F.unix_micros(F.least("seg_end", F.coalesce("seg_before", "seg_end")).cast("timestamp"))
         / F.lit(width)
     )
-    listed = materialize(disjoint_segments(intervals).withColumn("_c", F.explode(covering_cells(first, last))).select("*", "_c.*").drop("_c"))
+    segments = disjoint_segments(intervals).withColumns({"_first": first, "_last": last})
+    listed = materialize(segments.withColumn("_c", F.explode(covering_cells(F.col("_first"), F.col("_last")))).select("*", "_c.*").drop("_c"))
     levels = [row["level"] for row in listed.select("level").distinct().orderBy("level").collect()]  # at most LEVELS
     rows, t, found = sliced(readings, seconds=slice_seconds), F.col("source_ts"), []
     for level in levels:

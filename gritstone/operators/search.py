@@ -74,7 +74,7 @@ def build_index(notes: DataFrame, path: str, id_col: str = "note_id", text: str
     """Write the index of notes with different ids.
 
     The texts are read once. Words are counted per note before anything is moved, and stemmed once per different word.
-    Postings are dealt by ranges of (bucket, stem, note), so a word that very many notes hold fills many files.
+    Postings are dealt by bucket; adaptive execution splits a bucket that a word of very many notes makes large into several files.
     """
     spark = notes.sparkSession
     found = notes.select(id_col, words(text).alias("_words")).select(
@@ -83,10 +83,10 @@ def build_index(notes: DataFrame, path: str, id_col: str = "note_id", text: str
     lengths = counted.groupBy(id_col).agg(F.max("length").alias("length"))
     lengths.agg(F.count(F.lit(1)).alias("notes"), F.avg("length").alias("mean_length")).write.mode("overwrite").parquet(f"{path}/totals")
     telling = counted.where(F.col("word").isNotNull() & ~F.col("word").isin(STOP_WORDS))
-    stems = materialize(with_stems(telling.select("word").distinct(), "word", "stem"))
+    stems = materialize(with_stems(telling.select("word").distinct().repartition(BUCKETS, "word"), "word", "stem"))
     postings = telling.join(stems, "word").groupBy(id_col, "length", "stem").agg(F.sum("tf").alias("tf")).withColumn("bucket", _bucket("stem"))
-    ranged = postings.repartitionByRange("bucket", "stem", id_col).sortWithinPartitions("bucket", "stem", id_col)
-    ranged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    dealt = postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "stem", id_col)
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     return NoteIndex(spark, path, id_col)
 
 

@@ -990,6 +990,13 @@ def _(i: Inputs) -> DataFrame:
     return with_stems(heard, "word", "stem")
 
 
+@query("note_index", search_sql(f"""SELECT stem, count(DISTINCT note_id) AS notes, count(*) AS hits FROM said JOIN stems ON stems.word = said.word
+  WHERE NOT list_contains([{', '.join(f"'{w}'" for w in ex.STOP_WORDS)}], said.word) GROUP BY 1"""))
+def _(i: Inputs) -> DataFrame:
+    return i.spark.read.parquet(f"{indexed(i).path}/postings").groupBy("stem").agg(
+        F.count(F.lit(1)).alias("notes"), F.sum("tf").alias("hits"))
+
+
 @query("bm25_top20", search_sql(f"SELECT {sel('note_id bm25_rank', 'bm25')} FROM bm"))
 def _(i: Inputs) -> DataFrame:
     return indexed(i).top(search.query_terms(i.spark, QUESTION))
@@ -1459,17 +1466,17 @@ def drained(i: Inputs, df: DataFrame, name: str, mode: str) -> DataFrame:
     return i.spark.read.schema(df.schema).parquet(path)
 
 
-# Events land in four parts. Of the last hours of a part some come with the next one, within the
+# Events land in three parts. Of the last hours of a part some come with the next one, within the
 # watermark's delay; some of the first part come with the last one and are too late.
-PARTS, DELAY = 4, "1 day"
-TOO_LATE_SQL = "day(ts) <= 8 AND event_id % 97 = 0"
+PARTS, DELAY = 3, "1 day"
+TOO_LATE_SQL = "day(ts) <= 10 AND event_id % 97 = 0"
 WATERMARK_SQL = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events)"
 
 
 def landing_part() -> Column:
     day = F.dayofmonth("ts") - 1
-    part = F.least(F.floor(day / 8), F.lit(PARTS - 1))
-    is_late = (day % 8 == 7) & (F.hour("ts") >= 12) & (F.col("event_id") % 5 == 0)
+    part = F.least(F.floor(day / 10), F.lit(PARTS - 1))
+    is_late = (day % 10 == 9) & (F.hour("ts") >= 12) & (F.col("event_id") % 5 == 0)
     too_late = (part == 0) & (F.col("event_id") % 97 == 0)
     return F.when(too_late, PARTS - 1).when(is_late, F.least(part + 1, F.lit(PARTS - 1))).otherwise(part)
 
