@@ -1,16 +1,16 @@
 """Near copies by SimHash blocks, confirmed on five-word shingles: the operator of ``simhash`` in a wider form.
 
-A 64-bit fingerprint that allows two differing bits misses most edited copies of short documents. Here a document
-has BLOCKS blocks of BLOCK_BITS SimHash bits, over its word pairs (which an edit disturbs less than longer shingles). By
-the pigeonhole argument turned round, copies that share at least 0.8 of their five-word shingles agree on some whole block with
-probability about 0.95, at 0.9 and more with over 0.99. Documents that share a block and are at most MAX_DISTANCE bits
-apart are confirmed by the exact Jaccard similarity of their five-word shingles, and confirmed pairs
-are joined into components.
-
-Texts with equal words are merged before anything else, so a group of exact copies is one row. A block value shared by up to
-PAIRS_UP_TO texts has all its pairs compared. Of more texts, each is compared with FIRSTS of the first texts of its values
-(those in most of them); those not confirmed so are filed again under pairs of their crowded block values and compared in these smaller files (all pairs up
-to PAIRS_UP_TO, else with the first text). The work so follows the number of texts, whatever the largest group.
+A 64-bit fingerprint that allows two differing bits misses most edited copies of short documents, and longer slices of one
+SimHash serve scattered edits only. Here a text has BLOCKS blocks of 64 bits. Block k is the SimHash of the DRAWN shingles (of
+five words) that come first in the k-th random order, so two texts share it with probability about similarity ** DRAWN
+whatever kind of edit lies between them: at 0.8 at least one of the blocks with probability above 0.99. Texts that share a
+block are compared by the Hamming distance of a SimHash of SIGN_WORDS words over all their shingles, with a limit that
+similar texts pass (below), then by the exact Jaccard similarity, and confirmed pairs are joined into components.
+
+Texts with equal words are merged before anything else, so a group of exact copies is one row. Of the texts that share a block,
+each is first compared with one of them, the hub, in ROUNDS rounds with other hubs and only across the components known so far: a group
+of near copies costs a few comparisons a text and then is one component. After that all pairs that share a block and
+still lie in different components are compared, so no link between texts that share a block is missed.
 """
 
 from __future__ import annotations
@@ -19,40 +19,43 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
 from gritstone.llm.components import components
 from gritstone.llm.simhash import majority_bits, shingle_hashes
 from gritstone.llm.store import map_text, slices, stored
 
-BLOCKS, BLOCK_BITS = 26, 22
-WORDS = -(-BLOCKS * BLOCK_BITS // 64)
-FEATURE_WORDS, WIDTH, SIMILARITY = 2, 5, 0.8
-#: Copies at similarity 0.8 differ in about 55 of 576 bits, with a deviation of 7; unrelated texts in 288.
-MAX_DISTANCE = 82
-PAIRS_UP_TO = 64
-#: So many of the first texts of its crowded files a text is compared with.
-FIRSTS = 2
+BLOCKS, DRAWN, SIGN_WORDS = 9, 3, 2
+WIDTH, SIMILARITY = 5, 0.8
+#: At similarity 0.8 the cosine is at least 0.888 and 19.5 of 128 bits differ, with a deviation of 4.1: six deviations above.
+MAX_DISTANCE = 44
+ROUNDS = 3
 
-_ROUND = np.random.default_rng(11).integers(0, 1 << 64, WORDS, dtype=np.uint64)
+_ROUND = np.random.default_rng(11).integers(0, 1 << 64, BLOCKS + SIGN_WORDS, dtype=np.uint64)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """WORDS SimHash fingerprints, each from its own scramble of the hashes."""
-    out = np.zeros(WORDS, dtype=np.uint64)
-    for k in range(WORDS):
-        mixed = hashes ^ _ROUND[k]
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-        out[k] = majority_bits(mixed ^ (mixed >> np.uint64(33)))
-    return out
+def scrambled(hashes: np.ndarray, k: int) -> np.ndarray:
+    mixed = hashes ^ _ROUND[k]
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return mixed ^ (mixed >> np.uint64(33))
 
 
-def block_values(signed: np.ndarray) -> list[int]:
-    """A number for each block: its place and its bits."""
-    bits = np.unpackbits(signed.view(np.uint8), bitorder="little")[: BLOCKS * BLOCK_BITS].reshape(BLOCKS, BLOCK_BITS)
-    return (bits.astype(np.int64) @ (1 << np.arange(BLOCK_BITS)) + (np.arange(BLOCKS) << BLOCK_BITS)).tolist()
+def signature(hashes: np.ndarray) -> list[int]:
+    """SIGN_WORDS SimHash fingerprints of the different hashes, as signed longs."""
+    bits = [majority_bits(scrambled(hashes, BLOCKS + k)) for k in range(SIGN_WORDS)]
+    return np.array(bits, dtype=np.uint64).view(np.int64).tolist()
+
+
+def block_values(hashes: np.ndarray) -> list[int]:
+    """For each order, the SimHash of the first DRAWN hashes, mixed with the number of the order."""
+    out = np.zeros(BLOCKS, dtype=np.uint64)
+    for k in range(BLOCKS if len(hashes) else 0):
+        mixed = scrambled(hashes, k)
+        first = mixed if len(mixed) <= DRAWN else np.partition(mixed, DRAWN - 1)[:DRAWN]
+        out[k] = majority_bits(scrambled(first, k))
+    return (out + np.arange(BLOCKS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64).tolist()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -63,10 +66,10 @@ def signatures(docs: DataFrame) -> DataFrame:
         digests, signed, blocks = [], [], []
         for text in rows.column("text"):
             value = text.as_py() or ""
-            own = signature(shingle_hashes(value, FEATURE_WORDS))
+            hashes = np.unique(shingle_hashes(value, WIDTH))
             digests.append(xxh3_128_digest(b" ".join(value.encode("utf-8", "surrogatepass").lower().split())))
-            signed.append(own.view(np.int64).tolist())
-            blocks.append(block_values(own))
+            signed.append(signature(hashes))
+            blocks.append(block_values(hashes))
         return pa.RecordBatch.from_arrays(
             [rows.column("row"), rows.column("doc_id"), pa.array(digests, pa.binary()), pa.array(signed, pa.list_(pa.int64())),
              pa.array(blocks, pa.list_(pa.int64()))], ["row", "doc_id", "words", "signature", "blocks"])
@@ -75,30 +78,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                     f"row bigint, doc_id {kind}, words binary, signature array<bigint>, blocks array<bigint>")
 
 
-def _distance(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(WORDS)), F.lit(0))
-
-
-def _close(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose signatures are close enough to be looked at."""
-    sides = [texts.select(F.col("row").alias(x), F.col("signature").alias(f"of_{x}")) for x in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").where(_distance("of_a", "of_b") <= MAX_DISTANCE).select("a", "b")
-
-
-def _in_files(filed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of rows (file, row): all pairs of small files; the first row of each crowded file with its others."""
-    sizes = filed.groupBy("file").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
-    shared = stored(filed.join(sizes, "file"), "files")
-    few, many = shared.where(F.col("n") <= PAIRS_UP_TO), shared.where(F.col("n") > PAIRS_UP_TO)
-    pairs = few.select("file", F.col("row").alias("a")).join(few.select("file", F.col("row").alias("b")), "file").where("a < b")
-    return pairs.select("a", "b"), many.select("file", F.col("first").alias("a"), F.col("row").alias("b"))
-
-
-def _with_firsts(starred: DataFrame) -> DataFrame:
-    """Of each row b of crowded files, the FIRSTS first rows a that it meets in most of them."""
-    met = starred.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("files"))
-    order = Window.partitionBy("b").orderBy(F.desc("files"), "a")
-    return met.withColumn("n", F.row_number().over(order)).where(F.col("n") <= FIRSTS).select("a", "b")
+def close(one: Column, other: Column) -> Column:
+    """Whether two signatures (null: not known) are near enough to be compared exactly."""
+    apart = sum((F.bit_count(F.get(one, F.lit(k)).bitwiseXOR(F.get(other, F.lit(k)))) for k in range(SIGN_WORDS)), F.lit(0))
+    return F.coalesce(apart <= MAX_DISTANCE, F.lit(True))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -120,34 +103,58 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _labelled(shared: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``shared`` with the component of every row, for files that lie in more than one."""
+    if found is None:
+        return shared.withColumn("part", F.col("row"))
+    parts = stored(components(found), "parts").select(F.col("node").alias("row"), "root")
+    labelled = shared.join(parts, "row", "left").select(*shared.columns, F.coalesce("root", "row").alias("part"))
+    split = labelled.groupBy("file").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("file")
+    return stored(labelled.join(split, "file", "left_semi"), "split")
+
+
 def links(filed: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Confirmed pairs (a, b) of rows that share a file; ``filed`` has file and row, both long."""
-    pairs, starred = _in_files(filed)
-    first = stored(confirm(pairs.unionByName(_with_firsts(starred)).distinct()), "links")
-    ends = first.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    loose = starred.select("file", F.col("b").alias("row")).join(ends, "row", "left_anti")
-    files = loose.groupBy("row").agg(F.sort_array(F.collect_set("file")).alias("files")).where(F.size("files") > 1)
-    again = files.select("row", F.explode(F.flatten(F.transform(
-        "files", lambda x, i: F.transform(F.slice("files", i + 2, F.size("files")), lambda y: F.xxhash64(x, y))))).alias("file"))
-    more, restarred = _in_files(again)
-    return first.unionByName(confirm(more.unionByName(_with_firsts(restarred)).distinct()))
+    """Confirmed pairs (a, b), enough to connect all rows that share a file and are similar.
+
+    ``filed`` has file and row, both long, and sign, an array of longs or null, by which pairs are ruled out early.
+    """
+    dealt = filed.select("file", "row", "sign")
+    sizes = dealt.groupBy("file").agg(F.count("*").alias("n")).where("n > 1").select("file")
+    shared = stored(dealt.join(sizes, "file"), "files")
+    found, left = None, shared
+    for turn in range(ROUNDS):
+        left = _labelled(left.select("file", "row", "sign"), found)
+        if turn and left.isEmpty():  # every file lies in one component
+            return found
+        hubs = left.groupBy("file").agg(F.min_by(F.struct("row", "sign", "part"), F.xxhash64("row", F.lit(turn))).alias("hub"))
+        pairs = left.join(hubs, "file").where((F.col("hub.part") != F.col("part")) & close(F.col("hub.sign"), F.col("sign")))
+        # The hub comes first, so its shingles are made once for the pairs that follow each other.
+        ends = pairs.select(F.col("hub.row").alias("a"), F.col("row").alias("b")).distinct()
+        more = stored(confirm(ends), "links")
+        found = more if found is None else found.unionByName(more)
+    left = _labelled(left.select("file", "row", "sign"), found)
+    one, other = (left.select("file", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "sign", "part")]) for x in "ab")
+    rest = one.join(other, "file").where(
+        (F.col("row_a") < F.col("row_b")) & (F.col("part_a") != F.col("part_b")) & close(F.col("sign_a"), F.col("sign_b")))
+    return found.unionByName(confirm(rest.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()))
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """(row, doc_id, kept): every row, and the row that stays of its group (the smallest doc_id)."""
     signed = stored(signatures(docs), "signatures")
     texts = stored(
-        signed.groupBy("words").agg(F.min("row").alias("row"), F.first("signature").alias("signature"), F.first("blocks").alias("blocks")), "texts")
+        signed.groupBy("words").agg(F.min(F.struct("row", "signature", "blocks")).alias("one")).select(
+            "words", "one.row", F.col("one.signature").alias("sign"), "one.blocks"), "texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        close = stored(_close(pairs, texts), "close")
-        wanted = close.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        held = stored(pairs, "close")
+        wanted = held.select(F.col("a").alias("row")).unionByName(held.select(F.col("b").alias("row"))).distinct()
         needed = docs.select("row", "text").join(wanted, "row", "left_semi").dropDuplicates(["row"])
-        return confirmed(close, stored(needed, "close-texts"))
+        return confirmed(held, stored(needed, "close-texts"))
 
-    roots = components(links(texts.select("row", F.explode("blocks").alias("file")), confirm))
+    roots = components(links(texts.select("row", "sign", F.explode("blocks").alias("file")), confirm))
     grouped = texts.select("words", "row").join(roots, F.col("row") == F.col("node"), "left").select("words", F.coalesce("root", "row").alias("root"))
-    rows = signed.select("row", "doc_id", "words").join(grouped, "words")
+    rows = stored(signed.select("row", "doc_id", "words").join(grouped, "words").select("row", "doc_id", "root"), "rooted")
     first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     return rows.join(first, "root").select("row", "doc_id", F.col("first.row").alias("kept"))
 

@@ -1,19 +1,23 @@
 """Repeated paragraphs: MinHash bands, exact confirmation, and removal by components.
 
-A paragraph is a line with at least WIDTH words; shorter lines are left alone. Paragraphs with the same
-lower-cased words are one, so a line that stands in a third of all documents is one row from then on. The others get
-MinHash values of their five-word shingles; the bands are tuned so that a pair at the least similarity
-collides with probability RECALL. Colliding paragraphs are confirmed by exact Jaccard similarity (files of very many
-paragraphs as in ``copies``), and confirmed pairs joined into components. Of each component the first paragraph (by doc_id,
-then place) stays, and all others go, in whatever document they stand.
-
-Null and empty texts have no paragraphs. Rows that agree in doc_id and text count once as a source and get the
-same result; a null doc_id comes first.
+A paragraph here is a passage of PASSAGE words at a place that its own words choose, since what repeats may stand inside a
+longer line: of every REACH consecutive places the one whose first five words hash lowest begins a passage. A
+run of PASSAGE + REACH - 1 = 50 words that stands in two documents so begins a passage at the same word in both, whatever is around
+it and however it is broken into lines; runs well below PASSAGE words (titles, short lines) are never compared. Lines of at
+least PASSAGE words are passages as a whole, too, so that an edit within does not hide them. Passages with the same lower-cased words are one, so one that stands in a third of all documents is one row from then on. The others
+get MinHash values of their five-word shingles; the bands are tuned so that a pair at the least similarity
+collides with probability RECALL. Colliding passages are confirmed by exact Jaccard similarity (files of very many
+as in ``copies``), and confirmed pairs joined into components. Of each component the passages of the first document (by
+doc_id) stay, and those of all others go. Words of a repeated run outside its passages, fewer than REACH at either end, stay.
+
+Null and empty texts, and texts of fewer than PASSAGE words, have no passages. Rows that agree in doc_id and text count
+once as a source and get the same result; a null doc_id comes first. What repeats within one document only stays.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +30,13 @@ from gritstone.llm.copies import SIMILARITY, WIDTH, confirmed, links
 from gritstone.llm.simhash import shingle_hashes
 from gritstone.llm.store import slices, stored
 
+PASSAGE, REACH = 24, 27
 RECALL = 0.997
-BAND_ROWS = 3
+BAND_ROWS = 2
+SHINGLES = PASSAGE - WIDTH + 1
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Places whose neighbourhoods are compared at once.
+STEP = 1 << 16
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -45,83 +54,108 @@ def _scramble(values: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-def bands(shingles: list[np.ndarray]) -> np.ndarray:
-    """One row of band values for each (not empty) set of shingle hashes."""
-    flat = np.concatenate(shingles) if shingles else np.zeros(0, dtype=np.uint64)
-    starts = np.cumsum([0, *(len(s) for s in shingles)])[:-1]
-    out = np.zeros((len(shingles), BANDS), dtype=np.uint64)
-    if len(flat):
+def bands(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """One row of band values for each passage of words [start, stop), from the shingle hashes of the whole text."""
+    out = np.zeros((len(starts), BANDS), dtype=np.uint64)
+    if len(starts):
+        edges = np.column_stack([starts, stops - WIDTH + 1]).ravel()
         for k, seed in enumerate(_SEEDS):
-            least = np.minimum.reduceat(_scramble(flat ^ seed), starts)
+            values = np.append(_scramble(hashes ^ seed), np.uint64(0))  # so that the last edge lies inside
+            least = np.minimum.reduceat(values, edges)[::2]
             band = k // BAND_ROWS
             out[:, band] = _scramble(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(band))
     return out.view(np.int64)
 
 
-def paragraphs(text: str) -> list[tuple[int, str]]:
-    """(place among the lines, line) of the lines that count."""
-    return [(n, line) for n, line in enumerate(text.split("\n")) if len(line.split(None, WIDTH - 1)) == WIDTH]
+def passage_starts(hashes: np.ndarray) -> np.ndarray:
+    """The words at which passages begin: of each REACH places (all, if there are fewer) the first of least hash."""
+    places = len(hashes) - SHINGLES + 1
+    if places <= 0:
+        return np.zeros(0, dtype=np.int64)
+    order = _scramble(hashes[:places])
+    reach = min(REACH, places)
+    windows = np.lib.stride_tricks.sliding_window_view(order, reach)
+    chosen = [np.unique(windows[at : at + STEP].argmin(axis=1) + np.arange(at, min(at + STEP, len(windows))))
+              for at in range(0, len(windows), STEP)]
+    return np.unique(np.concatenate(chosen))
 
 
-def _words(line: str) -> bytes:
-    return xxh3_128_digest(b" ".join(line.encode("utf-8", "surrogatepass").lower().split()))
+def whole_lines(text: str) -> list[tuple[int, int]]:
+    """(first word, last word + 1) of the lines of at least PASSAGE words."""
+    ends = np.cumsum([0, *(len(line.encode("utf-8", "surrogatepass").split()) for line in text.split("\n"))]).tolist()
+    return [(start, stop) for start, stop in zip(ends, ends[1:]) if stop - start >= PASSAGE]
+
+
+def passages(text: str) -> tuple[list[tuple[int, int]], list[bytes], np.ndarray]:
+    """Of every passage: (first word, last word + 1), the digest of its lower-cased words, its bands."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    if len(words) < PASSAGE:
+        return [], [], np.zeros((0, BANDS), dtype=np.int64)
+    hashes = shingle_hashes(text, WIDTH)
+    spans = sorted({(s, s + PASSAGE) for s in passage_starts(hashes).tolist()}.union(whole_lines(text)))
+    starts, stops = np.array(spans, dtype=np.int64).T
+    return spans, [xxh3_128_digest(b" ".join(words[a:b])) for a, b in spans], bands(hashes, starts, stops)
 
 
 def listed(docs: DataFrame) -> DataFrame:
-    """row, doc_id, place, words, bands of every paragraph, and one line with place -1 for a row without any."""
+    """row, doc_id, place and stop (first word, last word + 1), words, bands of every passage; place -1 for a row without any."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                of, places, digests, shingles, at = [], [], [], [], []
+                of, places, stops, digests, made = [], [], [], [], []
                 for n, text in enumerate(rows.column("text")):
-                    found = paragraphs(text.as_py() or "")
-                    for place, line in found or [(-1, "")]:
-                        of.append(n)
-                        places.append(place)
-                        digests.append(_words(line) if place >= 0 else None)
-                        if place >= 0:
-                            at.append(len(of) - 1)
-                            shingles.append(shingle_hashes(line, WIDTH))
-                made: list = [None] * len(of)
-                for k, own in zip(at, bands(shingles).tolist()):
-                    made[k] = own
+                    spans, own, values = passages(text.as_py() or "")
+                    of += [n] * max(1, len(own))
+                    places += [a for a, _ in spans] or [-1]
+                    stops += [b for _, b in spans] or [-1]
+                    digests += own or [None]
+                    made += values.tolist() or [None]
                 taken = pa.array(of, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("row").take(taken), rows.column("doc_id").take(taken), pa.array(places, pa.int32()),
-                     pa.array(digests, pa.binary()), pa.array(made, pa.list_(pa.int64()))], ["row", "doc_id", "place", "words", "bands"])
+                     pa.array(stops, pa.int32()), pa.array(digests, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
+                    ["row", "doc_id", "place", "stop", "words", "bands"])
 
     return docs.select("row", "doc_id", "text").mapInArrow(
-        run, f"row bigint, doc_id {kind}, place int, words binary, bands array<bigint>")
+        run, f"row bigint, doc_id {kind}, place int, stop int, words binary, bands array<bigint>")
 
 
-def texts_of(docs: DataFrame) -> DataFrame:
-    """(words, text) of every paragraph."""
+def texts_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(row, text): the words of the passages ``wanted`` (id, row, place, stop), under their id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                lines = [line for text in rows.column("text") for _, line in paragraphs(text.as_py() or "")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([_words(line) for line in lines], pa.binary()), pa.array(lines, pa.string())], ["words", "text"])
+                ids, texts = [], []
+                for text, places in zip(rows.column("text"), rows.column("places")):
+                    words = text.as_py().encode("utf-8", "surrogatepass").split()
+                    for one in places.as_py():
+                        ids.append(one["id"])
+                        texts.append(b" ".join(words[one["place"] : one["stop"]]).decode("utf-8", "surrogatepass"))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["row", "text"])
 
-    return docs.select("text").mapInArrow(run, "words binary, text string")
+    places = wanted.groupBy("row").agg(F.collect_list(F.struct("id", "place", "stop")).alias("places"))
+    found = docs.select("row", "text").join(places, "row").select("text", "places").mapInArrow(run, "row bigint, text string")
+    return found.groupBy("row").agg(F.min("text").alias("text"))
 
 
 def classes(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(words, first): for paragraphs that repeat, exactly or nearly, the (doc_id, row, place) of the first of their class."""
+    """(words, first): for passages that repeat, exactly or nearly, the (doc_id, row, place, stop) of the first of their class."""
     different = stored(
         found.where("place >= 0").groupBy("words").agg(
-            F.min(F.struct("doc_id", "row", "place")).alias("first"), F.count("*").alias("n"), F.first("bands").alias("bands"))
+            F.min(F.struct("doc_id", "row", "place", "stop", "bands")).alias("one"), F.count("*").alias("n"))
+        .select("words", F.struct("one.doc_id", "one.row", "one.place", "one.stop").alias("first"), "one.bands", "n")
         .withColumn("id", F.monotonically_increasing_id()), "different")
-    filed = different.select(F.col("id").alias("row"), F.explode("bands").alias("file"))
+    unsigned = F.lit(None).cast("array<bigint>").alias("sign")
+    filed = different.select(F.col("id").alias("row"), unsigned, F.explode("bands").alias("file"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         held = stored(pairs, "pairs")
-        wanted = held.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(different.select("id", "words"), "id")
-        needed = texts_of(docs).join(wanted, "words").groupBy(F.col("id").alias("row")).agg(F.min("text").alias("text"))
-        return confirmed(held, stored(needed, "pair-texts"))
+        ids = held.select(F.col("a").alias("id")).unionByName(held.select(F.col("b").alias("id"))).distinct()
+        wanted = different.select("id", "first.row", "first.place", "first.stop").join(ids, "id")
+        return confirmed(held, stored(texts_at(docs, wanted), "pair-texts"))
 
     roots = components(links(filed, confirm))
     rooted = different.select("words", "first", "n", "id").join(roots, F.col("id") == F.col("node"), "left")
@@ -132,24 +166,45 @@ def classes(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
-    """One line per row: doc_id, row, n_paragraphs, n_removed, removed (places), kept_in (doc_ids where they stay)."""
+    """One line per row: doc_id, row, n_paragraphs, n_removed, removed (place and stop, in words), kept_in (doc_ids where they stay)."""
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     found = stored(listed(keyed), "paragraphs")
     repeats = stored(classes(keyed, found), "classes")
-    marked = found.select("doc_id", "row", "place", "words").join(repeats, "words", "left").withColumn(
-        "gone", F.coalesce(F.col("first") != F.struct("doc_id", "row", "place"), F.lit(False)))
+    marked = found.select("doc_id", "row", "place", "stop", "words").join(repeats, "words", "left").withColumn(
+        "gone", F.coalesce(F.col("first.row") != F.col("row"), F.lit(False)))
     collected = marked.groupBy("doc_id", "row").agg(
-        F.size(F.collect_set(F.when(F.col("place") >= 0, F.col("place")))).cast("long").alias("n_paragraphs"),
-        F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("place")))).alias("removed"),
+        F.size(F.collect_set(F.when(F.col("place") >= 0, F.struct("place", "stop")))).cast("long").alias("n_paragraphs"),
+        F.sort_array(F.collect_set(F.when(F.col("gone"), F.struct("place", "stop")))).alias("removed"),
         F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("first.doc_id")))).alias("kept_in"))
     return collected.select("doc_id", "row", "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), "removed", "kept_in")
 
 
+def without_passages(text: str, removed: list[tuple[int, int]]) -> str:
+    """``text`` without these passages (first word, last word + 1; by first word) and the white space after each."""
+    spans = [m.span() for m in WORD.finditer(text)]
+    out, at = [], 0
+    for first, stop in removed:
+        if spans[first][0] > at:
+            out.append(text[at : spans[first][0]])
+        at = max(at, spans[stop][0] if stop < len(spans) else len(text))
+    return "".join([*out, text[at:]])
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated paragraphs taken out of ``text``; rows and other columns stay."""
+    """``docs`` with the repeated passages taken out of ``text``; rows and other columns stay."""
     gone = stored(repeated_paragraphs(docs).where("n_removed > 0").groupBy("row").agg(F.first("removed").alias("removed")), "removed")
-    lines = F.split(docs["text"], "\n", -1)
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(gone["removed"], i)), "\n")
-    text = F.when(gone["removed"].isNull(), docs["text"]).otherwise(left)
-    joined = docs.join(gone, F.xxhash64(docs["doc_id"], docs["text"]) == gone["row"], "left")
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text", F.struct(*docs.columns).alias("rest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                texts = [
+                    without_passages(text, [(x["place"], x["stop"]) for x in removed])
+                    for text, removed in zip(rows.column("text").to_pylist(), rows.column("removed").to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+    cut = keyed.select("row", "text").dropDuplicates(["row"]).join(gone, "row").mapInArrow(run, "row bigint, text string") \
+        .select("row", F.col("text").alias("cut"))
+    joined = keyed.select("row", "rest").join(cut, "row", "left")
+    return joined.select(*[F.coalesce("cut", "rest.text").alias(c) if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns])

@@ -73,19 +73,30 @@ def test_op5(spark):
 
 
 def test_op6(spark, documents):
-    lines, seen = [], {}
+    from gritstone.llm.paragraphs import WORD, passages
+
+    listed, texts, seen = [], {}, {}
     for doc, text in sorted(documents):
-        for place, line in enumerate((text or "").split("\n")):
-            if len(line.split()) >= 5:
-                lines.append((doc, place, " ".join(line.lower().split())))
-                seen.setdefault(lines[-1][2], len(seen))
-    root = near_components({n: line for line, n in seen.items()})
+        own = WORD.findall((text or "").lower())
+        for place, stop in passages(text or "")[0]:
+            passage = " ".join(own[place:stop])
+            listed.append((doc, (place, stop), passage))
+            seen.setdefault(passage, len(seen))
+    root = near_components({n: passage for passage, n in seen.items()})
     first, expected = {}, {}
-    for doc, place, line in lines:
-        if first.setdefault(root[seen[line]], (doc, place)) != (doc, place):
+    for doc, place, passage in listed:
+        if first.setdefault(root[seen[passage]], doc) != doc:
             expected.setdefault(doc, []).append(place)
-    got = {r.doc_id: list(r.removed) for r in rows(spark, "op6_paragraph_dedup") if r.n_removed}
+    found = rows(spark, "op6_paragraph_dedup")
+    got = {r.doc_id: [tuple(x) for x in r.removed] for r in found if r.n_removed}
     assert got == expected and got
+    runs, shared = set(), set()
+    for doc, text in sorted(documents):
+        own = WORD.findall((text or "").lower())
+        mine = {tuple(own[n : n + 50]) for n in range(len(own) - 49)}
+        shared |= {doc} if mine & runs else set()
+        runs |= mine
+    assert shared and shared <= got.keys()
 
 
 def test_op7(spark, documents):
