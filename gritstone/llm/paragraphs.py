@@ -4,9 +4,10 @@ A paragraph here is a passage of PASSAGE words at a place that its own words cho
 longer line: of every REACH consecutive places the one whose first five words hash lowest begins a passage. A
 run of PASSAGE + REACH - 1 = 50 words that stands in two documents so begins a passage at the same word in both, whatever is around
 it and however it is broken into lines; runs well below PASSAGE words (titles, short lines) are never compared. Lines of at
-least PASSAGE words are passages as a whole, too, so that an edit within does not hide them. Passages with the same lower-cased words are one, so one that stands in a third of all documents is one row from then on. The others
-get MinHash values of their five-word shingles; the bands are tuned so that a pair at the least similarity
-collides with probability RECALL. Colliding passages are confirmed by exact Jaccard similarity (files of very many
+least PASSAGE words are passages as a whole, too, so that an edit within does not hide them. Passages the same lower-cased words are one, so one that stands in a third of all documents is one row from then on. Whole
+lines get MinHash values of their five-word shingles; the bands are tuned so that a pair at the least similarity
+collides with probability RECALL. A placed passage has one band, its least shingle, with which it begins; those whose band
+no other text holds are left behind at once. Of documents with equal texts one is looked at, and the passages of the others all go. Colliding passages are confirmed by exact Jaccard similarity (files of very many
 as in ``copies``), and confirmed pairs joined into components. Of each component the passages of the first document (by
 doc_id) stay, and those of all others go. Words of a repeated run outside its passages, fewer than REACH at either end, stay.
 
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from xxhash import xxh3_128_digest
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from gritstone.llm.components import components
 from gritstone.llm.copies import SIMILARITY, WIDTH, confirmed, links
@@ -86,40 +87,50 @@ def whole_lines(text: str) -> list[tuple[int, int]]:
     return [(start, stop) for start, stop in zip(ends, ends[1:]) if stop - start >= PASSAGE]
 
 
-def passages(text: str) -> tuple[list[tuple[int, int]], list[bytes], np.ndarray]:
-    """Of every passage: (first word, last word + 1), the digest of its lower-cased words, its bands."""
+def passages(text: str) -> tuple[list[tuple[int, int, int, int]], list[list[int] | None]]:
+    """(first word, last word + 1, and two longs that identify its lower-cased words) of every passage, and the bands of whole lines.
+
+    The first long of a placed passage is its band; its place in the second list is None.
+    """
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if len(words) < PASSAGE:
-        return [], [], np.zeros((0, BANDS), dtype=np.int64)
+        return [], []
     hashes = shingle_hashes(text, WIDTH)
-    spans = sorted({(s, s + PASSAGE) for s in passage_starts(hashes).tolist()}.union(whole_lines(text)))
-    starts, stops = np.array(spans, dtype=np.int64).T
-    return spans, [xxh3_128_digest(b" ".join(words[a:b])) for a, b in spans], bands(hashes, starts, stops)
+    starts = passage_starts(hashes)
+    found = [
+        (start, start + PASSAGE, key, xxh3_64_intdigest(b" ".join(words[start : start + PASSAGE])) - (1 << 63))
+        for start, key in zip(starts.tolist(), hashes[starts].view(np.int64).tolist())
+    ]
+    lines = whole_lines(text)
+    digests = [np.frombuffer(xxh3_128_digest(b" ".join(words[a:b])), dtype=np.int64).tolist() for a, b in lines]
+    ends = np.array(lines, dtype=np.int64).reshape(-1, 2)
+    return (found + [(*line, *digest) for line, digest in zip(lines, digests)],
+            [None] * len(found) + bands(hashes, ends[:, 0], ends[:, 1]).tolist())
 
 
 def listed(docs: DataFrame) -> DataFrame:
-    """row, doc_id, place and stop (first word, last word + 1), words, bands of every passage; place -1 for a row without any."""
+    """row, doc_id, same (equal for equal texts), total, and place, stop, key, rest, bands of every passage; place -1 for a row without any."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                of, places, stops, digests, made = [], [], [], [], []
+                of, total, spans, made = [], [], [], []
                 for n, text in enumerate(rows.column("text")):
-                    spans, own, values = passages(text.as_py() or "")
+                    own, values = passages(text.as_py() or "")
                     of += [n] * max(1, len(own))
-                    places += [a for a, _ in spans] or [-1]
-                    stops += [b for _, b in spans] or [-1]
-                    digests += own or [None]
-                    made += values.tolist() or [None]
+                    total += [len({x[:2] for x in own})] * max(1, len(own))
+                    spans += own or [(-1, -1, 0, 0)]
+                    made += values or [None]
                 taken = pa.array(of, pa.int64())
+                place, stop, key, rest = np.array(spans, dtype=np.int64).reshape(-1, 4).T
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("row").take(taken), rows.column("doc_id").take(taken), pa.array(places, pa.int32()),
-                     pa.array(stops, pa.int32()), pa.array(digests, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
-                    ["row", "doc_id", "place", "stop", "words", "bands"])
+                    [*(rows.column(c).take(taken) for c in ("row", "doc_id", "same")), pa.array(total, pa.int32()),
+                     pa.array(place, pa.int32()), pa.array(stop, pa.int32()), pa.array(key), pa.array(rest), pa.array(made, pa.list_(pa.int64()))],
+                    ["row", "doc_id", "same", "total", "place", "stop", "key", "rest", "bands"])
 
-    return docs.select("row", "doc_id", "text").mapInArrow(
-        run, f"row bigint, doc_id {kind}, place int, stop int, words binary, bands array<bigint>")
+    return docs.select("row", "doc_id", "same", "text").mapInArrow(
+        run, f"row bigint, doc_id {kind}, same bigint, total int, place int, stop int, key bigint, rest bigint, bands array<bigint>")
 
 
 def texts_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -141,12 +152,20 @@ def texts_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("row").agg(F.min("text").alias("text"))
 
 
-def classes(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(words, first): for passages that repeat, exactly or nearly, the (doc_id, row, place, stop) of the first of their class."""
+def shared_passages(found: DataFrame) -> DataFrame:
+    """Of ``found``: the whole lines, and the placed passages whose band stands in another text, too."""
+    placed = found.where("place >= 0 and bands is null")
+    keys = placed.groupBy("key").agg(F.min("row").alias("x"), F.max("row").alias("y")).where("x <> y").select("key")
+    names = ["row", "doc_id", "place", "stop", "key", "rest"]
+    held = placed.join(stored(keys, "bands-shared"), "key").select(*names, F.array("key").alias("bands"))
+    return held.unionByName(found.where("bands is not null").select(*names, "bands"))
+
+
+def classes(docs: DataFrame, pool: DataFrame) -> DataFrame:
+    """(key, rest, first): for passages that repeat, exactly or nearly, the (doc_id, row, place, stop) of the first of their class."""
     different = stored(
-        found.where("place >= 0").groupBy("words").agg(
-            F.min(F.struct("doc_id", "row", "place", "stop", "bands")).alias("one"), F.count("*").alias("n"))
-        .select("words", F.struct("one.doc_id", "one.row", "one.place", "one.stop").alias("first"), "one.bands", "n")
+        pool.groupBy("key", "rest").agg(F.min(F.struct("doc_id", "row", "place", "stop", "bands")).alias("one"), F.count("*").alias("n"))
+        .select("key", "rest", F.struct("one.doc_id", "one.row", "one.place", "one.stop").alias("first"), "one.bands", "n")
         .withColumn("id", F.monotonically_increasing_id()), "different")
     unsigned = F.lit(None).cast("array<bigint>").alias("sign")
     filed = different.select(F.col("id").alias("row"), unsigned, F.explode("bands").alias("file"))
@@ -158,25 +177,31 @@ def classes(docs: DataFrame, found: DataFrame) -> DataFrame:
         return confirmed(held, stored(texts_at(docs, wanted), "pair-texts"))
 
     roots = components(links(filed, confirm))
-    rooted = different.select("words", "first", "n", "id").join(roots, F.col("id") == F.col("node"), "left")
-    alone = rooted.where("root is null and n > 1").select("words", "first")
+    rooted = different.select("key", "rest", "first", "n", "id").join(roots, F.col("id") == F.col("node"), "left")
+    alone = rooted.where("root is null and n > 1").select("key", "rest", "first")
     linked = rooted.where("root is not null")
     firsts = linked.groupBy("root").agg(F.min("first").alias("first"))
-    return alone.unionByName(linked.select("words", "root").join(firsts, "root").select("words", "first"))
+    return alone.unionByName(linked.select("key", "rest", "root").join(firsts, "root").select("key", "rest", "first"))
 
 
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """One line per row: doc_id, row, n_paragraphs, n_removed, removed (place and stop, in words), kept_in (doc_ids where they stay)."""
-    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.xxhash64("text").alias("same"), "text")
     found = stored(listed(keyed), "paragraphs")
-    repeats = stored(classes(keyed, found), "classes")
-    marked = found.select("doc_id", "row", "place", "stop", "words").join(repeats, "words", "left").withColumn(
-        "gone", F.coalesce(F.col("first.row") != F.col("row"), F.lit(False)))
-    collected = marked.groupBy("doc_id", "row").agg(
-        F.size(F.collect_set(F.when(F.col("place") >= 0, F.struct("place", "stop")))).cast("long").alias("n_paragraphs"),
-        F.sort_array(F.collect_set(F.when(F.col("gone"), F.struct("place", "stop")))).alias("removed"),
-        F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("first.doc_id")))).alias("kept_in"))
-    return collected.select("doc_id", "row", "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), "removed", "kept_in")
+    sources = stored(
+        keyed.select("doc_id", "row", "same").groupBy("same").agg(F.min(F.struct("doc_id", "row")).alias("source")), "sources")
+    traced = found.join(sources, "same")
+    pool = stored(shared_passages(traced.where("row = source.row").select(found["*"])), "pool")
+    repeats = stored(classes(keyed, pool), "classes")
+    gone = pool.drop("bands").join(repeats, ["key", "rest"]).where("first.row <> row").select("row", "place", "stop", F.col("first.doc_id").alias("kept_in"))
+    copied = traced.where("row <> source.row and place >= 0").select("row", "place", "stop", F.col("source.doc_id").alias("kept_in"))
+    removed = gone.unionByName(copied).groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct("place", "stop"))).alias("removed"), F.sort_array(F.collect_set("kept_in")).alias("kept_in"))
+    rows = found.groupBy("doc_id", "row").agg(F.max("total").cast("long").alias("n_paragraphs")).join(removed, "row", "left")
+    return rows.select(
+        "doc_id", "row", "n_paragraphs", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("removed", F.array().cast("array<struct<place:int,stop:int>>")).alias("removed"),
+        F.coalesce("kept_in", F.array().cast(f"array<{docs.schema['doc_id'].dataType.simpleString()}>")).alias("kept_in"))
 
 
 def without_passages(text: str, removed: list[tuple[int, int]]) -> str:

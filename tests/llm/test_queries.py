@@ -78,7 +78,7 @@ def test_op6(spark, documents):
     listed, texts, seen = [], {}, {}
     for doc, text in sorted(documents):
         own = WORD.findall((text or "").lower())
-        for place, stop in passages(text or "")[0]:
+        for place, stop, *_ in passages(text or "")[0]:
             passage = " ".join(own[place:stop])
             listed.append((doc, (place, stop), passage))
             seen.setdefault(passage, len(seen))
