@@ -300,7 +300,7 @@ def test_copies(docs, none, spark, monkeypatch):
         rows.append((n, " ".join(tokens)))
     frame = spark.createDataFrame(rows, "doc_id int, text string")
     roots = near_components(dict(rows))
-    for rounds in (3, 1):
+    for rounds in (1, 3):
         monkeypatch.setattr(copies, "ROUNDS", rounds)
         kept = {r.doc_id for r in copies.one_of_each_group(frame).collect()}
         assert kept == {n for n in roots if roots[n] == n}
