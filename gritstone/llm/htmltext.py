@@ -4,14 +4,19 @@ A page is cut into blocks in page order. Blocks inside menus, headers, footers,
 adverts, forms and reader comments (by element, role, class or id) are left out; if the page marks an article
 (else a main part), only that is looked at.
 
-What is left is a token stream for each page, and the streams of one host together make its suffix array. Suffixes are
-taken at block starts. A host may hold a third of all pages, so its array is not built in one place: suffixes
-are brought together by (host, prefix), for the prefix of MIN_TOKENS tokens (which may run
-over several blocks) and for the whole block, and a prefix that starts suffixes of distinct pages is a
-repeated substring. A block is boilerplate if repeated substrings cover at least half of its tokens. Outside a
-marked article two pages are enough; inside one the substring must stand on more than half of the host's
-pages, at least FEW_PAGES, since articles quote each other. If over half of a marked article were boilerplate, the
-pages are copies of one article and it is kept.
+What is left is a token stream for each page, and the streams of one host together make its suffix array. A host may hold
+a third of all pages, so the array is not built in one place: suffixes are brought together by (host, first
+MIN_TOKENS tokens). First only those at anchors are: block starts, and of every REACH consecutive places the one whose first
+tokens hash lowest, so that a substring of MIN_TOKENS + REACH - 1 tokens that two streams share has an anchor at the same
+token in both, wherever it starts. Around anchors that repeat, up to REACH tokens to either side, all suffixes are looked
+up, so the ends of a repeated substring are found to the token. Covered tokens go, the others stay, in their blocks.
+
+Pages of one host with the same stream count as one, so copies of a page keep their text. Outside a marked article a
+substring on two pages is boilerplate; but what stands on fewer than FEW_PAGES stays if it covers over half of what is left
+of the page, since such pages are versions of each other. Inside a marked article the substring must stand on more than
+half of the host's pages, at least FEW_PAGES, since articles quote each other; if over half of it were boilerplate, the
+pages are copies of one article and it is kept. A shared run shorter than MIN_TOKENS + REACH - 1 tokens that starts at no
+block and near no longer one may stay.
 
 Null and empty pages give the empty text; a null url is a host of its own name (the empty string); repeated rows
 are kept, and do not count as distinct pages. Nothing is cut by length.
@@ -30,8 +35,10 @@ from xxhash import xxh64_intdigest
 
 from gritstone.llm.store import map_text, slices, stored
 
-MIN_TOKENS = 8
+MIN_TOKENS, REACH = 8, 22
 FEW_PAGES = 4
+#: Places whose neighbourhoods are compared at once.
+STEP = 1 << 16
 
 # HTML's element names, and the names sites give to what is not the article.
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -48,11 +55,12 @@ footer masthead topbar toolbar pager pagination comment comments commentlist dis
 form search skip""".split())
 KEPT_NAMES = set("html body main".split())
 
+#: A tag that is never closed reaches the end of the page, so no place is read twice; a quote counts after "=" only.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|</?[a-zA-Z][^>]*>", re.S | re.I)
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"'=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?P<close>>|\Z)", re.S | re.I)
+PLAIN_TAG = re.compile("<[^<>]*>")
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -83,6 +91,7 @@ def blocks(html: str) -> tuple[list[str], bool]:
     """The texts of the blocks that may be the article, in page order; whether the page marks one."""
     found: list[tuple[str, bool, bool]] = []
     stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # name, left out, article, main
+    depths: dict[str, list[int]] = {}  # where each name is open; under "" the blocks
     pieces: list[str] = []
 
     def flush() -> None:
@@ -92,6 +101,13 @@ def blocks(html: str) -> tuple[list[str], bool]:
         if text and not stack[-1][1]:
             found.append((text, stack[-1][2], stack[-1][3]))
 
+    def close(depth: int) -> None:
+        for at in range(len(stack) - 1, depth - 1, -1):
+            name = stack.pop()[0]
+            depths[name].pop()
+            if name in BLOCKS:
+                depths[""].pop()
+
     at = 0
     for tag in TAG.finditer(html):
         if tag.start() > at:
@@ -99,29 +115,30 @@ def blocks(html: str) -> tuple[list[str], bool]:
         at = tag.end()
         if not tag["name"]:
             continue
+        if not tag["close"]:
+            pieces.append(PLAIN_TAG.sub(" ", tag[0]))
+            break
         name = tag["name"].lower()
         if name in BLOCKS:
             flush()
         elif name == "br":
             pieces.append(" ")
         if tag["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    flush()
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in BLOCKS and name not in BLOCKS:
-                    break  # a stray inline end tag does not close blocks
+            if depths.get(name) and (name in BLOCKS or depths[name][-1] > (depths.get("") or [0])[-1]):
+                flush()
+                close(depths[name][-1])
             continue
         if name in VOID or tag["attrs"].endswith("/"):
             continue
         if name in BLOCKS and stack[-1][0] == "p":
-            stack.pop()
+            close(len(stack) - 1)
         _, out, article, main = stack[-1]
         leaves = is_left_out(name, tag["attrs"], article)
         if leaves and name not in BLOCKS:
             flush()
         if leaves or name in BLOCKS and name not in ("p", "li", "dt", "dd", "td", "th", "tr", "option"):
+            for known in (name, "") if name in BLOCKS else (name,):
+                depths.setdefault(known, []).append(len(stack))
             stack.append((name, out or leaves, article or name == "article", main or name == "main"))
     pieces.append(html[at:])
     flush()
@@ -131,33 +148,74 @@ def blocks(html: str) -> tuple[list[str], bool]:
     return [block[0] for block in found], False
 
 
-def prefixes(texts: list[str]) -> Iterator[tuple[int, int, int]]:
-    """(key, first token, last token + 1) of the suffixes at block starts: MIN_TOKENS tokens, and the whole block."""
-    tokens, starts = [], [0]
-    for text in texts:
-        tokens += text.split(" ")
-        starts.append(len(tokens))
-    for start, end in zip(starts, starts[1:]):
-        for stop in {min(start + MIN_TOKENS, len(tokens)), max(end, start + MIN_TOKENS)}:
-            if start + MIN_TOKENS <= stop <= len(tokens):
-                yield xxh64_intdigest(" ".join(tokens[start:stop]).encode("utf-8", "surrogatepass")) - (1 << 63), start, stop
+def windows(texts: list[str]) -> np.ndarray:
+    """A hash of MIN_TOKENS consecutive tokens for every place of the page's stream that has as many."""
+    tokens = [xxh64_intdigest(token.encode("utf-8", "surrogatepass")) for text in texts for token in text.split(" ")]
+    places = max(0, len(tokens) - MIN_TOKENS + 1)
+    single, out = np.array(tokens, dtype=np.uint64), np.zeros(places, dtype=np.uint64)
+    for k in range(MIN_TOKENS):
+        out = scrambled(out * np.uint64(0x9E3779B97F4A7C15) + single[k : k + places])
+    return out
+
+
+def scrambled(values: np.ndarray) -> np.ndarray:
+    out = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
+
+
+def anchors(texts: list[str], keys: np.ndarray) -> np.ndarray:
+    """The places of block starts, and of every REACH places (all, if there are fewer) the first of least hash."""
+    if not len(keys):
+        return np.zeros(0, dtype=np.int64)
+    starts = np.cumsum([0, *(text.count(" ") + 1 for text in texts)])
+    reach = min(REACH, len(keys))
+    order = np.lib.stride_tricks.sliding_window_view(scrambled(keys ^ np.uint64(REACH)), reach)
+    least = [order[at : at + STEP].argmin(axis=1) + np.arange(at, min(at + STEP, len(order))) for at in range(0, len(order), STEP)]
+    return np.unique(np.concatenate([starts[starts < len(keys)], *least]))
+
+
+def around(keys: np.ndarray, repeated: set[int]) -> np.ndarray:
+    """The places up to REACH before or after one whose key is repeated."""
+    hits = np.isin(keys.view(np.int64), np.fromiter(repeated, dtype=np.int64, count=len(repeated)))
+    edges = np.zeros(len(keys) + 1, dtype=np.int64)
+    at = np.flatnonzero(hits)
+    np.add.at(edges, np.maximum(at - REACH, 0), 1)
+    np.add.at(edges, np.minimum(at + REACH + 1, len(keys)), -1)
+    return np.flatnonzero(np.cumsum(edges[:-1]))
 
 
-def main_text(html: str, repeated: set[int]) -> str:
-    """The page's blocks without those that ``repeated`` prefixes cover, joined by blank lines."""
+def covered(keys: np.ndarray, repeated: set[int], size: int) -> np.ndarray:
+    """For each of ``size`` tokens, whether it lies in a window whose key is repeated."""
+    hits = np.isin(keys.view(np.int64), np.fromiter(repeated, dtype=np.int64, count=len(repeated)))
+    edges = np.zeros(size + 1, dtype=np.int64)
+    edges[: len(keys)] += hits
+    edges[MIN_TOKENS : MIN_TOKENS + len(keys)] -= hits
+    return np.cumsum(edges[:-1]) > 0
+
+
+def main_text(html: str, often: set[int], seldom: set[int]) -> str:
+    """The page's blocks without the tokens that repeated windows cover, joined by blank lines.
+
+    ``often`` has the keys of windows that are boilerplate on many pages, ``seldom`` of those on fewer than FEW_PAGES.
+    """
     texts, marked = blocks(html)
-    if not repeated:
+    if not often and not seldom:
         return "\n\n".join(texts)
-    sizes = [text.count(" ") + 1 for text in texts]
-    covered = np.zeros(sum(sizes), dtype=bool)
-    for key, start, stop in prefixes(texts):
-        if key in repeated:
-            covered[start:stop] = True
-    ends = np.cumsum(sizes)
-    drop = [2 * covered[end - size : end].sum() >= size for end, size in zip(ends, sizes)]
-    if marked and 2 * sum(size for size, out in zip(sizes, drop) if out) > sum(sizes):
+    keys, size = windows(texts), sum(text.count(" ") + 1 for text in texts)
+    gone = covered(keys, often, size)
+    if marked and 2 * gone.sum() > size:
         return "\n\n".join(texts)
-    return "\n\n".join(text for text, out in zip(texts, drop) if not out)
+    few = covered(keys, seldom, size) & ~gone
+    if 2 * few.sum() <= size - gone.sum():
+        gone |= few
+    kept, at = [], 0
+    for text in texts:
+        tokens = text.split(" ")
+        left = [token for token, out in zip(tokens, gone[at : at + len(tokens)]) if not out]
+        at += len(tokens)
+        if left:
+            kept.append(" ".join(left))
+    return "\n\n".join(kept)
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -166,47 +224,65 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def suffixes(pages: DataFrame) -> DataFrame:
-    """(host, key, marked, row) of every suffix, once per page."""
+    """host, row, marked, stream (equal for equal token streams) and keys (of the different suffixes looked at) of every page.
+
+    Without a column ``near`` those are the suffixes at anchors; with it, those around the keys that it holds.
+    """
+    nearby = "near" in pages.columns
 
     def run(rows: pa.RecordBatch) -> pa.RecordBatch:
-        keys, marks, places = [], [], []
+        marks, streams, keys = [], [], []
         for at, html in enumerate(rows.column("html")):
             texts, marked = blocks(html.as_py() or "")
-            own = {key for key, _, _ in prefixes(texts)}
-            keys += own
-            marks += [marked] * len(own)
-            places += [at] * len(own)
-        taken = pa.array(places, pa.int64())
+            found = windows(texts)
+            places = around(found, set(rows.column("near")[at].as_py())) if nearby else anchors(texts, found)
+            marks.append(marked)
+            streams.append(xxh64_intdigest(" ".join(texts).encode("utf-8", "surrogatepass")) - (1 << 63))
+            keys.append(np.unique(found[places].view(np.int64)))
         return pa.RecordBatch.from_arrays(
-            [rows.column("host").take(taken), pa.array(keys, pa.int64()), pa.array(marks, pa.bool_()), rows.column("row").take(taken)],
-            ["host", "key", "marked", "row"])
+            [rows.column("host"), rows.column("row"), pa.array(marks, pa.bool_()), pa.array(streams, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+            ["host", "row", "marked", "stream", "keys"])
+
+    columns = ["host", "row", "html", *(["near"] if nearby else [])]
+    return map_text(pages.select(*columns), run, "host bigint, row bigint, marked boolean, stream bigint, keys array<bigint>", "html")
+
 
-    return map_text(pages.select("host", "row", "html"), run, "host bigint, key bigint, marked boolean, row bigint", "html")
+def repeats(found: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, stream, often, seldom): the repeated keys among the suffixes of each stream (host, stream, marked, keys)."""
+    each = found.select("host", "stream", "marked", F.explode("keys").alias("key"))
+    shared = each.groupBy("host", "key").agg(F.count("*").alias("n")).where("n > 1").join(hosts, "host")
+    many = (F.col("n") >= FEW_PAGES) & (~F.col("marked") | (2 * F.col("n") > F.col("pages")))
+    few = (F.col("n") < FEW_PAGES) & ~F.col("marked")
+    hits = each.join(shared, ["host", "key"]).where(many | few).withColumn("many", many)
+    return hits.groupBy("host", "stream").agg(
+        F.collect_list(F.when(F.col("many"), F.col("key"))).alias("often"), F.collect_list(F.when(~F.col("many"), F.col("key"))).alias("seldom"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """All columns of ``pages`` (page_id, url, html, ...) but html, and ``text``.
 
-    Columns named text, host, row or repeats are dropped first.
+    Columns named text, host, row, often or seldom are dropped first.
     """
-    known = with_host(pages.drop("text", "host", "row", "repeats"))
-    found = stored(suffixes(known), "suffixes")
-    pages_of = known.groupBy("host").agg(F.count_distinct("row").alias("pages"))
-    repeats = found.groupBy("host", "key", "marked").agg(F.min("row").alias("a"), F.max("row").alias("b"), F.count("*").alias("n"))
-    repeated = stored(
-        repeats.where("a <> b").join(pages_of, "host").where(~F.col("marked") | (F.col("n") >= FEW_PAGES) & (2 * F.col("n") > F.col("pages")))
-        .select("host", "key", "marked"), "repeated")
-    covers = stored(found.join(repeated, ["host", "key", "marked"]).groupBy("row").agg(F.collect_set("key").alias("repeats")), "covers")
+    known = with_host(pages.drop("text", "host", "row", "often", "seldom"))
+    read = stored(suffixes(known), "suffixes")
+    one = read.groupBy("host", "stream").agg(F.min("row").alias("row"))
+    first = stored(read.join(one, ["host", "stream", "row"], "left_semi").dropDuplicates(["host", "stream"]), "streams")
+    hosts = stored(first.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+    anchored = stored(repeats(first, hosts), "anchored")
+    near = first.join(anchored, ["host", "stream"]).select("row", F.concat("often", "seldom").alias("near"))
+    again = stored(suffixes(known.select("host", "row", "html").dropDuplicates(["row"]).join(near, "row")), "around")
+    covers = stored(repeats(again, hosts), "covers")
+    covers = read.select("host", "stream", "row").distinct().join(covers, ["host", "stream"]).select("row", "often", "seldom")
     names = [c for c in known.columns if c not in ("html", "host", "row")]
     fields = ", ".join(f"`{c}` {known.schema[c].dataType.simpleString()}" for c in names)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "html"):
                 texts = [
-                    main_text(html.as_py() or "", set(keys.as_py() or ()))
-                    for html, keys in zip(rows.column("html"), rows.column("repeats"))
+                    main_text(html.as_py() or "", set(often.as_py() or ()), set(seldom.as_py() or ()))
+                    for html, often, seldom in zip(*(rows.column(c) for c in ("html", "often", "seldom")))
                 ]
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(texts, pa.string())], [*names, "text"])
 
-    return known.join(covers, "row", "left").select(*names, "html", "repeats").mapInArrow(run, f"{fields}, text string")
+    return known.join(covers, "row", "left").select(*names, "html", "often", "seldom").mapInArrow(run, f"{fields}, text string")
