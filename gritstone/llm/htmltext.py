@@ -37,8 +37,6 @@ from gritstone.llm.store import map_text, slices, stored
 
 MIN_TOKENS, REACH = 8, 22
 FEW_PAGES = 4
-#: Places whose neighbourhoods are compared at once.
-STEP = 1 << 16
 
 # HTML's element names, and the names sites give to what is not the article.
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -148,14 +146,23 @@ def blocks(html: str) -> tuple[list[str], bool]:
     return [block[0] for block in found], False
 
 
-def windows(texts: list[str]) -> np.ndarray:
-    """A hash of MIN_TOKENS consecutive tokens for every place of the page's stream that has as many."""
-    tokens = [xxh64_intdigest(token.encode("utf-8", "surrogatepass")) for text in texts for token in text.split(" ")]
-    places = max(0, len(tokens) - MIN_TOKENS + 1)
-    single, out = np.array(tokens, dtype=np.uint64), np.zeros(places, dtype=np.uint64)
-    for k in range(MIN_TOKENS):
-        out = scrambled(out * np.uint64(0x9E3779B97F4A7C15) + single[k : k + places])
-    return out
+_LETTER = np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASE, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+def windows(texts: list[str], host: int = 0) -> np.ndarray:
+    """A hash of host and MIN_TOKENS consecutive tokens for every place of the page's stream that has as many."""
+    letters = np.frombuffer(" ".join(texts).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    if not len(letters):
+        return np.zeros(0, dtype=np.uint64)
+    gaps = np.flatnonzero(letters == 32)
+    starts, ends = np.append(0, gaps + 1), np.append(gaps, len(letters))
+    starts, ends = starts[: max(0, len(starts) - MIN_TOKENS + 1)], ends[MIN_TOKENS - 1 :]
+    # A polynomial in _BASE over the letters, so any stretch is a difference of two sums, moved back to its start.
+    powers = np.full(len(letters), _BASE, dtype=np.uint64).cumprod()
+    sums = np.append(np.uint64(0), (_LETTER[letters] * powers).cumsum())
+    back = np.full(len(letters), _BACK, dtype=np.uint64).cumprod()
+    return scrambled(scrambled((sums[ends] - sums[starts]) * back[starts]) ^ np.uint64(host & ((1 << 64) - 1)))
 
 
 def scrambled(values: np.ndarray) -> np.ndarray:
@@ -164,14 +171,25 @@ def scrambled(values: np.ndarray) -> np.ndarray:
 
 
 def anchors(texts: list[str], keys: np.ndarray) -> np.ndarray:
-    """The places of block starts, and of every REACH places (all, if there are fewer) the first of least hash."""
+    """The places of block starts, and of every REACH places (all, if there are fewer) those of least hash."""
     if not len(keys):
         return np.zeros(0, dtype=np.int64)
     starts = np.cumsum([0, *(text.count(" ") + 1 for text in texts)])
     reach = min(REACH, len(keys))
-    order = np.lib.stride_tricks.sliding_window_view(scrambled(keys ^ np.uint64(REACH)), reach)
-    least = [order[at : at + STEP].argmin(axis=1) + np.arange(at, min(at + STEP, len(order))) for at in range(0, len(order), STEP)]
-    return np.unique(np.concatenate([starts[starts < len(keys)], *least]))
+    order = scrambled(keys ^ np.uint64(REACH))
+    least = running(np.minimum, order, reach)  # of the places from each on
+    ends = np.zeros(reach - 1, dtype=np.uint64)
+    most = running(np.maximum, np.concatenate([ends, least, ends]), reach)  # of the neighbourhoods that hold each place
+    return np.unique(np.concatenate([starts[starts < len(keys)], np.flatnonzero(order == most)]))
+
+
+def running(least: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """The least (or greatest) of every ``width`` consecutive values, by doubling."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values, have = least(values[: len(values) - step], values[step:]), have + step
+    return values
 
 
 def around(keys: np.ndarray, repeated: set[int]) -> np.ndarray:
@@ -193,15 +211,14 @@ def covered(keys: np.ndarray, repeated: set[int], size: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def main_text(html: str, often: set[int], seldom: set[int]) -> str:
-    """The page's blocks without the tokens that repeated windows cover, joined by blank lines.
+def main_text(texts: list[str], marked: bool, host: int, often: set[int], seldom: set[int]) -> str:
+    """The page's blocks (as ``blocks`` gives them) without the tokens that repeated windows cover, joined by blank lines.
 
     ``often`` has the keys of windows that are boilerplate on many pages, ``seldom`` of those on fewer than FEW_PAGES.
     """
-    texts, marked = blocks(html)
     if not often and not seldom:
         return "\n\n".join(texts)
-    keys, size = windows(texts), sum(text.count(" ") + 1 for text in texts)
+    keys, size = windows(texts, host), sum(text.count(" ") + 1 for text in texts)
     gone = covered(keys, often, size)
     if marked and 2 * gone.sum() > size:
         return "\n\n".join(texts)
@@ -218,71 +235,78 @@ def main_text(html: str, often: set[int], seldom: set[int]) -> str:
     return "\n\n".join(kept)
 
 
-def with_host(pages: DataFrame) -> DataFrame:
+def streams(pages: DataFrame) -> DataFrame:
+    """rest (the columns of the page but html), host, marked, stream (equal for equal token streams), blocks, and keys at anchors, of every page."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.withColumn("host", F.xxhash64(host)).withColumn("row", F.xxhash64("page_id", "url", "html"))
 
+    def run(rows: pa.RecordBatch) -> pa.RecordBatch:
+        marks, same, texts, keys = [], [], [], []
+        for html, at in zip(rows.column("html"), rows.column("host").to_pylist()):
+            own, marked = blocks(html.as_py() or "")
+            found = windows(own, at)
+            marks.append(marked)
+            same.append(xxh64_intdigest(" ".join(own).encode("utf-8", "surrogatepass")) - (1 << 63))
+            texts.append(own)
+            keys.append(np.unique(found[anchors(own, found)].view(np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [rows.column("rest"), rows.column("host"), pa.array(marks, pa.bool_()), pa.array(same, pa.int64()),
+             pa.array(texts, pa.list_(pa.string())), pa.array(keys, pa.list_(pa.int64()))], ["rest", "host", "marked", "same", "blocks", "keys"])
 
-def suffixes(pages: DataFrame) -> DataFrame:
-    """host, row, marked, stream (equal for equal token streams) and keys (of the different suffixes looked at) of every page.
+    rest = F.struct(*[c for c in pages.columns if c not in ("html", "text", "host")])
+    wide = pages.select(rest.alias("rest"), F.xxhash64(host).alias("host"), "html")
+    schema = f"rest {wide.schema['rest'].dataType.simpleString()}, host bigint, marked boolean, same bigint, blocks array<string>, keys array<bigint>"
+    return map_text(wide, run, schema, "html").withColumn("stream", F.xxhash64("host", "same", "marked")).drop("same")
 
-    Without a column ``near`` those are the suffixes at anchors; with it, those around the keys that it holds.
-    """
-    nearby = "near" in pages.columns
+
+def suffixes_around(read: DataFrame) -> DataFrame:
+    """(stream, keys): of every row (stream, host, blocks, near) the keys of all suffixes around those that ``near`` holds."""
 
     def run(rows: pa.RecordBatch) -> pa.RecordBatch:
-        marks, streams, keys = [], [], []
-        for at, html in enumerate(rows.column("html")):
-            texts, marked = blocks(html.as_py() or "")
-            found = windows(texts)
-            places = around(found, set(rows.column("near")[at].as_py())) if nearby else anchors(texts, found)
-            marks.append(marked)
-            streams.append(xxh64_intdigest(" ".join(texts).encode("utf-8", "surrogatepass")) - (1 << 63))
-            keys.append(np.unique(found[places].view(np.int64)))
-        return pa.RecordBatch.from_arrays(
-            [rows.column("host"), rows.column("row"), pa.array(marks, pa.bool_()), pa.array(streams, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            ["host", "row", "marked", "stream", "keys"])
+        keys = []
+        for texts, host, near in zip(*(rows.column(c).to_pylist() for c in ("blocks", "host", "near"))):
+            found = windows(texts, host)
+            keys.append(np.unique(found[around(found, set(near))].view(np.int64)))
+        return pa.RecordBatch.from_arrays([rows.column("stream"), pa.array(keys, pa.list_(pa.int64()))], ["stream", "keys"])
+
+    return map_text(read.select("stream", "host", "blocks", "near"), run, "stream bigint, keys array<bigint>", "blocks")
 
-    columns = ["host", "row", "html", *(["near"] if nearby else [])]
-    return map_text(pages.select(*columns), run, "host bigint, row bigint, marked boolean, stream bigint, keys array<bigint>", "html")
 
+def repeats(found: DataFrame, known: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(stream, often, seldom): the repeated keys among ``found`` (stream, keys).
 
-def repeats(found: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(host, stream, often, seldom): the repeated keys among the suffixes of each stream (host, stream, marked, keys)."""
-    each = found.select("host", "stream", "marked", F.explode("keys").alias("key"))
-    shared = each.groupBy("host", "key").agg(F.count("*").alias("n")).where("n > 1").join(hosts, "host")
+    ``known`` has stream, host and marked once for each stream, ``hosts`` the number of streams of each host.
+    """
+    each = found.select("stream", F.explode("keys").alias("key"))
+    shared = each.groupBy("key").agg(F.min("stream").alias("a"), F.max("stream").alias("b")).where("a <> b").select("key")
+    hits = stored(each.join(shared, "key").distinct(), "hits")
+    on = hits.groupBy("key").agg(F.count("*").alias("n"), F.min("stream").alias("stream")).join(known, "stream").join(hosts, "host")
+    marked = hits.join(on.select("key", "n", "pages"), "key").join(known.select("stream", "marked"), "stream")
     many = (F.col("n") >= FEW_PAGES) & (~F.col("marked") | (2 * F.col("n") > F.col("pages")))
     few = (F.col("n") < FEW_PAGES) & ~F.col("marked")
-    hits = each.join(shared, ["host", "key"]).where(many | few).withColumn("many", many)
-    return hits.groupBy("host", "stream").agg(
+    return marked.where(many | few).withColumn("many", many).groupBy("stream").agg(
         F.collect_list(F.when(F.col("many"), F.col("key"))).alias("often"), F.collect_list(F.when(~F.col("many"), F.col("key"))).alias("seldom"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """All columns of ``pages`` (page_id, url, html, ...) but html, and ``text``.
 
-    Columns named text, host, row, often or seldom are dropped first.
+    Columns named text or host are dropped first.
     """
-    known = with_host(pages.drop("text", "host", "row", "often", "seldom"))
-    read = stored(suffixes(known), "suffixes")
-    one = read.groupBy("host", "stream").agg(F.min("row").alias("row"))
-    first = stored(read.join(one, ["host", "stream", "row"], "left_semi").dropDuplicates(["host", "stream"]), "streams")
-    hosts = stored(first.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
-    anchored = stored(repeats(first, hosts), "anchored")
-    near = first.join(anchored, ["host", "stream"]).select("row", F.concat("often", "seldom").alias("near"))
-    again = stored(suffixes(known.select("host", "row", "html").dropDuplicates(["row"]).join(near, "row")), "around")
-    covers = stored(repeats(again, hosts), "covers")
-    covers = read.select("host", "stream", "row").distinct().join(covers, ["host", "stream"]).select("row", "often", "seldom")
-    names = [c for c in known.columns if c not in ("html", "host", "row")]
-    fields = ", ".join(f"`{c}` {known.schema[c].dataType.simpleString()}" for c in names)
+    read = stored(streams(pages), "streams")
+    known = stored(read.select("stream", "host", "marked").distinct(), "known")
+    hosts = stored(known.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+    anchored = stored(repeats(read.select("stream", "keys"), known, hosts), "anchored")
+    near = read.select("stream", "host", "blocks").join(anchored.select("stream", F.concat("often", "seldom").alias("near")), "stream")
+    covers = stored(repeats(stored(suffixes_around(near), "around"), known, hosts), "covers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "html"):
+            for rows in slices(batch, "blocks"):
                 texts = [
-                    main_text(html.as_py() or "", set(often.as_py() or ()), set(seldom.as_py() or ()))
-                    for html, often, seldom in zip(*(rows.column(c) for c in ("html", "often", "seldom")))
+                    main_text(own, marked, host, set(often or ()), set(seldom or ()))
+                    for own, marked, host, often, seldom in zip(*(rows.column(c).to_pylist() for c in ("blocks", "marked", "host", "often", "seldom")))
                 ]
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(texts, pa.string())], [*names, "text"])
+                yield pa.RecordBatch.from_arrays([rows.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
 
-    return known.join(covers, "row", "left").select(*names, "html", "often", "seldom").mapInArrow(run, f"{fields}, text string")
+    joined = read.join(covers, "stream", "left").select("rest", "blocks", "marked", "host", "often", "seldom")
+    return joined.mapInArrow(run, f"rest {read.schema['rest'].dataType.simpleString()}, text string").select("rest.*", "text")
