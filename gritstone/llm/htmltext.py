@@ -278,7 +278,8 @@ def repeats(found: DataFrame, known: DataFrame, hosts: DataFrame) -> DataFrame:
     """
     each = found.select("stream", F.explode("keys").alias("key"))
     shared = each.groupBy("key").agg(F.min("stream").alias("a"), F.max("stream").alias("b")).where("a <> b").select("key")
-    hits = stored(each.join(shared, "key").distinct(), "hits")
+    # Stored first, so that its size is known when the join is planned.
+    hits = stored(each.join(stored(shared, "shared"), "key").distinct(), "hits")
     on = hits.groupBy("key").agg(F.count("*").alias("n"), F.min("stream").alias("stream")).join(known, "stream").join(hosts, "host")
     marked = hits.join(on.select("key", "n", "pages"), "key").join(known.select("stream", "marked"), "stream")
     many = (F.col("n") >= FEW_PAGES) & (~F.col("marked") | (2 * F.col("n") > F.col("pages")))
@@ -292,7 +293,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Columns named text or host are dropped first.
     """
-    read = stored(streams(pages), "streams")
+    read = stored(streams(pages), "streams", compression="zstd")
     known = stored(read.select("stream", "host", "marked").distinct(), "known")
     hosts = stored(known.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
     anchored = stored(repeats(read.select("stream", "keys"), known, hosts), "anchored")

@@ -25,10 +25,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """Write the frame as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write the frame as Parquet (with these options) into the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_folder(frame.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
