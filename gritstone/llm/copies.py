@@ -1,16 +1,21 @@
-"""Near copies by SimHash blocks, confirmed on five-word shingles: the operator of ``simhash`` in a wider form.
+"""Near copies by SimHash fingerprints, then by wider blocks, confirmed on five-word shingles.
 
-A 64-bit fingerprint that allows two differing bits misses most edited copies of short documents, and longer slices of one
-SimHash serve scattered edits only. Here a text has BLOCKS blocks of 64 bits. Block k is the SimHash of the DRAWN shingles (of
-five words) that come first in the k-th random order, so two texts share it with probability about similarity ** DRAWN
+First the method of ``simhash`` as it is: the 64-bit SimHash of all shingles (of five words) of a text is cut into pigeonhole
+blocks, and all fingerprints at most two bits apart are found. That misses most edited copies of short documents, and no
+slices of one SimHash are both long enough to keep unlike texts apart and short enough for a similarity of 0.8. So the search
+goes on from the components found: a text also has BLOCKS blocks of 64 bits. Block k is the SimHash of the DRAWN shingles
+that come first in the k-th random order, so two texts share it with probability about similarity ** DRAWN
 whatever kind of edit lies between them: at 0.8 at least one of the blocks with probability above 0.99. Texts that share a
 block are compared by the Hamming distance of a SimHash of SIGN_WORDS words over all their shingles, with a limit that
-similar texts pass (below), then by the exact Jaccard similarity, and confirmed pairs are joined into components.
+similar texts pass (below). All pairs are confirmed by the exact Jaccard similarity and joined into components.
 
 Texts with equal words are merged before anything else, so a group of exact copies is one row. Of the texts that share a block,
 each is first compared with one of them, the hub (in ROUNDS rounds, each with other hubs and across the components known so far): a group
 of near copies costs a few comparisons a text and then is one component. After that all pairs that share a block and
-still lie in different components are compared, so no link between texts that share a block is missed.
+still lie in different components are compared, so no link between texts that share a block is missed. Where more than
+CROWDED texts share one, not pairs of texts are moved but the texts: they are dealt into parts, every two parts meet in one
+cell, and a cell counts the shingles that one text shares with all others at once. The comparisons there still grow with the
+square of the texts, what is moved with the square over CELL, and no cell holds more than two parts.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
+from gritstone.llm import simhash
 from gritstone.llm.components import components
 from gritstone.llm.simhash import majority_bits, shingle_hashes
 from gritstone.llm.store import map_text, slices, stored
@@ -31,6 +37,8 @@ WIDTH, SIMILARITY = 5, 0.8
 #: At similarity 0.8 the cosine is at least 0.888 and 19.5 of 128 bits differ, with a deviation of 4.1: six deviations above.
 MAX_DISTANCE = 44
 ROUNDS = 1
+#: Files of more texts than CROWDED are compared by cells of two parts, each of about CELL texts and CELL_CHARS characters at most.
+CROWDED, CELL, CELL_CHARS = 32, 256, 4_000_000
 
 _ROUND = np.random.default_rng(11).integers(0, 1 << 64, BLOCKS + SIGN_WORDS, dtype=np.uint64)
 
@@ -113,18 +121,69 @@ def _labelled(shared: DataFrame, found: DataFrame | None) -> DataFrame:
     return stored(labelled.join(split, "file", "left_semi"), "split")
 
 
-def links(filed: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Confirmed pairs (a, b), enough to connect all rows that share a file and are similar.
+def compared(cell: pa.Table) -> pa.Table:
+    """Confirmed pairs (a, b) of the texts (row, text, sign, part, side) of one cell, enough to connect what is similar.
+
+    If the cell has two sides, only texts of different sides are compared.
+    """
+    rows, part, side = (cell.column(c).to_numpy() for c in ("row", "part", "side"))
+    own = [np.unique(shingle_hashes(text, WIDTH)) for text in cell.column("text").to_pylist()]
+    size = np.array([len(x) for x in own])
+    owner = np.repeat(np.arange(len(own)), size)
+    shingles, which = np.unique(np.concatenate(own), return_inverse=True)
+    ends = np.cumsum([0, *size])
+    signs = cell.column("sign").to_pylist()
+    signed = np.array([x is not None for x in signs])
+    words = np.array([x or [0] * SIGN_WORDS for x in signs], dtype=np.int64).view(np.uint64)
+    across = len(np.unique(side)) > 1
+    held, found = np.zeros(len(shingles), dtype=bool), []
+    for x in range(len(rows)):
+        wanted = part != part[x]
+        wanted[: x + 1] = False
+        if across:
+            wanted &= side != side[x]
+        if signed[x]:
+            wanted &= ~signed | (np.bitwise_count(words ^ words[x]).sum(axis=1, dtype=np.int64) <= MAX_DISTANCE)
+        if not wanted.any():
+            continue
+        mine = which[ends[x] : ends[x + 1]]
+        held[mine] = True
+        both = np.bincount(owner[held[which]], minlength=len(rows))
+        held[mine] = False
+        for y in np.flatnonzero(wanted & (both >= SIMILARITY * (size + size[x] - both))):
+            if part[y] != part[x]:
+                found.append((rows[x], rows[y]))
+                part = np.where(part == part[y], part[x], part)
+    a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+    return pa.table({"a": a, "b": b})
+
+
+def crowded_links(left: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Confirmed pairs (a, b) of the rows of one file that lie in different parts; ``texts`` gives (row, text) for rows."""
+    held = stored(texts(left.select("row").distinct()), "crowded-texts")
+    lengths = held.select("row", F.length("text").alias("chars"))
+    wide = left.join(lengths, "row").groupBy("file").agg(
+        F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("chars") / CELL_CHARS), F.lit(1)).cast("int").alias("parts"))
+    dealt = left.join(wide, "file").withColumn("side", F.pmod(F.xxhash64("row", F.lit(CELL)), F.col("parts")).cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "file", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "row", "sign", "part", "side")
+    return cells.join(held, "row").groupBy("file", "low", "high").applyInArrow(compared, "a bigint, b bigint")
+
+
+def links(
+    filed: DataFrame, confirm: Callable[[DataFrame], DataFrame], texts: Callable[[DataFrame], DataFrame],
+    found: DataFrame | None = None,
+) -> DataFrame:
+    """Confirmed pairs (a, b), enough to connect all rows that share a file and are similar; ``found`` are pairs known before.
 
     ``filed`` has file and row, both long, and sign, an array of longs or null, by which pairs are ruled out early.
     """
     dealt = filed.select("file", "row", "sign")
     sizes = dealt.groupBy("file").agg(F.count("*").alias("n")).where("n > 1").select("file")
-    shared = stored(dealt.join(sizes, "file"), "files")
-    found, left = None, shared
+    left = stored(dealt.join(sizes, "file"), "files")
     for turn in range(ROUNDS):
         left = _labelled(left.select("file", "row", "sign"), found)
-        if turn and left.isEmpty():  # every file lies in one component
+        if found is not None and left.isEmpty():  # every file lies in one component
             return found
         hubs = left.groupBy("file").agg(F.min_by(F.struct("row", "sign", "part"), F.xxhash64("row", F.lit(turn))).alias("hub"))
         pairs = left.join(hubs, "file").where((F.col("hub.part") != F.col("part")) & close(F.col("hub.sign"), F.col("sign")))
@@ -133,10 +192,25 @@ def links(filed: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFr
         more = stored(confirm(ends), "links")
         found = more if found is None else found.unionByName(more)
     left = _labelled(left.select("file", "row", "sign"), found)
-    one, other = (left.select("file", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "sign", "part")]) for x in "ab")
+    sizes = left.groupBy("file").agg(F.count("*").alias("n"))
+    few = left.join(sizes.where(F.col("n") <= CROWDED).select("file"), "file")
+    many = stored(left.join(sizes.where(F.col("n") > CROWDED).select("file"), "file"), "crowded")
+    one, other = (few.select("file", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "sign", "part")]) for x in "ab")
     rest = one.join(other, "file").where(
         (F.col("row_a") < F.col("row_b")) & (F.col("part_a") != F.col("part_b")) & close(F.col("sign_a"), F.col("sign_b")))
-    return found.unionByName(confirm(rest.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()))
+    found = found.unionByName(confirm(rest.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()))
+    return found if many.isEmpty() else found.unionByName(crowded_links(many, texts))
+
+
+def fingerprint_pairs(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the texts (row, sign) whose 64-bit SimHash, the first word of ``sign``, differs in two bits at most, enough to connect them."""
+    prints = stored(texts.select("row", F.get("sign", F.lit(0)).alias("fp")), "prints")
+    first = stored(prints.groupBy("fp").agg(F.min("row").alias("first")), "firsts")
+    equal = prints.join(first, "fp").where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))
+    ends = [first.select(F.col("fp").alias(x), F.col("first").alias(f"row_{x}")) for x in "ab"]
+    near = simhash.links(first.select("fp")).join(ends[0], "a").join(ends[1], "b").select(
+        F.col("row_a").alias("a"), F.col("row_b").alias("b"))
+    return equal.unionByName(near)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -146,13 +220,17 @@ def groups(docs: DataFrame) -> DataFrame:
         signed.groupBy("words").agg(F.min(F.struct("row", "signature", "blocks")).alias("one")).select(
             "words", "one.row", F.col("one.signature").alias("sign"), "one.blocks"), "texts")
 
+    def texts_of(rows: DataFrame) -> DataFrame:
+        needed = docs.select("row", "text").join(rows, "row", "left_semi").dropDuplicates(["row"])
+        return needed.select("row", F.coalesce("text", F.lit("")).alias("text"))
+
     def confirm(pairs: DataFrame) -> DataFrame:
         held = stored(pairs, "close")
         wanted = held.select(F.col("a").alias("row")).unionByName(held.select(F.col("b").alias("row"))).distinct()
-        needed = docs.select("row", "text").join(wanted, "row", "left_semi").dropDuplicates(["row"])
-        return confirmed(held, stored(needed, "close-texts"))
+        return confirmed(held, stored(texts_of(wanted), "close-texts"))
 
-    roots = components(links(texts.select("row", "sign", F.explode("blocks").alias("file")), confirm))
+    near = stored(confirm(fingerprint_pairs(texts)), "near-fingerprints")
+    roots = components(links(texts.select("row", "sign", F.explode("blocks").alias("file")), confirm, texts_of, near))
     grouped = texts.select("words", "row").join(roots, F.col("row") == F.col("node"), "left").select("words", F.coalesce("root", "row").alias("root"))
     rows = stored(signed.select("row", "doc_id", "words").join(grouped, "words").select("row", "doc_id", "root"), "rooted")
     first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))

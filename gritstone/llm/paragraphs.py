@@ -170,13 +170,16 @@ def classes(docs: DataFrame, pool: DataFrame) -> DataFrame:
     unsigned = F.lit(None).cast("array<bigint>").alias("sign")
     filed = different.select(F.col("id").alias("row"), unsigned, F.explode("bands").alias("file"))
 
+    def texts_of(rows: DataFrame) -> DataFrame:
+        wanted = different.select("id", "first.row", "first.place", "first.stop").join(rows.select(F.col("row").alias("id")), "id")
+        return texts_at(docs, wanted)
+
     def confirm(pairs: DataFrame) -> DataFrame:
         held = stored(pairs, "pairs")
-        ids = held.select(F.col("a").alias("id")).unionByName(held.select(F.col("b").alias("id"))).distinct()
-        wanted = different.select("id", "first.row", "first.place", "first.stop").join(ids, "id")
-        return confirmed(held, stored(texts_at(docs, wanted), "pair-texts"))
+        rows = held.select(F.col("a").alias("row")).unionByName(held.select(F.col("b").alias("row"))).distinct()
+        return confirmed(held, stored(texts_of(rows), "pair-texts"))
 
-    roots = components(links(filed, confirm))
+    roots = components(links(filed, confirm, texts_of))
     rooted = different.select("key", "rest", "first", "n", "id").join(roots, F.col("id") == F.col("node"), "left")
     alone = rooted.where("root is null and n > 1").select("key", "rest", "first")
     linked = rooted.where("root is not null")

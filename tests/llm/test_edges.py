@@ -10,7 +10,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from tests_llm_brute import leaks, near_components, nearest, removed_bytes, simhash_components
+from tests_llm_brute import Sets, leaks, near_components, nearest, removed_bytes, simhash_components
 from tokenizers import Tokenizer
 
 from gritstone.llm import (
@@ -306,6 +306,46 @@ def test_copies(docs, none, spark, monkeypatch):
         assert kept == {n for n in roots if roots[n] == n}
 
 
+def test_fingerprints_are_searched_first(spark, monkeypatch):
+    base = words(22, 400).split()
+    rows = [(n, " ".join([*base[: 2 * n], f"x{n}", *base[2 * n + 1 :]])) for n in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    prints = {n: copies.signature(np.unique(simhash.shingle_hashes(t, 5)))[0] for n, t in rows}
+    near = Sets(prints)
+    for a in prints:
+        for b in prints:
+            if bin((prints[a] ^ prints[b]) % (1 << 64)).count("1") <= 2:
+                near.join(a, b)
+    linked = Sets(prints)
+    signed = spark.createDataFrame([(n, [x, 0]) for n, x in prints.items()], "row bigint, sign array<bigint>")
+    for r in copies.fingerprint_pairs(signed).collect():
+        linked.join(r.a, r.b)
+    assert {n: linked.find(n) for n in prints} == {n: near.find(n) for n in prints}
+    groups = len({near.find(n) for n in prints})
+    assert groups < 40
+    monkeypatch.setattr(copies, "links", lambda filed, confirm, texts, found: found)  # without the wider blocks
+    assert copies.one_of_each_group(frame).count() == groups
+
+
+def test_crowded_files_move_texts(spark, monkeypatch):
+    base, rows, draw = words(23, 150).split(), [], random.Random(3)
+    for n in range(120):
+        tokens = list(base)
+        for at in draw.sample(range(150), draw.randint(2, 9)):
+            tokens[at] = f"w{n}x{at}"
+        rows.append((n, " ".join(tokens)))
+    frame = spark.createDataFrame(rows, "row bigint, text string")
+    signs = {n: copies.signature(np.unique(simhash.shingle_hashes(t, 5))) for n, t in rows}
+    left = spark.createDataFrame([(1, n, signs[n], n) for n, _ in rows], "file bigint, row bigint, sign array<bigint>, part bigint")
+    roots = near_components(dict(rows))
+    for cell in (256, 16):  # one cell, and many
+        monkeypatch.setattr(copies, "CELL", cell)
+        found = Sets(roots)
+        for r in copies.crowded_links(left, lambda wanted: frame.join(wanted, "row")).collect():
+            found.join(r.a, r.b)
+        assert {n: found.find(n) for n in roots} == roots and len(set(roots.values())) > 20
+
+
 @pytest.mark.parametrize("kind", ["scattered", "truncated", "appended"])
 def test_blocks_find_every_kind_of_edit(kind):
     draw, found, looked_at, met = random.Random(8), 0, 0, 0
