@@ -74,6 +74,20 @@ def test_overlay_equals_brute_force(spark):
             assert (got[row[0]]["value"], got[row[0]]["quality"]) == (value, quality)
 
 
+def test_overlay_of_a_crowded_slice_makes_no_pairs(spark):
+    intervals = [("A", at(2 * k), at(2 * k + 1), float(k), "STALE") for k in range(400)] + [("A", at(100), at(100), -1.0, None), (None, at(0), at(900), -2.0, "BAD")]
+    table = spark.createDataFrame(intervals, "tag_id string, t_start timestamp, t_end timestamp, value double, quality string")
+    rows = [reading("A", s, 1.0) for s in range(0, 900)] + [reading("B", 5, 1.0)]
+    out = rd.overlay_intervals(readings(spark, rows), table, 3600)
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in line]
+    assert joins and not [line for line in joins if ">=" in line or "<=" in line or "seg" in line]
+    got = rows_by(out, "event_id")
+    for row in rows:
+        k = int((row[2] - at(0)).total_seconds()) // 2
+        held = row[1] == "A" and k < 400 and k * 2 <= (row[2] - at(0)).total_seconds() <= k * 2 + 1
+        assert got[row[0]]["value"] == (intervals[k][3] if held else 1.0) or row[2] == at(100)
+
+
 @pytest.mark.parametrize("first, last", [(0, 0), (-5, 3), (7, 64), (8, 63), (1, 87_600), (-87_601, 3), (-(10**9), 10**9 + 1)])
 def test_covering_cells_tile_an_interval(spark, first, last):
     cells = spark.range(1).select(rd.covering_cells(F.lit(first).cast("long"), F.lit(last).cast("long")).alias("c")).first()["c"]
