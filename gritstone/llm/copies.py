@@ -170,17 +170,22 @@ def crowded_links(left: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> D
     return cells.join(held, "row").groupBy("file", "low", "high").applyInArrow(compared, "a bigint, b bigint")
 
 
+def sharing(filed: DataFrame) -> DataFrame:
+    """The rows of ``filed`` (file, row, sign) whose file holds more than one."""
+    sizes = filed.groupBy("file").agg(F.count("*").alias("n")).where("n > 1").select("file")
+    return filed.select("file", "row", "sign").join(sizes, "file")
+
+
 def links(
     filed: DataFrame, confirm: Callable[[DataFrame], DataFrame], texts: Callable[[DataFrame], DataFrame],
     found: DataFrame | None = None,
 ) -> DataFrame:
     """Confirmed pairs (a, b), enough to connect all rows that share a file and are similar; ``found`` are pairs known before.
 
-    ``filed`` has file and row, both long, and sign, an array of longs or null, by which pairs are ruled out early.
+    ``filed`` has file and row, both long, and sign, an array of longs or null, by which pairs are ruled out early. It is read
+    several times: pass a stored table of what ``sharing`` leaves.
     """
-    dealt = filed.select("file", "row", "sign")
-    sizes = dealt.groupBy("file").agg(F.count("*").alias("n")).where("n > 1").select("file")
-    left = stored(dealt.join(sizes, "file"), "files")
+    left = filed
     for turn in range(ROUNDS):
         left = _labelled(left.select("file", "row", "sign"), found)
         if found is not None and left.isEmpty():  # every file lies in one component
@@ -220,17 +225,22 @@ def groups(docs: DataFrame) -> DataFrame:
         signed.groupBy("words").agg(F.min(F.struct("row", "signature", "blocks")).alias("one")).select(
             "words", "one.row", F.col("one.signature").alias("sign"), "one.blocks"), "texts")
 
+    filed = stored(sharing(texts.select("row", "sign", F.explode("blocks").alias("file"))), "files")
+    pairs = stored(fingerprint_pairs(texts), "near")
+    # Texts are moved once to pick all that may be compared; every later step picks from these.
+    wanted = filed.select("row").unionByName(pairs.select(F.col("a").alias("row"))).unionByName(pairs.select(F.col("b").alias("row")))
+    held = stored(
+        docs.select("row", F.coalesce("text", F.lit("")).alias("text")).join(wanted.distinct().hint("merge"), "row", "left_semi")
+        .dropDuplicates(["row"]), "candidate-texts")
+
     def texts_of(rows: DataFrame) -> DataFrame:
-        needed = docs.select("row", "text").join(rows, "row", "left_semi").dropDuplicates(["row"])
-        return needed.select("row", F.coalesce("text", F.lit("")).alias("text"))
+        return held.join(rows, "row", "left_semi")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        held = stored(pairs, "close")
-        wanted = held.select(F.col("a").alias("row")).unionByName(held.select(F.col("b").alias("row"))).distinct()
-        return confirmed(held, stored(texts_of(wanted), "close-texts"))
+        return confirmed(pairs, held)
 
-    near = stored(confirm(fingerprint_pairs(texts)), "near-fingerprints")
-    roots = components(links(texts.select("row", "sign", F.explode("blocks").alias("file")), confirm, texts_of, near))
+    near = stored(confirm(pairs), "near-fingerprints")
+    roots = components(links(filed, confirm, texts_of, near))
     grouped = texts.select("words", "row").join(roots, F.col("row") == F.col("node"), "left").select("words", F.coalesce("root", "row").alias("root"))
     rows = stored(signed.select("row", "doc_id", "words").join(grouped, "words").select("row", "doc_id", "root"), "rooted")
     first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))

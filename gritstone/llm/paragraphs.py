@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from gritstone.llm.components import components
-from gritstone.llm.copies import SIMILARITY, WIDTH, confirmed, links
+from gritstone.llm.copies import SIMILARITY, WIDTH, confirmed, links, sharing
 from gritstone.llm.simhash import shingle_hashes
 from gritstone.llm.store import slices, stored
 
@@ -168,7 +168,7 @@ def classes(docs: DataFrame, pool: DataFrame) -> DataFrame:
         .select("key", "rest", F.struct("one.doc_id", "one.row", "one.place", "one.stop").alias("first"), "one.bands", "n")
         .withColumn("id", F.monotonically_increasing_id()), "different")
     unsigned = F.lit(None).cast("array<bigint>").alias("sign")
-    filed = different.select(F.col("id").alias("row"), unsigned, F.explode("bands").alias("file"))
+    filed = stored(sharing(different.select(F.col("id").alias("row"), unsigned, F.explode("bands").alias("file"))), "files")
 
     def texts_of(rows: DataFrame) -> DataFrame:
         wanted = different.select("id", "first.row", "first.place", "first.stop").join(rows.select(F.col("row").alias("id")), "id")

@@ -286,6 +286,22 @@ def test_simhash(docs, none, spark, monkeypatch):
         assert {x: exact.find(x) for x in prints} == {x: found.find(x) for x in prints}
 
 
+def test_copies_pick_their_texts_once(docs, monkeypatch):
+    texts, kept = [], copies.stored
+
+    def recorded(frame, name, **options):
+        out = kept(frame, name, **options)
+        texts.extend([out] * ("text" in frame.columns and name != "crowded-texts"))
+        return out
+
+    compared_with, confirmed = [], copies.confirmed
+    monkeypatch.setattr(copies, "stored", recorded)
+    monkeypatch.setattr(copies, "confirmed", lambda pairs, held: compared_with.append(held) or confirmed(pairs, held))
+    assert copies.one_of_each_group(docs).count() > 0
+    assert len(texts) == 1 and compared_with
+    assert all(sorted(x.inputFiles()) == sorted(texts[0].inputFiles()) for x in compared_with)
+
+
 def test_copies(docs, none, spark, monkeypatch):
     got = copies.one_of_each_group(docs.selectExpr("*", "1 AS row", "2 AS words"))
     ids = sorted(r.doc_id for r in got.collect())
