@@ -37,6 +37,8 @@ WIDTH, SIMILARITY = 5, 0.8
 #: At similarity 0.8 the cosine is at least 0.888 and 19.5 of 128 bits differ, with a deviation of 4.1: six deviations above.
 MAX_DISTANCE = 44
 ROUNDS = 1
+#: Shingles that a task keeps at once of the texts it has met.
+KEPT_SHINGLES = 200_000
 #: Files of more texts than CROWDED are compared by cells of two parts, each of about CELL texts and CELL_CHARS characters at most.
 CROWDED, CELL, CELL_CHARS = 32, 256, 4_000_000
 
@@ -99,13 +101,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text_b"):
-                keep, last, one = [], None, set()
-                for a, text_a, text_b in zip(*(rows.column(c).to_pylist() for c in ("a", "text_a", "text_b"))):
-                    if a != last:
-                        last, one = a, set(shingle_hashes(text_a, WIDTH).tolist())
-                    other = set(shingle_hashes(text_b, WIDTH).tolist())
-                    both = len(one & other)
-                    keep.append(both >= SIMILARITY * (len(one) + len(other) - both))
+                keep, own, held = [], {}, 0  # a text stands in many pairs
+                for a, b, text_a, text_b in zip(*(rows.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
+                    if held > KEPT_SHINGLES:
+                        own, held = {}, 0
+                    for x, text in ((a, text_a), (b, text_b)):
+                        if x not in own:
+                            own[x] = set(shingle_hashes(text, WIDTH).tolist())
+                            held += len(own[x])
+                    both = len(own[a] & own[b])
+                    keep.append(both >= SIMILARITY * (len(own[a]) + len(own[b]) - both))
                 yield rows.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a bigint, b bigint")

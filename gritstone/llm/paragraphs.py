@@ -28,16 +28,19 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from gritstone.llm.components import components
 from gritstone.llm.copies import SIMILARITY, WIDTH, confirmed, links, sharing
-from gritstone.llm.simhash import shingle_hashes
 from gritstone.llm.store import slices, stored
 
 PASSAGE, REACH = 24, 27
 RECALL = 0.997
 BAND_ROWS = 2
 SHINGLES = PASSAGE - WIDTH + 1
+#: Words between the beginnings of two passages, and words of a line around a passage, up to which they are similar.
+APART, WIDEST = int(SHINGLES * (1 - SIMILARITY) / (1 + SIMILARITY)), int(SHINGLES / SIMILARITY) + WIDTH - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Places whose neighbourhoods are compared at once.
-STEP = 1 << 16
+#: Places whose neighbourhoods are compared at once, and bytes that are hashed at once.
+STEP, STEP_BYTES = 1 << 16, 1 << 20
+#: Longer words, in bytes, are hashed one by one.
+LONG_WORD = 1 << 12
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -46,7 +49,18 @@ def tuned_bands(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: f
 
 
 BANDS = tuned_bands()
-_SEEDS = np.random.default_rng(5).integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64)
+_DRAWN = np.random.default_rng(5)
+
+
+def _odd(count: int) -> np.ndarray:
+    return _DRAWN.integers(0, 1 << 64, count, dtype=np.uint64) | np.uint64(1)
+
+
+_SEEDS, _FACTORS = _DRAWN.integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64), _odd(BANDS * BAND_ROWS)
+_IN_SHINGLE, _IN_PASSAGE, _IN_WORD = _odd(WIDTH), _odd(PASSAGE), _odd(LONG_WORD)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BYTES = np.where(_BLANK, np.uint64(0), _odd(256))
+_BYTES[65:91] = _BYTES[97:123]  # A-Z as a-z
 
 
 def _scramble(values: np.ndarray) -> np.ndarray:
@@ -55,13 +69,46 @@ def _scramble(values: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a text (its UTF-8 bytes) starts, and a 64-bit hash of the word, A-Z lower-cased."""
+    at, starts, hashes = 0, [], []
+    while at < len(data):
+        stop = at + STEP_BYTES
+        while stop < len(data) and not _BLANK[data[stop]]:
+            stop += 1
+        part = data[at:stop]
+        held = ~_BLANK[part]
+        first = held.copy()
+        first[1:] &= ~held[:-1]
+        begins = np.flatnonzero(first)
+        if len(begins):
+            place = np.arange(len(part))
+            place[begins[0] :] -= np.repeat(begins, np.diff(begins, append=len(part)))
+            sums = np.add.reduceat(_BYTES[part] * _IN_WORD[place & (LONG_WORD - 1)], begins)
+            lengths = np.add.reduceat(held, begins, dtype=np.int64)
+            for n in np.flatnonzero(lengths > LONG_WORD).tolist():
+                sums[n] = xxh3_64_intdigest(part[begins[n] : begins[n] + lengths[n]].tobytes().lower())
+            starts.append(begins + at)
+            hashes.append(_scramble(sums))
+        at = stop
+    return np.concatenate(starts or [np.zeros(0, np.int64)]), np.concatenate(hashes or [np.zeros(0, np.uint64)])
+
+
+def shingles(words: np.ndarray) -> np.ndarray:
+    """A hash of every WIDTH consecutive words."""
+    count = len(words) - WIDTH + 1
+    return _scramble(sum((words[k : count + k] * factor for k, factor in enumerate(_IN_SHINGLE)), np.uint64(0)))
+
+
 def bands(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """One row of band values for each passage of words [start, stop), from the shingle hashes of the whole text."""
     out = np.zeros((len(starts), BANDS), dtype=np.uint64)
     if len(starts):
         edges = np.column_stack([starts, stops - WIDTH + 1]).ravel()
-        for k, seed in enumerate(_SEEDS):
-            values = np.append(_scramble(hashes ^ seed), np.uint64(0))  # so that the last edge lies inside
+        for k, (seed, factor) in enumerate(zip(_SEEDS, _FACTORS)):
+            values = np.append((hashes ^ seed) * factor, np.uint64(0))  # so that the last edge lies inside
+            values ^= values >> np.uint64(32)
+            values *= np.uint64(0x9E3779B97F4A7C15)
             least = np.minimum.reduceat(values, edges)[::2]
             band = k // BAND_ROWS
             out[:, band] = _scramble(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(band))
@@ -73,64 +120,97 @@ def passage_starts(hashes: np.ndarray) -> np.ndarray:
     places = len(hashes) - SHINGLES + 1
     if places <= 0:
         return np.zeros(0, dtype=np.int64)
-    order = _scramble(hashes[:places])
     reach = min(REACH, places)
-    windows = np.lib.stride_tricks.sliding_window_view(order, reach)
-    chosen = [np.unique(windows[at : at + STEP].argmin(axis=1) + np.arange(at, min(at + STEP, len(windows))))
-              for at in range(0, len(windows), STEP)]
-    return np.unique(np.concatenate(chosen))
+    low, chosen = np.uint64((2 << 16) - 1), []
+    for at in range(0, places - reach + 1, STEP):
+        part = hashes[at : min(at + STEP + reach - 1, places)] * np.uint64(0x94D049BB133111EB)
+        least, width = (part & ~low) | np.arange(len(part), dtype=np.uint64), 1  # the place within the part, so that it is found again
+        while width < reach:
+            step = min(width, reach - width)
+            least, width = np.minimum(least[:-step], least[step:]), width + step
+        chosen.append((least & low).astype(np.int64) + at)
+    found = np.concatenate(chosen)
+    return found[np.append(True, found[1:] != found[:-1])]
 
 
-def whole_lines(text: str) -> list[tuple[int, int]]:
-    """(first word, last word + 1) of the lines of at least PASSAGE words."""
-    ends = np.cumsum([0, *(len(line.encode("utf-8", "surrogatepass").split()) for line in text.split("\n"))]).tolist()
-    return [(start, stop) for start, stop in zip(ends, ends[1:]) if stop - start >= PASSAGE]
+def overlapping(starts: np.ndarray, first: int, stop: int) -> np.ndarray:
+    """Which of the passages that begin at these places of a text share at least SIMILARITY of their shingles with its words [first, stop)."""
+    both = np.minimum(starts + SHINGLES, stop - WIDTH + 1) - np.maximum(starts, first)
+    return np.flatnonzero(both >= SIMILARITY * (SHINGLES + stop - first - WIDTH + 1 - both))
 
 
-def passages(text: str) -> tuple[list[tuple[int, int, int, int]], list[list[int] | None]]:
-    """(first word, last word + 1, and two longs that identify its lower-cased words) of every passage, and the bands of whole lines.
+def located(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+    """Of a text in UTF-8 bytes: place, key and rest of each placed passage; pairs (numbers) of those that overlap widely; place, stop,
+    key and rest of each whole line; the lines' bands.
 
-    The first long of a placed passage is its band; its place in the second list is None.
+    Key and rest identify the lower-cased words. The key of a placed passage is its band, and that of what overlaps it widely.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    begins, words = word_hashes(data)
     if len(words) < PASSAGE:
-        return [], []
-    hashes = shingle_hashes(text, WIDTH)
+        return np.zeros((0, 3), np.int64), np.zeros((0, 2), np.int64), np.zeros((0, 4), np.int64), []
+    hashes = shingles(words)
     starts = passage_starts(hashes)
-    found = [
-        (start, start + PASSAGE, key, xxh3_64_intdigest(b" ".join(words[start : start + PASSAGE])) - (1 << 63))
-        for start, key in zip(starts.tolist(), hashes[starts].view(np.int64).tolist())
-    ]
-    lines = whole_lines(text)
-    digests = [np.frombuffer(xxh3_128_digest(b" ".join(words[a:b])), dtype=np.int64).tolist() for a, b in lines]
-    ends = np.array(lines, dtype=np.int64).reshape(-1, 2)
-    return (found + [(*line, *digest) for line, digest in zip(lines, digests)],
-            [None] * len(found) + bands(hashes, ends[:, 0], ends[:, 1]).tolist())
+    rest = _scramble((words[starts[:, None] + np.arange(PASSAGE)] * _IN_PASSAGE).sum(axis=1, dtype=np.uint64))
+    line = np.searchsorted(np.flatnonzero(data == 10), begins)
+    ends = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1, [len(words)]])
+    first, stop = ends[:-1], ends[1:]
+    first, stop = first[stop - first >= PASSAGE], stop[stop - first >= PASSAGE]
+    digests = b"".join(xxh3_128_digest(words[a:b].tobytes()) for a, b in zip(first.tolist(), stop.tolist()))
+    placed = np.column_stack([starts, hashes[starts].view(np.int64), rest.view(np.int64)])
+    keys = placed[:, 1]
+    close = [np.flatnonzero((starts[k:] - starts[:-k] <= APART) & (keys[k:] != keys[:-k])) for k in range(1, APART + 1)]
+    one = np.concatenate([x for k, n in enumerate(close, 1) for x in (n, n + k)])
+    other = np.concatenate([x for k, n in enumerate(close, 1) for x in (n + k, n)])
+    made = bands(hashes, first, stop).tolist()
+    for n in np.flatnonzero(stop - first <= WIDEST).tolist():
+        made[n] += keys[overlapping(starts, first[n], stop[n])].tolist()
+    return (placed, np.column_stack([one, other]),
+            np.column_stack([first, stop, np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)]), made)
+
+
+def passages(text: str) -> tuple[list[tuple[int, int, int, int]], list[list[int] | None]]:
+    """(first word, last word + 1, and two longs that identify its lower-cased words) of every passage by its place, and the bands of whole lines.
+
+    The first long of a placed passage is its band; its place in the second list is None.
+    """
+    placed, _, lines, made = located(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8))
+    found = [((place, place + PASSAGE, key, rest), None) for place, key, rest in placed.tolist()]
+    found += [(tuple(line), own) for line, own in zip(lines.tolist(), made)]
+    found.sort(key=lambda x: x[0])
+    return [x for x, _ in found], [own for _, own in found]
+
+
+PLACED = "array<struct<place:int,key:bigint,rest:bigint>>"
+NEAR = "array<struct<one:int,other:int>>"
+LINES = "array<struct<place:int,stop:int,key:bigint,rest:bigint,bands:array<bigint>>>"
 
 
 def listed(docs: DataFrame) -> DataFrame:
-    """row, doc_id, same (equal for equal texts), total, and place, stop, key, rest, bands of every passage; place -1 for a row without any."""
+    """row, doc_id, same (equal for equal texts), total (different places), placed, near (numbers of two that overlap widely) and lines of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def nested(counts: list[int], columns: list[pa.Array], names: list[str]) -> pa.Array:
+        offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, names))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                of, total, spans, made = [], [], [], []
-                for n, text in enumerate(rows.column("text")):
-                    own, values = passages(text.as_py() or "")
-                    of += [n] * max(1, len(own))
-                    total += [len({x[:2] for x in own})] * max(1, len(own))
-                    spans += own or [(-1, -1, 0, 0)]
-                    made += values or [None]
-                taken = pa.array(of, pa.int64())
-                place, stop, key, rest = np.array(spans, dtype=np.int64).reshape(-1, 4).T
+                found = [located(np.frombuffer(x.as_buffer() or b"", dtype=np.uint8)) for x in rows.column("text")]
+                total = [len({*p[:, 0].tolist()} - {*n[n[:, 1] - n[:, 0] == PASSAGE, 0].tolist()}) + len(n) for p, _, n, _ in found]
+                p, near, n = (np.concatenate([x[k] for x in found]) for k in range(3))
+                own = [x for f in found for x in f[3]]
+                of = [nested([len(x[k]) for x in found], columns, names) for k, columns, names in (
+                    (0, [pa.array(p[:, 0], pa.int32()), pa.array(p[:, 1]), pa.array(p[:, 2])], ["place", "key", "rest"]),
+                    (1, [pa.array(near[:, k], pa.int32()) for k in (0, 1)], ["one", "other"]),
+                    (2, [*(pa.array(n[:, k], pa.int32()) for k in (0, 1)), pa.array(n[:, 2]), pa.array(n[:, 3]), pa.array(own, pa.list_(pa.int64()))],
+                     ["place", "stop", "key", "rest", "bands"]))]
                 yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(c).take(taken) for c in ("row", "doc_id", "same")), pa.array(total, pa.int32()),
-                     pa.array(place, pa.int32()), pa.array(stop, pa.int32()), pa.array(key), pa.array(rest), pa.array(made, pa.list_(pa.int64()))],
-                    ["row", "doc_id", "same", "total", "place", "stop", "key", "rest", "bands"])
+                    [*(rows.column(c) for c in ("row", "doc_id", "same")), pa.array(total, pa.int32()), *of],
+                    ["row", "doc_id", "same", "total", "placed", "near", "lines"])
 
     return docs.select("row", "doc_id", "same", "text").mapInArrow(
-        run, f"row bigint, doc_id {kind}, same bigint, total int, place int, stop int, key bigint, rest bigint, bands array<bigint>")
+        run, f"row bigint, doc_id {kind}, same bigint, total int, placed {PLACED}, near {NEAR}, lines {LINES}")
 
 
 def texts_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -148,40 +228,48 @@ def texts_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["row", "text"])
 
     places = wanted.groupBy("row").agg(F.collect_list(F.struct("id", "place", "stop")).alias("places"))
-    found = docs.select("row", "text").join(places, "row").select("text", "places").mapInArrow(run, "row bigint, text string")
-    return found.groupBy("row").agg(F.min("text").alias("text"))
+    # Texts and places are dealt by row once; rows that occur twice go there.
+    found = docs.select("row", "text").join(places.hint("merge"), "row").dropDuplicates(["row"])
+    return found.select("text", "places").mapInArrow(run, "row bigint, text string")
 
 
 def shared_passages(found: DataFrame) -> DataFrame:
-    """Of ``found``: the whole lines, and the placed passages whose band stands in another text, too."""
-    placed = found.where("place >= 0 and bands is null")
-    keys = placed.groupBy("key").agg(F.min("row").alias("x"), F.max("row").alias("y")).where("x <> y").select("key")
-    names = ["row", "doc_id", "place", "stop", "key", "rest"]
-    held = placed.join(stored(keys, "bands-shared"), "key").select(*names, F.array("key").alias("bands"))
-    return held.unionByName(found.where("bands is not null").select(*names, "bands"))
+    """row, doc_id, place, key, rest and band of the placed passages of ``found``, for each of their bands that stands in another text, too."""
+    placed = found.select("row", "doc_id", "same", F.inline("placed"))
+    keys = placed.groupBy("key").agg(F.min("same").alias("x"), F.max("same").alias("y")).where("x <> y").select(F.col("key").alias("band"))
+    names = ["row", "doc_id", "place", "key", "rest", "band"]
+    near = found.where(F.size("near") > 0).select("row", "doc_id", "placed", F.inline("near")).select(
+        "row", "doc_id", F.col("placed")[F.col("one")].alias("p"), F.col("placed")[F.col("other")]["key"].alias("band")).select(
+        "row", "doc_id", "p.place", "p.key", "p.rest", "band")
+    return placed.withColumn("band", F.col("key")).select(names).unionByName(near.select(names)).join(stored(keys, "bands-shared"), "band").select(names)
 
 
-def classes(docs: DataFrame, pool: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, pool: DataFrame, lines: DataFrame) -> DataFrame:
     """(key, rest, first): for passages that repeat, exactly or nearly, the (doc_id, row, place, stop) of the first of their class."""
+    names = ["doc_id", "row", "place", "stop", "key", "rest"]
+    every = pool.withColumn("stop", F.col("place") + PASSAGE).select(
+        *names, "band", F.lit(None).cast("array<bigint>").alias("bands")).unionByName(
+        lines.select(*names, F.lit(None).cast("bigint").alias("band"), "bands"))
     different = stored(
-        pool.groupBy("key", "rest").agg(F.min(F.struct("doc_id", "row", "place", "stop", "bands")).alias("one"), F.count("*").alias("n"))
-        .select("key", "rest", F.struct("one.doc_id", "one.row", "one.place", "one.stop").alias("first"), "one.bands", "n")
-        .withColumn("id", F.monotonically_increasing_id()), "different")
+        every.groupBy("key", "rest").agg(
+            F.min(F.struct("doc_id", "row", "place", "stop")).alias("first"), (F.min("row") != F.max("row")).alias("again"),
+            F.array_distinct(F.concat(F.collect_set("band"), F.flatten(F.collect_set("bands")))).alias("bands"))
+        .withColumn("id", F.monotonically_increasing_id()), "different", compression="zstd")
     unsigned = F.lit(None).cast("array<bigint>").alias("sign")
     filed = stored(sharing(different.select(F.col("id").alias("row"), unsigned, F.explode("bands").alias("file"))), "files")
+    wanted = different.select("id", "first.row", "first.place", "first.stop").join(
+        filed.select(F.col("row").alias("id")).distinct(), "id", "left_semi")
+    held = stored(texts_at(docs, wanted), "passage-texts", compression="zstd")
 
     def texts_of(rows: DataFrame) -> DataFrame:
-        wanted = different.select("id", "first.row", "first.place", "first.stop").join(rows.select(F.col("row").alias("id")), "id")
-        return texts_at(docs, wanted)
+        return held.join(rows, "row", "left_semi")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        held = stored(pairs, "pairs")
-        rows = held.select(F.col("a").alias("row")).unionByName(held.select(F.col("b").alias("row"))).distinct()
-        return confirmed(held, stored(texts_of(rows), "pair-texts"))
+        return confirmed(pairs, held)
 
     roots = components(links(filed, confirm, texts_of))
-    rooted = different.select("key", "rest", "first", "n", "id").join(roots, F.col("id") == F.col("node"), "left")
-    alone = rooted.where("root is null and n > 1").select("key", "rest", "first")
+    rooted = different.select("key", "rest", "first", "again", "id").join(roots, F.col("id") == F.col("node"), "left")
+    alone = rooted.where("root is null and again").select("key", "rest", "first")
     linked = rooted.where("root is not null")
     firsts = linked.groupBy("root").agg(F.min("first").alias("first"))
     return alone.unionByName(linked.select("key", "rest", "root").join(firsts, "root").select("key", "rest", "first"))
@@ -190,21 +278,31 @@ def classes(docs: DataFrame, pool: DataFrame) -> DataFrame:
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """One line per row: doc_id, row, n_paragraphs, n_removed, removed (place and stop, in words), kept_in (doc_ids where they stay)."""
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.xxhash64("text").alias("same"), "text")
-    found = stored(listed(keyed), "paragraphs")
-    sources = stored(
-        keyed.select("doc_id", "row", "same").groupBy("same").agg(F.min(F.struct("doc_id", "row")).alias("source")), "sources")
-    traced = found.join(sources, "same")
-    pool = stored(shared_passages(traced.where("row = source.row").select(found["*"])), "pool")
-    repeats = stored(classes(keyed, pool), "classes")
-    gone = pool.drop("bands").join(repeats, ["key", "rest"]).where("first.row <> row").select("row", "place", "stop", F.col("first.doc_id").alias("kept_in"))
-    copied = traced.where("row <> source.row and place >= 0").select("row", "place", "stop", F.col("source.doc_id").alias("kept_in"))
-    removed = gone.unionByName(copied).groupBy("row").agg(
-        F.sort_array(F.collect_set(F.struct("place", "stop"))).alias("removed"), F.sort_array(F.collect_set("kept_in")).alias("kept_in"))
-    rows = found.groupBy("doc_id", "row").agg(F.max("total").cast("long").alias("n_paragraphs")).join(removed, "row", "left")
-    return rows.select(
-        "doc_id", "row", "n_paragraphs", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("removed", F.array().cast("array<struct<place:int,stop:int>>")).alias("removed"),
-        F.coalesce("kept_in", F.array().cast(f"array<{docs.schema['doc_id'].dataType.simpleString()}>")).alias("kept_in"))
+    found = stored(listed(keyed), "paragraphs", compression="zstd")
+    sources = found.groupBy("same").agg(F.min(F.struct("doc_id", "row")).alias("source"))
+    pool = stored(shared_passages(found), "pool")
+    lines = found.select("row", "doc_id", F.inline("lines"))
+    repeats = stored(classes(keyed, pool, lines), "classes")
+    spans = ["row", "place", "stop", "key", "rest"]
+    every = pool.withColumn("stop", F.col("place") + PASSAGE).select(*spans).unionByName(lines.select(*spans))
+    removed = every.join(repeats, ["key", "rest"]).where("first.row <> row").groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct("place", "stop"))).alias("removed"), F.sort_array(F.collect_set("first.doc_id")).alias("kept_in"))
+    # Of documents with equal texts all but the first lose every passage, whatever their passages share with others.
+    copied = F.col("row") != F.col("source.row")
+    span = F.when(copied, F.sort_array(F.array_distinct(F.concat(
+        F.transform("placed", lambda x: F.struct(x.alias("place"), (x + PASSAGE).alias("stop"))),
+        F.arrays_zip(F.col("first").alias("place"), F.col("last").alias("stop"))))))
+    rows = found.select(
+        "doc_id", "row", "same", "total", F.col("placed.place").alias("placed"), F.col("lines.place").alias("first"), F.col("lines.stop").alias("last")
+    ).join(sources, "same").select(
+        "doc_id", "row", F.col("total").cast("long").alias("n_paragraphs"), span.alias("own"),
+        F.when(copied & (F.col("total") > 0), F.array_compact(F.array("source.doc_id"))).alias("own_source"))
+    joined = rows.dropDuplicates(["doc_id", "row"]).join(removed, "row", "left")
+    gone = F.coalesce("own", "removed", F.array().cast("array<struct<place:int,stop:int>>"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = F.coalesce("own_source", F.when(F.col("own").isNull(), F.col("kept_in")), F.array().cast(f"array<{kind}>"))
+    return joined.select(
+        "doc_id", "row", "n_paragraphs", F.size(gone).cast("long").alias("n_removed"), gone.alias("removed"), kept.alias("kept_in"))
 
 
 def without_passages(text: str, removed: list[tuple[int, int]]) -> str:

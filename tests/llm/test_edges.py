@@ -256,6 +256,35 @@ def test_a_shared_run_of_fifty_words_begins_a_passage_in_both():
         assert one & two
 
 
+def test_passages_come_by_place_and_words_are_hashed_alike(monkeypatch):
+    text = f"{words(41, 60)}\n{words(42, 30)} É\t\x0bÄ {'x' * 5000} {words(41, 60).upper()}\r\n\n{words(43, 23)}\n"
+    found = [x[:2] for x in paragraphs.passages(text)[0]]
+    assert found == sorted(found) and {(0, 60), (60, 153)} <= set(found)
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    for size in (1 << 20, 64):
+        monkeypatch.setattr(paragraphs, "STEP_BYTES", size)
+        starts, hashes = paragraphs.word_hashes(data)
+        tokens = text.encode().lower().split()
+        assert [data[n : n + len(x)].tobytes().lower() for n, x in zip(starts.tolist(), tokens)] == tokens and len(starts) == len(tokens)
+        alike = dict(zip(tokens, hashes.tolist()))
+        assert [alike[x] for x in tokens] == hashes.tolist() and len(set(alike.values())) == len(alike)
+
+
+def test_passages_that_overlap_widely_are_looked_at_together(spark):
+    own = LONG.split()
+    starts = {x[0] for x in paragraphs.passages(LONG)[0][:-1]}
+    for at in sorted(n for n in starts if n > 40 and n + 1 in starts):  # one document begins passages at both, the other only at the second
+        rows = [(1, " ".join(own[at + 1 : at + 60])), (2, " ".join(own[at - 40 : at + 60]))]
+        one, two = ({x[0]: x[2:] for x in paragraphs.passages(text)[0][::-1] if x[1] - x[0] == 24} for _, text in rows)
+        if two.get(41) == one.get(0) and 40 in two:
+            break
+    else:
+        raise AssertionError("no such passages")
+    got = {r.doc_id: {tuple(x) for x in r.removed} for r in
+           paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got[1] == set() and {(40, 64), (41, 65)} <= got[2]
+
+
 def test_simhash(docs, none, spark, monkeypatch):
     expected = simhash_components([(k, v) for k, v in TEXTS.items()])
     got = simhash.near_duplicates(docs).collect()
