@@ -31,14 +31,13 @@ from gritstone.llm import simhash
 from gritstone.llm.components import components
 from gritstone.llm.simhash import majority_bits, shingle_hashes
 from gritstone.llm.store import map_text, slices, stored
+from gritstone.llm.words import different_shingles, shared
 
 BLOCKS, DRAWN, SIGN_WORDS = 9, 3, 2
 WIDTH, SIMILARITY = 5, 0.8
 #: At similarity 0.8 the cosine is at least 0.888 and 19.5 of 128 bits differ, with a deviation of 4.1: six deviations above.
 MAX_DISTANCE = 44
 ROUNDS = 1
-#: Shingles that a task keeps at once of the texts it has met.
-KEPT_SHINGLES = 200_000
 #: Files of more texts than CROWDED are compared by cells of two parts, each of about CELL texts and CELL_CHARS characters at most.
 CROWDED, CELL, CELL_CHARS = 32, 256, 4_000_000
 
@@ -101,17 +100,19 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text_b"):
-                keep, own, held = [], {}, 0  # a text stands in many pairs
-                for a, b, text_a, text_b in zip(*(rows.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
-                    if held > KEPT_SHINGLES:
-                        own, held = {}, 0
-                    for x, text in ((a, text_a), (b, text_b)):
-                        if x not in own:
-                            own[x] = set(shingle_hashes(text, WIDTH).tolist())
-                            held += len(own[x])
-                    both = len(own[a] & own[b])
-                    keep.append(both >= SIMILARITY * (len(own[a]) + len(own[b]) - both))
-                yield rows.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                number: dict[int, int] = {}  # a text stands in many pairs
+                own, ends = [], []
+                for x in "ab":
+                    ids = rows.column(x).to_pylist()
+                    for n, row in enumerate(ids):
+                        if row not in number:
+                            number[row] = len(number)
+                            own.append(different_shingles(rows.column(f"text_{x}")[n].as_py(), WIDTH))
+                    ends.append(np.array([number[row] for row in ids], dtype=np.int64))
+                size = np.array([len(x) for x in own], dtype=np.int64)
+                both = shared(own, *ends)
+                keep = both >= SIMILARITY * (size[ends[0]] + size[ends[1]] - both)
+                yield rows.select(["a", "b"]).filter(pa.array(keep))
 
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a bigint, b bigint")
 
@@ -132,7 +133,7 @@ def compared(cell: pa.Table) -> pa.Table:
     If the cell has two sides, only texts of different sides are compared.
     """
     rows, part, side = (cell.column(c).to_numpy() for c in ("row", "part", "side"))
-    own = [np.unique(shingle_hashes(text, WIDTH)) for text in cell.column("text").to_pylist()]
+    own = [different_shingles(text, WIDTH) for text in cell.column("text").to_pylist()]
     size = np.array([len(x) for x in own])
     owner = np.repeat(np.arange(len(own)), size)
     shingles, which = np.unique(np.concatenate(own), return_inverse=True)
@@ -183,12 +184,12 @@ def sharing(filed: DataFrame) -> DataFrame:
 
 def links(
     filed: DataFrame, confirm: Callable[[DataFrame], DataFrame], texts: Callable[[DataFrame], DataFrame],
-    found: DataFrame | None = None,
+    found: DataFrame | None = None, anew: bool = False,
 ) -> DataFrame:
     """Confirmed pairs (a, b), enough to connect all rows that share a file and are similar; ``found`` are pairs known before.
 
     ``filed`` has file and row, both long, and sign, an array of longs or null, by which pairs are ruled out early. It is read
-    several times: pass a stored table of what ``sharing`` leaves.
+    several times: pass a stored table of what ``sharing`` leaves. ``anew`` says that it is made of rare shingles already.
     """
     left = filed
     for turn in range(ROUNDS):
@@ -208,8 +209,34 @@ def links(
     one, other = (few.select("file", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "sign", "part")]) for x in "ab")
     rest = one.join(other, "file").where(
         (F.col("row_a") < F.col("row_b")) & (F.col("part_a") != F.col("part_b")) & close(F.col("sign_a"), F.col("sign_b")))
-    found = found.unionByName(confirm(rest.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()))
-    return found if many.isEmpty() else found.unionByName(crowded_links(many, texts))
+    more = confirm(rest.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct())
+    if many.isEmpty():
+        return found.unionByName(more)
+    found = found.unionByName(stored(more, "links"))
+    if anew:
+        return found.unionByName(crowded_links(many, texts))
+    rows = many.select("row", "sign").dropDuplicates(["row"])
+    finer = sharing(rare_shingles(texts(rows.select("row"))).join(rows, "row"))
+    return links(stored(finer, "finer-files"), confirm, texts, found, anew=True)
+
+
+def rare_shingles(texts: DataFrame) -> DataFrame:
+    """(file, row): each text (row, text) under so many of its shingles, the rarest first, that texts similar to it have one of theirs among them.
+
+    Of n shingles SIMILARITY * n at least are shared, so one of any n - SIMILARITY * n + 1 of them is; and if both texts take their
+    first ones in one order of all shingles, one that both have taken. So no link between similar texts is lost.
+    """
+
+    def run(rows: pa.RecordBatch) -> pa.RecordBatch:
+        own = [different_shingles(text.as_py(), WIDTH).view(np.int64) for text in rows.column("text")]
+        return pa.RecordBatch.from_arrays([rows.column("row"), pa.array(own, pa.list_(pa.int64()))], ["row", "own"])
+
+    own = stored(map_text(texts.select("row", "text"), run, "row bigint, own array<bigint>"), "crowded-shingles")
+    each = own.select("row", F.size("own").alias("n"), F.explode("own").alias("file"))
+    counted = each.join(each.groupBy("file").agg(F.count("*").alias("held")), "file")
+    ordered = counted.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("held", "file"))).alias("own"))
+    least = F.ceil(F.size("own") * F.lit(SIMILARITY) - F.lit(1e-9))
+    return ordered.select("row", F.explode(F.slice("own", F.lit(1), (F.size("own") - least + 1).cast("int"))).alias("x")).select("x.file", "row")
 
 
 def fingerprint_pairs(texts: DataFrame) -> DataFrame:

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from xxhash import xxh3_64_intdigest, xxh3_128_digest
+from xxhash import xxh3_128_digest
 
 from gritstone.llm.components import components
 from gritstone.llm.copies import SIMILARITY, WIDTH, confirmed, links, sharing
 from gritstone.llm.store import slices, stored
+from gritstone.llm.words import FACTORS, odd_numbers, scramble, shingles, word_hashes
 
 PASSAGE, REACH = 24, 27
 RECALL = 0.997
@@ -37,10 +38,8 @@ SHINGLES = PASSAGE - WIDTH + 1
 #: Words between the beginnings of two passages, and words of a line around a passage, up to which they are similar.
 APART, WIDEST = int(SHINGLES * (1 - SIMILARITY) / (1 + SIMILARITY)), int(SHINGLES / SIMILARITY) + WIDTH - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Places whose neighbourhoods are compared at once, and bytes that are hashed at once.
-STEP, STEP_BYTES = 1 << 16, 1 << 20
-#: Longer words, in bytes, are hashed one by one.
-LONG_WORD = 1 << 12
+#: Places whose neighbourhoods are compared at once.
+STEP = 1 << 16
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -49,55 +48,9 @@ def tuned_bands(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: f
 
 
 BANDS = tuned_bands()
-_DRAWN = np.random.default_rng(5)
-
-
-def _odd(count: int) -> np.ndarray:
-    return _DRAWN.integers(0, 1 << 64, count, dtype=np.uint64) | np.uint64(1)
-
-
-_SEEDS, _FACTORS = _DRAWN.integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64), _odd(BANDS * BAND_ROWS)
-_IN_SHINGLE, _IN_PASSAGE, _IN_WORD = _odd(WIDTH), _odd(PASSAGE), _odd(LONG_WORD)
-_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
-_BYTES = np.where(_BLANK, np.uint64(0), _odd(256))
-_BYTES[65:91] = _BYTES[97:123]  # A-Z as a-z
-
-
-def _scramble(values: np.ndarray) -> np.ndarray:
-    out = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return out ^ (out >> np.uint64(31))
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word of a text (its UTF-8 bytes) starts, and a 64-bit hash of the word, A-Z lower-cased."""
-    at, starts, hashes = 0, [], []
-    while at < len(data):
-        stop = at + STEP_BYTES
-        while stop < len(data) and not _BLANK[data[stop]]:
-            stop += 1
-        part = data[at:stop]
-        held = ~_BLANK[part]
-        first = held.copy()
-        first[1:] &= ~held[:-1]
-        begins = np.flatnonzero(first)
-        if len(begins):
-            place = np.arange(len(part))
-            place[begins[0] :] -= np.repeat(begins, np.diff(begins, append=len(part)))
-            sums = np.add.reduceat(_BYTES[part] * _IN_WORD[place & (LONG_WORD - 1)], begins)
-            lengths = np.add.reduceat(held, begins, dtype=np.int64)
-            for n in np.flatnonzero(lengths > LONG_WORD).tolist():
-                sums[n] = xxh3_64_intdigest(part[begins[n] : begins[n] + lengths[n]].tobytes().lower())
-            starts.append(begins + at)
-            hashes.append(_scramble(sums))
-        at = stop
-    return np.concatenate(starts or [np.zeros(0, np.int64)]), np.concatenate(hashes or [np.zeros(0, np.uint64)])
-
-
-def shingles(words: np.ndarray) -> np.ndarray:
-    """A hash of every WIDTH consecutive words."""
-    count = len(words) - WIDTH + 1
-    return _scramble(sum((words[k : count + k] * factor for k, factor in enumerate(_IN_SHINGLE)), np.uint64(0)))
+_SEEDS = np.random.default_rng(5).integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64)
+_FACTORS = odd_numbers(2 * BANDS * BAND_ROWS)[BANDS * BAND_ROWS :]
+_IN_PASSAGE = FACTORS[WIDTH : WIDTH + PASSAGE]
 
 
 def bands(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -111,7 +64,7 @@ def bands(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarr
             values *= np.uint64(0x9E3779B97F4A7C15)
             least = np.minimum.reduceat(values, edges)[::2]
             band = k // BAND_ROWS
-            out[:, band] = _scramble(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(band))
+            out[:, band] = scramble(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(band))
     return out.view(np.int64)
 
 
@@ -148,9 +101,9 @@ def located(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[
     begins, words = word_hashes(data)
     if len(words) < PASSAGE:
         return np.zeros((0, 3), np.int64), np.zeros((0, 2), np.int64), np.zeros((0, 4), np.int64), []
-    hashes = shingles(words)
+    hashes = shingles(words, WIDTH)
     starts = passage_starts(hashes)
-    rest = _scramble((words[starts[:, None] + np.arange(PASSAGE)] * _IN_PASSAGE).sum(axis=1, dtype=np.uint64))
+    rest = scramble((words[starts[:, None] + np.arange(PASSAGE)] * _IN_PASSAGE).sum(axis=1, dtype=np.uint64))
     line = np.searchsorted(np.flatnonzero(data == 10), begins)
     ends = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1, [len(words)]])
     first, stop = ends[:-1], ends[1:]

@@ -14,7 +14,7 @@ from tests_llm_brute import Sets, leaks, near_components, nearest, removed_bytes
 from tokenizers import Tokenizer
 
 from gritstone.llm import (
-    bpe, copies, decontamination, htmltext, language, neighbours, paragraphs, secrets, sharding, simhash, substrings)
+    bpe, copies, decontamination, htmltext, language, neighbours, paragraphs, secrets, sharding, simhash, substrings, words as wording)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -262,8 +262,8 @@ def test_passages_come_by_place_and_words_are_hashed_alike(monkeypatch):
     assert found == sorted(found) and {(0, 60), (60, 153)} <= set(found)
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     for size in (1 << 20, 64):
-        monkeypatch.setattr(paragraphs, "STEP_BYTES", size)
-        starts, hashes = paragraphs.word_hashes(data)
+        monkeypatch.setattr(wording, "STEP_BYTES", size)
+        starts, hashes = wording.word_hashes(data)
         tokens = text.encode().lower().split()
         assert [data[n : n + len(x)].tobytes().lower() for n, x in zip(starts.tolist(), tokens)] == tokens and len(starts) == len(tokens)
         alike = dict(zip(tokens, hashes.tolist()))
