@@ -13,7 +13,7 @@ Texts with equal words are merged before anything else, so a group of exact copi
 each is first compared with one of them, the hub (in ROUNDS rounds, each with other hubs and across the components known so far): a group
 of near copies costs a few comparisons a text and then is one component. After that all pairs that share a block and
 still lie in different components are compared, so no link between texts that share a block is missed. Where more than
-CROWDED texts share one, not pairs of texts are moved but the texts: they are dealt into parts, every two parts meet in one
+CROWDED texts share one, they are filed anew by their rarest shingles; where as many share one of these, not pairs of texts are moved but the texts: they are dealt into parts, every two parts meet in one
 cell, and a cell counts the shingles that one text shares with all others at once. The comparisons there still grow with the
 square of the texts, what is moved with the square over CELL, and no cell holds more than two parts.
 """
@@ -101,14 +101,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             for rows in slices(batch, "text_b"):
                 number: dict[int, int] = {}  # a text stands in many pairs
-                own, ends = [], []
+                met, ends = [], []
                 for x in "ab":
                     ids = rows.column(x).to_pylist()
                     for n, row in enumerate(ids):
                         if row not in number:
                             number[row] = len(number)
-                            own.append(different_shingles(rows.column(f"text_{x}")[n].as_py(), WIDTH))
+                            met.append(rows.column(f"text_{x}")[n].as_py())
                     ends.append(np.array([number[row] for row in ids], dtype=np.int64))
+                own = different_shingles(met, WIDTH)
                 size = np.array([len(x) for x in own], dtype=np.int64)
                 both = shared(own, *ends)
                 keep = both >= SIMILARITY * (size[ends[0]] + size[ends[1]] - both)
@@ -133,7 +134,7 @@ def compared(cell: pa.Table) -> pa.Table:
     If the cell has two sides, only texts of different sides are compared.
     """
     rows, part, side = (cell.column(c).to_numpy() for c in ("row", "part", "side"))
-    own = [different_shingles(text, WIDTH) for text in cell.column("text").to_pylist()]
+    own = different_shingles(cell.column("text").to_pylist(), WIDTH)
     size = np.array([len(x) for x in own])
     owner = np.repeat(np.arange(len(own)), size)
     shingles, which = np.unique(np.concatenate(own), return_inverse=True)
@@ -228,7 +229,7 @@ def rare_shingles(texts: DataFrame) -> DataFrame:
     """
 
     def run(rows: pa.RecordBatch) -> pa.RecordBatch:
-        own = [different_shingles(text.as_py(), WIDTH).view(np.int64) for text in rows.column("text")]
+        own = [x.view(np.int64) for x in different_shingles(rows.column("text").to_pylist(), WIDTH)]
         return pa.RecordBatch.from_arrays([rows.column("row"), pa.array(own, pa.list_(pa.int64()))], ["row", "own"])
 
     own = stored(map_text(texts.select("row", "text"), run, "row bigint, own array<bigint>"), "crowded-shingles")

@@ -6,7 +6,7 @@ run of PASSAGE + REACH - 1 = 50 words that stands in two documents so begins a p
 it and however it is broken into lines; runs well below PASSAGE words (titles, short lines) are never compared. Lines of at
 least PASSAGE words are passages as a whole, too, so that an edit within does not hide them. Passages the same lower-cased words are one, so one that stands in a third of all documents is one row from then on. Whole
 lines get MinHash values of their five-word shingles; the bands are tuned so that a pair at the least similarity
-collides with probability RECALL. A placed passage has one band, its least shingle, with which it begins; those whose band
+collides with probability RECALL. A placed passage has one band, its least shingle, with which it begins, and that of what overlaps it widely in its text; those whose band
 no other text holds are left behind at once. Of documents with equal texts one is looked at, and the passages of the others all go. Colliding passages are confirmed by exact Jaccard similarity (files of very many
 as in ``copies``), and confirmed pairs joined into components. Of each component the passages of the first document (by
 doc_id) stay, and those of all others go. Words of a repeated run outside its passages, fewer than REACH at either end, stay.

@@ -61,9 +61,13 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return scramble(sum((words[k : count + k] * factor for k, factor in enumerate(FACTORS[:width])), np.uint64(0)))
 
 
-def different_shingles(text: str | None, width: int) -> np.ndarray:
-    """The different shingles of a text, as sorted hashes."""
-    return np.unique(shingles(word_hashes(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8))[1], width))
+def different_shingles(texts: list[str | None], width: int) -> list[np.ndarray]:
+    """The different shingles of each text, as sorted hashes; the words of all texts are hashed at once."""
+    coded = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+    begins, words = word_hashes(np.frombuffer(b"\n".join(coded), dtype=np.uint8))
+    ends = np.searchsorted(begins, np.cumsum([0, *(len(x) + 1 for x in coded)])).tolist()
+    every = shingles(words, width)
+    return [np.unique(every[a : b - width + 1] if b - a >= width else shingles(words[a:b], width)) for a, b in zip(ends, ends[1:])]
 
 
 def shared(own: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> np.ndarray:
